@@ -82,3 +82,274 @@ def q_weekly_weight(spark, sf_dir):
 @register("metric_freshness")
 def q_metric_freshness(spark, sf_dir):
     return marts.metric_freshness(silver.staged(spark, sf_dir), as_of=AS_OF)
+
+
+# --- data-quality checks (K1-K10) -------------------------------------------
+from ..config import ACCEPTED_METRICS, DAILY_RANGES  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import payload as P  # noqa: E402
+from ..operators import expectations as X  # noqa: E402
+from ..operators.scd import scd1, scd2  # noqa: E402
+from ..sources import driver_tables as dtab  # noqa: E402
+from ..sources import exports as S  # noqa: E402
+from ..functions.columns import change_display, iso_year_week  # noqa: E402
+from ..config import SILVER_EXPECTATIONS  # noqa: E402
+from .tail import tail  # noqa: E402
+
+FRESHNESS_AS_OF = "2024-02-03 06:00:00"
+
+
+@register("check_not_null")
+def q_check_not_null(spark, sf_dir):
+    stg = silver.staged(spark, sf_dir)
+    return Q.not_null(stg, "metric_date")
+
+
+@register("check_unique")
+def q_check_unique(spark, sf_dir):
+    # Uniqueness of the Silver grain: (metric_name, reading instant) must be
+    # unique after dedup and is not before it (overlapping files).
+    rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
+    key = F.concat_ws("|", "metric_name", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    return Q.unique(rows.select(key.alias("reading_key")), "reading_key")
+
+
+@register("check_accepted_values")
+def q_check_accepted_values(spark, sf_dir):
+    return Q.accepted_values(silver.staged(spark, sf_dir), "metric_name", ACCEPTED_METRICS)
+
+
+@register("check_within_range")
+def q_check_within_range(spark, sf_dir):
+    d = daily(spark, sf_dir)
+    parts = [Q.within_range(d, c, lo, hi).select(F.lit(c).alias("column_name"),
+                                                   F.round("value_to_check", 6).alias("value_to_check"))
+             for c, (lo, hi) in DAILY_RANGES.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("check_rollup_match")
+def q_check_rollup_match(spark, sf_dir):
+    stg = silver.staged(spark, sf_dir)
+    return rounded(Q.rollup_matches(stg, marts.daily_summary(stg)))
+
+
+@register("check_file_completeness")
+def q_check_file_completeness(spark, sf_dir):
+    # Reference semantics: against the deduped Silver base, so a file wholly
+    # superseded by a later overlapping export is reported.
+    return Q.files_without_rows(silver.bronze(spark, sf_dir), silver.silver_base(spark, sf_dir))
+
+
+@register("check_source_freshness")
+def q_check_source_freshness(spark, sf_dir):
+    return Q.source_freshness(silver.bronze(spark, sf_dir), FRESHNESS_AS_OF)
+
+
+def suite_checks(spark, sf_dir):
+    stg = silver.staged(spark, sf_dir)
+    d = marts.daily_summary(stg)
+    wk = marts.weekly_trends(d)
+    ww = marts.weekly_weight(stg)
+    fr = marts.metric_freshness(stg, as_of=AS_OF)
+    checks = {
+        "stg.metric_name.not_null": ("error", Q.not_null(stg, "metric_name")),
+        "stg.metric_name.accepted_values": ("error", Q.accepted_values(stg, "metric_name", ACCEPTED_METRICS)),
+        "stg.metric_date.not_null": ("error", Q.not_null(stg, "metric_date")),
+        "daily.metric_date.not_null": ("error", Q.not_null(d, "metric_date")),
+        "daily.metric_date.unique": ("error", Q.unique(d, "metric_date")),
+    }
+    for c, (lo, hi) in DAILY_RANGES.items():
+        checks[f"daily.{c}.within_range"] = ("error", Q.within_range(d, c, lo, hi))
+    checks.update({
+        "daily.metrics_present.not_null": ("error", Q.not_null(d, "metrics_present")),
+        "weekly.week_start.not_null": ("error", Q.not_null(wk, "week_start")),
+        "weekly.week_start.unique": ("error", Q.unique(wk, "week_start")),
+        "weight.year_week.not_null": ("error", Q.not_null(ww, "year_week")),
+        "weight.year_week.unique": ("error", Q.unique(ww, "year_week")),
+        "weight.week_end_date.not_null": ("error", Q.not_null(ww, "week_end_date")),
+        "freshness.metric_name.not_null": ("error", Q.not_null(fr, "metric_name")),
+        "freshness.metric_name.unique": ("error", Q.unique(fr, "metric_name")),
+        "freshness.days_since_last_data.not_null": ("error", Q.not_null(fr, "days_since_last_data")),
+        "rollup_match": ("error", Q.rollup_matches(stg, d)),
+        "file_completeness": ("error", Q.files_without_rows(silver.bronze(spark, sf_dir),
+                                                            silver.silver_base(spark, sf_dir))),
+    })
+    return checks
+
+
+@register("quality_suite")
+def q_quality_suite(spark, sf_dir):
+    return Q.run_suite(suite_checks(spark, sf_dir))
+
+
+# --- sources (A1-A16) ---------------------------------------------------------
+LANDED_CUTOFF = "2024-02-02 00:00:00"
+
+
+@register("bronze_unwrap")
+def q_bronze_unwrap(spark, sf_dir):
+    b = S.unwrap(silver.bronze(spark, sf_dir))
+    n = F.size(F.from_json("data", "struct<metrics: array<string>>")["metrics"])
+    return b.select("_source_file", F.col("_was_wrapped").alias("was_wrapped"),
+                    n.alias("n_metrics"))
+
+
+@register("bronze_load")
+def q_bronze_load(spark, sf_dir):
+    """Land Bronze as files (partitioned by ingestion date) and read it back."""
+    from ..session import shared_dir
+    path = shared_dir(spark, "landing")
+    S.land(silver.bronze(spark, sf_dir), path)
+    back = S.unwrap(S.read_landed(spark, path))
+    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>")
+    return back.select(
+        "_source_file", "_ingested_at", F.col("ingest_date").cast("date").alias("ingest_date"),
+        F.size(p["metrics"]).alias("n_metrics"),
+        F.aggregate(F.transform(p["metrics"], lambda m: F.size(m["data"])), F.lit(0),
+                    lambda a, x: a + x).alias("n_readings"))
+
+
+@register("new_files_anti_join")
+def q_new_files_anti_join(spark, sf_dir):
+    b = silver.bronze(spark, sf_dir)
+    landed = b.filter(F.col("_ingested_at") <= F.lit(LANDED_CUTOFF).cast("timestamp"))
+    return S.only_new(b.select("_source_file", "_ingested_at"), landed)
+
+
+@register("exact_resend_dedup")
+def q_exact_resend_dedup(spark, sf_dir):
+    docs = dtab.export_documents(dtab.table(spark, sf_dir, "events"))
+    body = docs.select(F.concat(F.lit('{"data":'), F.col("inner"), F.lit("}")).alias("data"),
+                       "_ingested_at", "_source_file", "file_no")
+    copies = (body.filter(F.col("file_no") % 5 == 2)
+              .select("data", (F.col("_ingested_at") + F.expr("INTERVAL 1 HOUR")).alias("_ingested_at"),
+                      F.concat(F.lit("copy_"), F.col("_source_file")).alias("_source_file"), "file_no"))
+    kept = S.drop_exact_resends(body.unionByName(copies).drop("file_no"))
+    return kept.select("_source_file", "_ingested_at", "copies")
+
+
+@register("ingest_counts")
+def q_ingest_counts(spark, sf_dir):
+    return S.ingest_counts(silver.bronze(spark, sf_dir))
+
+
+@register("landing_partitions")
+def q_landing_partitions(spark, sf_dir):
+    b = silver.bronze(spark, sf_dir)
+    return b.select("_source_file", S.landing_path("_ingested_at", "_source_file").alias("landing_path"))
+
+
+# --- payload validation and summary (B5, C10, K9) -------------------------------
+@register("payload_validation")
+def q_payload_validation(spark, sf_dir):
+    bodies = dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
+    return P.classify_payloads(bodies).select("_source_file", "rule", "reason", "metric_index", "is_valid")
+
+
+@register("payload_summary")
+def q_payload_summary(spark, sf_dir):
+    bodies = dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
+    valid = P.classify_payloads(bodies).filter("is_valid")
+    s = P.summarize_payloads(valid)
+    return s.select("_source_file", "metric_count", "workout_count",
+                    F.array_join("metric_names", ",").alias("metric_names"))
+
+
+# --- expectations (B3, J5, M7) --------------------------------------------------
+@register("expectation_counts")
+def q_expectation_counts(spark, sf_dir):
+    _, counts = X.expect(silver.exploded(spark, sf_dir), SILVER_EXPECTATIONS)
+    return counts
+
+
+def expectation_log(spark, sf_dir):
+    rows = silver.exploded(spark, sf_dir)
+    return X.expectation_events(rows, SILVER_EXPECTATIONS,
+                                batch=F.date_format("ingested_at", "yyyy-MM-dd"),
+                                dataset="silver_healthkit_metrics_staging")
+
+
+@register("expectation_log")
+def q_expectation_log(spark, sf_dir):
+    return X.expectation_totals(expectation_log(spark, sf_dir))
+
+
+@register("expectation_log_latest")
+def q_expectation_log_latest(spark, sf_dir):
+    return X.expectation_latest(expectation_log(spark, sf_dir))
+
+
+@register("expectation_dropped_total")
+def q_expectation_dropped_total(spark, sf_dir):
+    _, counts = X.expect(silver.exploded(spark, sf_dir), SILVER_EXPECTATIONS)
+    return X.dropped_total(counts)
+
+
+# --- change data capture (J3, J4, F4) --------------------------------------------
+def silver_events(spark, sf_dir):
+    return silver.expectation_filter(silver.exploded(spark, sf_dir))
+
+
+@register("scd1_current")
+def q_scd1_current(spark, sf_dir):
+    cur = scd1(silver_events(spark, sf_dir), ["metric_name", "date"],
+               [F.col("file_modification_time")])
+    return rounded(cur.select("metric_name", "date", "value_qty", "value_avg",
+                              "source_file", "file_modification_time"))
+
+
+@register("scd2_history")
+def q_scd2_history(spark, sf_dir):
+    steps = silver_events(spark, sf_dir).filter(F.col("metric_name") == "step_count")
+    h = scd2(steps, ["metric_name", "date"], "file_modification_time", ["value_qty"])
+    return rounded(h.select("metric_name", "date", "value_qty", "source_file",
+                            "__START_AT", "__END_AT"))
+
+
+# --- reports, display and scalar functions ---------------------------------------
+@register("mart_tail")
+def q_mart_tail(spark, sf_dir):
+    return rounded(tail(marts.weekly_trends(daily(spark, sf_dir)), "fct_weekly_trends", 3))
+
+
+@register("change_display")
+def q_change_display(spark, sf_dir):
+    dv = marts.daily_values(silver.staged(spark, sf_dir))
+    return dv.select("metric_name", "metric_date",
+                     change_display(F.col("daily_value") - 50).alias("display"))
+
+
+@register("scalar_functions")
+def q_scalar_functions(spark, sf_dir):
+    ev = dtab.table(spark, sf_dir, "events")
+    ts, d = F.col("ts"), F.to_date("ts")
+    return ev.select(
+        "event_id",
+        F.lower(F.concat(F.lit("A"), F.col("event_type"))).alias("s_lower"),
+        F.substring("props", 1, 5).alias("s_sub"),
+        F.lpad(F.col("user_id").cast("string"), 6, "0").alias("s_lpad"),
+        F.concat(F.col("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("s_concat"),
+        F.concat(F.col("event_type"), F.lit(".json")).endswith(".json").alias("b_suffix"),
+        F.try_to_timestamp(F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(" +0200")),
+                           F.lit("yyyy-MM-dd HH:mm:ss XX")).alias("t_parsed"),
+        d.alias("d_date"),
+        F.to_date(F.date_trunc("week", ts)).alias("d_week"),
+        F.weekofyear(ts).alias("i_week"),
+        F.year(ts).alias("i_year"),
+        iso_year_week(d).alias("s_year_week"),
+        F.date_add(d, -3).alias("d_minus3"),
+        F.datediff(d, F.lit("2024-01-01").cast("date")).alias("i_days"),
+        F.round("value", 1).alias("f_round"),
+        F.try_divide(F.col("value"), F.col("user_id") % 3).alias("f_div"),
+        F.nullif(F.col("user_id") % 5, F.lit(0)).alias("i_nullif"),
+        F.abs(F.col("value") - 50).alias("f_abs"),
+        F.coalesce(F.nullif(F.col("event_type"), F.lit("view")), F.lit("v")).alias("s_coalesce"),
+        F.when(F.col("value") > 100, "hi").when(F.col("value") > 10, "mid").otherwise("lo").alias("s_case"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("f_try_cast"),
+        F.get_json_object("props", "$.k").alias("s_json"),
+        F.sha2("props", 256).alias("s_sha256"),
+        S.landing_path(ts, F.col("event_id").cast("string")).alias("s_path"))
