@@ -353,3 +353,68 @@ def q_scalar_functions(spark, sf_dir):
         F.get_json_object("props", "$.k").alias("s_json"),
         F.sha2("props", 256).alias("s_sha256"),
         S.landing_path(ts, F.col("event_id").cast("string")).alias("s_path"))
+
+
+# --- streaming (A1, A10, J1-J6) ----------------------------------------------------
+from ..session import shared_dir  # noqa: E402
+from ..streaming import streams as ST  # noqa: E402
+
+STREAM_FILES_PER_TRIGGER = 8
+
+
+def _bronze_parquet(spark, sf_dir):
+    """Bronze written as a parquet table of several files (a stream source)."""
+    path = shared_dir(spark, "bronze")
+    b = silver.bronze(spark, sf_dir)
+    b.repartition(16, "_source_file").write.parquet(path)
+    return path
+
+
+@register("stream_file_ingest")
+def q_stream_file_ingest(spark, sf_dir):
+    landing = shared_dir(spark, "landing")
+    S.land(silver.bronze(spark, sf_dir), landing)
+    bronze_path, ckpt = shared_dir(spark, "bronze-stream"), shared_dir(spark, "ckpt-ingest")
+    ST.ingest_files(spark, landing, bronze_path, ckpt, max_files=STREAM_FILES_PER_TRIGGER)
+    # A second run over the same folder must read nothing new.
+    ST.ingest_files(spark, landing, bronze_path, ckpt, max_files=STREAM_FILES_PER_TRIGGER)
+    back = S.unwrap(spark.read.parquet(bronze_path))
+    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>")
+    return back.select(
+        "_source_file", F.size(p["metrics"]).alias("n_metrics"),
+        F.aggregate(F.transform(p["metrics"], lambda m: F.size(m["data"])), F.lit(0),
+                    lambda a, x: a + x).alias("n_readings"))
+
+
+@register("stream_flatten")
+def q_stream_flatten(spark, sf_dir):
+    bronze_path = _bronze_parquet(spark, sf_dir)
+    out, ckpt = shared_dir(spark, "silver-stream"), shared_dir(spark, "ckpt-flatten")
+    ST.flatten_stream(spark, bronze_path, out, ckpt, max_files=4)
+    df = spark.read.parquet(out)
+    return rounded(df.select(
+        "metric_name", "units", "date", "value_qty", "value_avg", "value_min", "value_max",
+        reading_date_text(F.col("value_raw")).alias("date_text"),
+        "source_file", "file_modification_time"))
+
+
+@register("stream_scd1")
+def q_stream_scd1(spark, sf_dir):
+    bronze_path = _bronze_parquet(spark, sf_dir)
+    log, ckpt = shared_dir(spark, "scd1-log"), shared_dir(spark, "ckpt-scd1")
+    ST.scd1_stream(spark, bronze_path, log, ckpt, ["metric_name", "date"],
+                   [F.col("file_modification_time")], max_files=4)
+    cur = ST.current_from_log(spark, log, ["metric_name", "date"], ["file_modification_time"])
+    return rounded(cur.select("metric_name", "date", "value_qty", "value_avg",
+                              "source_file", "file_modification_time"))
+
+
+@register("stream_scd2")
+def q_stream_scd2(spark, sf_dir):
+    bronze_path = _bronze_parquet(spark, sf_dir)
+    log, ckpt = shared_dir(spark, "scd2-log"), shared_dir(spark, "ckpt-scd2")
+    ST.scd2_stream(spark, bronze_path, log, ckpt, ["metric_name", "date"], "file_modification_time",
+                   where="metric_name = 'step_count'", max_files=4)
+    h = ST.history_from_log(spark, log, ["metric_name", "date"], "file_modification_time", ["value_qty"])
+    return rounded(h.select("metric_name", "date", "value_qty", "source_file",
+                            "__START_AT", "__END_AT"))
