@@ -43,11 +43,14 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
     column present in the input.
     """
     extra = [c for c in keep if c in bronze.columns]
-    doc = F.from_json(F.col(data_col), DOC_SCHEMA)
-    metrics = bronze.select(
+    # Parse once into a column; referencing the parse twice inside one
+    # expression would parse every document twice.
+    parsed = bronze.select(
         F.col(file_col).alias("source_file"), F.col(ingested_col).alias("ingested_at"),
-        *extra,
-        F.explode(F.coalesce(doc["metrics"], doc["data"]["metrics"])).alias("m"))
+        *extra, F.from_json(F.col(data_col), DOC_SCHEMA).alias("_doc"))
+    metrics = parsed.select(
+        "source_file", "ingested_at", *extra,
+        F.explode(F.coalesce(F.col("_doc.metrics"), F.col("_doc.data.metrics"))).alias("m"))
     readings = metrics.select(
         "source_file", "ingested_at", *extra,
         F.col("m.name").alias("metric_name"), F.col("m.units").alias("units"),
@@ -57,8 +60,10 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
 
 def flatten_reading_text(readings: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
     """Type one reading text per row into the Silver-base columns."""
-    v = F.try_parse_json(F.col("value_raw"))
-    return readings.select(
+    # Parse each reading once into its own column, then read paths from it
+    # (inline, the parse would be repeated for every path).
+    v = F.col("_v")
+    return readings.withColumn("_v", F.try_parse_json(F.col("value_raw"))).select(
         "metric_name",
         "units",
         F.try_to_timestamp(_text(v, "$.date"), F.lit(READING_TS_PATTERN)).alias("date"),

@@ -110,12 +110,16 @@ def _reading_json(r: DataFrame, bump: Column) -> Column:
 
 
 def file_readings(events: DataFrame) -> DataFrame:
-    """Readings with their export file: originals plus the re-exports."""
+    """Readings with their export file: originals plus the re-exports.
+
+    One scan: an event of a re-exported file yields two rows (``explode``
+    of a one- or two-element array) instead of a second scan and a union.
+    """
     r = event_readings(events)
-    orig = r.select("*", F.lit(0.0).alias("bump"), F.lit(False).alias("resend"))
-    again = (r.filter(F.col("file_no") % RESEND_EVERY == 0)
-             .select("*", F.lit(1.0).alias("bump"), F.lit(True).alias("resend")))
-    both = orig.unionByName(again)
+    copies = F.when(F.col("file_no") % RESEND_EVERY == 0, F.array(F.lit(False), F.lit(True))) \
+        .otherwise(F.array(F.lit(False)))
+    both = r.select("*", F.explode(copies).alias("resend"))
+    both = both.withColumn("bump", F.when(F.col("resend"), F.lit(1.0)).otherwise(F.lit(0.0)))
     name = F.concat(F.lit("export_"), F.lpad(F.col("file_no").cast("string"), 5, "0"),
                     F.when(F.col("resend"), F.lit("_resend")).otherwise(F.lit("")),
                     F.lit(".json"))
@@ -133,23 +137,23 @@ def file_readings(events: DataFrame) -> DataFrame:
 def export_documents(events: DataFrame) -> DataFrame:
     """Group readings into one export document per file (Bronze ``data`` text).
 
-    Readings of a file are sorted by event id so the text is deterministic.
-    A file holds at most ``FILE_EVENTS`` readings, so each group is bounded.
+    One shuffle: readings are collected per file (a file holds at most
+    ``FILE_EVENTS`` readings, so each group is bounded), sorted by
+    (metric, event id), and nested per metric with array functions.
     """
     fr = file_readings(events)
-    per_metric = (fr.groupBy("_source_file", "file_no", "_ingested_at",
-                             "file_modification_time", "metric_name", "units")
-                  .agg(F.array_sort(F.collect_list(F.struct("event_id", "reading"))).alias("rs")))
-    metric_json = F.concat(
-        F.lit('{"name":"'), F.col("metric_name"), F.lit('","units":"'), F.col("units"),
-        F.lit('","data":['), F.array_join(F.transform("rs", lambda x: x["reading"]), ","),
-        F.lit("]}"))
-    per_metric = per_metric.select("_source_file", "file_no", "_ingested_at",
-                                   "file_modification_time", "metric_name",
-                                   metric_json.alias("mj"))
-    per_file = (per_metric.groupBy("_source_file", "file_no", "_ingested_at",
-                                   "file_modification_time")
-                .agg(F.array_sort(F.collect_list(F.struct("metric_name", "mj"))).alias("ms")))
+    per_file = (fr.groupBy("_source_file", "file_no", "_ingested_at", "file_modification_time")
+                .agg(F.array_sort(F.collect_list(
+                    F.struct("metric_name", "event_id", "units", "reading"))).alias("rs")))
+    metrics = F.array_distinct(F.transform("rs", lambda x: F.struct(x["metric_name"], x["units"])))
+
+    def metric_json(m: Column) -> Column:
+        readings = F.filter("rs", lambda x: x["metric_name"] == m["metric_name"])
+        return F.concat(
+            F.lit('{"name":"'), m["metric_name"], F.lit('","units":"'), m["units"],
+            F.lit('","data":['), F.array_join(F.transform(readings, lambda x: x["reading"]), ","),
+            F.lit("]}"))
+
     workouts = F.array_join(
         F.transform(F.sequence(F.lit(1), F.lit(3)),
                     lambda i: F.when(i <= F.col("file_no") % 3,
@@ -157,7 +161,7 @@ def export_documents(events: DataFrame) -> DataFrame:
                                               (i * 10).cast("string"), F.lit("}")))),
         ",")
     inner = F.concat(F.lit('{"metrics":['),
-                     F.array_join(F.transform("ms", lambda x: x["mj"]), ","),
+                     F.array_join(F.transform(metrics, metric_json), ","),
                      F.lit('],"workouts":['), workouts, F.lit("]}"))
     return per_file.select(
         "_source_file", "file_no", "_ingested_at", "file_modification_time",
