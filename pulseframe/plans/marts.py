@@ -163,14 +163,15 @@ def metric_freshness(stg: DataFrame, as_of: dt.date | str | None = None) -> Data
         F.datediff(today, "last_date").cast("long").alias("days_since_last_data"))
 
 
-# Final sort of each mart, applied when it is read (not paid for when stored).
-MART_ORDER: dict[str, list[Column]] = {
-    "fct_daily_activity_summary": [F.col("metric_date").asc()],
-    "fct_weekly_trends": [F.col("week_start").asc()],
-    "fct_weekly_weight_trends": [F.col("week_end_date").asc()],
-    "fct_metric_freshness": [F.col("days_since_last_data").desc(), F.col("metric_name").asc()],
+# Final sort of each mart, applied when it is read (not paid for when stored):
+# mart -> [(column, descending)].
+MART_ORDER: dict[str, list[tuple[str, bool]]] = {
+    "fct_daily_activity_summary": [("metric_date", False)],
+    "fct_weekly_trends": [("week_start", False)],
+    "fct_weekly_weight_trends": [("week_end_date", False)],
+    "fct_metric_freshness": [("days_since_last_data", True), ("metric_name", False)],
 }
 
 
 def ordered(name: str, mart: DataFrame) -> DataFrame:
-    return mart.orderBy(*MART_ORDER[name])
+    return mart.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in MART_ORDER[name]])
