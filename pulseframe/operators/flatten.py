@@ -76,3 +76,17 @@ def flatten_reading_text(readings: DataFrame, extra: list[str] | tuple = ()) ->
         "ingested_at",
         *extra,
     )
+
+
+def reading_shapes(rows: DataFrame) -> DataFrame:
+    """Schema drift report: readings per (metric, sorted key set)."""
+    keys = F.array_join(F.array_sort(F.json_object_keys("value_raw")), ",")
+    return (rows.groupBy("metric_name", keys.alias("shape"))
+            .agg(F.count(F.lit(1)).alias("n_readings")))
+
+
+def reading_schema_profile(rows: DataFrame) -> DataFrame:
+    """Merged VARIANT schema of all readings per metric (``schema_of_variant_agg``)."""
+    return (rows.groupBy("metric_name")
+            .agg(F.schema_of_variant_agg(F.try_parse_json("value_raw")).alias("reading_schema"),
+                 F.count(F.lit(1)).alias("n_readings")))

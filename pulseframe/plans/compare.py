@@ -10,7 +10,7 @@ COMPARE_DIGITS = 6
 
 
 def rounded(df: DataFrame, digits: int = COMPARE_DIGITS) -> DataFrame:
-    """Round every floating column, so sums taken in a different order by
+    """Round every floating column (to 6 places), so sums taken in a different order by
     another engine hash alike (the value itself is not changed otherwise)."""
     return df.select(*[
         F.round(F.col(f.name), digits).alias(f.name)

@@ -421,3 +421,51 @@ def q_stream_scd2(spark, sf_dir):
     h = ST.history_from_log(spark, log, ["metric_name", "date"], "file_modification_time", ["value_qty"])
     return rounded(h.select("metric_name", "date", "value_qty", "source_file",
                             "__START_AT", "__END_AT"))
+
+
+# --- long calendar (orders, 1995-2001): ISO-year boundaries, 345 weeks --------------
+def _order_staged(spark, sf_dir):
+    from ..session import apply_defaults
+    apply_defaults(spark)
+    return dtab.order_staged(dtab.table(spark, sf_dir, "orders"))
+
+
+@register("daily_summary_long")
+def q_daily_summary_long(spark, sf_dir):
+    return rounded(marts.daily_summary(_order_staged(spark, sf_dir)))
+
+
+@register("weekly_trends_long")
+def q_weekly_trends_long(spark, sf_dir):
+    return rounded(marts.weekly_trends(marts.daily_summary(_order_staged(spark, sf_dir))))
+
+
+@register("weekly_weight_long")
+def q_weekly_weight_long(spark, sf_dir):
+    return marts.weekly_weight(_order_staged(spark, sf_dir))
+
+
+# --- schema drift (A14) ----------------------------------------------------------
+@register("reading_shape_profile")
+def q_reading_shape_profile(spark, sf_dir):
+    from ..operators.flatten import reading_shapes
+    return reading_shapes(silver.exploded(spark, sf_dir))
+
+
+# --- Silver written once, partitioned by metric; marts read it back ---------------
+def _written_silver(spark, sf_dir):
+    path = shared_dir(spark, "silver")
+    silver.write_silver(silver.silver_base(spark, sf_dir), path)
+    return silver.read_silver(spark, path)
+
+
+@register("silver_table_daily_summary")
+def q_silver_table_daily_summary(spark, sf_dir):
+    from ..operators.latest import stage_readings
+    return rounded(marts.daily_summary(stage_readings(_written_silver(spark, sf_dir))))
+
+
+@register("silver_table_weekly_weight")
+def q_silver_table_weekly_weight(spark, sf_dir):
+    from ..operators.latest import stage_readings
+    return marts.weekly_weight(stage_readings(_written_silver(spark, sf_dir)))

@@ -44,3 +44,15 @@ def silver_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_readings(silver_base(spark, sf_dir))
+
+
+def write_silver(base: DataFrame, path: str) -> None:
+    """Persist Silver once, partitioned by metric: marts that filter on a
+    metric prune partitions at the scan, and the JSON explode is never
+    repeated per mart.  Also cuts the lineage back to Bronze."""
+    (base.repartition("metric_name").write.mode("overwrite")
+     .partitionBy("metric_name").parquet(path))
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

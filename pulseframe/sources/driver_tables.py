@@ -223,22 +223,40 @@ def raw_bodies(events: DataFrame) -> DataFrame:
             .select("_source_file", "file_no", "_ingested_at", out.alias("body")))
 
 
-def order_readings(orders: DataFrame) -> DataFrame:
-    """A long calendar of weight readings out of ``orders`` (1995-2001).
+# --- fixed values of the long-calendar mapping ----------------------------------
+ORDER_STATUS_METRICS = {"F": "step_count", "O": "active_energy", "P": "resting_heart_rate"}
+# --- end of fixed values ----------------------------------------------------------
 
-    One weight reading per order at local noon of ``o_orderdate``; the value
-    is ``o_totalprice / 1000`` kg.  Body fat readings for status 'F' orders
-    are ``o_totalprice / 10000`` %.  Used by the ISO-week weight logic,
-    which needs year boundaries.
+
+def order_staged(orders: DataFrame) -> DataFrame:
+    """Staging-shaped readings over the ``orders`` calendar (1995-2001).
+
+    Each order is one reading of the metric of its status, at local hour
+    ``o_orderkey % 24`` of ``o_orderdate`` (hour 0 is the day's rollup), with
+    whole-number values as a device reports them: steps
+    ``floor(o_totalprice / 10)``, kcal ``floor(o_totalprice / 100)``, resting
+    bpm ``40 + o_orderkey % 50``; every order also yields a weight reading
+    ``o_totalprice / 1000`` kg at that hour and, for status 'F', a body fat
+    reading ``o_totalprice / 10000`` %.  345 ISO weeks with year boundaries.
     """
-    day = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")
-    text = F.concat(day, F.lit(" 12:00:00"), F.lit(LOCAL_OFFSET_TEXT))
-    w = orders.select(
-        F.lit("weight_body_mass").alias("metric_name"), F.lit("kg").alias("units"),
-        text.alias("date_text"), (F.col("o_totalprice") / 1000).alias("value"),
-        F.col("o_orderkey"))
-    bf = (orders.filter(F.col("o_orderstatus") == "F").select(
-        F.lit("body_fat_percentage").alias("metric_name"), F.lit("%").alias("units"),
-        text.alias("date_text"), (F.col("o_totalprice") / 10000).alias("value"),
-        F.col("o_orderkey")))
-    return w.unionByName(bf)
+    hour = (F.col("o_orderkey") % 24).cast("int")
+    base = orders.select(
+        F.to_date("o_orderdate").alias("metric_date"), hour.alias("hour"),
+        F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice"))
+    m = _map_col(ORDER_STATUS_METRICS, F.col("o_orderstatus"))
+    st = F.col("o_orderstatus")
+    v = (F.when(st == "F", F.floor(F.col("o_totalprice") / 10))
+         .when(st == "O", F.floor(F.col("o_totalprice") / 100))
+         .otherwise(40 + F.col("o_orderkey") % 50)).cast("double")
+    items = F.array(
+        F.struct(m.alias("metric_name"), v.alias("value")),
+        F.struct(F.lit("weight_body_mass").alias("metric_name"),
+                 (F.col("o_totalprice") / 1000).alias("value")),
+        F.struct(F.when(F.col("o_orderstatus") == "F", F.lit("body_fat_percentage")).alias("metric_name"),
+                 (F.col("o_totalprice") / 10000).alias("value")))
+    rows = base.select("metric_date", "hour", F.explode(items).alias("r"))
+    return (rows.filter(F.col("r.metric_name").isNotNull())
+            .select(F.col("r.metric_name").alias("metric_name"), "metric_date",
+                    F.col("r.value").alias("value"),
+                    (F.col("hour") == 0).alias("is_daily_rollup"),
+                    F.timestamp_seconds(F.lit(INGEST_BASE_EPOCH)).alias("ingested_at")))
