@@ -362,7 +362,7 @@ def q_scalar_functions(spark, sf_dir):
 from ..session import shared_dir  # noqa: E402
 from ..streaming import streams as ST  # noqa: E402
 
-STREAM_FILES_PER_TRIGGER = 8
+STREAM_FILES_PER_TRIGGER = 64
 
 
 def _bronze_parquet(spark, sf_dir):
@@ -469,3 +469,11 @@ def q_silver_table_daily_summary(spark, sf_dir):
 def q_silver_table_weekly_weight(spark, sf_dir):
     from ..operators.latest import stage_readings
     return marts.weekly_weight(stage_readings(_written_silver(spark, sf_dir)))
+
+
+@register("check_file_produces_rows")
+def q_check_file_produces_rows(spark, sf_dir):
+    # Trap T3, our decision: completeness against the flatten *before* dedup,
+    # so only files that yield nothing at all are reported (superseded files
+    # are reported by ``check_file_completeness``).
+    return Q.files_without_rows(silver.bronze(spark, sf_dir), silver.exploded(spark, sf_dir))
