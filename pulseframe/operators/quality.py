@@ -107,3 +107,64 @@ def run_suite(checks: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
               .when(F.col("severity") == "warn", F.lit("warn"))
               .otherwise(F.lit("fail")))
     return out.select("check_name", "severity", "failures", status.alias("status"))
+
+
+def count_checks(df: DataFrame, specs: Sequence[Mapping]) -> DataFrame:
+    """Failure counts of many row-level checks of one table in one pass.
+
+    ``specs``: dicts with ``name``, ``severity``, ``kind`` (``not_null``,
+    ``within_range``, ``accepted_values``, ``unique``), ``column`` and, per
+    kind, ``min``/``max`` or ``values``.  Row-level kinds become one
+    ``count_if`` (``accepted_values``: distinct bad values, one per violating
+    row of :func:`accepted_values`) inside a single aggregate; each ``unique``
+    needs its own grouped pass.  Output: ``check_name, severity, failures``.
+    """
+    exprs, parts = [], []
+    for i, s in enumerate(specs):
+        c = F.col(s["column"])
+        kind = s["kind"]
+        if kind == "not_null":
+            exprs.append((s, F.count_if(c.isNull())))
+        elif kind == "within_range":
+            lo, hi = s.get("min"), s.get("max")
+            if lo is None and hi is None:
+                raise ValueError("within_range needs min_value, max_value or both")
+            bad = None
+            if lo is not None:
+                bad = c < F.lit(lo)
+            if hi is not None:
+                bad = (c > F.lit(hi)) if bad is None else bad | (c > F.lit(hi))
+            exprs.append((s, F.count_if(c.isNotNull() & bad)))
+        elif kind == "accepted_values":
+            bad = c.isNotNull() & ~c.isin(list(s["values"]))
+            exprs.append((s, F.count_distinct(F.when(bad, c))))
+        elif kind == "unique":
+            parts.append(unique(df, s["column"]).agg(F.count(F.lit(1)).alias("failures"))
+                         .select(F.lit(s["name"]).alias("check_name"),
+                                 F.lit(s.get("severity", "error")).alias("severity"), "failures"))
+        else:
+            raise ValueError(f"unknown check kind {kind!r}")
+    if exprs:
+        agg = df.agg(*[e.cast("long").alias(f"_c{i}") for i, (_, e) in enumerate(exprs)])
+        rows = F.explode(F.array(*[
+            F.struct(F.lit(s["name"]).alias("check_name"),
+                     F.lit(s.get("severity", "error")).alias("severity"),
+                     F.col(f"_c{i}").alias("failures"))
+            for i, (s, _) in enumerate(exprs)]))
+        parts.insert(0, agg.select(rows.alias("r")).select("r.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def suite_result(counts: Sequence[DataFrame], order: Sequence[str] | None = None) -> DataFrame:
+    """Union per-table counts into ``check_name, severity, failures, status``."""
+    out = counts[0]
+    for p in counts[1:]:
+        out = out.unionByName(p)
+    status = (F.when(F.col("failures") == 0, F.lit("pass"))
+              .when(F.col("severity") == "warn", F.lit("warn"))
+              .otherwise(F.lit("fail")))
+    return out.select("check_name", "severity", F.col("failures").cast("long").alias("failures"),
+                      status.alias("status"))
