@@ -72,18 +72,19 @@ def classify_payloads(df: DataFrame, body: str = "body") -> DataFrame:
     per body; all tests are VARIANT lookups inside whole-stage codegen.
     """
     b = F.col(body)
+    # Each step is its own projection so the parse (and the array
+    # extraction) runs once per body, not once per derived field.
     wrapped = F.try_parse_json(F.concat(F.lit("["), b, F.lit("]")))
-    arr = F.try_variant_get(wrapped, "$", "array<variant>")
-    doc = F.get(arr, 0)
-    data = F.try_variant_get(doc, "$.data", "variant")
-    metrics = F.try_variant_get(doc, "$.data.metrics", "array<variant>")
-    workouts = F.try_variant_get(doc, "$.data.workouts", "variant")
+    s1 = df.select("*", F.try_variant_get(wrapped, "$", "array<variant>").alias("_arr"))
+    s2 = s1.select("*", F.get(F.col("_arr"), 0).alias("_doc"))
+    doc = F.col("_doc")
+    s3 = s2.select("*", F.try_variant_get(doc, "$.data", "variant").alias("_data"),
+                   F.try_variant_get(doc, "$.data.metrics", "array<variant>").alias("_metrics"),
+                   F.try_variant_get(doc, "$.data.workouts", "variant").alias("_workouts"))
     first_bad = F.get(F.filter(
-        F.transform(metrics, lambda e, i: F.struct(_metric_rule(e).alias("r"), i.alias("i"))),
+        F.transform("_metrics", lambda e, i: F.struct(_metric_rule(e).alias("r"), i.alias("i"))),
         lambda x: x["r"] > 0), 0)
-    staged = df.select("*", doc.alias("_doc"), arr.alias("_arr"), data.alias("_data"),
-                       metrics.alias("_metrics"), workouts.alias("_workouts"),
-                       first_bad.alias("_bad"))
+    staged = s3.select("*", first_bad.alias("_bad"))
     rule = (F.when(b.isNull() | (F.length(b) == 0), F.lit(1))
             .when(F.col("_arr").isNull() | (F.size("_arr") != 1), F.lit(2))
             .when(~_is(F.col("_doc"), "OBJECT"), F.lit(3))
@@ -106,13 +107,33 @@ def classify_payloads(df: DataFrame, body: str = "body") -> DataFrame:
 def summarize_payloads(df: DataFrame, body: str = "body") -> DataFrame:
     """Per body: ``metric_count``, ``workout_count`` and the sorted distinct
     truthy metric names (falsy names are dropped, their metrics counted)."""
-    doc = F.try_parse_json(F.col(body))
+    parsed = df.select("*", F.try_parse_json(F.col(body)).alias("_doc"))
+    doc = F.col("_doc")
     metrics = F.try_variant_get(doc, "$.data.metrics", "array<variant>")
     workouts = F.try_variant_get(doc, "$.data.workouts", "array<variant>")
     names = F.transform(F.filter(metrics, lambda e: _truthy(F.try_variant_get(e, "$.name", "variant"))),
                         lambda e: F.try_variant_get(e, "$.name", "string"))
-    return df.select(
+    return parsed.select(
         *df.columns,
         F.coalesce(F.size(metrics), F.lit(0)).alias("metric_count"),
         F.coalesce(F.size(workouts), F.lit(0)).alias("workout_count"),
         F.array_sort(F.array_distinct(names)).alias("metric_names"))
+
+
+def quarantine(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Split raw request bodies into (landable, quarantined).
+
+    Landable rows carry the inner ``data`` object as Bronze ``data`` (the
+    landed shape) with ``_rescued_data`` NULL; quarantined rows keep the raw
+    text in ``_rescued_data`` with the failing rule and reason, so one bad
+    file never stops the rest of the batch from landing.
+    """
+    c = classify_payloads(df, body)
+    inner = F.from_json(F.col(body), "struct<data: string>")["data"]
+    rest = [x for x in df.columns if x != body]
+    ok = c.filter("is_valid").select(
+        inner.alias("data"), F.lit(None).cast("string").alias("_rescued_data"), *rest)
+    bad = c.filter(~F.col("is_valid")).select(
+        F.lit(None).cast("string").alias("data"), F.col(body).alias("_rescued_data"),
+        *rest, "rule", "reason", "metric_index")
+    return ok, bad

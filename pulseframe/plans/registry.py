@@ -492,3 +492,34 @@ def q_check_file_produces_rows(spark, sf_dir):
     # so only files that yield nothing at all are reported (superseded files
     # are reported by ``check_file_completeness``).
     return Q.files_without_rows(silver.bronze(spark, sf_dir), silver.exploded(spark, sf_dir))
+
+
+@register("stream_expectation_log")
+def q_stream_expectation_log(spark, sf_dir):
+    """J5: expectations on a stream, counts logged per micro-batch, read back
+    as cumulative totals (the number of batches depends on file layout and
+    is not part of the result)."""
+    bronze_path = _bronze_parquet(spark, sf_dir)
+    out, log = shared_dir(spark, "silver-logged"), shared_dir(spark, "dq-log")
+    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"), max_files=4)
+    tot = X.expectation_totals(spark.read.parquet(log))
+    return tot.select("expectation", "cumulative_passed", "cumulative_dropped")
+
+
+@register("bronze_from_requests")
+def q_bronze_from_requests(spark, sf_dir):
+    """A13/T24: valid request bodies land (inner object), bad ones are
+    quarantined with the raw text in ``_rescued_data``; landed files flatten."""
+    bodies = dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
+    ok, bad = P.quarantine(bodies)
+    landed = explode_readings_for(ok).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_readings"))
+    good = landed.select(F.col("source_file").alias("_source_file"), F.lit(False).alias("quarantined"),
+                         F.lit(None).cast("string").alias("reason"), "n_readings")
+    q = bad.select("_source_file", F.lit(True).alias("quarantined"), "reason",
+                   F.lit(None).cast("long").alias("n_readings"))
+    return good.unionByName(q)
+
+
+def explode_readings_for(bronze):
+    from ..operators.flatten import explode_readings
+    return explode_readings(bronze)

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from ..config import SILVER_EXPECTATIONS
+from ..operators.expectations import expectation_events
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_by
 from ..operators.scd import _tie_break, scd2
@@ -90,6 +91,42 @@ def flatten_stream(spark: SparkSession, bronze_path: str, silver_path: str, chec
     return _run(q)
 
 
+def flatten_stream_logged(spark: SparkSession, bronze_path: str, silver_path: str, log_path: str,
+                          checkpoint: str, expectations: dict[str, str] = SILVER_EXPECTATIONS,
+                          dataset: str = "silver_healthkit_metrics_staging",
+                          max_files: int | None = None) -> StreamingQuery:
+    """Flatten + expect-or-drop with the per-batch expectation counts
+    appended to an event log (one event per micro-batch).
+
+    Each batch writes under ``.../batch_id=<id>`` with overwrite, so a batch
+    replayed after a failure replaces its own output (exactly once).
+    """
+    rows = explode_readings(read_bronze_stream(spark, bronze_path, max_files))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            silver_stream_filter = silver_keep(batch, expectations)
+            silver_stream_filter.write.mode("overwrite").parquet(f"{silver_path}/batch_id={batch_id}")
+            ev = expectation_events(batch.withColumn("_batch", F.lit(batch_id)), expectations,
+                                    "_batch", dataset)
+            ev.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    q = (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(write).trigger(availableNow=True).start())
+    return _run(q)
+
+
+def silver_keep(rows: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATIONS) -> DataFrame:
+    cond = None
+    for pred in expectations.values():
+        c = F.coalesce(F.expr(pred), F.lit(False))
+        cond = c if cond is None else cond & c
+    return rows.filter(cond)
+
+
 def _append_batch(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
