@@ -35,12 +35,19 @@ def _num(v: Column, *paths: str) -> Column:
 def explode_readings(bronze: DataFrame, data_col: str = "data",
                      file_col: str = "_source_file",
                      ingested_col: str = "_ingested_at",
-                     keep: tuple[str, ...] = ("file_modification_time",)) -> DataFrame:
+                     keep: tuple[str, ...] = ("file_modification_time",),
+                     spread: int | None = None) -> DataFrame:
     """Explode Bronze documents into Silver-base rows (before dedup).
 
     Output: ``metric_name, units, date, value_qty, value_avg, value_min,
     value_max, value_raw, source_file, ingested_at`` plus any ``keep``
     column present in the input.
+
+    One export file is one Bronze row, so all its readings start in one
+    task.  With ``spread`` (a partition count) the reading texts are
+    redistributed round-robin before they are parsed, so a few very large
+    exports do not leave the parse to a few tasks (costs one shuffle of the
+    reading text; leave unset for many small files).
     """
     extra = [c for c in keep if c in bronze.columns]
     # Parse once into a column; referencing the parse twice inside one
@@ -55,6 +62,8 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
         "source_file", "ingested_at", *extra,
         F.col("m.name").alias("metric_name"), F.col("m.units").alias("units"),
         F.explode(F.col("m.data")).alias("value_raw"))
+    if spread:
+        readings = readings.repartition(int(spread))
     return flatten_reading_text(readings, extra)
 
 

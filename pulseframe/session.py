@@ -18,6 +18,24 @@ SESSION_DEFAULTS = {
 }
 
 
+# Suggested settings for a large cluster (~1000 executors, ~100 TB input):
+# AQE sizes shuffle partitions from a high initial count down to ~256 MB
+# each and splits skewed join partitions; scans read 256 MB splits; the
+# broadcast threshold stays a checked, runtime size.
+CLUSTER_SETTINGS = {
+    **SESSION_DEFAULTS,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "pulseframe", extra: dict | None = None) -> SparkSession:
     """A local session for tests and benches (UI off, no servers)."""
@@ -51,6 +69,9 @@ def checkpoint_base(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a driver-local temp folder is not visible to executors)")
         base = tempfile.mkdtemp(prefix="pulseframe-ckpt-")
         sc.setCheckpointDir(base)
     elif not sc.getCheckpointDir():

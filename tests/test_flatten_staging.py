@@ -96,3 +96,11 @@ def test_staging_local_date_and_rollup(spark):
     assert [r["is_daily_rollup"] for r in stg] == [True, False]
     assert stg[0]["units"] == "count"
     assert stg[0]["metric_timestamp"] == dt.datetime(2026, 7, 19, 22)
+
+
+def test_spread_gives_same_rows(spark):
+    d = doc(("step_count", "Count", [{"date": f"2026-07-20 {h:02d}:00:00 +0200", "qty": h} for h in range(24)]))
+    b = bronze(spark, [("big.json", "2026-07-21 05:00:00", d)])
+    plain = sorted(map(tuple, explode_readings(b).collect()), key=repr)
+    spread = explode_readings(b, spread=4)
+    assert sorted(map(tuple, spread.collect()), key=repr) == plain
