@@ -11,8 +11,10 @@ do not).  The open version's other columns follow its newest event.
 the start of the next version (NULL while current).
 
 Scale: SCD2 first folds events to one row per (key, sequence) with a
-partial aggregate; the change-detection window then sorts, per key, only
-the distinct sequence values that touched it (files, not readings).
+partial aggregate.  Keys within a checked size use a per-key window; beyond
+it, changes are detected inside range-partitioned chunks of (key,
+sequence), so even a key holding a third of all events is split across
+tasks (see :func:`scd2`).
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_base
 from .latest import latest_by
 
 START, END = "__START_AT", "__END_AT"
@@ -38,11 +41,36 @@ def scd1(df: DataFrame, keys: Sequence[str], sequence: Sequence[Column]) -> Data
     return latest_by(df, keys, list(sequence) + _tie_break(df))
 
 
-def scd2(df: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str]) -> DataFrame:
-    """Version history of ``track`` per key, ordered by column ``sequence``."""
+# Largest per-key event count the plain per-key window may take in one task.
+MAX_KEY_ROWS = 1_000_000
+
+
+def scd2(df: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str],
+         chunks: int | None = None, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+    """Version history of ``track`` per key, ordered by column ``sequence``.
+
+    Events are first folded to one per (key, sequence) (partial aggregate)
+    and written once (reliable checkpoint in the shared checkpoint folder).
+    The size of the largest key is then checked: when every key has at most
+    ``max_key_rows`` events, a per-key window detects changes (each task
+    holds at most that bound); otherwise the chunked plan runs, which
+    splits hot keys across tasks.  Both give the same versions.
+    """
     keys = list(keys)
-    # One event per (key, sequence value); ties go to the larger value.
-    ev = latest_by(df, keys + [sequence], _tie_break(df))
+    track = list(track)
+    spark = df.sparkSession
+    checkpoint_base(spark)
+    ev = latest_by(df, keys + [sequence], _tie_break(df)).checkpoint()
+    if chunks is None:
+        biggest = (ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                   .agg(F.max("n").alias("m")).first()["m"]) or 0
+        if biggest <= max_key_rows:
+            return _scd2_window(ev, keys, sequence, track)
+    return _scd2_chunked(ev, keys, sequence, track, chunks)
+
+
+def _scd2_window(ev: DataFrame, keys: list[str], sequence: str, track: list[str]) -> DataFrame:
+    """SCD2 with one window per key (used when every key is within bound)."""
     w = Window.partitionBy(*keys).orderBy(sequence)
     changed = None
     for c in track:
@@ -61,3 +89,101 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str]
         *keys, *[F.col("_last")[c].alias(c) for c in rest],
         F.col("_last")[sequence].alias(sequence),
         F.col(START), F.lead(START).over(wv).alias(END))
+
+
+def _scd2_chunked(ev: DataFrame, keys: list[str], sequence: str, track: list[str],
+                  chunks: int | None = None) -> DataFrame:
+    """SCD2 over folded events where no key is ever gathered whole in one task.  Events (folded to one per
+    (key, sequence)) are range-partitioned on (key, sequence) into
+    ``chunks`` parts, so a hot key spans several consecutive chunks.  Change
+    detection, version starts and next-version bounds are windows inside a
+    (key, chunk) group; only keys cut by a chunk boundary -- at most the
+    first and last key of each chunk -- need the neighbouring chunks, and
+    their first/last rows (at most 4 per chunk, broadcast with that bound)
+    are stitched with a window over (key, chunk) on that tiny table.
+    Versions are then a partial+final aggregate per (key, version start).
+    """
+    spark = ev.sparkSession
+    n = int(chunks or spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = [c for c in ev.columns if c not in keys + [sequence]]
+    seq = F.col(sequence)
+    ev = (ev.repartitionByRange(n, *[F.col(k) for k in keys], seq)
+          .withColumn("_chunk", F.spark_partition_id()))
+    part = keys + ["_chunk"]
+    wc = Window.partitionBy(*part).orderBy(sequence)
+    ev = ev.select(
+        "*",
+        F.row_number().over(wc).alias("_rn"),
+        F.row_number().over(Window.partitionBy(*part).orderBy(seq.desc())).alias("_rnd"),
+        *[F.lag(c).over(wc).alias(f"_p_{c}") for c in track])
+    # The chunked events feed the boundary tables and the main path: write
+    # them once (reliable checkpoint in the shared checkpoint folder) so the
+    # upstream is not recomputed per consumer and chunk ids stay fixed.
+    ev = ev.checkpoint()
+
+    # Keys cut by a chunk boundary: the smallest and largest key of a chunk.
+    kst = F.struct(*keys)
+    bounds = ev.groupBy("_chunk").agg(F.min(kst).alias("_kmin"), F.max(kst).alias("_kmax"))
+
+    def boundary_rows(frame: DataFrame) -> DataFrame:
+        b = frame.filter((F.col("_rn") == 1) | (F.col("_rnd") == 1)).join(
+            F.broadcast(bounds), "_chunk")
+        return b.filter((kst == F.col("_kmin")) | (kst == F.col("_kmax")))
+
+    # 1) Is the first row of a (key, chunk) a change versus the key's last
+    #    row in the previous chunk?
+    b1 = boundary_rows(ev)
+    per_chunk = b1.groupBy(*part).agg(
+        *[F.max(F.when(F.col("_rnd") == 1, F.struct(F.lit(1).alias("x"), F.col(c).alias("v"))))
+          .alias(f"_last_{c}") for c in track],
+        *[F.max(F.when(F.col("_rn") == 1, F.struct(F.lit(1).alias("x"), F.col(c).alias("v"))))
+          .alias(f"_first_{c}") for c in track])
+    wk = Window.partitionBy(*keys).orderBy("_chunk")
+    first_change = None
+    for c in track:
+        prev_last = F.lag(F.col(f"_last_{c}")["v"]).over(wk)
+        diff = ~F.col(f"_first_{c}")["v"].eqNullSafe(prev_last)
+        first_change = diff if first_change is None else first_change | diff
+    has_prev = F.lag("_chunk").over(wk).isNotNull()
+    fix1 = per_chunk.select(*part, F.when(has_prev, first_change).alias("_first_new"))
+    ev = ev.join(F.broadcast(fix1), part, "left")
+    local_change = None
+    for c in track:
+        diff = ~F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+        local_change = diff if local_change is None else local_change | diff
+    is_new = (F.when(F.col("_rn") == 1, F.coalesce(F.col("_first_new"), F.lit(True)))
+              .otherwise(local_change))
+    ev = ev.withColumn("_new", is_new)
+
+    # 2) Version start at or before each row, next version start after it.
+    start_seq = F.when(F.col("_new"), seq)
+    ev = ev.select(
+        "*",
+        F.last(start_seq, ignorenulls=True).over(
+            wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_start_local"),
+        F.first(start_seq, ignorenulls=True).over(
+            wc.rowsBetween(1, Window.unboundedFollowing)).alias("_next_local"))
+    b2 = boundary_rows(ev)
+    per_chunk2 = b2.groupBy(*part).agg(
+        F.max(F.when(F.col("_rnd") == 1, F.col("_start_local"))).alias("_chunk_last_start"),
+        F.max(F.when(F.col("_rn") == 1, F.coalesce(start_seq, F.col("_next_local"))))
+        .alias("_chunk_first_start"))
+    fix2 = per_chunk2.select(
+        *part,
+        F.last("_chunk_last_start", ignorenulls=True).over(
+            wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_start"),
+        F.first("_chunk_first_start", ignorenulls=True).over(
+            wk.rowsBetween(1, Window.unboundedFollowing)).alias("_next_start"))
+    ev = ev.join(F.broadcast(fix2), part, "left")
+    ev = ev.select(
+        *keys, seq, *rest,
+        F.coalesce("_start_local", "_prev_start").alias(START),
+        F.coalesce("_next_local", "_next_start").alias("_next"))
+
+    # 3) One row per version: the newest event's columns, start and end.
+    versions = ev.groupBy(*keys, START).agg(
+        F.max(F.struct(seq, *[F.col(c) for c in rest])).alias("_last"),
+        F.max("_next").alias(END))
+    return versions.select(
+        *keys, *[F.col("_last")[c].alias(c) for c in rest],
+        F.col("_last")[sequence].alias(sequence), F.col(START), F.col(END))

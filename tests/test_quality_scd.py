@@ -80,8 +80,30 @@ def test_scd2_versions(spark):
             ("s", 1, None, None, "e", 6),    # change to null
             ("s", 1, None, None, "f", 7),    # repeated null: no new version
             ("s", 1, 11.0, None, "late", 5)]  # late file between two versions
-    h = scd2(spark.createDataFrame(rows, EV), ["metric_name", "date"], "file_modification_time", ["value_qty"])
-    got = [(r["value_qty"], r["__START_AT"], r["__END_AT"], r["source_file"])
-           for r in h.orderBy("__START_AT").collect()]
-    assert got == [(10.0, 1, 3, "b"), (12.0, 3, 4, "c"), (10.0, 4, 5, "d"),
-                   (11.0, 5, 6, "late"), (None, 6, None, "f")]
+    df = spark.createDataFrame(rows, EV)
+    for kw in ({}, {"max_key_rows": 0}):   # window plan, chunked plan
+        h = scd2(df, ["metric_name", "date"], "file_modification_time", ["value_qty"], **kw)
+        got = [(r["value_qty"], r["__START_AT"], r["__END_AT"], r["source_file"])
+               for r in h.orderBy("__START_AT").collect()]
+        assert got == [(10.0, 1, 3, "b"), (12.0, 3, 4, "c"), (10.0, 4, 5, "d"),
+                   (11.0, 5, 6, "late"), (None, 6, None, "f")], kw
+
+
+def test_scd2_hot_key_split_across_chunks(spark):
+    # one key holds every event: the result must not depend on the chunking
+    vals = [1.0, 1.0, 2.0, 2.0, 2.0, None, None, 3.0, 1.0, 1.0] * 4
+    rows = [("s", 1, v, None, f"f{i}", i) for i, v in enumerate(vals)]
+    rows += [("t", 2, 5.0, None, "g", 3)]
+    df = spark.createDataFrame(rows, EV)
+
+    def hist(chunks):
+        h = scd2(df, ["metric_name", "date"], "file_modification_time", ["value_qty"], chunks=chunks)
+        return sorted(map(tuple, h.collect()), key=repr)
+
+    one = hist(None)   # every key within bound: per-key window
+    assert hist(1) == one
+    # versions of "s": 1, 2, None, 3, 1 in the first block, then 2, None, 3, 1
+    # in each later block (it starts with 1 after a 1); plus one for "t"
+    assert len(one) == 5 + 3 * 4 + 1
+    for n in (3, 7, 16):
+        assert hist(n) == one
