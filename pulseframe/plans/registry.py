@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import reading_date_text, stage_readings
+from ..session import apply_defaults
 from . import marts, silver
 from .compare import rounded
 from .oracle import AS_OF
@@ -23,8 +24,16 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Register ``fn`` under ``name``; the registered callable first pins the
+    session settings results depend on (UTC, ANSI), whatever session the
+    caller passes."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
