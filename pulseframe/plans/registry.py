@@ -294,7 +294,7 @@ def expectation_log(spark, sf_dir):
     rows = silver.exploded(spark, sf_dir)
     return X.expectation_events(rows, SILVER_EXPECTATIONS,
                                 batch=F.date_format("ingested_at", "yyyy-MM-dd"),
-                                dataset="silver_healthkit_metrics_staging")
+                                dataset="silver_readings_staging")
 
 
 @register("expectation_log")

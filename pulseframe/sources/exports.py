@@ -114,10 +114,10 @@ def only_new(listing: DataFrame, landed: DataFrame,
 
 
 def landing_path(ts: Column | str, name: Column | str) -> Column:
-    """``raw/healthkit/yyyy/MM/dd/yyyyMMdd_HHmmss_<name>`` for a load time."""
+    """``raw/exports/yyyy/MM/dd/yyyyMMdd_HHmmss_<name>`` for a load time."""
     t = F.col(ts) if isinstance(ts, str) else ts
     n = F.col(name) if isinstance(name, str) else name
-    return F.concat(F.date_format(t, "'raw/healthkit/'yyyy/MM/dd/yyyyMMdd_HHmmss'_'"), n)
+    return F.concat(F.date_format(t, "'raw/exports/'yyyy/MM/dd/yyyyMMdd_HHmmss'_'"), n)
 
 
 def land(df: DataFrame, path: str, mode: str = "append") -> None:

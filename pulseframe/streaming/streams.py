@@ -93,7 +93,7 @@ def flatten_stream(spark: SparkSession, bronze_path: str, silver_path: str, chec
 
 def flatten_stream_logged(spark: SparkSession, bronze_path: str, silver_path: str, log_path: str,
                           checkpoint: str, expectations: dict[str, str] = SILVER_EXPECTATIONS,
-                          dataset: str = "silver_healthkit_metrics_staging",
+                          dataset: str = "silver_readings_staging",
                           max_files: int | None = None) -> StreamingQuery:
     """Flatten + expect-or-drop with the per-batch expectation counts
     appended to an event log (one event per micro-batch).

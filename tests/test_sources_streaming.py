@@ -57,7 +57,7 @@ def test_drop_exact_resends(spark):
 
 def test_landing_path(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 7, 20, 8, 5, 9), "abc.json")], "t timestamp, n string")
-    assert df.select(S.landing_path("t", "n")).first()[0] == "raw/healthkit/2026/07/20/20260720_080509_abc.json"
+    assert df.select(S.landing_path("t", "n")).first()[0] == "raw/exports/2026/07/20/20260720_080509_abc.json"
 
 
 def test_stream_ingest_reads_each_file_once(spark, tmpdir_path):
