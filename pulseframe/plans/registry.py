@@ -130,14 +130,8 @@ def q_check_accepted_values(spark, sf_dir):
 
 @register("check_within_range")
 def q_check_within_range(spark, sf_dir):
-    d = daily(spark, sf_dir)
-    parts = [Q.within_range(d, c, lo, hi).select(F.lit(c).alias("column_name"),
-                                                   F.round("value_to_check", 6).alias("value_to_check"))
-             for c, (lo, hi) in DAILY_RANGES.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    violations = Q.within_ranges(daily(spark, sf_dir), DAILY_RANGES)
+    return violations.select("column_name", F.round("value_to_check", 6).alias("value_to_check"))
 
 
 @register("check_rollup_match")

@@ -107,3 +107,9 @@ def test_scd2_hot_key_split_across_chunks(spark):
     assert len(one) == 5 + 3 * 4 + 1
     for n in (3, 7, 16):
         assert hist(n) == one
+
+
+def test_within_ranges_one_pass(spark):
+    df = spark.createDataFrame([(1.0, 500.0), (-1.0, None), (7.0, 10.0)], "a double, b double")
+    got = sorted(map(tuple, Q.within_ranges(df, {"a": (0, 5), "b": (None, 100)}).collect()))
+    assert got == [("a", -1.0), ("a", 7.0), ("b", 500.0)]
