@@ -120,20 +120,27 @@ def summarize_payloads(df: DataFrame, body: str = "body") -> DataFrame:
         F.array_sort(F.array_distinct(names)).alias("metric_names"))
 
 
-def quarantine(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """Split raw request bodies into (landable, quarantined).
+def quarantine(df: DataFrame, body: str = "body") -> DataFrame:
+    """One pass over raw request bodies: every row gets ``quarantined``.
 
     Landable rows carry the inner ``data`` object as Bronze ``data`` (the
     landed shape) with ``_rescued_data`` NULL; quarantined rows keep the raw
     text in ``_rescued_data`` with the failing rule and reason, so one bad
-    file never stops the rest of the batch from landing.
+    file never stops the rest of the batch from landing.  Use
+    :func:`landable` / :func:`quarantined` to take either side.
     """
     c = classify_payloads(df, body)
     inner = F.from_json(F.col(body), "struct<data: string>")["data"]
     rest = [x for x in df.columns if x != body]
-    ok = c.filter("is_valid").select(
-        inner.alias("data"), F.lit(None).cast("string").alias("_rescued_data"), *rest)
-    bad = c.filter(~F.col("is_valid")).select(
-        F.lit(None).cast("string").alias("data"), F.col(body).alias("_rescued_data"),
-        *rest, "rule", "reason", "metric_index")
-    return ok, bad
+    return c.select(
+        F.when(F.col("is_valid"), inner).alias("data"),
+        F.when(~F.col("is_valid"), F.col(body)).alias("_rescued_data"),
+        *rest, (~F.col("is_valid")).alias("quarantined"), "rule", "reason", "metric_index")
+
+
+def landable(q: DataFrame) -> DataFrame:
+    return q.filter(~F.col("quarantined")).drop("quarantined", "rule", "reason", "metric_index")
+
+
+def quarantined(q: DataFrame) -> DataFrame:
+    return q.filter(F.col("quarantined"))

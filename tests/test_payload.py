@@ -95,3 +95,13 @@ def test_summary_without_workouts_and_falsy_names(spark):
     assert r["workout_count"] == 0
     assert r["metric_count"] == 4
     assert r["metric_names"] == ["a", "b"]
+
+
+def test_quarantine_one_pass(spark):
+    from pulseframe.operators.payload import landable, quarantine, quarantined
+    df = spark.createDataFrame([("ok.json", body(VALID)), ("bad.json", "{x")], "f string, body string")
+    q = quarantine(df)
+    ok = landable(q).collect()
+    assert [r["f"] for r in ok] == ["ok.json"] and json.loads(ok[0]["data"]) == VALID["data"]
+    bad = quarantined(q).collect()
+    assert [(r["f"], r["_rescued_data"], r["reason"]) for r in bad] == [("bad.json", "{x", "invalid_json")]
