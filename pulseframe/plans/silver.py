@@ -56,3 +56,44 @@ def write_silver(base: DataFrame, path: str) -> None:
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+# --- incremental Silver --------------------------------------------------------
+SILVER_PARTS = ("metric_name", "reading_day")
+
+
+def _with_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("reading_day", F.to_date("date"))
+
+
+def write_silver_by_day(base: DataFrame, path: str) -> None:
+    """Silver partitioned by (metric, UTC day of the reading)."""
+    (_with_day(base).repartition(*SILVER_PARTS).write.mode("overwrite")
+     .partitionBy(*SILVER_PARTS).parquet(path))
+
+
+def merge_silver(spark: SparkSession, path: str, new_rows: DataFrame) -> DataFrame:
+    """Fold newly landed readings into Silver, rewriting only the touched
+    (metric, day) partitions.
+
+    The touched partitions are the distinct (metric, day) pairs of the new
+    rows; the existing rows of exactly those partitions are read back (a
+    semi-join on the partition columns, pruned at the scan by dynamic
+    partition pruning), unioned with the new rows and folded again with the
+    same latest-wins aggregate.  The result is materialized with a reliable
+    checkpoint before the dynamic-overwrite write, because it is read from
+    the partitions it replaces.  Returns the touched partition list.
+    """
+    new = _with_day(new_rows)
+    touched = new.select(*SILVER_PARTS).distinct()
+    old = spark.read.parquet(path).join(touched, list(SILVER_PARTS), "left_semi")
+    cols = [c for c in old.columns if c not in SILVER_PARTS]
+    both = old.select(*cols, *SILVER_PARTS).unionByName(new.select(*cols, *SILVER_PARTS))
+    merged = latest_readings(both.drop("reading_day")).transform(_with_day)
+    from ..session import checkpoint_base
+    checkpoint_base(spark)
+    merged = merged.checkpoint()
+    (merged.repartition(*SILVER_PARTS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*SILVER_PARTS).parquet(path))
+    return touched

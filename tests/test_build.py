@@ -25,3 +25,21 @@ def test_build_and_check_layers(spark, tmpdir_path):
     assert res["file_completeness"]["failures"] >= 1
     daily = spark.read.parquet(paths[build.MARTS[0]])
     assert daily.count() == silver.staged(spark, SF).select("metric_date").distinct().count()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_incremental_silver_equals_full_rebuild(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from pulseframe.operators.latest import latest_readings
+    rows = silver.expectation_filter(silver.exploded(spark, SF))
+    cut = F.lit("2024-02-01 02:00:00").cast("timestamp")
+    path = os.path.join(tmpdir_path, "silver")
+    silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cut)), path)
+    before = {p for p in os.listdir(path) if p.startswith("metric_name=")}
+    touched = silver.merge_silver(spark, path, rows.filter(F.col("ingested_at") > cut)).count()
+    assert touched > 0 and before
+    got = spark.read.parquet(path).drop("reading_day")
+    full = latest_readings(rows)
+    cols = sorted(full.columns)
+    assert sorted(map(tuple, got.select(cols).collect()), key=repr) == \
+        sorted(map(tuple, full.select(cols).collect()), key=repr)
