@@ -13,11 +13,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import ACCEPTED_METRICS, DAILY_RANGES, SILVER_EXPECTATIONS
+from ..functions.columns import change_display, iso_year_week
+from ..operators import expectations as X
+from ..operators import payload as P
+from ..operators import quality as Q
+from ..operators.flatten import reading_shapes
 from ..operators.latest import latest_readings, reading_date_text, stage_readings
-from ..session import apply_defaults
+from ..operators.scd import scd1, scd2
+from ..session import apply_defaults, checkpoint_base, shared_dir
+from ..sources import driver_tables as dtab
+from ..sources import exports as S
+from ..streaming import streams as ST
 from . import marts, silver
 from .compare import rounded
 from .oracle import AS_OF
+from .tail import tail
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,16 +105,6 @@ def q_metric_freshness(spark, sf_dir):
 
 
 # --- data-quality checks (K1-K10) -------------------------------------------
-from ..config import ACCEPTED_METRICS, DAILY_RANGES  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators import payload as P  # noqa: E402
-from ..operators import expectations as X  # noqa: E402
-from ..operators.scd import scd1, scd2  # noqa: E402
-from ..sources import driver_tables as dtab  # noqa: E402
-from ..sources import exports as S  # noqa: E402
-from ..functions.columns import change_display, iso_year_week  # noqa: E402
-from ..config import SILVER_EXPECTATIONS  # noqa: E402
-from .tail import tail  # noqa: E402
 
 FRESHNESS_AS_OF = "2024-02-03 06:00:00"
 
@@ -159,7 +160,6 @@ def suite_checks(spark, sf_dir):
     Silver base is materialized once (a reliable ``checkpoint`` into the
     shared ``spark.checkpoint.dir``), so the four marts and the checks read
     it instead of each re-running the flatten and dedup."""
-    from ..session import checkpoint_base
     checkpoint_base(spark)
     base = silver.silver_base(spark, sf_dir).checkpoint()
     stg = stage_readings(base)
@@ -219,7 +219,6 @@ def q_bronze_unwrap(spark, sf_dir):
 @register("bronze_load")
 def q_bronze_load(spark, sf_dir):
     """Land Bronze as files (partitioned by ingestion date) and read it back."""
-    from ..session import shared_dir
     path = shared_dir(spark, "landing")
     S.land(silver.bronze(spark, sf_dir), path)
     back = S.unwrap(S.read_landed(spark, path))
@@ -377,8 +376,6 @@ def q_scalar_functions(spark, sf_dir):
 
 
 # --- streaming (A1, A10, J1-J6) ----------------------------------------------------
-from ..session import shared_dir  # noqa: E402
-from ..streaming import streams as ST  # noqa: E402
 
 STREAM_FILES_PER_TRIGGER = 64
 
@@ -443,7 +440,6 @@ def q_stream_scd2(spark, sf_dir):
 
 # --- long calendar (orders, 1995-2001): ISO-year boundaries, 345 weeks --------------
 def _order_staged(spark, sf_dir):
-    from ..session import apply_defaults
     apply_defaults(spark)
     return dtab.order_staged(dtab.table(spark, sf_dir, "orders"))
 
@@ -466,7 +462,6 @@ def q_weekly_weight_long(spark, sf_dir):
 # --- schema drift (A14) ----------------------------------------------------------
 @register("reading_shape_profile")
 def q_reading_shape_profile(spark, sf_dir):
-    from ..operators.flatten import reading_shapes
     return reading_shapes(silver.exploded(spark, sf_dir))
 
 
@@ -479,13 +474,11 @@ def _written_silver(spark, sf_dir):
 
 @register("silver_table_daily_summary")
 def q_silver_table_daily_summary(spark, sf_dir):
-    from ..operators.latest import stage_readings
     return rounded(marts.daily_summary(stage_readings(_written_silver(spark, sf_dir))))
 
 
 @register("silver_table_weekly_weight")
 def q_silver_table_weekly_weight(spark, sf_dir):
-    from ..operators.latest import stage_readings
     return marts.weekly_weight(stage_readings(_written_silver(spark, sf_dir)))
 
 
