@@ -113,3 +113,9 @@ def test_within_ranges_one_pass(spark):
     df = spark.createDataFrame([(1.0, 500.0), (-1.0, None), (7.0, 10.0)], "a double, b double")
     got = sorted(map(tuple, Q.within_ranges(df, {"a": (0, 5), "b": (None, 100)}).collect()))
     assert got == [("a", -1.0), ("a", 7.0), ("b", 500.0)]
+
+
+def test_expectation_log_without_batches(spark):
+    log = spark.createDataFrame([], "batch_id string, timestamp timestamp, expectations string")
+    assert expectation_latest(log).count() == 0
+    assert expectation_totals(log).count() == 0

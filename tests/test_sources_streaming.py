@@ -70,3 +70,31 @@ def test_stream_ingest_reads_each_file_once(spark, tmpdir_path):
     ST.ingest_files(spark, landing, bronze, ckpt, max_files=1, glob="*.json")
     names = sorted(r["_source_file"] for r in spark.read.parquet(bronze).collect())
     assert names == ["a.json", "b.json", "c.json"]
+
+
+def test_stream_exports_same_columns_as_batch(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "in")
+    write_files(landing, ["a.json", "b.json"])
+    stream = S.stream_exports(spark, landing, max_files=1)
+    batch = S.read_exports(spark, landing)
+    assert stream.columns == batch.columns
+    out, ckpt = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ck")
+    q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = spark.read.parquet(out).collect()
+    assert sorted(r["_source_file"] for r in got) == ["a.json", "b.json"]
+    assert all(json.loads(r["data"]) == DOC for r in got)
+
+
+def test_reading_schema_profile(spark):
+    from pulseframe.operators.flatten import explode_readings, reading_schema_profile, reading_shapes
+    doc = {"metrics": [{"name": "m", "units": "u", "data": [
+        {"date": "2026-07-20 08:00:00 +0200", "qty": 1},
+        {"date": "2026-07-20 09:00:00 +0200", "qty": "2"}]}]}
+    b = spark.createDataFrame([(json.dumps(doc), None, dt.datetime(2026, 7, 21), "f.json")],
+                              "data string, _rescued_data string, _ingested_at timestamp, _source_file string")
+    rows = explode_readings(b)
+    prof = reading_schema_profile(rows).first()
+    assert prof["n_readings"] == 2 and "qty" in prof["reading_schema"]
+    assert [tuple(r) for r in reading_shapes(rows).collect()] == [("m", "date,qty", 2)]
