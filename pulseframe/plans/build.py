@@ -88,3 +88,30 @@ def check_layers(spark: SparkSession, bronze: DataFrame, paths: dict[str, str],
         F.when(F.col("status") == "warn", F.lit("warn")).otherwise(F.lit("error")).alias("severity"),
         F.when(F.col("status") == "pass", F.lit(0)).otherwise(F.lit(1)).cast("long").alias("failures"))
     return Q.suite_result(counts + [fresh])
+
+
+def merge_daily(spark: SparkSession, daily_path: str, silver_path: str,
+                touched: DataFrame) -> None:
+    """Recompute the daily mart only for local days touched by a Silver merge.
+
+    ``touched`` holds the (metric, reading_day) partitions ``merge_silver``
+    rewrote.  A local calendar day can take readings from the UTC days
+    before and after it (offsets), so the candidate local days are the
+    touched days +/- 1, and Silver is read only for those days +/- 1 (the
+    semi-join on the partition column is pruned at the scan).  The mart
+    (one row per day) keeps its other days and is rewritten whole after a
+    checkpoint, since it is read from the path it replaces.
+    """
+    shifts = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    days = (touched.select(F.explode(F.transform(shifts, lambda k: F.date_add("reading_day", k)))
+                           .alias("metric_date")).distinct())
+    scan_days = (days.select(F.explode(F.transform(shifts, lambda k: F.date_add("metric_date", k)))
+                             .alias("reading_day")).distinct())
+    silver_rows = spark.read.parquet(silver_path).join(scan_days, "reading_day", "left_semi")
+    stg = stage_readings(silver_rows.drop("reading_day")).join(days, "metric_date", "left_semi")
+    fresh = marts.daily_summary(stg)
+    kept = spark.read.parquet(daily_path).join(days, "metric_date", "left_anti")
+    merged = kept.unionByName(fresh.select(*kept.columns))
+    from ..session import checkpoint_base
+    checkpoint_base(spark)
+    merged.checkpoint().write.mode("overwrite").parquet(daily_path)

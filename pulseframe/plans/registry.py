@@ -529,3 +529,20 @@ def q_silver_incremental_daily_summary(spark, sf_dir):
     silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), path)
     silver.merge_silver(spark, path, rows.filter(F.col("ingested_at") > cutoff))
     return rounded(marts.daily_summary(stage_readings(spark.read.parquet(path).drop("reading_day"))))
+
+
+@register("gold_incremental_daily_summary")
+def q_gold_incremental_daily_summary(spark, sf_dir):
+    """Silver and the daily mart built from the files landed by the cutoff;
+    the later files are merged into Silver (touched partitions only) and the
+    mart recomputed for the touched local days only.  Equals a full build."""
+    from .build import merge_daily
+    rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
+    cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
+    spath, dpath = shared_dir(spark, "silver-gold-inc"), shared_dir(spark, "daily-inc")
+    silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), spath)
+    first = stage_readings(spark.read.parquet(spath).drop("reading_day"))
+    marts.daily_summary(first).write.mode("overwrite").parquet(dpath)
+    touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cutoff))
+    merge_daily(spark, dpath, spath, touched)
+    return rounded(spark.read.parquet(dpath))
