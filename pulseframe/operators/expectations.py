@@ -81,3 +81,32 @@ def expectation_totals(log: DataFrame) -> DataFrame:
 def dropped_total(counts: DataFrame, column: str = "failed_records") -> DataFrame:
     """Grand total of dropped rows."""
     return counts.agg(F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("total_dropped"))
+
+
+def expect_observed(df: DataFrame, expectations: Mapping[str, str],
+                    name: str = "expectations"):
+    """Expect-or-drop with the counts gathered by the *same* job.
+
+    Returns ``(kept, observation)``: the counts are collected as observed
+    metrics of whatever action consumes ``kept`` (e.g. the Silver write), so
+    the input is not scanned a second time for them.  Read them afterwards
+    with :func:`observed_counts`.
+    """
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    conds = {n: F.coalesce(F.expr(p), F.lit(False)) for n, p in expectations.items()}
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n"),
+                          *[F.count_if(c).alias(f"p_{i}") for i, c in enumerate(conds.values())])
+    keep = None
+    for c in conds.values():
+        keep = c if keep is None else keep & c
+    return (observed.filter(keep) if keep is not None else observed), obs
+
+
+def observed_counts(obs, expectations: Mapping[str, str]) -> list[dict]:
+    """``[{name, passed_records, failed_records}]`` from a finished observation
+    (one small dict per expectation)."""
+    m = obs.get
+    n = int(m.get("n", 0))
+    return [{"name": k, "passed_records": int(m[f"p_{i}"]), "failed_records": n - int(m[f"p_{i}"])}
+            for i, k in enumerate(expectations)]

@@ -9,17 +9,19 @@ tests plus the source-freshness check run over the written tables.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACCEPTED_METRICS, DAILY_RANGES
+from ..config import ACCEPTED_METRICS, DAILY_RANGES, SILVER_EXPECTATIONS
+from ..operators.expectations import expect_observed, observed_counts
 from ..operators import quality as Q
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_readings, stage_readings
 from . import marts
-from .silver import expectation_filter, read_silver, write_silver
+from .silver import read_silver, write_silver
 
 MARTS = ("fct_daily_activity_summary", "fct_weekly_trends", "fct_weekly_weight_trends",
          "fct_metric_freshness")
@@ -29,7 +31,15 @@ def build_layers(spark: SparkSession, bronze: DataFrame, out_dir: str,
                  as_of: dt.date | str | None = None) -> dict[str, str]:
     """Write Silver and the four marts under ``out_dir``; return their paths."""
     paths = {"silver": os.path.join(out_dir, "silver")}
-    write_silver(latest_readings(expectation_filter(explode_readings(bronze))), paths["silver"])
+    kept, obs = expect_observed(explode_readings(bronze), SILVER_EXPECTATIONS)
+    write_silver(latest_readings(kept), paths["silver"])
+    # The expectation counts came with the Silver write (one pass); log them.
+    paths["expectation_log"] = os.path.join(out_dir, "expectation_log")
+    counts = observed_counts(obs, SILVER_EXPECTATIONS)
+    event = spark.createDataFrame(
+        [(json.dumps([{**c, "dataset": "silver_readings_staging"} for c in counts]),)],
+        "expectations string").select(F.current_timestamp().alias("timestamp"), "expectations")
+    event.write.mode("append").parquet(paths["expectation_log"])
     stg = stage_readings(read_silver(spark, paths["silver"]))
     daily_path = os.path.join(out_dir, MARTS[0])
     marts.daily_summary(stg).write.mode("overwrite").parquet(daily_path)

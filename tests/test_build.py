@@ -13,7 +13,12 @@ SF = "/root/testdata/sf0.001"
 def test_build_and_check_layers(spark, tmpdir_path):
     bronze = silver.bronze(spark, SF)
     paths = build.build_layers(spark, bronze, tmpdir_path, as_of="2024-03-15")
-    assert set(paths) == {"silver", *build.MARTS}
+    assert set(paths) == {"silver", "expectation_log", *build.MARTS}
+    from pulseframe.operators.expectations import expectation_totals
+    tot = {r["expectation"]: r for r in expectation_totals(spark.read.parquet(paths["expectation_log"])).collect()}
+    exploded = silver.exploded(spark, SF)
+    assert tot["valid_date"]["cumulative_dropped"] == exploded.filter("date IS NULL").count()
+    assert tot["valid_metric_name"]["cumulative_passed"] == exploded.count()
     # Silver is partitioned by metric on disk
     assert any(p.startswith("metric_name=") for p in os.listdir(paths["silver"]))
     res = {r["check_name"]: r for r in build.check_layers(spark, bronze, paths, "2024-02-01 06:00:00").collect()}
