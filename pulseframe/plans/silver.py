@@ -18,9 +18,17 @@ from ..sources import driver_tables as dtab
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows (one per export file) derived from ``events``."""
+    """Bronze rows (one per export file) derived from ``events``.
+
+    The documents come out of a per-file aggregate that is small in bytes,
+    so AQE would coalesce it into one or two partitions; the flatten that
+    follows multiplies every document into its readings.  An explicit
+    partition count (not coalesced by AQE) keeps that work spread over the
+    cluster, one document per row, so nothing is split or capped.
+    """
     apply_defaults(spark)
-    return dtab.bronze_table(dtab.table(spark, sf_dir, "events"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return dtab.bronze_table(dtab.table(spark, sf_dir, "events")).repartition(n, "_source_file")
 
 
 def expectation_filter(df: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATIONS) -> DataFrame:

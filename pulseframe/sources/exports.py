@@ -120,19 +120,24 @@ def landing_path(ts: Column | str, name: Column | str) -> Column:
     return F.concat(F.date_format(t, "'raw/exports/'yyyy/MM/dd/yyyyMMdd_HHmmss'_'"), n)
 
 
-def land(df: DataFrame, path: str, mode: str = "append") -> None:
+def land(df: DataFrame, path: str, mode: str = "append", parts: int | None = None) -> None:
     """Write raw documents to ``path`` partitioned by ingestion date and file.
 
     Each file's document is written by exactly one task (repartition on the
     file name), so each file becomes one text part; no write happens when
-    ``df`` is empty because empty partitions produce no files.
+    ``df`` is empty because empty partitions produce no files.  The
+    partition count is explicit (``parts``, default the session's shuffle
+    partitions): documents are small in bytes but each costs a file, and a
+    count-free repartition would let AQE coalesce them into a few tasks that
+    write every file serially.
     """
     out = df.select(
         "data",
         F.date_format("_ingested_at", "yyyy-MM-dd").alias("ingest_date"),
         "_source_file",
         F.date_format("_ingested_at", LANDED_TS).alias("_ingested_at"))
-    (out.repartition("_source_file").write.mode(mode)
+    n = int(parts or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (out.repartition(n, "_source_file").write.mode(mode)
      .partitionBy("ingest_date", "_ingested_at", "_source_file").text(path))
 
 
