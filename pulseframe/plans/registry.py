@@ -261,15 +261,23 @@ def q_landing_partitions(spark, sf_dir):
 
 
 # --- payload validation and summary (B5, C10, K9) -------------------------------
+def _raw_bodies(spark, sf_dir):
+    """Raw request bodies, spread over an explicit partition count (the
+    per-file aggregate that builds them would otherwise be coalesced by AQE
+    into a task or two, leaving every document parse to them)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return dtab.raw_bodies(dtab.table(spark, sf_dir, "events")).repartition(n, "_source_file")
+
+
 @register("payload_validation")
 def q_payload_validation(spark, sf_dir):
-    bodies = dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
+    bodies = _raw_bodies(spark, sf_dir)
     return P.classify_payloads(bodies).select("_source_file", "rule", "reason", "metric_index", "is_valid")
 
 
 @register("payload_summary")
 def q_payload_summary(spark, sf_dir):
-    bodies = dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
+    bodies = _raw_bodies(spark, sf_dir)
     valid = P.classify_payloads(bodies).filter("is_valid")
     s = P.summarize_payloads(valid)
     return s.select("_source_file", "metric_count", "workout_count",
@@ -507,7 +515,7 @@ def q_bronze_from_requests(spark, sf_dir):
     """A13/T24: valid request bodies land (inner object), bad ones are
     quarantined with the raw text in ``_rescued_data``; per file, the number
     of readings a landed document holds (one pass, no branch per side)."""
-    bodies = dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
+    bodies = _raw_bodies(spark, sf_dir)
     q = P.quarantine(bodies)
     doc = F.from_json("data", "struct<metrics: array<struct<data: array<string>>>>")
     n = F.aggregate(F.transform(doc["metrics"], lambda m: F.size(m["data"])), F.lit(0),
