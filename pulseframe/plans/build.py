@@ -100,17 +100,19 @@ def check_layers(spark: SparkSession, bronze: DataFrame, paths: dict[str, str],
     return Q.suite_result(counts + [fresh])
 
 
-def merge_daily(spark: SparkSession, daily_path: str, silver_path: str,
-                touched: DataFrame) -> None:
-    """Recompute the daily mart only for local days touched by a Silver merge.
+def recompute_days(spark: SparkSession, table_path: str, silver_path: str, touched: DataFrame,
+                   build) -> None:
+    """Refresh a per-local-day table only for the days a Silver merge touched.
 
     ``touched`` holds the (metric, reading_day) partitions ``merge_silver``
     rewrote.  A local calendar day can take readings from the UTC days
     before and after it (offsets), so the candidate local days are the
     touched days +/- 1, and Silver is read only for those days +/- 1 (the
-    semi-join on the partition column is pruned at the scan).  The mart
-    (one row per day) keeps its other days and is rewritten whole after a
-    checkpoint, since it is read from the path it replaces.
+    semi-join on the partition column is pruned at the scan).  ``build``
+    maps the staged readings of those days to rows keyed by
+    ``metric_date``; the table keeps its other days and is rewritten after a
+    checkpoint, since it is read from the path it replaces (these tables
+    hold one row per day, or per metric and day).
     """
     shifts = F.array(F.lit(-1), F.lit(0), F.lit(1))
     days = (touched.select(F.explode(F.transform(shifts, lambda k: F.date_add("reading_day", k)))
@@ -119,9 +121,30 @@ def merge_daily(spark: SparkSession, daily_path: str, silver_path: str,
                              .alias("reading_day")).distinct())
     silver_rows = spark.read.parquet(silver_path).join(scan_days, "reading_day", "left_semi")
     stg = stage_readings(silver_rows.drop("reading_day")).join(days, "metric_date", "left_semi")
-    fresh = marts.daily_summary(stg)
-    kept = spark.read.parquet(daily_path).join(days, "metric_date", "left_anti")
+    fresh = build(stg)
+    kept = spark.read.parquet(table_path).join(days, "metric_date", "left_anti")
     merged = kept.unionByName(fresh.select(*kept.columns))
     from ..session import checkpoint_base
     checkpoint_base(spark)
-    merged.checkpoint().write.mode("overwrite").parquet(daily_path)
+    merged.checkpoint().write.mode("overwrite").parquet(table_path)
+
+
+def merge_daily(spark: SparkSession, daily_path: str, silver_path: str,
+                touched: DataFrame) -> None:
+    """Recompute the daily mart only for local days touched by a Silver merge."""
+    recompute_days(spark, daily_path, silver_path, touched, marts.daily_summary)
+
+
+# Per-day tables behind the other marts: weekly trends come from the daily
+# mart, the weight mart from daily weight readings, freshness from counts
+# per (metric, day).  Each is refreshed with ``recompute_days``.
+DAY_TABLES = {
+    "daily_weight_readings": marts.daily_weight_readings,
+    "metric_day_counts": marts.metric_day_counts,
+}
+
+
+def merge_day_tables(spark: SparkSession, paths: dict[str, str], silver_path: str,
+                     touched: DataFrame) -> None:
+    for name, fn in DAY_TABLES.items():
+        recompute_days(spark, paths[name], silver_path, touched, fn)

@@ -105,7 +105,12 @@ def weekly_weight(stg: DataFrame, seeds: Mapping[int, float] = WEIGHT_SEEDS,
     rows are generated from the one-row scalar aggregate (no cross join);
     the full join is between one row per day and ``len(seeds)`` rows.
     """
-    daily = daily_weight_readings(stg, weight, body_fat)
+    return weekly_weight_from_daily(daily_weight_readings(stg, weight, body_fat), seeds)
+
+
+def weekly_weight_from_daily(daily: DataFrame, seeds: Mapping[int, float] = WEIGHT_SEEDS) -> DataFrame:
+    """The weight mart from its per-day table (``metric_date, weight_kg,
+    body_fat_pct``), so an incremental run only refreshes touched days."""
     first = daily.filter(F.col("weight_kg").isNotNull()).agg(F.min("metric_date").alias("min_date"))
     seed_arr = F.array(*[F.struct(F.lit(int(n)).alias("n"), F.lit(float(kg)).alias("kg"))
                          for n, kg in seeds.items()])
@@ -163,6 +168,31 @@ def metric_freshness(stg: DataFrame, as_of: dt.date | str | None = None) -> Data
         F.datediff(today, "last_date").cast("long").alias("days_since_last_data"))
 
 
+def metric_day_counts(stg: DataFrame) -> DataFrame:
+    """Per (metric, local day): readings and newest load time -- the small
+    table the freshness mart is derived from."""
+    return stg.groupBy("metric_name", "metric_date").agg(
+        F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("last_ingested_at"))
+
+
+def freshness_from_day_counts(dc: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """``metric_freshness`` from :func:`metric_day_counts` (same output)."""
+    today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    per = dc.groupBy("metric_name").agg(
+        F.sum("n").alias("datapoint_count"),
+        F.min("metric_date").alias("first_date"),
+        F.max("metric_date").alias("last_date"),
+        F.max("last_ingested_at").alias("last_ingested_at"),
+        F.count(F.lit(1)).alias("days_with_data"))
+    span = (F.datediff("last_date", "first_date") + 1).cast("long")
+    return per.select(
+        "metric_name", "datapoint_count", "first_date", "last_date", "last_ingested_at",
+        "days_with_data",
+        span.alias("calendar_days_span"),
+        F.round(F.col("days_with_data") / F.nullif(span, F.lit(0)) * 100, 1).alias("coverage_pct"),
+        F.datediff(today, "last_date").cast("long").alias("days_since_last_data"))
+
+
 # Final sort of each mart, applied when it is read (not paid for when stored):
 # mart -> [(column, descending)].
 MART_ORDER: dict[str, list[tuple[str, bool]]] = {

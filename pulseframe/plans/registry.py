@@ -554,3 +554,29 @@ def q_gold_incremental_daily_summary(spark, sf_dir):
     touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cutoff))
     merge_daily(spark, dpath, spath, touched)
     return rounded(spark.read.parquet(dpath))
+
+
+def _incremental_day_table(spark, sf_dir, name, build_fn):
+    """A per-day table built from the files landed by the cutoff, then
+    refreshed for the days the later files touch."""
+    from .build import recompute_days
+    rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
+    cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
+    spath, tpath = shared_dir(spark, f"silver-{name}"), shared_dir(spark, name)
+    silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), spath)
+    build_fn(stage_readings(spark.read.parquet(spath).drop("reading_day"))).write.parquet(tpath)
+    touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cutoff))
+    recompute_days(spark, tpath, spath, touched, build_fn)
+    return spark.read.parquet(tpath)
+
+
+@register("gold_incremental_metric_freshness")
+def q_gold_incremental_metric_freshness(spark, sf_dir):
+    dc = _incremental_day_table(spark, sf_dir, "metric-day-counts", marts.metric_day_counts)
+    return marts.freshness_from_day_counts(dc, as_of=AS_OF)
+
+
+@register("gold_incremental_weekly_weight")
+def q_gold_incremental_weekly_weight(spark, sf_dir):
+    d = _incremental_day_table(spark, sf_dir, "daily-weight", marts.daily_weight_readings)
+    return marts.weekly_weight_from_daily(d)
