@@ -30,6 +30,7 @@ from ..operators.expectations import expectation_events
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_by
 from ..operators.scd import _tie_break, scd2
+from ..plans.silver import expectation_filter
 from ..sources.exports import BRONZE_SCHEMA
 
 SOURCE_FROM_PATH = r"_source_file=([^/]+)"
@@ -75,12 +76,7 @@ def read_bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | N
 
 def silver_stream(bronze: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATIONS) -> DataFrame:
     """Flatten + expect-or-drop on a (streaming or batch) Bronze DataFrame."""
-    rows = explode_readings(bronze)
-    cond = None
-    for pred in expectations.values():
-        c = F.coalesce(F.expr(pred), F.lit(False))
-        cond = c if cond is None else cond & c
-    return rows.filter(cond)
+    return silver_keep(explode_readings(bronze), expectations)
 
 
 def flatten_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
@@ -120,11 +116,8 @@ def flatten_stream_logged(spark: SparkSession, bronze_path: str, silver_path: st
 
 
 def silver_keep(rows: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATIONS) -> DataFrame:
-    cond = None
-    for pred in expectations.values():
-        c = F.coalesce(F.expr(pred), F.lit(False))
-        cond = c if cond is None else cond & c
-    return rows.filter(cond)
+    """Rows passing every expectation (the same filter as batch Silver)."""
+    return expectation_filter(rows, expectations)
 
 
 def _append_batch(path: str):
