@@ -69,3 +69,32 @@ def test_incremental_daily_mart_equals_full(spark, tmpdir_path):
     norm = lambda df: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r)
                               for r in df.select(cols).collect()), key=repr)
     assert norm(got) == norm(full)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_merge_day_tables_weight_and_freshness(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from pulseframe.operators.latest import latest_readings, stage_readings
+    from pulseframe.plans import marts
+    rows = silver.expectation_filter(silver.exploded(spark, SF))
+    cut = F.lit("2024-02-01 01:00:00").cast("timestamp")
+    spath = os.path.join(tmpdir_path, "s")
+    silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cut)), spath)
+    first = stage_readings(spark.read.parquet(spath).drop("reading_day"))
+    paths = {name: os.path.join(tmpdir_path, name) for name in build.DAY_TABLES}
+    for name, fn in build.DAY_TABLES.items():
+        fn(first).write.parquet(paths[name])
+    touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cut))
+    build.merge_day_tables(spark, paths, spath, touched)
+    full = stage_readings(latest_readings(rows))
+
+    def same(a, b):
+        cols = sorted(b.columns)
+        norm = lambda df: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                                  for r in df.select(cols).collect()), key=repr)
+        return norm(a) == norm(b)
+
+    assert same(marts.weekly_weight_from_daily(spark.read.parquet(paths["daily_weight_readings"])),
+                marts.weekly_weight(full))
+    assert same(marts.freshness_from_day_counts(spark.read.parquet(paths["metric_day_counts"]), "2024-03-15"),
+                marts.metric_freshness(full, "2024-03-15"))
