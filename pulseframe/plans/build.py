@@ -21,48 +21,72 @@ from ..operators import quality as Q
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_readings, stage_readings
 from . import marts
-from .silver import read_silver, write_silver
+from .silver import merge_silver, read_silver, write_silver_by_day
 
 MARTS = ("fct_daily_activity_summary", "fct_weekly_trends", "fct_weekly_weight_trends",
          "fct_metric_freshness")
 
 
-def build_layers(spark: SparkSession, bronze: DataFrame, out_dir: str,
-                 as_of: dt.date | str | None = None) -> dict[str, str]:
-    """Write Silver and the four marts under ``out_dir``; return their paths."""
-    paths = {"silver": os.path.join(out_dir, "silver")}
-    kept, obs = expect_observed(explode_readings(bronze), SILVER_EXPECTATIONS)
-    write_silver(latest_readings(kept), paths["silver"])
-    # The expectation counts came with the Silver write (one pass); log them.
-    paths["expectation_log"] = os.path.join(out_dir, "expectation_log")
+def layer_paths(out_dir: str) -> dict[str, str]:
+    names = ("silver", "expectation_log", *MARTS, "daily_weight_readings", "metric_day_counts")
+    return {n: os.path.join(out_dir, n) for n in names}
+
+
+def _log_expectations(spark: SparkSession, obs, path: str) -> None:
     counts = observed_counts(obs, SILVER_EXPECTATIONS)
     event = spark.createDataFrame(
         [(json.dumps([{**c, "dataset": "silver_readings_staging"} for c in counts]),)],
         "expectations string").select(F.current_timestamp().alias("timestamp"), "expectations")
-    event.write.mode("append").parquet(paths["expectation_log"])
-    stg = stage_readings(read_silver(spark, paths["silver"]))
-    daily_path = os.path.join(out_dir, MARTS[0])
-    marts.daily_summary(stg).write.mode("overwrite").parquet(daily_path)
-    daily = spark.read.parquet(daily_path)
-    built = {
-        MARTS[0]: None,
-        MARTS[1]: marts.weekly_trends(daily),
-        MARTS[2]: marts.weekly_weight(stg),
-        MARTS[3]: marts.metric_freshness(stg, as_of=as_of),
-    }
-    paths[MARTS[0]] = daily_path
-    for name, df in built.items():
-        if df is None:
-            continue
-        paths[name] = os.path.join(out_dir, name)
-        df.write.mode("overwrite").parquet(paths[name])
+    event.write.mode("append").parquet(path)
+
+
+def _derive_marts(spark: SparkSession, paths: dict[str, str], as_of) -> None:
+    """Weekly trends, weight and freshness from their small per-day tables."""
+    daily = spark.read.parquet(paths[MARTS[0]])
+    marts.weekly_trends(daily).write.mode("overwrite").parquet(paths[MARTS[1]])
+    dw = spark.read.parquet(paths["daily_weight_readings"])
+    marts.weekly_weight_from_daily(dw).write.mode("overwrite").parquet(paths[MARTS[2]])
+    dc = spark.read.parquet(paths["metric_day_counts"])
+    marts.freshness_from_day_counts(dc, as_of).write.mode("overwrite").parquet(paths[MARTS[3]])
+
+
+def build_layers(spark: SparkSession, bronze: DataFrame, out_dir: str,
+                 as_of: dt.date | str | None = None) -> dict[str, str]:
+    """Full build: Silver (by metric and day), the per-day tables and the four
+    marts under ``out_dir``; returns their paths.  The expectation counts are
+    observed by the Silver write itself and appended to the expectation log."""
+    paths = layer_paths(out_dir)
+    kept, obs = expect_observed(explode_readings(bronze), SILVER_EXPECTATIONS)
+    write_silver_by_day(latest_readings(kept), paths["silver"])
+    _log_expectations(spark, obs, paths["expectation_log"])
+    stg = stage_readings(read_silver(spark, paths["silver"]).drop("reading_day"))
+    marts.daily_summary(stg).write.mode("overwrite").parquet(paths[MARTS[0]])
+    for name, fn in DAY_TABLES.items():
+        fn(stg).write.mode("overwrite").parquet(paths[name])
+    _derive_marts(spark, paths, as_of)
+    return paths
+
+
+def update_layers(spark: SparkSession, new_bronze: DataFrame, out_dir: str,
+                  as_of: dt.date | str | None = None) -> dict[str, str]:
+    """Incremental run after :func:`build_layers`: fold only the new Bronze
+    files into Silver (touched metric-day partitions), refresh the daily mart
+    and the per-day tables for the touched local days, and re-derive the
+    other marts from those small tables.  Results equal a full build."""
+    paths = layer_paths(out_dir)
+    kept, obs = expect_observed(explode_readings(new_bronze), SILVER_EXPECTATIONS)
+    touched = merge_silver(spark, paths["silver"], kept).checkpoint()
+    _log_expectations(spark, obs, paths["expectation_log"])
+    merge_daily(spark, paths[MARTS[0]], paths["silver"], touched)
+    merge_day_tables(spark, paths, paths["silver"], touched)
+    _derive_marts(spark, paths, as_of)
     return paths
 
 
 def check_layers(spark: SparkSession, bronze: DataFrame, paths: dict[str, str],
                 freshness_as_of: dt.datetime | str) -> DataFrame:
     """The reference's data tests over the written tables, one pass per table."""
-    stg = stage_readings(read_silver(spark, paths["silver"]))
+    stg = stage_readings(read_silver(spark, paths["silver"]).drop("reading_day"))
     d = spark.read.parquet(paths[MARTS[0]])
     wk = spark.read.parquet(paths[MARTS[1]])
     ww = spark.read.parquet(paths[MARTS[2]])

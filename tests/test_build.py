@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_build_and_check_layers(spark, tmpdir_path):
     bronze = silver.bronze(spark, SF)
     paths = build.build_layers(spark, bronze, tmpdir_path, as_of="2024-03-15")
-    assert set(paths) == {"silver", "expectation_log", *build.MARTS}
+    assert set(paths) == {"silver", "expectation_log", *build.MARTS, *build.DAY_TABLES}
     from pulseframe.operators.expectations import expectation_totals
     tot = {r["expectation"]: r for r in expectation_totals(spark.read.parquet(paths["expectation_log"])).collect()}
     exploded = silver.exploded(spark, SF)
@@ -98,3 +98,22 @@ def test_merge_day_tables_weight_and_freshness(spark, tmpdir_path):
                 marts.weekly_weight(full))
     assert same(marts.freshness_from_day_counts(spark.read.parquet(paths["metric_day_counts"]), "2024-03-15"),
                 marts.metric_freshness(full, "2024-03-15"))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_update_layers_equals_full_build(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    b = silver.bronze(spark, SF)
+    cut = F.lit("2024-02-01 01:00:00").cast("timestamp")
+    inc = os.path.join(tmpdir_path, "inc")
+    build.build_layers(spark, b.filter(F.col("_ingested_at") <= cut), inc, as_of="2024-03-15")
+    paths = build.update_layers(spark, b.filter(F.col("_ingested_at") > cut), inc, as_of="2024-03-15")
+    full = build.build_layers(spark, b, os.path.join(tmpdir_path, "full"), as_of="2024-03-15")
+    for mart in build.MARTS:
+        a, f = spark.read.parquet(paths[mart]), spark.read.parquet(full[mart])
+        cols = sorted(f.columns)
+        norm = lambda df: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                                  for r in df.select(cols).collect()), key=repr)
+        assert norm(a) == norm(f), mart
+    log = spark.read.parquet(paths["expectation_log"])
+    assert log.count() == 2          # one event per run
