@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pulseframe.llm import (adaptive_rules, best_fit_packing, chat_format, decontaminate, license_join,
-                            pii)
+                            pii, pu_quality, toxicity)
 
 QUERIES = {
     "op1_chat_prefix_targets": chat_format.query,
+    "op2_toxicity_severity": toxicity.query,
     "op4_pii_spans": pii.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_best_fit_packing": best_fit_packing.query,
     "op7_license_set_join": license_join.query,
+    "op8_pu_quality": pu_quality.query,
     "op10_adaptive_quality_rules": adaptive_rules.query,
 }
 ORACLE: dict[str, str] = {
