@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pulseframe.llm import (adaptive_rules, best_fit_packing, chat_format, decontaminate, license_join,
-                            pii, pu_quality, toxicity)
+                            pii, pu_quality, toxicity, warc_zip)
 
 QUERIES = {
     "op1_chat_prefix_targets": chat_format.query,
@@ -13,9 +13,11 @@ QUERIES = {
     "op6_best_fit_packing": best_fit_packing.query,
     "op7_license_set_join": license_join.query,
     "op8_pu_quality": pu_quality.query,
+    "op9_warc_zip": warc_zip.query,
     "op10_adaptive_quality_rules": adaptive_rules.query,
 }
 ORACLE: dict[str, str] = {
     "op1_chat_prefix_targets": chat_format.ORACLE,
     "op7_license_set_join": license_join.ORACLE,
+    "op9_warc_zip": warc_zip.ORACLE,
 }
