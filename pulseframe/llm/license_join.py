@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm.common import LOWER, SEPARATORS, UPPER, table
+from pulseframe.llm.common import LOWER, UPPER, normalised, table
 
 #: Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -54,12 +54,6 @@ THRESHOLD = 0.8
 MAX_TEMPLATE_WORDS = 50_000
 
 
-def normalised(text: Column) -> Column:
-    """' w1 w2 ... ' with single spaces, or ' ' where there are no words."""
-    words = F.regexp_replace(F.translate(text, UPPER, LOWER), SEPARATORS, " ")
-    return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
-
-
 def n_words(norm: Column) -> Column:
     """Words of a normalised text: its spaces less one (less two where it is blank)."""
     spaces = F.char_length(norm) - F.char_length(F.replace(norm, F.lit(" "), F.lit("")))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pulseframe.llm import (adaptive_rules, best_fit_packing, chat_format, decontaminate, license_join,
-                            pii, pu_quality, toxicity, warc_zip)
+                            ngram_join, pii, pu_quality, toxicity, warc_zip)
 
 QUERIES = {
     "op1_chat_prefix_targets": chat_format.query,
     "op2_toxicity_severity": toxicity.query,
+    "op3_ngram_jaccard_join": ngram_join.query,
     "op4_pii_spans": pii.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_best_fit_packing": best_fit_packing.query,
