@@ -306,14 +306,15 @@ def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     kept = written(spark, join(spark, docs, id_col, text_col).filter("kept").groupBy("id", "h").agg(
         F.count("*").alias("n"), F.max("alone").alias("alone")), "kept")
     ids = kept.select(F.col("id").alias("k_id"), F.col("h").alias("k_h"))
-    text = F.xxhash64(text_bytes(text_col))
-    rows = docs.join(ids, (text == F.col("k_h")) & F.col(id_col).cast("long").eqNullSafe(F.col("k_id")), "left_semi")
+    text = F.xxhash64(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")))
+    rows = docs.join(ids, (text == ids["k_h"]) & docs[id_col].cast("long").eqNullSafe(ids["k_id"]), "left_semi")
     if kept.filter("n > 1 AND NOT alone").isEmpty():
         return rows
     # only where rows repeat an id and a text
-    numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy(F.col(id_col), text).orderBy(F.lit(0))))
+    name = "n" + "_" * max(map(len, docs.columns))  # no column's name
+    numbered = rows.withColumn(name, F.row_number().over(Window.partitionBy(F.col(id_col), text).orderBy(F.lit(0))))
     empty = F.trim(normalised(F.coalesce(F.col(text_col).cast("string"), F.lit("")))) == ""
-    return numbered.filter((F.col("__n") == 1) | empty).drop("__n")
+    return numbered.filter((F.col(name) == 1) | empty).drop(name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
