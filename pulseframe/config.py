@@ -105,6 +105,9 @@ TAIL_ORDER = {
 }
 # --- end of fixed values ----------------------------------------------------
 
+# Options of every parse of a whole document: strings of any length, strict quotes.
+DOCUMENT_JSON = {"maxStringLen": "2147483647", "allowSingleQuotes": "false"}
+
 # Expectations applied between the flatten and Silver (name -> SQL predicate).
 SILVER_EXPECTATIONS = {
     "valid_metric_name": "metric_name IS NOT NULL",

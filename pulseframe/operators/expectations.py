@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXPECTATION_TYPE = ("array<struct<name: string, dataset: string, "
-                    "passed_records: int, failed_records: int>>")
+                    "passed_records: bigint, failed_records: bigint>>")
 
 
 def expect(df: DataFrame, expectations: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
@@ -51,8 +51,8 @@ def expectation_events(df: DataFrame, expectations: Mapping[str, str], batch: st
         *[F.count_if(c).alias(f"_p{i}") for i, c in enumerate(conds.values())])
     arr = F.array(*[
         F.struct(F.lit(n).alias("name"), F.lit(dataset).alias("dataset"),
-                 F.col(f"_p{i}").cast("int").alias("passed_records"),
-                 (F.col("_n") - F.col(f"_p{i}")).cast("int").alias("failed_records"))
+                 F.col(f"_p{i}").alias("passed_records"),
+                 (F.col("_n") - F.col(f"_p{i}")).alias("failed_records"))
         for i, n in enumerate(conds)])
     return agg.select("batch_id", "timestamp", F.to_json(arr).alias("expectations"))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import READING_TS_PATTERN
+from ..config import DOCUMENT_JSON, READING_TS_PATTERN
 
 _METRIC = "array<struct<name: string, units: string, data: array<string>>>"
 # Accept both the unwrapped shape {"metrics": [...]} and one level deeper
@@ -54,7 +54,7 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
     # expression would parse every document twice.
     parsed = bronze.select(
         F.col(file_col).alias("source_file"), F.col(ingested_col).alias("ingested_at"),
-        *extra, F.from_json(F.col(data_col), DOC_SCHEMA).alias("_doc"))
+        *extra, F.from_json(F.col(data_col), DOC_SCHEMA, DOCUMENT_JSON).alias("_doc"))
     metrics = parsed.select(
         "source_file", "ingested_at", *extra,
         F.explode(F.coalesce(F.col("_doc.metrics"), F.col("_doc.data.metrics"))).alias("m"))
@@ -67,6 +67,17 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
     return flatten_reading_text(readings, extra)
 
 
+def unparsed_documents(bronze: DataFrame, data_col: str = "data",
+                       file_col: str = "_source_file") -> DataFrame:
+    """Files whose document holds no metrics array that the flatten can read: their rows
+    would vanish in the explode, so they are counted here (``_source_file, reason``)."""
+    doc = bronze.select(F.col(file_col).alias("_source_file"), F.col(data_col).alias("_d"),
+                        F.from_json(F.col(data_col), DOC_SCHEMA, DOCUMENT_JSON).alias("_doc"))
+    reason = (F.when(F.col("_d").isNull(), F.lit("no_document"))
+              .when(F.coalesce(F.col("_doc.metrics"), F.col("_doc.data.metrics")).isNull(), F.lit("no_metrics_read")))
+    return doc.select("_source_file", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def flatten_reading_text(readings: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
     """Type one reading text per row into the Silver-base columns."""
     # Parse each reading once into its own column, then read paths from it

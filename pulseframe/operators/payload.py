@@ -9,10 +9,13 @@ non-empty array; 6. a metric is not an object; 7. a metric without a truthy
 ``name``; 8. a metric whose ``data`` is not an array; 9. ``data.workouts``
 present, non-null and not an array.
 
-Validity is decided on a VARIANT parse of ``[`` body ``]``: a one-element
-array means exactly one JSON document with no trailing text.  Duplicate keys
-and bare ``NaN`` do not parse, so such bodies are rejected as invalid JSON
-(stricter than a lenient parser).
+Validity: ``[`` body ``, "<SHA-256 of the body>"]`` must parse as an array of
+exactly two elements whose second is that hash; closing brackets, a second
+document or any trailing text in the body break that.  Duplicate keys and bare
+``NaN`` are accepted (the last key wins), single quotes are not.  Documents are
+never one VARIANT and strings may have any length; only metric names are read
+as VARIANT, to tell their JSON types apart (a name that is itself an object
+with repeated keys counts as missing).
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import DOCUMENT_JSON
+
 # Rule number -> reason code.
 REASONS = {
     0: None,
@@ -41,10 +46,6 @@ def _kind(v: Column) -> Column:
     return F.upper(F.schema_of_variant(v))
 
 
-def _is(v: Column, prefix: str) -> Column:
-    return F.coalesce(_kind(v).startswith(prefix), F.lit(False))
-
-
 def _truthy(v: Column) -> Column:
     """Truthiness of a JSON value, as a dynamic language would judge it."""
     k = _kind(v)
@@ -58,61 +59,79 @@ def _truthy(v: Column) -> Column:
             .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(True))))
 
 
-def _metric_rule(e: Column) -> Column:
-    return (F.when(~_is(e, "OBJECT"), F.lit(6))
-            .when(~_truthy(F.try_variant_get(e, "$.name", "variant")), F.lit(7))
-            .when(~_is(F.try_variant_get(e, "$.data", "variant"), "ARRAY"), F.lit(8))
-            .otherwise(F.lit(0)))
+_METRIC = "struct<name: variant, data: array<string>>"
+_TYPED = f"struct<data: struct<metrics: array<{_METRIC}>, workouts: array<string>>>"
+_RAW = "struct<metrics: array<string>, workouts: string>"
 
 
-def classify_payloads(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``rule`` (0 = valid), ``reason``, ``metric_index`` and ``is_valid``.
+def _metric_rule(m: Column) -> Column:
+    """Rule of one metric read as a struct; a non-object reads as NULL."""
+    return (F.when(m.isNull(), F.lit(6)).when(~_truthy(m["name"]), F.lit(7))
+            .when(m["data"].isNull(), F.lit(8)).otherwise(F.lit(0)))
 
-    Invalid rows are the quarantine; valid rows go on to landing.  One parse
-    per body; all tests are VARIANT lookups inside whole-stage codegen.
-    """
+
+def _text_rule(e: Column) -> Column:
+    """Rule of one metric's raw text, where not every metric is an object."""
+    return F.when(e.isNull() | ~e.startswith("{"), F.lit(6)).otherwise(
+        _metric_rule(F.from_json(e, _METRIC, DOCUMENT_JSON)))
+
+
+def is_one_json_document(body: Column) -> Column:
+    """Whether the text is exactly one JSON value (see the module's text)."""
+    digest = F.sha2(body, 256)
+    parsed = F.from_json(F.concat(F.lit("["), body, F.lit(',"'), digest, F.lit('"]')), "array<string>", DOCUMENT_JSON)
+    return F.coalesce((F.size(parsed) == 2) & (F.get(parsed, 1) == digest), F.lit(False))
+
+
+def _classified(df: DataFrame, body: str) -> DataFrame:
+    """``df`` with rule, metric_index and ``_inner``, the raw text of ``data``."""
     b = F.col(body)
-    # Each step is its own projection so the parse (and the array
-    # extraction) runs once per body, not once per derived field.
-    wrapped = F.try_parse_json(F.concat(F.lit("["), b, F.lit("]")))
-    s1 = df.select("*", F.try_variant_get(wrapped, "$", "array<variant>").alias("_arr"))
-    s2 = s1.select("*", F.get(F.col("_arr"), 0).alias("_doc"))
-    doc = F.col("_doc")
-    s3 = s2.select("*", F.try_variant_get(doc, "$.data", "variant").alias("_data"),
-                   F.try_variant_get(doc, "$.data.metrics", "array<variant>").alias("_metrics"),
-                   F.try_variant_get(doc, "$.data.workouts", "variant").alias("_workouts"))
-    first_bad = F.get(F.filter(
-        F.transform("_metrics", lambda e, i: F.struct(_metric_rule(e).alias("r"), i.alias("i"))),
-        lambda x: x["r"] > 0), 0)
-    staged = s3.select("*", first_bad.alias("_bad"))
+    # Each step is its own projection, so that each parse runs once per body.
+    s1 = df.select("*", is_one_json_document(b).alias("_one"), F.from_json(b, _TYPED, DOCUMENT_JSON)["data"].alias("_data"),
+                   F.from_json(b, "struct<data: string>", DOCUMENT_JSON)["data"].alias("_inner"))
+    # Raw texts are needed only where something is no object or no array.
+    s2 = s1.select("*", F.when(F.col("_data.metrics").isNull() | F.col("_data.workouts").isNull(),
+                               F.from_json("_inner", _RAW, DOCUMENT_JSON)).alias("_raw"))
+
+    def first_bad(items: Column, rule) -> Column:
+        return F.get(F.filter(F.transform(items, lambda e, i: F.struct(rule(e).alias("r"), i.alias("i"))), lambda x: x["r"] > 0), 0)
+
+    mixed = F.col("_data.metrics").isNull()
+    s3 = s2.select("*", F.when(mixed, first_bad(F.col("_raw.metrics"), _text_rule))
+                   .otherwise(first_bad(F.col("_data.metrics"), _metric_rule)).alias("_bad"))
     rule = (F.when(b.isNull() | (F.length(b) == 0), F.lit(1))
-            .when(F.col("_arr").isNull() | (F.size("_arr") != 1), F.lit(2))
-            .when(~_is(F.col("_doc"), "OBJECT"), F.lit(3))
-            .when(~_is(F.col("_data"), "OBJECT"), F.lit(4))
-            .when(F.col("_metrics").isNull() | (F.size("_metrics") == 0), F.lit(5))
+            .when(~F.col("_one"), F.lit(2))
+            .when(~b.rlike(r"^[ \t\r\n]*\{"), F.lit(3))
+            .when(F.col("_data").isNull(), F.lit(4))
+            .when(F.coalesce(F.size(F.coalesce("_raw.metrics", F.transform("_data.metrics", lambda m: F.lit("")))), F.lit(0)) <= 0, F.lit(5))
             .when(F.col("_bad").isNotNull(), F.col("_bad")["r"])
-            .when(F.col("_workouts").isNotNull() & ~_is(F.col("_workouts"), "VOID")
-                  & ~_is(F.col("_workouts"), "ARRAY"), F.lit(9))
+            .when(mixed, F.lit(6))
+            .when(F.col("_data.workouts").isNull() & F.col("_raw.workouts").isNotNull(), F.lit(9))
             .otherwise(F.lit(0)))
-    reason = F.element_at(F.create_map(*[x for k, v in REASONS.items() if v
-                                         for x in (F.lit(k), F.lit(v))]), F.col("rule"))
-    out = staged.withColumn("rule", rule)
-    return out.select(
-        *df.columns, "rule",
-        F.when(F.col("rule") == 0, F.lit(None).cast("string")).otherwise(reason).alias("reason"),
-        F.when(F.col("rule").between(6, 8), F.col("_bad")["i"]).alias("metric_index"),
-        (F.col("rule") == 0).alias("is_valid"))
+    out = s3.withColumn("rule", rule)
+    return out.select(*df.columns, "rule", F.when(F.col("rule").between(6, 8), F.col("_bad")["i"]).alias("metric_index"), "_inner")
+
+
+def _reason() -> Column:
+    reasons = F.create_map(*[x for k, v in REASONS.items() if v for x in (F.lit(k), F.lit(v))])
+    return F.when(F.col("rule") == 0, F.lit(None).cast("string")).otherwise(F.element_at(reasons, F.col("rule")))
+
+
+def classify_payloads(df: DataFrame, body: str = "body") -> DataFrame:
+    """Add ``rule`` (0 = valid), ``reason``, ``metric_index`` and ``is_valid``.
+
+    Invalid rows are the quarantine; valid rows go on to landing.
+    """
+    return _classified(df, body).select(*df.columns, "rule", _reason().alias("reason"), "metric_index",
+                                        (F.col("rule") == 0).alias("is_valid"))
 
 
 def summarize_payloads(df: DataFrame, body: str = "body") -> DataFrame:
     """Per body: ``metric_count``, ``workout_count`` and the sorted distinct
     truthy metric names (falsy names are dropped, their metrics counted)."""
-    parsed = df.select("*", F.try_parse_json(F.col(body)).alias("_doc"))
-    doc = F.col("_doc")
-    metrics = F.try_variant_get(doc, "$.data.metrics", "array<variant>")
-    workouts = F.try_variant_get(doc, "$.data.workouts", "array<variant>")
-    names = F.transform(F.filter(metrics, lambda e: _truthy(F.try_variant_get(e, "$.name", "variant"))),
-                        lambda e: F.try_variant_get(e, "$.name", "string"))
+    parsed = df.select("*", F.from_json(F.col(body), _TYPED, DOCUMENT_JSON)["data"].alias("_data"))
+    metrics, workouts = F.col("_data.metrics"), F.col("_data.workouts")
+    names = F.transform(F.filter(metrics, lambda m: _truthy(m["name"])), lambda m: F.try_variant_get(m["name"], "$", "string"))
     return parsed.select(
         *df.columns,
         F.coalesce(F.size(metrics), F.lit(0)).alias("metric_count"),
@@ -129,13 +148,13 @@ def quarantine(df: DataFrame, body: str = "body") -> DataFrame:
     file never stops the rest of the batch from landing.  Use
     :func:`landable` / :func:`quarantined` to take either side.
     """
-    c = classify_payloads(df, body)
-    inner = F.from_json(F.col(body), "struct<data: string>")["data"]
+    c = _classified(df, body)
     rest = [x for x in df.columns if x != body]
+    bad = F.col("rule") != 0
     return c.select(
-        F.when(F.col("is_valid"), inner).alias("data"),
-        F.when(~F.col("is_valid"), F.col(body)).alias("_rescued_data"),
-        *rest, (~F.col("is_valid")).alias("quarantined"), "rule", "reason", "metric_index")
+        F.when(~bad, F.col("_inner")).alias("data"),
+        F.when(bad, F.col(body)).alias("_rescued_data"),
+        *rest, bad.alias("quarantined"), "rule", _reason().alias("reason"), "metric_index")
 
 
 def landable(q: DataFrame) -> DataFrame:

@@ -17,12 +17,17 @@ from ..config import CUMULATIVE_METRICS, DAILY_COLUMNS, FRESHNESS_ERROR_HOURS, F
 from ..plans.marts import unpivot_daily
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull()).select(column)
+def not_null(df: DataFrame, column: str, show: Sequence[str] = ()) -> DataFrame:
+    """Rows whose ``column`` is NULL; ``show`` names the columns to report instead of it."""
+    return df.filter(F.col(column).isNull()).select(*(show or (column,)))
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once (NULLs are not compared)."""
+def unique(df: DataFrame, column: str | Sequence[str]) -> DataFrame:
+    """Values that occur more than once (NULLs are not compared).  Several columns
+    are grouped on their own types and reported under their own names."""
+    if not isinstance(column, str):
+        return (df.dropna(subset=list(column)).groupBy(*column).agg(F.count(F.lit(1)).alias("n_records"))
+                .filter(F.col("n_records") > 1))
     return (df.filter(F.col(column).isNotNull()).groupBy(column)
             .agg(F.count(F.lit(1)).alias("n_records"))
             .filter(F.col("n_records") > 1)

@@ -11,10 +11,9 @@ do not).  The open version's other columns follow its newest event.
 the start of the next version (NULL while current).
 
 Scale: SCD2 first folds events to one row per (key, sequence) with a
-partial aggregate.  Keys within a checked size use a per-key window; beyond
-it, changes are detected inside range-partitioned chunks of (key,
-sequence), so even a key holding a third of all events is split across
-tasks (see :func:`scd2`).
+partial aggregate, then finds changes inside range-partitioned chunks of (key,
+sequence), one plan for every size, so even a key holding a third of all events
+is split across tasks (see :func:`scd2`).
 """
 
 from __future__ import annotations
@@ -41,68 +40,35 @@ def scd1(df: DataFrame, keys: Sequence[str], sequence: Sequence[Column]) -> Data
     return latest_by(df, keys, list(sequence) + _tie_break(df))
 
 
-# Largest per-key event count the plain per-key window may take in one task.
-MAX_KEY_ROWS = 1_000_000
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Left join of a small boundary table on NULL-safe equal columns."""
+    renamed = right.withColumnsRenamed({c: f"_b_{c}" for c in cols})
+    cond = None
+    for c in cols:
+        same = F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+        cond = same if cond is None else cond & same
+    return left.join(F.broadcast(renamed), cond, "left").drop(*[f"_b_{c}" for c in cols])
 
 
 def scd2(df: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str],
-         chunks: int | None = None, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+         chunks: int | None = None) -> DataFrame:
     """Version history of ``track`` per key, ordered by column ``sequence``.
 
-    Events are first folded to one per (key, sequence) (partial aggregate)
-    and written once (reliable checkpoint in the shared checkpoint folder).
-    The size of the largest key is then checked: when every key has at most
-    ``max_key_rows`` events, a per-key window detects changes (each task
-    holds at most that bound); otherwise the chunked plan runs, which
-    splits hot keys across tasks.  Both give the same versions.
-    """
-    keys = list(keys)
-    track = list(track)
-    spark = df.sparkSession
-    checkpoint_base(spark)
-    ev = latest_by(df, keys + [sequence], _tie_break(df)).checkpoint()
-    if chunks is None:
-        biggest = (ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-                   .agg(F.max("n").alias("m")).first()["m"]) or 0
-        if biggest <= max_key_rows:
-            return _scd2_window(ev, keys, sequence, track)
-    return _scd2_chunked(ev, keys, sequence, track, chunks)
-
-
-def _scd2_window(ev: DataFrame, keys: list[str], sequence: str, track: list[str]) -> DataFrame:
-    """SCD2 with one window per key (used when every key is within bound)."""
-    w = Window.partitionBy(*keys).orderBy(sequence)
-    changed = None
-    for c in track:
-        diff = ~F.col(c).eqNullSafe(F.lag(c).over(w))
-        changed = diff if changed is None else changed | diff
-    first = F.row_number().over(w) == 1
-    marked = ev.withColumn("_new", (first | changed).cast("int"))
-    marked = marked.withColumn("_version", F.sum("_new").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rest = [c for c in ev.columns if c not in keys + [sequence]]
-    versions = (marked.groupBy(*keys, "_version").agg(
-        F.min(sequence).alias(START),
-        F.max(F.struct(F.col(sequence), *[F.col(c) for c in rest])).alias("_last")))
-    wv = Window.partitionBy(*keys).orderBy(START)
-    return versions.select(
-        *keys, *[F.col("_last")[c].alias(c) for c in rest],
-        F.col("_last")[sequence].alias(sequence),
-        F.col(START), F.lead(START).over(wv).alias(END))
-
-
-def _scd2_chunked(ev: DataFrame, keys: list[str], sequence: str, track: list[str],
-                  chunks: int | None = None) -> DataFrame:
-    """SCD2 over folded events where no key is ever gathered whole in one task.  Events (folded to one per
-    (key, sequence)) are range-partitioned on (key, sequence) into
-    ``chunks`` parts, so a hot key spans several consecutive chunks.  Change
+    Events are first folded to one per (key, sequence) by a partial aggregate.
+    They are then range-partitioned on (key, sequence) into ``chunks`` parts
+    (default: the session's shuffle partitions), so a hot key spans several
+    consecutive chunks and no key is ever gathered whole in one task.  Change
     detection, version starts and next-version bounds are windows inside a
-    (key, chunk) group; only keys cut by a chunk boundary -- at most the
-    first and last key of each chunk -- need the neighbouring chunks, and
-    their first/last rows (at most 4 per chunk, broadcast with that bound)
-    are stitched with a window over (key, chunk) on that tiny table.
-    Versions are then a partial+final aggregate per (key, version start).
+    (key, chunk) group; only keys cut by a chunk boundary -- at most the first
+    and last key of each chunk -- need the neighbouring chunks, and their
+    first/last rows (at most 4 per chunk, broadcast with that bound) are
+    stitched with a window over (key, chunk) on that tiny table.  NULL is a key
+    value like any other.  Versions are a partial + final aggregate per
+    (key, version start).
     """
+    keys, track = list(keys), list(track)
+    checkpoint_base(df.sparkSession)
+    ev = latest_by(df, keys + [sequence], _tie_break(df)).checkpoint()
     spark = ev.sparkSession
     n = int(chunks or spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in ev.columns if c not in keys + [sequence]]
@@ -128,7 +94,7 @@ def _scd2_chunked(ev: DataFrame, keys: list[str], sequence: str, track: list[str
     def boundary_rows(frame: DataFrame) -> DataFrame:
         b = frame.filter((F.col("_rn") == 1) | (F.col("_rnd") == 1)).join(
             F.broadcast(bounds), "_chunk")
-        return b.filter((kst == F.col("_kmin")) | (kst == F.col("_kmax")))
+        return b.filter(kst.eqNullSafe(F.col("_kmin")) | kst.eqNullSafe(F.col("_kmax")))
 
     # 1) Is the first row of a (key, chunk) a change versus the key's last
     #    row in the previous chunk?
@@ -146,7 +112,7 @@ def _scd2_chunked(ev: DataFrame, keys: list[str], sequence: str, track: list[str
         first_change = diff if first_change is None else first_change | diff
     has_prev = F.lag("_chunk").over(wk).isNotNull()
     fix1 = per_chunk.select(*part, F.when(has_prev, first_change).alias("_first_new"))
-    ev = ev.join(F.broadcast(fix1), part, "left")
+    ev = _same(ev, fix1, part)
     local_change = None
     for c in track:
         diff = ~F.col(c).eqNullSafe(F.col(f"_p_{c}"))
@@ -174,7 +140,7 @@ def _scd2_chunked(ev: DataFrame, keys: list[str], sequence: str, track: list[str
             wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_start"),
         F.first("_chunk_first_start", ignorenulls=True).over(
             wk.rowsBetween(1, Window.unboundedFollowing)).alias("_next_start"))
-    ev = ev.join(F.broadcast(fix2), part, "left")
+    ev = _same(ev, fix2, part)
     ev = ev.select(
         *keys, seq, *rest,
         F.coalesce("_start_local", "_prev_start").alias(START),

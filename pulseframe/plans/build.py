@@ -20,6 +20,7 @@ from ..operators.expectations import expect_observed, observed_counts
 from ..operators import quality as Q
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_readings, stage_readings
+from ..session import checkpoint_base
 from . import marts
 from .silver import merge_silver, read_silver, write_silver_by_day
 
@@ -42,11 +43,11 @@ def _log_expectations(spark: SparkSession, obs, path: str) -> None:
 
 def _derive_marts(spark: SparkSession, paths: dict[str, str], as_of) -> None:
     """Weekly trends, weight and freshness from their small per-day tables."""
-    daily = spark.read.parquet(paths[MARTS[0]])
+    daily = read_days(spark, paths[MARTS[0]])
     marts.weekly_trends(daily).write.mode("overwrite").parquet(paths[MARTS[1]])
-    dw = spark.read.parquet(paths["daily_weight_readings"])
+    dw = read_days(spark, paths["daily_weight_readings"])
     marts.weekly_weight_from_daily(dw).write.mode("overwrite").parquet(paths[MARTS[2]])
-    dc = spark.read.parquet(paths["metric_day_counts"])
+    dc = read_days(spark, paths["metric_day_counts"])
     marts.freshness_from_day_counts(dc, as_of).write.mode("overwrite").parquet(paths[MARTS[3]])
 
 
@@ -60,9 +61,9 @@ def build_layers(spark: SparkSession, bronze: DataFrame, out_dir: str,
     write_silver_by_day(latest_readings(kept), paths["silver"])
     _log_expectations(spark, obs, paths["expectation_log"])
     stg = stage_readings(read_silver(spark, paths["silver"]).drop("reading_day"))
-    marts.daily_summary(stg).write.mode("overwrite").parquet(paths[MARTS[0]])
+    write_days(marts.daily_summary(stg), paths[MARTS[0]])
     for name, fn in DAY_TABLES.items():
-        fn(stg).write.mode("overwrite").parquet(paths[name])
+        write_days(fn(stg), paths[name])
     _derive_marts(spark, paths, as_of)
     return paths
 
@@ -75,7 +76,7 @@ def update_layers(spark: SparkSession, new_bronze: DataFrame, out_dir: str,
     other marts from those small tables.  Results equal a full build."""
     paths = layer_paths(out_dir)
     kept, obs = expect_observed(explode_readings(new_bronze), SILVER_EXPECTATIONS)
-    touched = merge_silver(spark, paths["silver"], kept).checkpoint()
+    touched = merge_silver(spark, paths["silver"], kept)
     _log_expectations(spark, obs, paths["expectation_log"])
     merge_daily(spark, paths[MARTS[0]], paths["silver"], touched)
     merge_day_tables(spark, paths, paths["silver"], touched)
@@ -83,40 +84,47 @@ def update_layers(spark: SparkSession, new_bronze: DataFrame, out_dir: str,
     return paths
 
 
+def suite_specs() -> dict[str, list[dict]]:
+    """The row-level data tests of each table."""
+    def nn(t, c):
+        return {"name": f"{t}.{c}.not_null", "kind": "not_null", "column": c}
+
+    def uq(t, c):
+        return {"name": f"{t}.{c}.unique", "kind": "unique", "column": c}
+
+    return {
+        "stg": [nn("stg", "metric_name"), nn("stg", "metric_date"),
+                {"name": "stg.metric_name.accepted_values", "kind": "accepted_values",
+                 "column": "metric_name", "values": ACCEPTED_METRICS}],
+        "daily": [nn("daily", "metric_date"), uq("daily", "metric_date"), nn("daily", "metrics_present"),
+                  *({"name": f"daily.{c}.within_range", "kind": "within_range", "column": c, "min": lo, "max": hi}
+                    for c, (lo, hi) in DAILY_RANGES.items())],
+        "weekly": [nn("weekly", "week_start"), uq("weekly", "week_start")],
+        "weight": [nn("weight", "year_week"), uq("weight", "year_week"), nn("weight", "week_end_date")],
+        "freshness": [nn("freshness", "metric_name"), uq("freshness", "metric_name"), nn("freshness", "days_since_last_data")],
+    }
+
+
+def suite_counts(tables: dict[str, DataFrame], bronze: DataFrame, base: DataFrame) -> list[DataFrame]:
+    """Failure counts of all 26 tests: one pass per table, and the two tests across tables."""
+    counts = [Q.count_checks(tables[t], specs) for t, specs in suite_specs().items()]
+    across = {"rollup_match": Q.rollup_matches(tables["stg"], tables["daily"]),
+              "file_completeness": Q.files_without_rows(bronze, base)}
+    return counts + [v.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(k).alias("check_name"), F.lit("error").alias("severity"), "failures") for k, v in across.items()]
+
+
 def check_layers(spark: SparkSession, bronze: DataFrame, paths: dict[str, str],
                 freshness_as_of: dt.datetime | str) -> DataFrame:
     """The reference's data tests over the written tables, one pass per table."""
     stg = stage_readings(read_silver(spark, paths["silver"]).drop("reading_day"))
-    d = spark.read.parquet(paths[MARTS[0]])
+    d = read_days(spark, paths[MARTS[0]])
     wk = spark.read.parquet(paths[MARTS[1]])
     ww = spark.read.parquet(paths[MARTS[2]])
     fr = spark.read.parquet(paths[MARTS[3]])
 
-    def nn(t, c):
-        return {"name": f"{t}.{c}.not_null", "kind": "not_null", "column": c}
-
-    def uq(t, c):
-        return {"name": f"{t}.{c}.unique", "kind": "unique", "column": c}
-
-    daily = [nn("daily", "metric_date"), uq("daily", "metric_date"), nn("daily", "metrics_present")]
-    daily += [{"name": f"daily.{c}.within_range", "kind": "within_range", "column": c,
-               "min": lo, "max": hi} for c, (lo, hi) in DAILY_RANGES.items()]
-    counts = [
-        Q.count_checks(stg, [nn("stg", "metric_name"), nn("stg", "metric_date"),
-                             {"name": "stg.metric_name.accepted_values", "kind": "accepted_values",
-                              "column": "metric_name", "values": ACCEPTED_METRICS}]),
-        Q.count_checks(d, daily),
-        Q.count_checks(wk, [nn("weekly", "week_start"), uq("weekly", "week_start")]),
-        Q.count_checks(ww, [nn("weight", "year_week"), uq("weight", "year_week"),
-                            nn("weight", "week_end_date")]),
-        Q.count_checks(fr, [nn("freshness", "metric_name"), uq("freshness", "metric_name"),
-                            nn("freshness", "days_since_last_data")]),
-    ]
-    singular = {"rollup_match": Q.rollup_matches(stg, d),
-                "file_completeness": Q.files_without_rows(bronze, read_silver(spark, paths["silver"]))}
-    counts += [v.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(k).alias("check_name"), F.lit("error").alias("severity"), "failures")
-        for k, v in singular.items()]
+    counts = suite_counts({"stg": stg, "daily": d, "weekly": wk, "weight": ww, "freshness": fr},
+                          bronze, read_silver(spark, paths["silver"]))
     fresh = Q.source_freshness(bronze, freshness_as_of).select(
         F.lit("source_freshness").alias("check_name"),
         F.when(F.col("status") == "warn", F.lit("warn")).otherwise(F.lit("error")).alias("severity"),
@@ -133,11 +141,12 @@ def recompute_days(spark: SparkSession, table_path: str, silver_path: str, touch
     before and after it (offsets), so the candidate local days are the
     touched days +/- 1, and Silver is read only for those days +/- 1 (the
     semi-join on the partition column is pruned at the scan).  ``build``
-    maps the staged readings of those days to rows keyed by
-    ``metric_date``; the table keeps its other days and is rewritten after a
-    checkpoint, since it is read from the path it replaces (these tables
-    hold one row per day, or per metric and day).
+    maps the staged readings of those days to rows keyed by ``metric_date``.
+    The table is partitioned by month: only the months of those days are read
+    back, joined with the fresh days, checkpointed (they are read from the
+    partitions they replace) and overwritten; other months are not touched.
     """
+    checkpoint_base(spark)
     shifts = F.array(F.lit(-1), F.lit(0), F.lit(1))
     days = (touched.select(F.explode(F.transform(shifts, lambda k: F.date_add("reading_day", k)))
                            .alias("metric_date")).distinct())
@@ -145,12 +154,27 @@ def recompute_days(spark: SparkSession, table_path: str, silver_path: str, touch
                              .alias("reading_day")).distinct())
     silver_rows = spark.read.parquet(silver_path).join(scan_days, "reading_day", "left_semi")
     stg = stage_readings(silver_rows.drop("reading_day")).join(days, "metric_date", "left_semi")
-    fresh = build(stg)
-    kept = spark.read.parquet(table_path).join(days, "metric_date", "left_anti")
-    merged = kept.unionByName(fresh.select(*kept.columns))
-    from ..session import checkpoint_base
-    checkpoint_base(spark)
-    merged.checkpoint().write.mode("overwrite").parquet(table_path)
+    fresh = _with_month(build(stg))
+    months = _with_month(days).select("month").distinct()
+    kept = (read_days(spark, table_path, keep_month=True).join(months, "month", "left_semi")
+            .join(days, "metric_date", "left_anti"))
+    merged = kept.unionByName(fresh.select(*kept.columns)).checkpoint()
+    write_days(merged, table_path, "dynamic")
+
+
+def _with_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("month", F.date_format("metric_date", "yyyy-MM"))
+
+
+def write_days(rows: DataFrame, path: str, overwrite: str = "static") -> None:
+    """A per-day table, partitioned by month."""
+    (_with_month(rows).hint("rebalance", "month").write.mode("overwrite")
+     .option("partitionOverwriteMode", overwrite).partitionBy("month").parquet(path))
+
+
+def read_days(spark: SparkSession, path: str, keep_month: bool = False) -> DataFrame:
+    rows = spark.read.parquet(path)
+    return rows.withColumn("month", F.col("month").cast("string")) if keep_month else rows.drop("month")
 
 
 def merge_daily(spark: SparkSession, daily_path: str, silver_path: str,

@@ -203,5 +203,15 @@ MART_ORDER: dict[str, list[tuple[str, bool]]] = {
 }
 
 
+def order_columns(name: str) -> list[Column]:
+    return [F.col(c).desc() if d else F.col(c).asc() for c, d in MART_ORDER[name]]
+
+
 def ordered(name: str, mart: DataFrame) -> DataFrame:
-    return mart.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in MART_ORDER[name]])
+    return mart.orderBy(*order_columns(name))
+
+
+def numbered(name: str, mart: DataFrame) -> DataFrame:
+    """``mart`` with ``row_no``, its row's place in the final sort.  The window is
+    global, over one row per day, week or metric."""
+    return mart.withColumn("row_no", F.row_number().over(Window.orderBy(*order_columns(name))))

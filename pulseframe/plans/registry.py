@@ -13,19 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACCEPTED_METRICS, DAILY_RANGES, SILVER_EXPECTATIONS
+from ..config import ACCEPTED_METRICS, DAILY_RANGES, DOCUMENT_JSON, SILVER_EXPECTATIONS
 from ..functions.columns import change_display, iso_year_week
 from ..operators import expectations as X
 from ..operators import payload as P
 from ..operators import quality as Q
-from ..operators.flatten import reading_shapes
+from ..operators.flatten import reading_shapes, unparsed_documents
 from ..operators.latest import latest_readings, reading_date_text, stage_readings
 from ..operators.scd import scd1, scd2
 from ..session import apply_defaults, checkpoint_base, shared_dir
 from ..sources import driver_tables as dtab
 from ..sources import exports as S
 from ..streaming import streams as ST
-from . import marts, silver
+from . import build, marts, silver
 from .compare import rounded
 from .oracle import AS_OF
 from .tail import tail
@@ -111,8 +111,8 @@ FRESHNESS_AS_OF = "2024-02-03 06:00:00"
 
 @register("check_not_null")
 def q_check_not_null(spark, sf_dir):
-    stg = silver.staged(spark, sf_dir)
-    return Q.not_null(stg, "metric_date")
+    # before the expectations, which drop exactly these rows
+    return Q.not_null(silver.exploded(spark, sf_dir), "date", show=["metric_name", "source_file"])
 
 
 @register("check_unique")
@@ -120,8 +120,7 @@ def q_check_unique(spark, sf_dir):
     # Uniqueness of the Silver grain: (metric_name, reading instant) must be
     # unique after dedup and is not before it (overlapping files).
     rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
-    key = F.concat_ws("|", "metric_name", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
-    return Q.unique(rows.select(key.alias("reading_key")), "reading_key")
+    return Q.unique(rows, ["metric_name", "date"])
 
 
 @register("check_accepted_values")
@@ -153,55 +152,19 @@ def q_check_source_freshness(spark, sf_dir):
     return Q.source_freshness(silver.bronze(spark, sf_dir), FRESHNESS_AS_OF)
 
 
-def suite_checks(spark, sf_dir):
-    """The reference's 26 data tests as (table, specs): every row-level test
-    of a table is counted in one aggregate pass over it.
-
-    Silver base is materialized once (a reliable ``checkpoint`` into the
-    shared ``spark.checkpoint.dir``), so the four marts and the checks read
-    it instead of each re-running the flatten and dedup."""
+@register("quality_suite")
+def q_quality_suite(spark, sf_dir):
+    """The 26 data tests over stored tables: Silver and each mart are
+    materialized once (reliable checkpoints in the shared folder), so a table's
+    counting pass and its uniqueness pass read it, not its derivation."""
     checkpoint_base(spark)
     base = silver.silver_base(spark, sf_dir).checkpoint()
     stg = stage_readings(base)
-    d = marts.daily_summary(stg)
-    wk = marts.weekly_trends(d)
-    ww = marts.weekly_weight(stg)
-    fr = marts.metric_freshness(stg, as_of=AS_OF)
-
-    def nn(t, c):
-        return {"name": f"{t}.{c}.not_null", "kind": "not_null", "column": c}
-
-    def uq(t, c):
-        return {"name": f"{t}.{c}.unique", "kind": "unique", "column": c}
-
-    daily = [nn("daily", "metric_date"), uq("daily", "metric_date")]
-    daily += [{"name": f"daily.{c}.within_range", "kind": "within_range", "column": c,
-               "min": lo, "max": hi} for c, (lo, hi) in DAILY_RANGES.items()]
-    daily.append(nn("daily", "metrics_present"))
-    return [
-        (stg, [nn("stg", "metric_name"),
-               {"name": "stg.metric_name.accepted_values", "kind": "accepted_values",
-                "column": "metric_name", "values": ACCEPTED_METRICS},
-               nn("stg", "metric_date")]),
-        (d, daily),
-        (wk, [nn("weekly", "week_start"), uq("weekly", "week_start")]),
-        (ww, [nn("weight", "year_week"), uq("weight", "year_week"), nn("weight", "week_end_date")]),
-        (fr, [nn("freshness", "metric_name"), uq("freshness", "metric_name"),
-              nn("freshness", "days_since_last_data")]),
-    ], {
-        "rollup_match": Q.rollup_matches(stg, d),
-        "file_completeness": Q.files_without_rows(silver.bronze(spark, sf_dir), base),
-    }
-
-
-@register("quality_suite")
-def q_quality_suite(spark, sf_dir):
-    tables, singular = suite_checks(spark, sf_dir)
-    counts = [Q.count_checks(t, specs) for t, specs in tables]
-    counts += [v.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(k).alias("check_name"), F.lit("error").alias("severity"), "failures")
-        for k, v in singular.items()]
-    return Q.suite_result(counts)
+    d = marts.daily_summary(stg).checkpoint()
+    tables = {"stg": stg, "daily": d, "weekly": marts.weekly_trends(d).checkpoint(),
+              "weight": marts.weekly_weight(stg).checkpoint(),
+              "freshness": marts.metric_freshness(stg, as_of=AS_OF).checkpoint()}
+    return Q.suite_result(build.suite_counts(tables, silver.bronze(spark, sf_dir), base))
 
 
 # --- sources (A1-A16) ---------------------------------------------------------
@@ -211,18 +174,18 @@ LANDED_CUTOFF = "2024-02-02 00:00:00"
 @register("bronze_unwrap")
 def q_bronze_unwrap(spark, sf_dir):
     b = S.unwrap(silver.bronze(spark, sf_dir))
-    n = F.size(F.from_json("data", "struct<metrics: array<string>>")["metrics"])
+    n = F.size(F.from_json("data", "struct<metrics: array<string>>", DOCUMENT_JSON)["metrics"])
     return b.select("_source_file", F.col("_was_wrapped").alias("was_wrapped"),
                     n.alias("n_metrics"))
 
 
 @register("bronze_load")
 def q_bronze_load(spark, sf_dir):
-    """Land Bronze as files (partitioned by ingestion date) and read it back."""
+    """Land Bronze as a table (partitioned by ingestion date) and read it back."""
     path = shared_dir(spark, "landing")
     S.land(silver.bronze(spark, sf_dir), path)
     back = S.unwrap(S.read_landed(spark, path))
-    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>")
+    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>", DOCUMENT_JSON)
     return back.select(
         "_source_file", "_ingested_at", F.col("ingest_date").cast("date").alias("ingest_date"),
         F.size(p["metrics"]).alias("n_metrics"),
@@ -230,6 +193,43 @@ def q_bronze_load(spark, sf_dir):
                     lambda a, x: a + x).alias("n_readings"))
 
 
+@register("folder_ingest")
+def q_folder_ingest(spark, sf_dir):
+    """A folder of .json (and other) files ingested twice: list, keep .json, keep
+    new names, unwrap, append with provenance; the second run adds nothing."""
+    folder, target = shared_dir(spark, "exports"), shared_dir(spark, "bronze-table")
+    dtab.export_files(dtab.table(spark, sf_dir, "events"), folder)
+    for _ in range(2):
+        S.ingest_folder(spark, folder, target, ingested_at=LANDED_CUTOFF)
+    back = S.read_landed(spark, target)
+    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>", DOCUMENT_JSON)
+    return back.select(
+        F.regexp_extract(F.url_decode("_source_file"), r"_source_file=([^/]+)/[^/]+\.json$", 1).alias("_source_file"),
+        "_ingested_at", "ingest_date", F.size(p["metrics"]).alias("n_metrics"),
+        F.aggregate(F.transform(p["metrics"], lambda m: F.size(m["data"])), F.lit(0), lambda a, x: a + x).alias("n_readings"),
+        ((F.col("content_sha256") == F.sha2("data", 256)) & (F.col("content_bytes") == F.octet_length("data"))
+         & (F.length("request_id") == 32) & F.col("_rescued_data").isNull()).alias("intact"))
+
+
+@register("unparsed_documents")
+def q_unparsed_documents(spark, sf_dir):
+    """Landed documents the flatten could not read (nothing may just vanish): raw
+    bodies taken as landed, so the corrupted ones show."""
+    bodies = _raw_bodies(spark, sf_dir).withColumnRenamed("body", "data")
+    return unparsed_documents(bodies)
+
+
+@register("mart_order")
+def q_mart_order(spark, sf_dir):
+    """The marts' final sorts, shown as row numbers of the sorted mart."""
+    d = daily(spark, sf_dir)
+    fresh = marts.metric_freshness(silver.staged(spark, sf_dir), as_of=AS_OF)
+    parts = [marts.numbered(name, mart).select(F.lit(name).alias("mart"), F.col(key).cast("string").alias("row_key"), "row_no")
+             for name, mart, key in (("fct_daily_activity_summary", d, "metric_date"),
+                                     ("fct_metric_freshness", fresh, "metric_name"))]
+    return parts[0].unionByName(parts[1])
+
+
 @register("new_files_anti_join")
 def q_new_files_anti_join(spark, sf_dir):
     b = silver.bronze(spark, sf_dir)
@@ -262,11 +262,8 @@ def q_landing_partitions(spark, sf_dir):
 
 # --- payload validation and summary (B5, C10, K9) -------------------------------
 def _raw_bodies(spark, sf_dir):
-    """Raw request bodies, spread over an explicit partition count (the
-    per-file aggregate that builds them would otherwise be coalesced by AQE
-    into a task or two, leaving every document parse to them)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return dtab.raw_bodies(dtab.table(spark, sf_dir, "events")).repartition(n, "_source_file")
+    """Raw request bodies, one per export file."""
+    return dtab.raw_bodies(dtab.table(spark, sf_dir, "events"))
 
 
 @register("payload_validation")
@@ -385,27 +382,24 @@ def q_scalar_functions(spark, sf_dir):
 
 # --- streaming (A1, A10, J1-J6) ----------------------------------------------------
 
-STREAM_FILES_PER_TRIGGER = 64
-
 
 def _bronze_parquet(spark, sf_dir):
-    """Bronze written as a parquet table of several files (a stream source)."""
+    """Bronze written as a parquet table (a stream source), a file per task."""
     path = shared_dir(spark, "bronze")
-    b = silver.bronze(spark, sf_dir)
-    b.repartition(16, "_source_file").write.parquet(path)
+    silver.bronze(spark, sf_dir).write.parquet(path)
     return path
 
 
 @register("stream_file_ingest")
 def q_stream_file_ingest(spark, sf_dir):
-    landing = shared_dir(spark, "landing")
-    S.land(silver.bronze(spark, sf_dir), landing)
+    folder = shared_dir(spark, "exports")
+    dtab.export_files(dtab.table(spark, sf_dir, "events"), folder)
     bronze_path, ckpt = shared_dir(spark, "bronze-stream"), shared_dir(spark, "ckpt-ingest")
-    ST.ingest_files(spark, landing, bronze_path, ckpt, max_files=STREAM_FILES_PER_TRIGGER)
+    ST.ingest_files(spark, folder, bronze_path, ckpt, glob="*.json")
     # A second run over the same folder must read nothing new.
-    ST.ingest_files(spark, landing, bronze_path, ckpt, max_files=STREAM_FILES_PER_TRIGGER)
+    ST.ingest_files(spark, folder, bronze_path, ckpt, glob="*.json")
     back = S.unwrap(spark.read.parquet(bronze_path))
-    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>")
+    p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>", DOCUMENT_JSON)
     return back.select(
         "_source_file", F.size(p["metrics"]).alias("n_metrics"),
         F.aggregate(F.transform(p["metrics"], lambda m: F.size(m["data"])), F.lit(0),
@@ -416,7 +410,7 @@ def q_stream_file_ingest(spark, sf_dir):
 def q_stream_flatten(spark, sf_dir):
     bronze_path = _bronze_parquet(spark, sf_dir)
     out, ckpt = shared_dir(spark, "silver-stream"), shared_dir(spark, "ckpt-flatten")
-    ST.flatten_stream(spark, bronze_path, out, ckpt, max_files=4)
+    ST.flatten_stream(spark, bronze_path, out, ckpt)
     df = spark.read.parquet(out)
     return rounded(df.select(
         "metric_name", "units", "date", "value_qty", "value_avg", "value_min", "value_max",
@@ -427,10 +421,10 @@ def q_stream_flatten(spark, sf_dir):
 @register("stream_scd1")
 def q_stream_scd1(spark, sf_dir):
     bronze_path = _bronze_parquet(spark, sf_dir)
-    log, ckpt = shared_dir(spark, "scd1-log"), shared_dir(spark, "ckpt-scd1")
-    ST.scd1_stream(spark, bronze_path, log, ckpt, ["metric_name", "date"],
-                   [F.col("file_modification_time")], max_files=4)
-    cur = ST.current_from_log(spark, log, ["metric_name", "date"], ["file_modification_time"])
+    target, ckpt = shared_dir(spark, "scd1-table"), shared_dir(spark, "ckpt-scd1")
+    ST.scd1_stream(spark, bronze_path, target, ckpt, ["metric_name", "date"],
+                   [F.col("file_modification_time")], F.to_date("date"))
+    cur = ST.read_parts(spark, target)
     return rounded(cur.select("metric_name", "date", "value_qty", "value_avg",
                               "source_file", "file_modification_time"))
 
@@ -438,10 +432,10 @@ def q_stream_scd1(spark, sf_dir):
 @register("stream_scd2")
 def q_stream_scd2(spark, sf_dir):
     bronze_path = _bronze_parquet(spark, sf_dir)
-    log, ckpt = shared_dir(spark, "scd2-log"), shared_dir(spark, "ckpt-scd2")
-    ST.scd2_stream(spark, bronze_path, log, ckpt, ["metric_name", "date"], "file_modification_time",
-                   where="metric_name = 'step_count'", max_files=4)
-    h = ST.history_from_log(spark, log, ["metric_name", "date"], "file_modification_time", ["value_qty"])
+    events, target, ckpt = (shared_dir(spark, n) for n in ("scd2-events", "scd2-history", "ckpt-scd2"))
+    ST.scd2_stream(spark, bronze_path, events, target, ckpt, ["metric_name", "date"], "file_modification_time",
+                   ["value_qty"], F.to_date("date"), where="metric_name = 'step_count'")
+    h = ST.read_parts(spark, target)
     return rounded(h.select("metric_name", "date", "value_qty", "source_file",
                             "__START_AT", "__END_AT"))
 
@@ -505,7 +499,7 @@ def q_stream_expectation_log(spark, sf_dir):
     is not part of the result)."""
     bronze_path = _bronze_parquet(spark, sf_dir)
     out, log = shared_dir(spark, "silver-logged"), shared_dir(spark, "dq-log")
-    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"), max_files=4)
+    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"))
     tot = X.expectation_totals(spark.read.parquet(log))
     return tot.select("expectation", "cumulative_passed", "cumulative_dropped")
 
@@ -517,7 +511,7 @@ def q_bronze_from_requests(spark, sf_dir):
     of readings a landed document holds (one pass, no branch per side)."""
     bodies = _raw_bodies(spark, sf_dir)
     q = P.quarantine(bodies)
-    doc = F.from_json("data", "struct<metrics: array<struct<data: array<string>>>>")
+    doc = F.from_json("data", "struct<metrics: array<struct<data: array<string>>>>", DOCUMENT_JSON)
     n = F.aggregate(F.transform(doc["metrics"], lambda m: F.size(m["data"])), F.lit(0),
                     lambda a, x: a + x).cast("long")
     return q.select("_source_file", "quarantined", "reason",
@@ -544,30 +538,28 @@ def q_gold_incremental_daily_summary(spark, sf_dir):
     """Silver and the daily mart built from the files landed by the cutoff;
     the later files are merged into Silver (touched partitions only) and the
     mart recomputed for the touched local days only.  Equals a full build."""
-    from .build import merge_daily
     rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
     cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
     spath, dpath = shared_dir(spark, "silver-gold-inc"), shared_dir(spark, "daily-inc")
     silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), spath)
     first = stage_readings(spark.read.parquet(spath).drop("reading_day"))
-    marts.daily_summary(first).write.mode("overwrite").parquet(dpath)
+    build.write_days(marts.daily_summary(first), dpath)
     touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cutoff))
-    merge_daily(spark, dpath, spath, touched)
-    return rounded(spark.read.parquet(dpath))
+    build.merge_daily(spark, dpath, spath, touched)
+    return rounded(build.read_days(spark, dpath))
 
 
 def _incremental_day_table(spark, sf_dir, name, build_fn):
     """A per-day table built from the files landed by the cutoff, then
     refreshed for the days the later files touch."""
-    from .build import recompute_days
     rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
     cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
     spath, tpath = shared_dir(spark, f"silver-{name}"), shared_dir(spark, name)
     silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), spath)
-    build_fn(stage_readings(spark.read.parquet(spath).drop("reading_day"))).write.parquet(tpath)
+    build.write_days(build_fn(stage_readings(spark.read.parquet(spath).drop("reading_day"))), tpath)
     touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cutoff))
-    recompute_days(spark, tpath, spath, touched, build_fn)
-    return spark.read.parquet(tpath)
+    build.recompute_days(spark, tpath, spath, touched, build_fn)
+    return build.read_days(spark, tpath)
 
 
 @register("gold_incremental_metric_freshness")

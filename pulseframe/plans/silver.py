@@ -1,8 +1,9 @@
 """Bronze -> Silver -> staging chain over the driver tables.
 
-``run_layers`` is the end-to-end job: it flattens Bronze once, writes Silver
-(deduped) to shared storage partitioned by metric so later marts prune by
-metric and never repeat the JSON explode, then builds the marts from it.
+Bronze is flattened once and Silver (deduped) is written to shared storage,
+partitioned by metric (and day), so later marts prune by metric and never
+repeat the JSON explode.  Writes are rebalanced: adaptive execution splits a
+large partition value over several tasks and merges small ones.
 """
 
 from __future__ import annotations
@@ -13,22 +14,19 @@ from pyspark.sql import functions as F
 from ..config import SILVER_EXPECTATIONS
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_readings, stage_readings
-from ..session import apply_defaults
+from ..session import apply_defaults, checkpoint_base
 from ..sources import driver_tables as dtab
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows (one per export file) derived from ``events``.
 
-    The documents come out of a per-file aggregate that is small in bytes,
-    so AQE would coalesce it into one or two partitions; the flatten that
-    follows multiplies every document into its readings.  An explicit
-    partition count (not coalesced by AQE) keeps that work spread over the
-    cluster, one document per row, so nothing is split or capped.
+    The grouping shuffle that builds the documents carries an explicit partition
+    count (see ``export_documents``), which adaptive execution keeps, so the
+    flatten that follows stays spread over the cluster without a second shuffle.
     """
     apply_defaults(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return dtab.bronze_table(dtab.table(spark, sf_dir, "events")).repartition(n, "_source_file")
+    return dtab.bronze_table(dtab.table(spark, sf_dir, "events"))
 
 
 def expectation_filter(df: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATIONS) -> DataFrame:
@@ -58,7 +56,7 @@ def write_silver(base: DataFrame, path: str) -> None:
     """Persist Silver once, partitioned by metric: marts that filter on a
     metric prune partitions at the scan, and the JSON explode is never
     repeated per mart.  Also cuts the lineage back to Bronze."""
-    (base.repartition("metric_name").write.mode("overwrite")
+    (base.hint("rebalance", "metric_name").write.mode("overwrite")
      .partitionBy("metric_name").parquet(path))
 
 
@@ -76,7 +74,7 @@ def _with_day(rows: DataFrame) -> DataFrame:
 
 def write_silver_by_day(base: DataFrame, path: str) -> None:
     """Silver partitioned by (metric, UTC day of the reading)."""
-    (_with_day(base).repartition(*SILVER_PARTS).write.mode("overwrite")
+    (_with_day(base).hint("rebalance", *SILVER_PARTS).write.mode("overwrite")
      .partitionBy(*SILVER_PARTS).parquet(path))
 
 
@@ -88,20 +86,19 @@ def merge_silver(spark: SparkSession, path: str, new_rows: DataFrame) -> DataFra
     rows; the existing rows of exactly those partitions are read back (a
     semi-join on the partition columns, pruned at the scan by dynamic
     partition pruning), unioned with the new rows and folded again with the
-    same latest-wins aggregate.  The result is materialized with a reliable
-    checkpoint before the dynamic-overwrite write, because it is read from
-    the partitions it replaces.  Returns the touched partition list.
+    same latest-wins aggregate.  New rows, touched pairs and the merged rows are
+    each materialized once with a reliable checkpoint (the merged rows because
+    they are read from the partitions they replace).  Returns the touched
+    partition list.
     """
-    new = _with_day(new_rows)
-    touched = new.select(*SILVER_PARTS).distinct()
+    checkpoint_base(spark)
+    new = _with_day(new_rows).checkpoint()
+    touched = new.select(*SILVER_PARTS).distinct().checkpoint()
     old = spark.read.parquet(path).join(touched, list(SILVER_PARTS), "left_semi")
     cols = [c for c in old.columns if c not in SILVER_PARTS]
     both = old.select(*cols, *SILVER_PARTS).unionByName(new.select(*cols, *SILVER_PARTS))
-    merged = latest_readings(both.drop("reading_day")).transform(_with_day)
-    from ..session import checkpoint_base
-    checkpoint_base(spark)
-    merged = merged.checkpoint()
-    (merged.repartition(*SILVER_PARTS).write.mode("overwrite")
+    merged = latest_readings(both.drop("reading_day")).transform(_with_day).checkpoint()
+    (merged.hint("rebalance", *SILVER_PARTS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*SILVER_PARTS).parquet(path))
     return touched

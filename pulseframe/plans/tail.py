@@ -13,5 +13,5 @@ def tail(mart: DataFrame, name: str, n: int = 10, order_by: dict | None = None)
     unknown mart names are rejected."""
     known = order_by or TAIL_ORDER
     if name not in known:
-        raise ValueError(f"Unknown table '{name}'. Known tables: {', '.join(known)}")
+        raise ValueError(f"no tail order is set for mart {name!r}; set for: {sorted(known)}")
     return mart.orderBy(F.col(known[name]).desc()).limit(int(n))

@@ -11,7 +11,10 @@ Mapping (all of it is mirrored by the DuckDB oracle SQL):
   purchase=active_energy, signup=weight_body_mass, error=body_fat_percentage.
 * local reading time text = the event's hour, with offset ``+0200``.
   Every 101st event (id % 101 = 7) carries the unparseable text ``bad``;
-  every 103rd (id % 103 = 11) is stamped with the ``Z`` offset instead.
+  every 103rd (id % 103 = 11), and every 6th of local midnight (id % 6 = 1),
+  is stamped with the ``Z`` offset instead, so days with two rollups occur.
+* every 997th event (id % 997 = 13) is a reading of ``mood_score``, a name that
+  is not on the accepted list.
 * ``view`` readings fill Avg/Min/Max (upper-case keys for even ids,
   lower-case for odd ids); the others fill ``qty``.  ``qty`` is written as a
   JSON string when id % 53 = 5 and as ``true`` when id % 59 = 3.
@@ -19,7 +22,8 @@ Mapping (all of it is mirrored by the DuckDB oracle SQL):
   the data and each file stays bounded.  File ``f`` is ingested at
   2024-02-01 + f hours (modified ten minutes earlier).
 * every RESEND_EVERY-th file is exported again, later (+30 min), with each
-  value raised by 1: a fully superseding, overlapping re-export.
+  value raised by 1: a fully superseding, overlapping re-export.  Every second
+  re-export (f % 20 = 10) holds its metrics with empty ``data`` arrays.
 * every WRAP_EVERY-th file (f % 7 = 3) is landed one level too deep
   (``{"data": {...}}``).
 """
@@ -52,7 +56,9 @@ METRIC_UNITS = {
     "active_energy": "kcal",
     "weight_body_mass": "KG",
     "body_fat_percentage": "%",
+    "mood_score": "pts",
 }
+UNKNOWN_METRIC = "mood_score"
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -74,10 +80,12 @@ def _num_text(c: Column) -> Column:
 def event_readings(events: DataFrame) -> DataFrame:
     """One reading per event: file number, metric, units and the reading JSON."""
     eid = F.col("event_id")
-    metric = _map_col(EVENT_METRICS, F.col("event_type"))
+    unknown = eid % 997 == 13
+    metric = F.when(unknown, F.lit(UNKNOWN_METRIC)).otherwise(_map_col(EVENT_METRICS, F.col("event_type")))
+    midnight = F.hour("ts") == 0
     hour_text = F.date_format(F.date_trunc("hour", F.col("ts")), "yyyy-MM-dd HH:mm:ss")
     date_text = (F.when(eid % 101 == 7, F.lit("bad"))
-                 .when(eid % 103 == 11, F.concat(hour_text, F.lit(" Z")))
+                 .when((eid % 103 == 11) | (midnight & (eid % 6 == 1)), F.concat(hour_text, F.lit(" Z")))
                  .otherwise(F.concat(hour_text, F.lit(LOCAL_OFFSET_TEXT))))
     return events.select(
         eid.alias("event_id"),
@@ -87,7 +95,7 @@ def event_readings(events: DataFrame) -> DataFrame:
         (F.col("user_id") % 4).alias("device"),
         date_text.alias("date_text"),
         F.col("value"),
-        (F.col("event_type") == "view").alias("is_range"),
+        ((F.col("event_type") == "view") & ~unknown).alias("is_range"),
     )
 
 
@@ -120,14 +128,14 @@ def file_readings(events: DataFrame) -> DataFrame:
         .otherwise(F.array(F.lit(False)))
     both = r.select("*", F.explode(copies).alias("resend"))
     both = both.withColumn("bump", F.when(F.col("resend"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    name = F.concat(F.lit("export_"), F.lpad(F.col("file_no").cast("string"), 5, "0"),
+    name = F.concat(F.lit("export_"), F.format_string("%05d", F.col("file_no")),  # at least five digits
                     F.when(F.col("resend"), F.lit("_resend")).otherwise(F.lit("")),
                     F.lit(".json"))
     ingest_s = (F.lit(INGEST_BASE_EPOCH) + F.col("file_no") * 3600
                 + F.when(F.col("resend"), F.lit(RESEND_DELAY_SECONDS)).otherwise(F.lit(0)))
     return both.select(
         "event_id", "file_no", "metric_name", "units",
-        _reading_json(both, F.col("bump")).alias("reading"),
+        F.when(~(F.col("resend") & (F.col("file_no") % 20 == 10)), _reading_json(both, F.col("bump"))).alias("reading"),
         name.alias("_source_file"),
         F.timestamp_seconds(ingest_s).alias("_ingested_at"),
         F.timestamp_seconds(ingest_s - MODIFIED_BEFORE_INGEST_SECONDS).alias("file_modification_time"),
@@ -140,8 +148,13 @@ def export_documents(events: DataFrame) -> DataFrame:
     One shuffle: readings are collected per file (a file holds at most
     ``FILE_EVENTS`` readings, so each group is bounded), sorted by
     (metric, event id), and nested per metric with array functions.
+
+    The shuffle carries an explicit partition count: the documents are small in
+    bytes, but what follows multiplies every one into its readings, so adaptive
+    execution must not squeeze them into a task or two.
     """
-    fr = file_readings(events)
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fr = file_readings(events).repartition(n, "_source_file", "file_no", "_ingested_at", "file_modification_time")
     per_file = (fr.groupBy("_source_file", "file_no", "_ingested_at", "file_modification_time")
                 .agg(F.array_sort(F.collect_list(
                     F.struct("metric_name", "event_id", "units", "reading"))).alias("rs")))
@@ -184,13 +197,17 @@ def bronze_table(events: DataFrame) -> DataFrame:
 
 
 # Corruption applied to raw request bodies for validation tests, by
-# ``file_no % 16``: edits of the real export text.
+# ``file_no % 64``: edits of the real export text; the other files stay valid.
+LONG_STRING = 21_000_000
+
+
 def raw_bodies(events: DataFrame) -> DataFrame:
     """Raw export bodies ``{"data": {...}}``, one per file, with a fixed
-    share corrupted (edits of the real document) to exercise every rule."""
+    share corrupted (edits of the real document) to exercise every rule.  Every
+    640th file holds one string of over 20 million characters."""
     docs = export_documents(events)
     body = F.concat(F.lit('{"data":'), F.col("inner"), F.lit("}"))
-    k = F.col("file_no") % 16
+    k = F.col("file_no") % 64
 
     def head(repl: str) -> Column:
         return F.regexp_replace(body, r'^\{"data":\{"metrics":\[', repl)
@@ -214,15 +231,28 @@ def raw_bodies(events: DataFrame) -> DataFrame:
         (13, tail('"workouts":null')),
         (14, head('{"data":{"metrics":[{"name":"","data":[]},')),
         (15, F.concat(body, F.lit(" x"))),
+        (16, F.concat(body, F.lit("]"))),
+        (17, F.concat(body, F.lit("] x"))),
+        (18, F.regexp_replace(body, r'^\{', '{"data":{"metrics":"first of two keys"},')),
     ]
-    out = None
+    long = F.concat(F.lit('{"data":{"note":"'), F.repeat(F.lit("x"), (F.lit(LONG_STRING) + F.col("file_no") % 2).cast("int")), F.lit('",'), F.expr("substring(inner, 2)"), F.lit("}"))
+    out = F.when(F.col("file_no") % 640 == 19, long)
     for n, c in cases:
-        out = F.when(k == n, c) if out is None else out.when(k == n, c)
+        out = out.when(k == n, c)
     out = out.otherwise(body)
     return (docs.withColumn("body", body)
             .select("_source_file", "file_no", "_ingested_at", out.alias("body")))
 
 
+def export_files(events: DataFrame, path: str) -> None:
+    """Every export as a ``.json`` file of its own, in a folder named after it, beside a
+    ``.txt`` file for each tenth (what arrives in a watched folder)."""
+    docs = export_documents(events).select("_source_file", "file_no", F.parse_json("inner").alias("data"))
+    docs.select("_source_file", "data").write.partitionBy("_source_file").json(path)
+    notes = docs.filter("file_no % 10 = 0").select("_source_file", F.lit("not an export").alias("value"))
+    notes.write.mode("append").partitionBy("_source_file").text(path)
+
+
 # --- fixed values of the long-calendar mapping ----------------------------------
 ORDER_STATUS_METRICS = {"F": "step_count", "O": "active_energy", "P": "resting_heart_rate"}
 # --- end of fixed values ----------------------------------------------------------
@@ -236,8 +266,9 @@ def order_staged(orders: DataFrame) -> DataFrame:
     whole-number values as a device reports them: steps
     ``floor(o_totalprice / 10)``, kcal ``floor(o_totalprice / 100)``, resting
     bpm ``40 + o_orderkey % 50``; every order also yields a weight reading
-    ``o_totalprice / 1000`` kg at that hour and, for status 'F', a body fat
-    reading ``o_totalprice / 10000`` %.  345 ISO weeks with year boundaries.
+    ``floor(o_totalprice / 1000)`` kg at that hour and, for status 'F', a body
+    fat reading ``floor(o_totalprice / 10000)`` %; sums of whole numbers do not
+    depend on their order.  345 ISO weeks with year boundaries.
     """
     hour = (F.col("o_orderkey") % 24).cast("int")
     base = orders.select(
@@ -251,9 +282,9 @@ def order_staged(orders: DataFrame) -> DataFrame:
     items = F.array(
         F.struct(m.alias("metric_name"), v.alias("value")),
         F.struct(F.lit("weight_body_mass").alias("metric_name"),
-                 (F.col("o_totalprice") / 1000).alias("value")),
+                 F.floor(F.col("o_totalprice") / 1000).cast("double").alias("value")),
         F.struct(F.when(F.col("o_orderstatus") == "F", F.lit("body_fat_percentage")).alias("metric_name"),
-                 (F.col("o_totalprice") / 10000).alias("value")))
+                 F.floor(F.col("o_totalprice") / 10000).cast("double").alias("value")))
     rows = base.select("metric_date", "hour", F.explode(items).alias("r"))
     return (rows.filter(F.col("r.metric_name").isNotNull())
             .select(F.col("r.metric_name").alias("metric_name"), "metric_date",

@@ -5,7 +5,8 @@
   streaming.
 * ``unwrap``: store the inner ``data`` object, accepting files one level deep.
 * ``only_new``: files not landed yet, as an anti-join (no driver-side set).
-* ``land``: append to a landing folder partitioned by ingestion date.
+* ``land``: append to a landing table partitioned by ingestion date.
+* ``ingest_folder``: list, keep new files, unwrap, land.
 * ``drop_exact_resends``: SHA-256 of the raw content, earliest copy kept.
 * ``ingest_counts``: row and distinct-file counts.
 """
@@ -15,13 +16,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-# Load time as written into the landing folder names (no ':' in paths).
-LANDED_TS = "yyyyMMdd'T'HHmmssSSSSSS"
+from ..config import DOCUMENT_JSON
 
+# The Bronze columns.
 BRONZE_SCHEMA = StructType([
     StructField("data", StringType(), True),
     StructField("_rescued_data", StringType(), True),
@@ -68,13 +70,8 @@ def read_exports(spark: SparkSession, path: str, glob: str | None = "*.json",
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Read a folder written by :func:`land` (partition columns restored)."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select(
-        F.col("value").alias("data"),
-        F.lit(None).cast("string").alias("_rescued_data"),
-        F.to_timestamp(F.col("_ingested_at").cast("string"), LANDED_TS).alias("_ingested_at"),
-        "_source_file", "ingest_date")
+    """Read a table written by :func:`land`."""
+    return spark.read.parquet(path)
 
 
 def stream_exports(spark: SparkSession, path: str, max_files: int | None = None,
@@ -96,7 +93,7 @@ def unwrap(df: DataFrame, data: str = "data") -> DataFrame:
 
     One parse per document: both candidate fields come back as raw JSON text.
     """
-    p = F.from_json(F.col(data), "struct<metrics: string, data: string>")
+    p = F.from_json(F.col(data), "struct<metrics: string, data: string>", DOCUMENT_JSON)
     deep = p["metrics"].isNull() & p["data"].isNotNull()
     return df.withColumn("_was_wrapped", F.coalesce(deep, F.lit(False))).withColumn(
         data, F.when(deep, p["data"]).otherwise(F.col(data)))
@@ -120,41 +117,72 @@ def landing_path(ts: Column | str, name: Column | str) -> Column:
     return F.concat(F.date_format(t, "'raw/exports/'yyyy/MM/dd/yyyyMMdd_HHmmss'_'"), n)
 
 
-def land(df: DataFrame, path: str, mode: str = "append", parts: int | None = None) -> None:
-    """Write raw documents to ``path`` partitioned by ingestion date and file.
+def request_id(*cols: str) -> Column:
+    """A repeatable id of one delivery, from what identifies it."""
+    return F.substring(F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256), 1, 32)
 
-    Each file's document is written by exactly one task (repartition on the
-    file name), so each file becomes one text part; no write happens when
-    ``df`` is empty because empty partitions produce no files.  The
-    partition count is explicit (``parts``, default the session's shuffle
-    partitions): documents are small in bytes but each costs a file, and a
-    count-free repartition would let AQE coalesce them into a few tasks that
-    write every file serially.
+
+def land(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Append raw documents, byte for byte, to the landing table at ``path``.
+
+    One folder per ingestion day; the file's name, load time, request id, size
+    and SHA-256 are columns beside the body, so the number of folders and files
+    follows days and bytes, not documents.  ``rebalance`` lets adaptive
+    execution split a large day over several tasks.  An empty ``df`` writes no
+    rows.
     """
+    body = F.col("data").cast("binary")
+    rescued = F.col("_rescued_data") if "_rescued_data" in df.columns else F.lit(None).cast("string").alias("_rescued_data")
     out = df.select(
-        "data",
-        F.date_format("_ingested_at", "yyyy-MM-dd").alias("ingest_date"),
-        "_source_file",
-        F.date_format("_ingested_at", LANDED_TS).alias("_ingested_at"))
-    n = int(parts or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartition(n, "_source_file").write.mode(mode)
-     .partitionBy("ingest_date", "_ingested_at", "_source_file").text(path))
+        "data", rescued, "_ingested_at", "_source_file",
+        request_id("_source_file", "_ingested_at").alias("request_id"),
+        F.octet_length(body).cast("long").alias("content_bytes"), F.sha2(body, 256).alias("content_sha256"),
+        F.to_date("_ingested_at").alias("ingest_date"))
+    out.hint("rebalance", "ingest_date").write.mode(mode).partitionBy("ingest_date").parquet(path)
+
+
+def ingest_folder(spark: SparkSession, folder: str, table: str, ingested_at=None, glob: str | None = "*.json") -> int:
+    """List a folder's export files, land those not landed yet, unwrapped; returns how many.
+
+    Nothing is written when nothing is new.  The file's path under the folder is
+    its name, so equal names in different sub-folders stay apart.
+    """
+    listing = read_exports(spark, folder, glob, ingested_at)
+    listing = listing.withColumn("_source_file", F.col("source_path"))
+    try:
+        landed = read_landed(spark, table)
+    except AnalysisException:  # no table yet
+        landed = None
+    new = only_new(listing, landed) if landed is not None else listing
+    count = new.select("_source_file").count()  # names alone: bodies are not read
+    if count:
+        land(unwrap(new).drop("_was_wrapped"), table)
+    return count
 
 
 def drop_exact_resends(df: DataFrame, content: str = "data", order: str = "_ingested_at",
                        name: str = "_source_file") -> DataFrame:
     """Keep the earliest copy of each distinct raw content (SHA-256).
 
-    Partial aggregation per hash: a hash shared by a third of all rows is
-    folded map-side and never gathered in one task.
+    Only (hash, time, name) are shuffled, folded map-side, so a hash shared by a
+    third of all rows costs one row per task.  Columns beside those three are
+    joined back by (hash, time, name) and only where they are asked for.
     """
-    h = F.sha2(F.col(content), 256)
+    hashed = df.withColumn("content_sha256", F.sha2(F.col(content), 256))
+    first = (hashed.groupBy("content_sha256")
+             .agg(F.min(F.struct(F.col(order), F.col(name))).alias("_f"), F.count(F.lit(1)).alias("copies"))
+             .select("content_sha256", "copies", F.col("_f")[order].alias(order), F.col("_f")[name].alias(name)))
+    return first
+
+
+def with_bodies(first: DataFrame, df: DataFrame, content: str = "data", order: str = "_ingested_at",
+                name: str = "_source_file") -> DataFrame:
+    """The other columns of ``df`` for the rows :func:`drop_exact_resends` kept, one row each."""
     rest = [c for c in df.columns if c not in (order, name)]
-    first = F.min(F.struct(F.col(order), F.col(name), *[F.col(c) for c in rest]))
-    return (df.groupBy(h.alias("content_sha256"))
-            .agg(first.alias("_f"), F.count(F.lit(1)).alias("copies"))
-            .select("content_sha256", "copies",
-                    *[F.col("_f")[c].alias(c) for c in [order, name, *rest]]))
+    rows = df.select(F.sha2(F.col(content), 256).alias("_h"), F.col(order).alias("_o"), F.col(name).alias("_n"), *rest)
+    joined = first.join(rows, (F.col("content_sha256") == F.col("_h")) & F.col(order).eqNullSafe(F.col("_o"))
+                        & F.col(name).eqNullSafe(F.col("_n")))
+    return joined.drop("_h", "_o", "_n").dropDuplicates(["content_sha256"])
 
 
 def ingest_counts(df: DataFrame, name: str = "_source_file") -> DataFrame:

@@ -5,12 +5,15 @@
 * ``flatten_stream``: Bronze stream -> the same ``explode_readings`` as batch
   -> expectations -> Silver staging parquet.
 * ``scd1_stream``: stateful aggregate ``max(struct(sequence, row))`` per key
-  (state store, update mode); each micro-batch appends the keys whose winner
-  changed to a change log.  ``current_from_log`` folds the log (again a
-  ``max``), so replays of a batch after a failure are harmless.
-* ``scd2_stream``: each micro-batch appends its events, folded to one per
-  (key, sequence), to an event log; ``history_from_log`` derives the
-  versions, so a late file that falls between two versions splits them.
+  (state store, update mode); each micro-batch folds the keys whose winner
+  changed into a target table of one row per key.
+* ``scd2_stream``: each micro-batch folds its events, one per (key, sequence),
+  into an event table and derives the versions of the touched partitions into
+  a history table, so a late file that falls between two versions splits them.
+
+Both targets are partitioned by a part of the key; a batch rewrites only the
+partitions it touches.  Folds are idempotent, so a batch replayed after a
+failure gives the same tables.
 
 All paths are under the shared checkpoint folder; nothing is collected to
 the driver (no memory sink).
@@ -18,8 +21,9 @@ the driver (no memory sink).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +35,7 @@ from ..operators.flatten import explode_readings
 from ..operators.latest import latest_by
 from ..operators.scd import _tie_break, scd2
 from ..plans.silver import expectation_filter
+from ..session import checkpoint_base
 from ..sources.exports import BRONZE_SCHEMA
 
 SOURCE_FROM_PATH = r"_source_file=([^/]+)"
@@ -120,47 +125,70 @@ def silver_keep(rows: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATI
     return expectation_filter(rows, expectations)
 
 
-def _append_batch(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
-    return write
+def _with_part(rows: DataFrame, part: Column) -> DataFrame:
+    return rows.withColumn("_part", F.coalesce(part.cast("string"), F.lit("none")))
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`_merge_parts`, without its partition column."""
+    return spark.read.parquet(path).drop("_part")
+
+
+def _merge_parts(path: str, new: DataFrame, fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Fold rows into a table partitioned by ``_part``, rewriting only their partitions.
+
+    The folded rows are checkpointed before the write, since they are read from
+    the partitions they replace; they are returned.
+    """
+    spark = new.sparkSession
+    try:
+        old = spark.read.parquet(path).withColumn("_part", F.col("_part").cast("string"))
+        both = old.join(new.select("_part").distinct(), "_part", "left_semi").select(*new.columns).unionByName(new)
+    except AnalysisException:  # the first batch
+        both = new
+    merged = fold(both).checkpoint()
+    write_parts(path, merged)
+    return merged
+
+
+def write_parts(path: str, rows: DataFrame) -> None:
+    (rows.hint("rebalance", "_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_part").parquet(path))
 
 
-def scd1_stream(spark: SparkSession, bronze_path: str, log_path: str, checkpoint: str,
-                keys: Sequence[str], sequence: Sequence[Column],
+def scd1_stream(spark: SparkSession, bronze_path: str, table_path: str, checkpoint: str,
+                keys: Sequence[str], sequence: Sequence[Column], part: Column,
                 max_files: int | None = None) -> StreamingQuery:
+    """Maintain one current row per key at ``table_path``, partitioned by ``part``."""
+    checkpoint_base(spark)
     rows = silver_stream(read_bronze_stream(spark, bronze_path, max_files))
     order = list(sequence) + _tie_break(rows)
     winners = latest_by(rows, keys, order)
-    q = (winners.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(_append_batch(log_path)).trigger(availableNow=True).start())
-    return _run(q)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = _with_part(batch, part).checkpoint()
+        _merge_parts(table_path, new, lambda both: latest_by(both, list(keys), order))
 
-def current_from_log(spark: SparkSession, log_path: str, keys: Sequence[str],
-                     sequence: Sequence[str]) -> DataFrame:
-    log = spark.read.parquet(log_path).drop("_batch_id")
-    order = [F.col(c) for c in sequence] + _tie_break(log)
-    return latest_by(log, keys, order)
+    q = (winners.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(write).trigger(availableNow=True).start())
+    return _run(q)
 
 
-def scd2_stream(spark: SparkSession, bronze_path: str, log_path: str, checkpoint: str,
-                keys: Sequence[str], sequence: str, where: str | None = None,
-                max_files: int | None = None) -> StreamingQuery:
+def scd2_stream(spark: SparkSession, bronze_path: str, events_path: str, history_path: str, checkpoint: str,
+                keys: Sequence[str], sequence: str, track: Sequence[str], part: Column,
+                where: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Maintain the version history at ``history_path``; ``part`` is derived from the keys."""
+    checkpoint_base(spark)
     rows = silver_stream(read_bronze_stream(spark, bronze_path, max_files))
     if where:
         rows = rows.filter(where)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folded = latest_by(batch, list(keys) + [sequence], _tie_break(batch))
-        folded.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(log_path)
+        fold = lambda both: latest_by(both, [*keys, sequence], _tie_break(both))
+        new = fold(_with_part(batch, part)).checkpoint()
+        events = _merge_parts(events_path, new, fold)
+        write_parts(history_path, _with_part(scd2(events.drop("_part"), keys, sequence, track), part))
 
     q = (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(write).trigger(availableNow=True).start())
     return _run(q)
-
-
-def history_from_log(spark: SparkSession, log_path: str, keys: Sequence[str], sequence: str,
-                     track: Sequence[str]) -> DataFrame:
-    log = spark.read.parquet(log_path).drop("_batch_id")
-    return scd2(log, keys, sequence, track)

@@ -28,7 +28,7 @@ def test_build_and_check_layers(spark, tmpdir_path):
     assert res["source_freshness"]["status"] == "pass"
     # the re-exported files supersede their originals: reference semantics flag them
     assert res["file_completeness"]["failures"] >= 1
-    daily = spark.read.parquet(paths[build.MARTS[0]])
+    daily = build.read_days(spark, paths[build.MARTS[0]])
     assert daily.count() == silver.staged(spark, SF).select("metric_date").distinct().count()
 
 
@@ -59,12 +59,11 @@ def test_incremental_daily_mart_equals_full(spark, tmpdir_path):
     cut = F.lit("2024-02-01 01:00:00").cast("timestamp")
     spath, dpath = os.path.join(tmpdir_path, "s"), os.path.join(tmpdir_path, "d")
     silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cut)), spath)
-    marts.daily_summary(stage_readings(spark.read.parquet(spath).drop("reading_day"))) \
-        .write.parquet(dpath)
+    build.write_days(marts.daily_summary(stage_readings(spark.read.parquet(spath).drop("reading_day"))), dpath)
     touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cut))
     build.merge_daily(spark, dpath, spath, touched)
     full = marts.daily_summary(stage_readings(latest_readings(rows)))
-    got = spark.read.parquet(dpath)
+    got = build.read_days(spark, dpath)
     cols = sorted(full.columns)
     norm = lambda df: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r)
                               for r in df.select(cols).collect()), key=repr)
@@ -83,7 +82,7 @@ def test_merge_day_tables_weight_and_freshness(spark, tmpdir_path):
     first = stage_readings(spark.read.parquet(spath).drop("reading_day"))
     paths = {name: os.path.join(tmpdir_path, name) for name in build.DAY_TABLES}
     for name, fn in build.DAY_TABLES.items():
-        fn(first).write.parquet(paths[name])
+        build.write_days(fn(first), paths[name])
     touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cut))
     build.merge_day_tables(spark, paths, spath, touched)
     full = stage_readings(latest_readings(rows))
@@ -94,9 +93,9 @@ def test_merge_day_tables_weight_and_freshness(spark, tmpdir_path):
                                   for r in df.select(cols).collect()), key=repr)
         return norm(a) == norm(b)
 
-    assert same(marts.weekly_weight_from_daily(spark.read.parquet(paths["daily_weight_readings"])),
+    assert same(marts.weekly_weight_from_daily(build.read_days(spark, paths["daily_weight_readings"])),
                 marts.weekly_weight(full))
-    assert same(marts.freshness_from_day_counts(spark.read.parquet(paths["metric_day_counts"]), "2024-03-15"),
+    assert same(marts.freshness_from_day_counts(build.read_days(spark, paths["metric_day_counts"]), "2024-03-15"),
                 marts.metric_freshness(full, "2024-03-15"))
 
 

@@ -52,6 +52,18 @@ CASES = [
     ("inner-only shape", body({"metrics": VALID["data"]["metrics"]}), 4),
     ("trailing text", body(VALID) + " x", 2),
     ("two documents", body(VALID) + body(VALID), 2),
+    ("closing bracket after the document", body(VALID) + "]", 2),
+    ("closing bracket and text", body(VALID) + "] x", 2),
+    ("spoofed second element", body(VALID) + ',"x"', 2),
+    ("single quotes", body(VALID).replace('"', "'"), 2),
+    ("cut off", body(VALID)[:-3], 2),
+    ("duplicate keys", '{"data":"first",' + body(VALID)[1:], 0),
+    ("bare NaN", body(VALID).replace("120", "NaN"), 0),
+    ("white space around", " \n" + body(VALID) + "\t", 0),
+    ("data as text of an object", body({"data": json.dumps(VALID["data"])}), 4),
+    ("metric null", with_data(metrics=[None]), 6),
+    ("workouts as text of an array", with_data(workouts="[1]"), 9),
+    ("string of over 20 million characters", with_data(note="x" * 20_500_000), 0),
 ]
 
 

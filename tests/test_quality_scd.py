@@ -81,7 +81,7 @@ def test_scd2_versions(spark):
             ("s", 1, None, None, "f", 7),    # repeated null: no new version
             ("s", 1, 11.0, None, "late", 5)]  # late file between two versions
     df = spark.createDataFrame(rows, EV)
-    for kw in ({}, {"max_key_rows": 0}):   # window plan, chunked plan
+    for kw in ({}, {"chunks": 1}, {"chunks": 5}):
         h = scd2(df, ["metric_name", "date"], "file_modification_time", ["value_qty"], **kw)
         got = [(r["value_qty"], r["__START_AT"], r["__END_AT"], r["source_file"])
                for r in h.orderBy("__START_AT").collect()]
@@ -119,3 +119,27 @@ def test_expectation_log_without_batches(spark):
     log = spark.createDataFrame([], "batch_id string, timestamp timestamp, expectations string")
     assert expectation_latest(log).count() == 0
     assert expectation_totals(log).count() == 0
+
+
+def test_scd2_null_keys_are_keys(spark):
+    rows = [(k, d, v, None, f"f{i}", i) for i, (k, d, v) in enumerate(
+        [(None, 1, 1.0), (None, 1, 1.0), (None, 1, 2.0), (None, None, 2.0), (None, None, 2.0), ("s", None, 5.0), (None, 1, 2.0), (None, 1, 2.0)])]
+    df = spark.createDataFrame(rows, EV)
+    for chunks in (1, 3, 8):
+        h = scd2(df, ["metric_name", "date"], "file_modification_time", ["value_qty"], chunks=chunks)
+        got = sorted((tuple(r) for r in h.select("metric_name", "date", "value_qty", "__START_AT", "__END_AT").collect()), key=repr)
+        assert got == sorted([(None, 1, 1.0, 0, 2), (None, 1, 2.0, 2, None), (None, None, 2.0, 3, None), ("s", None, 5.0, 5, None)], key=repr)
+
+
+def test_expectation_counts_beyond_32_bits(spark):
+    import json
+    from pulseframe.operators import expectations as X
+    events = [(k, json.dumps([{"name": "e", "dataset": "d", "passed_records": 3_000_000_000, "failed_records": k}])) for k in (1, 2)]
+    log = spark.createDataFrame(events, "timestamp long, expectations string")
+    assert tuple(X.expectation_totals(log).first()) == ("e", 2, 6_000_000_000, 3)
+    assert X.expectation_latest(log).first()["passed_records"] == 3_000_000_000
+
+
+def test_unique_over_several_columns(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1)], "k string, n int")
+    assert [tuple(r) for r in Q.unique(df, ["k", "n"]).collect()] == [("a", 1, 2)]

@@ -98,3 +98,84 @@ def test_reading_schema_profile(spark):
     prof = reading_schema_profile(rows).first()
     assert prof["n_readings"] == 2 and "qty" in prof["reading_schema"]
     assert [tuple(r) for r in reading_shapes(rows).collect()] == [("m", "date,qty", 2)]
+
+
+def test_a_long_string_does_not_lose_its_file(spark):
+    from pulseframe.operators.flatten import explode_readings, unparsed_documents
+    doc = {"metrics": [{"name": "m", "units": "u", "data": [{"date": "2026-07-20 08:00:00 +0200", "qty": 1}]}], "note": "x" * 20_500_000}
+    b = spark.createDataFrame([(json.dumps(doc), dt.datetime(2026, 7, 21), "long.json"), ("{", dt.datetime(2026, 7, 21), "bad.json"),
+                               (None, dt.datetime(2026, 7, 21), "none.json")], "data string, _ingested_at timestamp, _source_file string")
+    assert [r["value_qty"] for r in explode_readings(b).collect()] == [1.0]
+    assert sorted(tuple(r) for r in unparsed_documents(b).collect()) == [("bad.json", "no_metrics_read"), ("none.json", "no_document")]
+
+
+def test_file_names_stay_distinct_beyond_five_digits(spark):
+    from pulseframe.sources import driver_tables as D
+    events = spark.createDataFrame([(i, dt.datetime(2024, 1, 1), 1, "click", 1.0) for i in (2_500_001, 25_000_001, 25_000_251)],
+                                   "event_id long, ts timestamp, user_id long, event_type string, value double")
+    files = {r[0] for r in D.file_readings(events).filter("_source_file NOT LIKE '%resend%'").select("_source_file").collect()}
+    assert files == {"export_10000.json", "export_100000.json", "export_100001.json"}
+
+
+def test_folder_ingested_twice_adds_nothing_and_keeps_bytes(spark, tmpdir_path):
+    folder, target = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "bronze")
+    write_files(folder, ["a.json", "b.json", "notes.txt"])
+    assert S.ingest_folder(spark, folder, target, "2026-07-21 05:00:00") == 2
+    assert S.ingest_folder(spark, folder, target, "2026-07-22 05:00:00") == 0
+    write_files(folder, ["c.json"])
+    assert S.ingest_folder(spark, folder, target, "2026-07-22 05:00:00") == 1
+    rows = S.read_landed(spark, target).collect()
+    assert sorted(os.path.basename(r["_source_file"]) for r in rows) == ["a.json", "b.json", "c.json"]
+    assert all(r["content_bytes"] == len(r["data"].encode()) and not r["data"].endswith("\n") for r in rows)
+    assert len({r["request_id"] for r in rows}) == 3 and len(os.listdir(target)) >= 2
+
+
+def test_landing_keeps_documents_of_one_name_and_time_apart(spark, tmpdir_path):
+    at = dt.datetime(2026, 7, 21, 5)
+    df = spark.createDataFrame([("{}", at, "same.json"), ("[]\n", at, "same.json")], "data string, _ingested_at timestamp, _source_file string")
+    S.land(df, os.path.join(tmpdir_path, "t"))
+    assert sorted(r["data"] for r in S.read_landed(spark, os.path.join(tmpdir_path, "t")).collect()) == ["[]\n", "{}"]
+
+
+def test_bodies_of_first_copies(spark):
+    rows = [("x", dt.datetime(2026, 7, 20), "a", 1), ("x", dt.datetime(2026, 7, 20), "a", 1), ("y", None, None, 2)]
+    df = spark.createDataFrame(rows, "data string, _ingested_at timestamp, _source_file string, k int")
+    got = S.with_bodies(S.drop_exact_resends(df), df).collect()
+    assert sorted((r["data"], r["copies"], r["k"]) for r in got) == [("x", 2, 1), ("y", 1, 2)]
+
+
+def test_stream_targets_are_current_after_late_files(spark, tmpdir_path):
+    path = lambda n: os.path.join(tmpdir_path, n)
+
+    def land_file(name, qty, modified):
+        doc = {"metrics": [{"name": "step_count", "units": "n", "data": [{"date": "2026-07-20 08:00:00 +0200", "qty": qty}]}]}
+        spark.createDataFrame([(json.dumps(doc), None, dt.datetime(2026, 7, 21), name, dt.datetime(2026, 7, 21, modified))],
+                              "data string, _rescued_data string, _ingested_at timestamp, _source_file string, file_modification_time timestamp"
+                              ).write.mode("append").parquet(path("bronze"))
+
+    def run():
+        keys = ["metric_name", "date"]
+        ST.scd1_stream(spark, path("bronze"), path("one"), path("c1"), keys, [F.col("file_modification_time")], F.to_date("date"))
+        ST.scd2_stream(spark, path("bronze"), path("events"), path("two"), path("c2"), keys, "file_modification_time", ["value_qty"], F.to_date("date"))
+        return ([r["value_qty"] for r in ST.read_parts(spark, path("one")).collect()],
+                [(r["value_qty"], r["__START_AT"].hour, r["__END_AT"].hour if r["__END_AT"] else None)
+                 for r in ST.read_parts(spark, path("two")).orderBy("__START_AT").collect()])
+
+    land_file("a.json", 1, 1)
+    land_file("b.json", 2, 5)
+    assert run() == ([2.0], [(1.0, 1, 5), (2.0, 5, None)])
+    land_file("late.json", 3, 3)
+    assert run() == ([2.0], [(1.0, 1, 3), (3.0, 3, 5), (2.0, 5, None)])
+    assert run() == ([2.0], [(1.0, 1, 3), (3.0, 3, 5), (2.0, 5, None)])
+
+
+def test_silver_of_one_metric_spans_tasks(spark, tmpdir_path):
+    from pulseframe.plans.silver import write_silver
+    rows = spark.range(400_000).selectExpr("'step_count' AS metric_name", "id", "uuid() AS value_raw")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_silver(rows, os.path.join(tmpdir_path, "s"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    parts = [f for f in os.listdir(os.path.join(tmpdir_path, "s", "metric_name=step_count")) if f.endswith(".parquet")]
+    assert len(parts) > 1
