@@ -82,9 +82,9 @@ def thresholds(measured: DataFrame, width: float = WIDTH, min_rows: int = MIN_RO
         F.count("*").alias("n"), *(F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in MEASURES))
     merged = lambda g: (F.sum("n").alias(f"n_{g}"), *(F.kll_merge_agg_double(m, F.lit(SKETCH_K)).alias(f"{g}_{m}") for m in MEASURES))
     languages = groups.groupBy("lang").agg(*merged("l"))
-    corpus = groups.agg(*merged("c"))
+    corpus = groups.groupBy(F.lit(1).alias("all")).agg(*merged("c"))  # one row, met by its constant key
     wide = (groups.join(languages.withColumnRenamed("lang", "l_lang"), F.col("lang").eqNullSafe(F.col("l_lang")))
-            .join(F.broadcast(corpus), F.lit(True)))  # one row
+            .withColumn("every", F.lit(1)).join(F.broadcast(corpus), F.col("every") == F.col("all")))
     out = ["lang", "source"]
     for m in MEASURES:
         sketch = F.when(F.col("n") >= min_rows, F.col(m)).when(F.col("n_l") >= min_rows, F.col(f"l_{m}")).otherwise(F.col(f"c_{m}"))

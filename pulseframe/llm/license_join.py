@@ -86,31 +86,30 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     # the words of a block that can be part of any overlap: the intersection with the vocabulary
     blocks = (lines.select("doc_id", "h", "block", F.array_intersect(F.split(normalised(F.col("line")), " "), words).alias("words"))
               .filter(F.size("words") > 0))
-    counts = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    rows = [(k, label, w, need, len(ws)) for k, label, ws, need in sets for w in ws]
-    index = spark.sql(" UNION ALL ".join(
-        f"SELECT {k} AS t, '{label}' AS label, '{w}' AS word, {need} AS need, {size} AS size" for k, label, w, need, size in rows)
-        or "SELECT 0 AS t, '' AS label, '' AS word, 0 AS need, 0 AS size WHERE false")
-    ordered = (index.join(counts, "word", "left").na.fill(0, ["n"])
-               .groupBy("t", "label", "need", "size")
-               .agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("ranked")))
-    tokens = F.transform("ranked", lambda x: x["word"])
-    prefixes = ordered.select("t", "label", "need", "size", tokens.alias("tokens"),
-                              F.posexplode(F.slice(tokens, F.lit(1), F.col("size") - F.col("need") + 1)).alias("p", "word"))
-    # the global order of all template words, one row; it orders the words of a block
-    order = counts.select(F.struct("n", "word").alias("x")).agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["word"]).alias("order"))
-    placed = (blocks.filter(F.size("words") >= min((t[3] for t in sets), default=1))
-              .join(F.broadcast(order), F.lit(True))
-              .select("doc_id", "h", "block", F.array_intersect("order", "words").alias("words")))
+    # the global order, rarest first: at most MAX_TEMPLATE_WORDS counts come back
+    counts = {r["word"]: r["n"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    place = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
+    order = F.array(*map(F.lit, place)) if place else words
+    index = []
+    for _, label, tokens, need in sets:
+        tokens = sorted(tokens, key=place.get)
+        index += [F.struct(F.lit(label).alias("label"), F.lit(need).alias("need"), F.array(*map(F.lit, tokens)).alias("tokens"),
+                           F.lit(p).alias("p"), F.lit(tokens[p]).alias("word")) for p in range(len(tokens) - need + 1)]
+    if not index:
+        return docs.limit(0).select("doc_id", "h", F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("containment"))
+    prefixes = spark.range(1).select(F.inline(F.array(*index)))
+    placed = (blocks.filter(F.size("words") >= min(t[3] for t in sets))
+              .select("doc_id", "h", "block", F.array_intersect(order, F.col("words")).alias("words")))
     probes = placed.select("doc_id", "h", "block", "words", F.posexplode("words").alias("q", "word"))
+    size = F.size("tokens")
     pairs = (probes.join(F.broadcast(prefixes), "word")  # bounded by MAX_TEMPLATE_WORDS
              .filter((F.size("words") >= F.col("need"))
-                     & (F.least(F.col("size") - F.col("p"), F.size("words") - F.col("q")) >= F.col("need"))))
+                     & (F.least(size - F.col("p"), F.size("words") - F.col("q")) >= F.col("need"))))
     # a pair is verified once, at its rarest shared word
     rarest = F.element_at(F.array_intersect("tokens", "words"), 1)
     overlap = F.size(F.array_intersect("tokens", "words"))
     return (pairs.filter((F.col("word") == rarest) & (overlap >= F.col("need")))
-            .select("doc_id", "h", "block", "label", (overlap / F.col("size")).alias("containment")))
+            .select("doc_id", "h", "block", "label", (overlap / size).alias("containment")))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phrases=PHRASES) -> DataFrame:
