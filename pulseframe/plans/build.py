@@ -196,3 +196,26 @@ def merge_day_tables(spark: SparkSession, paths: dict[str, str], silver_path: st
                      touched: DataFrame) -> None:
     for name, fn in DAY_TABLES.items():
         recompute_days(spark, paths[name], silver_path, touched, fn)
+
+
+def publish_layers(spark: SparkSession, paths: dict[str, str], prefix: str) -> dict[str, str]:
+    """Name the written layers: schemas ``<prefix>_silver`` and ``<prefix>_gold`` with
+    a table per stored layer, and the staging view over the Silver table.
+
+    Returns layer -> qualified name.  Existing names are replaced; data stay where
+    they are (tables by location).
+    """
+    silver_schema, gold_schema = f"{prefix}_silver", f"{prefix}_gold"
+    for schema in (silver_schema, gold_schema):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    out = {}
+    for layer in ("silver", *MARTS):
+        name = f"{silver_schema}.base_readings" if layer == "silver" else f"{gold_schema}.{layer}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{paths[layer]}'")
+        if layer in ("silver", MARTS[0]):  # stored by partition
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        out[layer] = name
+    stage_readings(spark.table(out["silver"]).drop("reading_day")).createOrReplaceTempView(f"{prefix}_stg_readings")
+    out["staging"] = f"{prefix}_stg_readings"
+    return out

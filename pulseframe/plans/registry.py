@@ -572,3 +572,32 @@ def q_gold_incremental_metric_freshness(spark, sf_dir):
 def q_gold_incremental_weekly_weight(spark, sf_dir):
     d = _incremental_day_table(spark, sf_dir, "daily-weight", marts.daily_weight_readings)
     return marts.weekly_weight_from_daily(d)
+
+
+# --- the daily job over stored layers ------------------------------------------------
+def _stored_layers(spark, sf_dir):
+    """Full build from the files landed by the cutoff, then an incremental run with the rest."""
+    bronze = silver.bronze(spark, sf_dir)
+    cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
+    out = shared_dir(spark, "layers")
+    build.build_layers(spark, bronze.filter(F.col("_ingested_at") <= cutoff), out, AS_OF)
+    return bronze, build.update_layers(spark, bronze.filter(F.col("_ingested_at") > cutoff), out, AS_OF)
+
+
+@register("daily_job")
+def q_daily_job(spark, sf_dir):
+    """Build, incremental run and all 27 checks over the stored layers."""
+    bronze, paths = _stored_layers(spark, sf_dir)
+    return build.check_layers(spark, bronze, paths, FRESHNESS_AS_OF)
+
+
+@register("named_layers")
+def q_named_layers(spark, sf_dir):
+    """The stored layers by their catalog names (schemas, tables, the staging view)."""
+    _, paths = _stored_layers(spark, sf_dir)
+    names = build.publish_layers(spark, paths, "pulse")
+    parts = [spark.sql(f"SELECT '{layer}' AS layer, count(*) AS n_rows FROM {name}") for layer, name in names.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
