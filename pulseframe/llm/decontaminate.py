@@ -47,28 +47,21 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> set[bytes]:
 
 
 def shards(benchmark: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS,
-           id_col: str = "item_id", text_col: str = "text") -> list[list[tuple[bytes, tuple[str, ...]]]]:
-    """[(window, items that hold it)], cut into lists of bounded total length."""
+           id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
+    """[(window, items that hold it)], in lists of bounded total length, one at a time."""
     items: dict[bytes, set[str]] = defaultdict(set)
     rows = benchmark.select(F.col(id_col).cast("string").alias("i"), text_bytes(text_col).alias("t")).filter("i IS NOT NULL")
-    out: list[list[tuple[bytes, tuple[str, ...]]]] = []
     chars = 0
-
-    def close() -> None:
-        nonlocal chars
-        if items:
-            out.append([(w, tuple(sorted(i))) for w, i in items.items()])
-        items.clear()
-        chars = 0
-
     for row in rows.sort("i").toLocalIterator():
         for window in windows_of(words_of(bytes(row["t"])), size):
             chars += 0 if window in items else len(window)
             items[window].add(row["i"])
         if chars > shard_chars:
-            close()
-    close()
-    return out
+            yield [(w, tuple(sorted(i))) for w, i in items.items()]
+            items.clear()
+            chars = 0
+    if items:
+        yield [(w, tuple(sorted(i))) for w, i in items.items()]
 
 
 def automaton(windows: list[tuple[bytes, tuple[str, ...]]]):
@@ -115,17 +108,18 @@ def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int =
     ``items``: sorted item ids whose windows occur; ``spans``: code-point [start, end) of
     the hit passages in the original text.
     """
-    parts = shards(benchmark, size, shard_chars) or [[]]
+    parts = shards(benchmark, size, shard_chars)
     field = pa.field("id", pa.int64())
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"))
-    if len(parts) == 1:
-        return base.mapInArrow(_scanner(spark.sparkContext.broadcast(parts[0]), field), _schema())
-    # every further automaton passes over the same texts; hits are carried along
-    carried = base.withColumns({"ranges": F.array().cast(SPANS), "items": F.array().cast("array<string>")})
-    for part in parts[:-1]:
-        carried = carried.mapInArrow(_scanner(spark.sparkContext.broadcast(part), field, carry=True),
-                                     f"id long, t binary, ranges {SPANS}, items array<string>")
-    return carried.mapInArrow(_scanner(spark.sparkContext.broadcast(parts[-1]), field), _schema())
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"))
+    windows = next(parts, [])
+    for following in parts:
+        # one more automaton passes over the same texts; hits are carried along
+        if "ranges" not in texts.columns:
+            texts = texts.withColumns({"ranges": F.array().cast(SPANS), "items": F.array().cast("array<string>")})
+        texts = texts.mapInArrow(_scanner(spark.sparkContext.broadcast(windows), field, carry=True),
+                                 f"id long, t binary, ranges {SPANS}, items array<string>")
+        windows = following
+    return texts.mapInArrow(_scanner(spark.sparkContext.broadcast(windows), field), _schema())
 
 
 def _schema() -> str:
