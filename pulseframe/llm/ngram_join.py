@@ -150,30 +150,29 @@ def signatures(docs: DataFrame, bands: int, rows: int, id_col: str = "doc_id", t
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """(node, root): connected components of (a, b); root is the least node of each.
+    """(node, root): connected components of (a, b) longs; root is the least node of each.
 
     Alternating star contraction: each round links every node's larger neighbours, then its
-    smaller ones, to the least node it sees; each round is a fixed number of joins, and the
-    rounds grow with the logarithm of the largest component.
+    smaller ones, to the least node it sees, until every node hangs on a root directly.  A
+    round is a fixed number of joins; the rounds grow with the logarithm of the largest
+    component.
     """
     links = written(spark, edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
     while True:
+        # converged: no node hangs on a node that itself hangs on another
+        parents = links.select(F.col("b").alias("p")).distinct()
+        if links.join(parents, F.col("a") == F.col("p"), "left_semi").isEmpty():
+            return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+                parents.select(F.col("p").alias("node"), F.col("p").alias("root")))
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
         # large star: neighbours above a node go to the least of its neighbourhood
         large = both.filter("b > a").join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = written(spark, large, "large-star")
         # small star: neighbours below a node, and the node, go to the least of them
         lowest = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
         small = (large.join(lowest, F.col("a") == F.col("k")).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
                  .filter("a <> b").distinct())
-        links = written(spark, small, "small-star")
-        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if before == now or not now["n"]:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = now
+        links = written(spark, small, "links")
 
 
 def linked(index: list[np.ndarray], probes: list[np.ndarray], same: bool, threshold: tuple[int, int] = THRESHOLD) -> Iterator[tuple[int, np.ndarray]]:
@@ -203,12 +202,14 @@ def linked(index: list[np.ndarray], probes: list[np.ndarray], same: bool, thresh
 
 def verify(tables: pa.Table) -> pa.Table:
     """One block pair: per node its linked documents and the least node it is connected to."""
+    # rows repeated under one id and text are one node
+    _, first = np.unique(tables.column("nid").to_numpy(), return_index=True)
+    tables = tables.take(pa.array(first))
     i, j = tables.column("i")[0].as_py(), tables.column("j")[0].as_py()
-    nodes, copies, block = (tables.column(c).to_pylist() for c in ("node", "copies", "block"))
+    nodes, copies, block = (tables.column(c).to_numpy() for c in ("nid", "copies", "block"))
     sets = [np.frombuffer(g, np.uint64) for g in tables.column("grams").to_pylist()]
-    order = sorted(range(len(nodes)), key=lambda k: nodes[k])
-    left, right = [k for k in order if block[k] == i], [k for k in order if block[k] == j]
-    parent = list(range(len(nodes)))
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    parent = list(range(len(nodes)))  # nodes are in order, so the least place is the least node
 
     def root(k: int) -> int:
         while parent[k] != k:
@@ -216,22 +217,18 @@ def verify(tables: pa.Table) -> pa.Table:
             k = parent[k]
         return k
 
-    links = [0] * len(nodes)
-    weight = np.array(copies)
-    if left and right:
-        members = np.array(left)
+    links = np.zeros(len(nodes), np.int64)
+    if len(left) and len(right):
         for k, hits in linked([sets[x] for x in left], [sets[x] for x in right], i == j):
             if len(hits):
-                me, others = right[k], members[hits]
-                links[me] += int(weight[others].sum())
+                me, others = int(right[k]), left[hits]
+                links[me] += copies[others].sum()
+                links[others] += copies[me]
                 for other in others.tolist():
-                    links[other] += copies[me]
                     a, b = root(me), root(other)
-                    if a != b:
-                        low, high = (a, b) if nodes[a] < nodes[b] else (b, a)
-                        parent[high] = low
-    return pa.table({"node": pa.array(nodes, pa.binary()), "links": pa.array(links, pa.int64()),
-                     "root": pa.array([nodes[root(k)] for k in range(len(nodes))], pa.binary())})
+                    parent[max(a, b)] = min(a, b)
+    return pa.table({"nid": pa.array(nodes), "links": pa.array(links), "root": pa.array(nodes[[root(k) for k in range(len(nodes))]]),
+                     "blocks": tables.column("blocks")})
 
 
 def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -246,20 +243,21 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     # a node stands for all documents of its n-gram set; the least (id, h), nulls last, is its first
     nodes = has.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("first"),
                                     F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    nodes = written(spark, nodes, "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("c")).filter("c > 1").select(F.col("band").alias("k"), "least")
-    edges = banded.join(buckets, F.col("band") == F.col("k")).select(F.col("node").alias("a"), F.col("least").alias("b"))
-    groups = components(spark, edges)
-    blocks = groups.join(nodes.select("node", "first", "copies", "n"), "node")
+    # numbered as they are written; from then on the number is fixed
+    nodes = written(spark, nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    banded = nodes.select("nid", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.min("nid").alias("least"), F.count("*").alias("c")).filter("c > 1").select(F.col("band").alias("k"), "least")
+    edges = banded.join(buckets, F.col("band") == F.col("k")).select(F.col("nid").alias("a"), F.col("least").alias("b"))
+    groups = components(spark, edges).withColumnRenamed("node", "nid")
+    blocks = groups.join(nodes.select("nid", "first", "copies", "n"), "nid")
     sizes = blocks.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / block_grams)).cast("int").alias("blocks"))
     wanted = written(spark, blocks.join(sizes, "root").select(
-        F.col("node").alias("w_node"), F.col("first.id").alias("w_id"), F.col("first.h").alias("w_h"), F.col("root").alias("group"),
+        "nid", F.col("first.id").alias("w_id"), F.col("first.h").alias("w_h"), F.col("root").alias("group"),
         "copies", "blocks"), "candidates")
     texts = (keyed(docs, id_col, text_col)
              .join(wanted, (F.col("h") == F.col("w_h")) & F.col("id").eqNullSafe(F.col("w_id")))
-             .select("group", "w_node", "copies", "blocks", "t"))
-    held = pa.schema([("group", pa.binary()), ("node", pa.binary()), ("copies", pa.int64()), ("blocks", pa.int32()), ("grams", pa.binary())])
+             .select("group", "nid", "copies", "blocks", "t"))
+    held = pa.schema([("group", pa.int64()), ("nid", pa.int64()), ("copies", pa.int64()), ("blocks", pa.int32()), ("grams", pa.binary())])
 
     def regram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -269,17 +267,20 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
                 grams = [gram_set(t, hashes).tobytes() for t in b.column(4).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(k).cast(held.field(k).type) for k in range(4)] + [pa.array(grams, pa.binary())], schema=held)
 
-    grams = texts.mapInArrow(regram, "group binary, node binary, copies long, blocks int, grams binary")
-    grams = grams.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    grams = texts.mapInArrow(regram, "group long, nid long, copies long, blocks int, grams binary")
+    grams = grams.withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
     # each node goes to every pair of blocks that has its own
-    paired = grams.select("group", "node", "copies", "block", "grams", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    paired = grams.select("group", "nid", "copies", "blocks", "block", "grams", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     paired = paired.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
-    checked = written(spark, paired.groupBy("group", "i", "j").applyInArrow(verify_once, "node binary, links long, root binary"), "verified")
-    links = checked.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(spark, checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    least = nodes.join(classes, "node", "left").select("node", "first", "copies", F.coalesce("root", "node").alias("root"))
+    checked = written(spark, paired.groupBy("group", "i", "j").applyInArrow(verify, "nid long, links long, root long, blocks int"), "verified")
+    links = checked.groupBy("nid").agg(F.sum("links").alias("links"))
+    # a group of one block is verified whole; the others' block pairs are connected here
+    classes, cut = checked.filter("blocks = 1").select("nid", "root"), checked.filter("blocks > 1")
+    if not cut.isEmpty():
+        classes = classes.unionByName(components(spark, cut.select(F.col("nid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "nid"))
+    least = nodes.join(classes, "nid", "left").select("node", "nid", "first", "copies", F.coalesce("root", "nid").alias("root"))
     named = least.groupBy("root").agg(F.min("first").alias("kept")).withColumnRenamed("root", "r")
-    facts = (least.join(named, F.col("root") == F.col("r")).join(links, "node", "left")
+    facts = (least.join(named, F.col("root") == F.col("r")).join(links, "nid", "left")
              .select(F.col("node").alias("f_node"), "kept", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     alone = F.col("node").isNull()
     return signed.join(facts, F.col("node") == F.col("f_node"), "left").select(
@@ -288,16 +289,6 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
         (alone | (F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("h") == F.col("kept.h")))).alias("kept"), alone.alias("alone"))
 
 
-def verify_once(tables: pa.Table) -> pa.Table:
-    """``verify`` on distinct nodes: rows repeated under one id and text are one."""
-    seen, first = set(), []
-    for k, node in enumerate(tables.column("node").to_pylist()):
-        if node not in seen:
-            seen.add(node)
-            first.append(k)
-    return verify(tables.take(pa.array(first)) if len(first) < tables.num_rows else tables)
-
-
 def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each class, that of the least id; all columns kept.
 
