@@ -254,8 +254,9 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     wanted = written(spark, blocks.join(sizes, "root").select(
         "nid", F.col("first.id").alias("w_id"), F.col("first.h").alias("w_h"), F.col("root").alias("group"),
         "copies", "blocks"), "candidates")
+    # one plan at every size: a broadcast of the candidates would grow with the table
     texts = (keyed(docs, id_col, text_col)
-             .join(wanted, (F.col("h") == F.col("w_h")) & F.col("id").eqNullSafe(F.col("w_id")))
+             .join(wanted.hint("merge"), (F.col("h") == F.col("w_h")) & F.col("id").eqNullSafe(F.col("w_id")))
              .select("group", "nid", "copies", "blocks", "t"))
     held = pa.schema([("group", pa.int64()), ("nid", pa.int64()), ("copies", pa.int64()), ("blocks", pa.int32()), ("grams", pa.binary())])
 
