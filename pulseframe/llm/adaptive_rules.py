@@ -30,7 +30,7 @@ from pulseframe.llm.common import per_row, table, text_bytes, written
 
 MEASURES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars")
 #: Least spread of each measure: below it, differences are ordinary.
-LEAST_SPREAD = {"symbol_ratio": 0.02, "dup_line_ratio": 0.05, "repeat_ratio": 0.05, "mean_word_chars": 0.5}
+LEAST_SPREAD = {"symbol_ratio": 0.02, "dup_line_ratio": 0.1, "repeat_ratio": 0.1, "mean_word_chars": 0.5}
 WIDTH = 4.0
 LOW, HIGH = 0.25, 0.75
 MIN_ROWS = 100
