@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm.common import LOWER, UPPER, normalised, table
+from pulseframe.llm.common import LOWER, UPPER, normalised, table, written
 
 #: Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -86,6 +86,7 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     # the words of a block that can be part of any overlap: the intersection with the vocabulary
     blocks = (lines.select("doc_id", "h", "block", F.array_intersect(F.split(normalised(F.col("line")), " "), words).alias("words"))
               .filter(F.size("words") > 0))
+    blocks = written(spark, blocks, "template-words")  # a few words a line: counted, then probed
     # the global order, rarest first: at most MAX_TEMPLATE_WORDS counts come back
     counts = {r["word"]: r["n"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     place = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
@@ -98,7 +99,8 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     if not index:
         return docs.limit(0).select("doc_id", "h", F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("containment"))
     prefixes = spark.range(1).select(F.inline(F.array(*index)))
-    placed = (blocks.filter(F.size("words") >= min(t[3] for t in sets))
+    rare = F.array(*map(F.lit, sorted({t[p] for _, _, ws, need in sets for t in [sorted(ws, key=place.get)] for p in range(len(ws) - need + 1)})))
+    placed = (blocks.filter((F.size("words") >= min(t[3] for t in sets)) & F.arrays_overlap("words", rare))
               .select("doc_id", "h", "block", F.array_intersect(order, F.col("words")).alias("words")))
     probes = placed.select("doc_id", "h", "block", "words", F.posexplode("words").alias("q", "word"))
     size = F.size("tokens")
