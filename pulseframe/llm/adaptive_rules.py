@@ -4,10 +4,11 @@ Every text's rule measures (symbols, repeated words and lines, word length per
 word) are sketched per (language, source) with mergeable KLL sketches.  The
 sketches of a language merge into the language's, those into the corpus's; a
 group of fewer than ``min_rows`` texts uses the next wider one.  From the
-sketch of its group each measure gets fences in place of a fixed cutoff:
-``median +- width * (quantile spread)``, with a least spread, so that a group
-whose values are all alike does not reject its first odd text.  The few
-thresholds are joined back to the texts, and a text outside any fence goes.
+sketch of its group each measure gets fences in place of a fixed cutoff: a tail
+quantile, plus (or less) a multiple of its distance to the median.  That distance
+counts as one count in a text of 50 words at least, so that a group whose values are all
+alike does not reject its first odd text.  The few thresholds are joined back to
+the texts, and a text outside any fence goes.
 
 Sketching pre-aggregates in every map task, so a source holding a third of the
 rows costs one sketch per task.  The threshold table has one row per (language,
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 from pulseframe.llm.common import per_row, table, text_bytes, written
 
 MEASURES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars")
-#: Least spread of each measure: below it, differences are ordinary.
-LEAST_SPREAD = {"symbol_ratio": 0.02, "dup_line_ratio": 0.1, "repeat_ratio": 0.1, "mean_word_chars": 0.5}
-WIDTH = 4.0
-LOW, HIGH = 0.25, 0.75
+#: (low quantile, its width, high quantile, its width) of each measure.  Words of odd length
+#: and symbols mark whole junk texts, up to a tenth of a group, so their high quantile lies below those.
+TAILS = {"symbol_ratio": (0.01, 1.0, 0.9, 4.0), "dup_line_ratio": (0.01, 1.0, 0.99, 1.5),
+         "repeat_ratio": (0.01, 1.0, 0.99, 1.5), "mean_word_chars": (0.01, 1.0, 0.9, 4.0)}
+#: Least distance of a tail quantile to the median: one count in the shortest text that the base rule passes.
+LEAST_SPREAD = 1 / 50
 MIN_ROWS = 100
 SKETCH_K = 400
 _SYMBOLS = b"#*$%&|<>"
@@ -75,7 +78,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))})
 
 
-def thresholds(measured: DataFrame, width: float = WIDTH, min_rows: int = MIN_ROWS) -> DataFrame:
+def thresholds(measured: DataFrame, tails=TAILS, min_rows: int = MIN_ROWS) -> DataFrame:
     """(lang, source, low and high of every measure), one row per group seen."""
     ok = measured.filter("NOT base_failed")
     groups = ok.groupBy("lang", "source").agg(
@@ -89,8 +92,9 @@ def thresholds(measured: DataFrame, width: float = WIDTH, min_rows: int = MIN_RO
     for m in MEASURES:
         sketch = F.when(F.col("n") >= min_rows, F.col(m)).when(F.col("n_l") >= min_rows, F.col(f"l_{m}")).otherwise(F.col(f"c_{m}"))
         q = lambda p, s=sketch: F.kll_sketch_get_quantile_double(s, F.lit(p))
-        spread = F.greatest(q(HIGH) - q(LOW), F.lit(LEAST_SPREAD[m]))
-        out += [(q(0.5) - width * spread).alias(f"{m}_low"), (q(0.5) + width * spread).alias(f"{m}_high")]
+        low, low_width, high, high_width = tails[m]
+        below, above = (F.greatest(d, F.lit(LEAST_SPREAD)) for d in (q(0.5) - q(low), q(high) - q(0.5)))
+        out += [(q(low) - low_width * below).alias(f"{m}_low"), (q(high) + high_width * above).alias(f"{m}_high")]
     return wide.select(*out)
 
 

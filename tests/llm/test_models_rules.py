@@ -127,3 +127,15 @@ def test_small_groups_use_wider_ones_and_outliers_go(spark):
     assert [k for k, v in got.items() if not v] in ([200, 201], [201, 200])
     heavy = spark.createDataFrame([(k, text(k, "$" if k % 2 else "$$"), "en", "code") for k in range(150)], "doc_id long, text string, lang string, source string")
     assert adaptive_rules.rules(spark, heavy).filter("NOT kept").count() == 0  # the cutoff follows the source
+
+
+def test_each_group_has_its_own_tail_fences(spark):
+    rows = [(g, float(k % 20) / 1000 * w) for g, w in (("calm", 1), ("wild", 5)) for k in range(200)] + [("calm", 0.35), ("calm", 0.03), ("wild", 0.15)]
+    frame = spark.createDataFrame([(k, "en", g, 0.0, 0.0, x, 5.0 + x, False) for k, (g, x) in enumerate(rows)],
+                                  "doc_id long, lang string, source string, symbol_ratio double, dup_line_ratio double, repeat_ratio double, mean_word_chars double, base_failed boolean")
+    limits = adaptive_rules.thresholds(frame)
+    by = {r.source: r for r in limits.collect()}
+    for g, w in (("calm", 1), ("wild", 5)):
+        assert by[g].mean_word_chars_low < 5 and by[g].symbol_ratio_high == 4 * adaptive_rules.LEAST_SPREAD
+        assert abs(by[g].repeat_ratio_high - (0.019 * w + 1.5 * max(0.0095 * w, 0.02))) < 0.004 * w
+    assert {r.doc_id for r in adaptive_rules.judge(frame, limits).filter("NOT kept").collect()} == {400}  # the old fence, 0.4, kept it
