@@ -4,7 +4,8 @@ DataFrame functions only.  Texts are lower-cased (A-Z) and cut into words.
 
 * Base: every place where a phrase's words stand consecutively, with its label.
 * Method: text blocks (lines) are joined with license templates by containment,
-  |block and template| >= threshold * |template| on distinct words, exactly:
+  |block and template| >= threshold * |template| on distinct words, and more than
+  the template shares with one of another label, exactly:
   - global order: words are ordered by the number of blocks of the whole table
     that hold them, rarest first (counted by Spark for template words; no other
     word can be part of an overlap);
@@ -28,6 +29,7 @@ any template that is reached, 1 where a base phrase stands, else 0.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +49,22 @@ TEMPLATES = (
     ("cc-by", "Licensed under CC BY 4.0"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0"),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0"),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("reserved", "Copyright All rights reserved"),
+    # one-line forms
+    ("apache-2.0", "Licensed under the Apache License 2.0"),
+    ("apache-2.0", "Released under the Apache License 2.0"),
+    ("mit", "Licensed under the MIT License"),
+    ("mit", "Released under the MIT License"),
+    ("bsd", "Licensed under the BSD License"),
+    ("bsd", "Released under the BSD License"),
+    ("gpl", "Licensed under the GNU General Public License"),
+    ("gpl", "Released under the GNU General Public License"),
+    ("mpl-2.0", "Licensed under the Mozilla Public License 2.0"),
+    ("mpl-2.0", "Released under the Mozilla Public License 2.0"),
 )
 THRESHOLD = 0.8
 MAX_TEMPLATE_WORDS = 50_000
@@ -61,15 +77,29 @@ def n_words(norm: Column) -> Column:
 
 
 def template_sets(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[tuple[int, str, list[str], int]]:
-    """(number, label, distinct words, required overlap)."""
-    out = []
+    """(number, label, distinct words, required overlap).
+
+    A template needs more words than it shares with any template of another label
+    (all of its words, where the other one holds them all), so the text of one
+    license does not reach the template of another by their common words alone.
+    """
+    sets = []
     for k, (label, text) in enumerate(templates):
         lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
         words = sorted(set("".join(c if ord(c) >= 128 or c.isalnum() else " " for c in lower).split()))
         if words:
-            out.append((k, label, words, max(1, math.ceil(threshold * len(words) - 1e-9))))
-    if sum(len(t[2]) for t in out) > MAX_TEMPLATE_WORDS:
+            sets.append((k, label, words))
+    if sum(len(t[2]) for t in sets) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates of more than {MAX_TEMPLATE_WORDS} words in all: scan them in several calls")
+    holders: dict[str, list[int]] = {}
+    for i, (_, _, words) in enumerate(sets):
+        for w in words:
+            holders.setdefault(w, []).append(i)
+    out = []
+    for k, label, words in sets:
+        shared = Counter(i for w in words for i in holders[w] if sets[i][1] != label)
+        need = max(1, math.ceil(threshold * len(words) - 1e-9), 1 + max(shared.values(), default=-1))
+        out.append((k, label, words, min(need, len(words))))
     return out
 
 

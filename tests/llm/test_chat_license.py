@@ -118,3 +118,12 @@ def test_oracles_on_the_given_tables(spark, sf):
 
 def test_license_empty_table(spark, empty):
     assert license_join.scan(empty).count() == 0
+
+
+def test_one_line_notices_get_their_own_label(spark):
+    lines = {"Licensed under the Apache License, Version 2.0.": "apache-2.0", "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+             "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa", "Licensed under CC BY-ND 4.0.": "cc-by,cc-by-nd", "Licensed under CC BY 4.0.": "cc-by",
+             "This work is licensed under the GNU General Public License, version 3.": "gpl", "Licensed under the Mozilla Public License, Version 2.0": "mpl-2.0",
+             "Licensed under the Apache License 2.0": "apache-2.0", "Released under the BSD License": "bsd", "Released under the Foo License": "", "Licensed under the Foo License, Version 2.0": ""}
+    docs = spark.createDataFrame([(k, f"before\n{line}\nafter") for k, line in enumerate(lines)], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in license_join.scan(docs).collect()} == dict(enumerate(lines.values()))
