@@ -5,9 +5,12 @@ most 255), ``card`` (12 to 19 digits, Luhn), ``phone`` (9 to 15 digits).  Added
 kinds, kept when their score reaches ``min_score``: ``iban`` (mod-97),
 ``ssn`` (area, group and serial rules; needs a context word nearby).
 
-Matches of a kind are leftmost and do not overlap; a match that fails its test
-is dropped without a second try inside it.  Every pattern runs in time linear
-in the text.  Scores: a prior per kind, plus a checksum bonus, plus a bonus for
+Matches of a kind are leftmost and do not overlap; a base match that fails its
+test is dropped without a second try inside it.  An account number may run on
+into the next upper-case words or numbers: every word end at 15 to 34 characters
+is tested, the length of its country first, then the longest; if none holds, the
+search goes on behind its first four characters.  Every pattern runs in time
+linear in the text.  Scores: a prior per kind, plus a checksum bonus, plus a bonus for
 a context word within ``CONTEXT_CHARS`` before or after.
 
 Null and empty texts have no spans.  Rows are handled each on its own (ties,
@@ -46,7 +49,14 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?+[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+")
+_WORD_END = re.compile(r"(?<! )(?![A-Za-z0-9])")
+#: Characters of an account number by country (registry of ISO 13616).
+_IBAN_CHARS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 "
+    "GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 "
+    "ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 SE24 SI19 SK24 SM27 ST25 SV28 TN24 "
+    "TR26 UA29 VA22 VG24 XK20").split()}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -79,6 +89,22 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", at + 1)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers that end at a word end and hold their checksum."""
+    m = _IBAN.search(text)
+    while m:
+        start, done = m.start(), m.start() + 4
+        ends = [(k, account) for k in range(start + 15, m.end() + 1)
+                if _WORD_END.match(text, k) and 15 <= len(account := text[start:k].replace(" ", "")) <= 34]
+        usual = _IBAN_CHARS.get(m[0][:2])
+        for end, account in sorted(ends, key=lambda e: (len(e[1]) != usual, -e[0])):
+            if mod97(account):
+                yield start, end
+                done = end
+                break
+        m = _IBAN.search(text, done)
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, whether a checksum holds); what fails its test is left out."""
     for start, end in emails(text):
@@ -93,9 +119,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15:
                 yield "phone", m.start(), m.end(), False
-    for m in _IBAN.finditer(text):
-        if 15 <= len(account := m[0].replace(" ", "")) <= 34 and mod97(account):
-            yield "iban", m.start(), m.end(), True
+    for start, end in ibans(text):
+        yield "iban", start, end, True
     for m in _SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             yield "ssn", m.start(), m.end(), False

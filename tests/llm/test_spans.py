@@ -48,6 +48,16 @@ def test_checksums_and_context():
     assert near > far >= pii.MIN_SCORE
 
 
+def test_account_numbers_before_upper_case_words_and_numbers():
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text, exp in ((f"IBAN {de.replace(' ', '')} BIC COBADEFF", [de.replace(" ", "")]), (f"IBAN {de} BIC COBADEFFXXX", [de]),
+                      (f"{gb} USA", [gb]), (f"{de.replace(' ', '')} 2024", [de.replace(" ", "")]), (f"{de} {gb} X1", [de, gb]),
+                      (f"AB12 {de} OK", [de]), (f"{de}, {gb}.", [de, gb]), (f"{de}x", []), (f"{gb[:-1]}3 USA", [])):
+        assert [text[s:e] for s, e, k, _ in pii.spans_of(text) if k == "iban"] == exp, text
+    assert pii.redacted(f"IBAN {de} BIC COBADEFFXXX") == "IBAN [IBAN] BIC COBADEFFXXX"
+    pii.spans_of("GB82 " * 40_000)
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "+" * 50_000, "1 " * 100_000, "1." * 100_000, "A" * 100_000 + "GB82" * 20_000):
         pii.spans_of(text)
