@@ -9,10 +9,13 @@ original text.
 
 The window strings are broadcast only up to ``shard_chars`` characters at a
 time: a larger benchmark is split into several automata, each passing over the
-texts in turn, so memory stays bounded whatever the benchmark's size.
+texts in turn.  The benchmark passes through the driver, and all automata are
+steps of one stage, so a task holds every shard's at once: memory grows with the
+benchmark, and a benchmark of many shards may not fit.
 
 Null or word-less texts have no words and no hits; null or word-less items have
-no windows.  Repeated item ids count once.  Extra columns are ignored by
+no windows.  Items with a null id have none either: documents that hold their
+passages are not hit, and ``clean`` keeps them.  Repeated item ids count once.  Extra columns are ignored by
 ``scan`` (it returns the key and its own columns) and kept by ``clean``.  An
 empty benchmark hits nothing.
 """
