@@ -50,6 +50,18 @@ def normalised(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a text expression's UTF-8 bytes (for oracles)."""
+    entries = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        entries.append(c)
+    codes = f"list_transform(range(0, octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    step = f"lambda a, b: xor(a >> 8, (CAST({entries} AS BIGINT[]))[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {step}), CAST(4294967295 AS BIGINT))"
+
+
 def per_row(schema: pa.Schema, rows: Callable[..., Iterable], max_rows: int = 256,
             ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function from ``rows(*columns of one batch) -> list of tuples``.
