@@ -29,10 +29,13 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+import sys
+import types
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +53,9 @@ _PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("star
                            ("length", pa.int32()), ("ids_crc32", pa.int64())])
 #: Rows per (length, salt) cell that is ranked in one sort group, on average.
 CELL_ROWS = 20_000
-#: Words a worker remembers the ids of, per generation (two are kept).
-CACHE_WORDS = 300_000
+#: What a worker remembers of chunks and of stems, in bytes per generation (two are kept);
+#: an entry takes about so much besides its characters.
+CHUNK_BYTES, STEM_BYTES, ENTRY_BYTES = 24_000_000, 48_000_000, 180
 
 # A chunk between white space that is plain letters, then at most one stop: its ids are
 # the word's ids and the stop's ids (letters and stops are separate pre-tokens, and these
@@ -67,46 +71,71 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordIds(dict):
-    """Chunk -> its token ids as little-endian uint32 bytes, remembered for recent chunks."""
+class Recent(dict):
+    """Remembers ``make(key)`` for recent short keys: two generations of ``size`` bytes, about."""
 
-    def __init__(self, path: str, size: int = CACHE_WORDS):
+    def __init__(self, make: Callable[[str], bytes], size: int):
         super().__init__()
+        self.make, self.size, self.held, self.old = make, size, 0, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if (got := self.old.get(key)) is None:
+            got = self.make(key)
+        if len(key) < 64:
+            if self.held >= self.size:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self.held += len(key) + len(got) + ENTRY_BYTES
+            self[key] = got
+        return got
+
+
+class WordIds:
+    """Token ids of texts as little-endian uint32 bytes.
+
+    Chunks between spaces are remembered as written.  A chunk of plain letters is made of
+    its lower-cased stem, remembered for all its spellings, and its stop.
+    """
+
+    def __init__(self, path: str, chunk_bytes: int = CHUNK_BYTES, stem_bytes: int = STEM_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.size, self.old, self.words = size, {}, {}
         self.stops = {"": b"", ".": self.encode("."), ",": self.encode(",")}
+        self.chunks, self.stems = Recent(self.chunk, chunk_bytes), Recent(self.stem, stem_bytes)
 
     def encode(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def word(self, lower: str) -> bytes:
-        if (ids := self.words.get(lower)) is None:
-            if len(self.words) >= self.size:
-                self.words.clear()
-            spelled = lower.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[lower] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-        return ids
-
-    def __missing__(self, chunk: str) -> bytes:
-        if (ids := self.old.get(chunk)) is None:
-            if len(chunk) < 64 and (plain := _PLAIN.fullmatch(chunk)):
-                ids = self.word(plain[1].lower()) + self.stops[plain[2]]
-            else:
-                ids = self.encode(chunk)
-        if len(chunk) < 256:
-            if len(self) >= self.size:
-                self.old = dict(self)
-                self.clear()
-            self[chunk] = ids
-        return ids
+        return packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+
+    def stem(self, lower: str) -> bytes:
+        spelled = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.letters)
+        return packed([t.id for t in self.model.tokenize(spelled)])
+
+    def chunk(self, chunk: str) -> bytes:
+        if len(chunk) < 64 and (plain := _PLAIN.fullmatch(chunk)):
+            return self.stems[plain[1].lower()] + self.stops[plain[2]]
+        return self.encode(chunk)
 
     def ids(self, text: str) -> bytes:
         """Pre-tokens never span white space, so a text's ids are its chunks' ids in order."""
-        return b"".join([self[c] for c in text.replace("\n", " ").split(" ") if c])
+        chunks = self.chunks
+        return b"".join([chunks[c] for c in text.replace("\n", " ").split(" ") if c])
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def worker_words(path: str) -> WordIds:
+    """The worker process's own words, kept from task to task: functions travel by value, so
+    a global of this module would be new in each task; a module that the worker holds is not."""
+    held = sys.modules.setdefault("pulseframe_worker_words", types.ModuleType("pulseframe_worker_words"))
+    if path not in vars(held):
+        vars(held).clear()  # one vocabulary at a time
+        vars(held)[path] = WordIds(path)
+    return vars(held)[path]
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
@@ -122,7 +151,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path(VOCABULARY)
-        words = WordIds(path)
+        words = worker_words(path)
 
         def rows(ids: list, texts: list):
             for doc, text in zip(ids, texts):
