@@ -39,6 +39,26 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drawn(docs: DataFrame, rows: int, seed: int, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, t, copies, columns of ``known``): a bounded draw of at most ``rows`` *rows* of ``docs``.
+
+    Those of the smallest hashes of id and text among rows with an id in ``known`` (one row
+    per id; None: all rows).  Rows of one id and text come once, with the number drawn, so
+    an id that holds most rows takes part with no more rows than any draw has.
+    """
+    text = text_bytes(text_col)
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("key"))
+    if known is not None:
+        keyed = keyed.join(known, "doc_id")
+    wanted = keyed.sort("key", "doc_id").limit(rows).groupBy(*keyed.columns).agg(F.count("*").alias("copies"))
+    # at most ``rows`` rows: a proven bound
+    wanted = F.broadcast(wanted.withColumnsRenamed({"doc_id": "d_id", "key": "d_key"}))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("key"), text.alias("t"))
+    found = texts.join(wanted, (F.col("doc_id") == F.col("d_id")) & (F.col("key") == F.col("d_key"))).drop("d_id", "d_key")
+    rest = [c for c in found.columns if c != "t"]
+    return found.groupBy(*rest).agg(F.first("t").alias("t")).drop("key")
+
+
 def text_bytes(col: str = "text"):
     """The column's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(col).cast("binary"), F.lit(b""))

@@ -20,8 +20,8 @@ never inputs of a score.  Their squares and pairwise products give the linear
 model its curvature.
 
 The model is fitted on at most ``max_rows`` positives and ``max_rows``
-unlabelled rows (the smallest hashes of the ids; a documented bound), a few
-hundred bytes each.  Every text is scored whole, where it lies, without a
+unlabelled rows (the smallest hashes of id and text; a documented bound on rows,
+so that an id that most rows share brings no more), a few hundred bytes each.  Every text is scored whole, where it lies, without a
 shuffle.
 
 Null and empty texts have all-zero counts and get a score like any other.
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm.adaptive_rules import repeat_words
-from pulseframe.llm.common import table, text_bytes
+from pulseframe.llm.common import drawn, table, text_bytes
 
 MAX_ROWS = 12_000
 THRESHOLD = 0.3
@@ -129,24 +129,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
     Labels enter only as "is a trusted positive"; ids with contradicting labels are none.
     """
     known = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter(~held_out(F.col("doc_id")))
-    rank = F.xxhash64(F.lit(8), "doc_id")
-    positives = known.filter("quality = 1").sort(rank).limit(max_rows).select("doc_id", F.lit(1).alias("p"))
-    unlabelled = docs.select("doc_id").filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).sort(
-        F.xxhash64(F.lit(9), "doc_id")).limit(max_rows).select("doc_id", F.lit(0).alias("p"))
-    # at most 2 * max_rows ids: a proven bound
-    wanted = F.broadcast(positives.unionByName(unlabelled))
-    picked = docs.select("doc_id", text_bytes().alias("t")).join(wanted, "doc_id").select("p", "t")
-    schema = pa.schema([("p", pa.int32()), ("x", pa.list_(pa.float64()))])
+    positives = drawn(docs, max_rows, 8, known.filter("quality = 1").select("doc_id"))
+    unlabelled = drawn(docs.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()), max_rows, 9)
+    picked = positives.select(F.lit(1).alias("p"), "copies", "t").unionByName(unlabelled.select(F.lit(0).alias("p"), "copies", "t"))
+    schema = pa.schema([("p", pa.int32()), ("copies", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([features(t) for t in b.column(1).to_pylist()], schema.field(1).type)], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(t) for t in b.column(2).to_pylist()], schema.field(2).type)], schema=schema)
 
-    got = picked.mapInArrow(run, "p int, x array<double>").toArrow()
+    got = picked.mapInArrow(run, "p int, copies long, x array<double>").toArrow()  # at most 2 * max_rows rows
     flag = got.column("p").to_numpy()
     if not flag.sum() or flag.all():
         return None
-    x = np.array(got.column("x").combine_chunks().flatten()).reshape(len(flag), -1)
+    copies = got.column("copies").to_numpy()
+    x = np.array(got.column("x").combine_chunks().flatten()).reshape(len(flag), -1).repeat(copies, 0)
+    flag = flag.repeat(copies)
     order = np.lexsort((*x.T, flag))  # the fit does not depend on the order in which rows arrive
     x, flag = x[order], flag[order]
     return fit(x[flag == 1], x[flag == 0])

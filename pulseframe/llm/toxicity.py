@@ -17,7 +17,8 @@ grade 1 and 2 by how many distinct words with clearly toxic features they hold
 ``grade`` column is used as it is.
 
 The model is fitted on at most ``max_rows`` toxic and twice as many clean
-labelled rows (smallest hashes of their ids; a documented bound).  Held-out rows
+labelled rows (smallest hashes of id and text; a documented bound on rows, whatever
+an id is repeated).  Held-out rows
 are never learnt from.  Every text is scored whole where it lies; nothing is
 shuffled.
 
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm.common import ALNUM, table, text_bytes, written
+from pulseframe.llm.common import ALNUM, drawn, table, text_bytes, written
 from pulseframe.llm.pu_quality import adam, held_out, sigmoid
 
 BUCKETS = 1 << 20
@@ -117,19 +118,19 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
     graded = "grade" in labels.columns
     known = (labels.groupBy("doc_id").agg(F.max("grade" if graded else "toxic").cast("int").alias("y"))
              .filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("y").isNotNull()))
-    rank = F.xxhash64(F.lit(2), "doc_id")
-    # at most 3 * max_rows ids: a proven bound
-    wanted = F.broadcast(known.filter("y > 0").sort(rank).limit(max_rows)
-                         .unionByName(known.filter("y = 0").sort(rank).limit(2 * max_rows)))
+    picked = drawn(docs, max_rows, 2, known.filter("y > 0")).unionByName(drawn(docs, 2 * max_rows, 2, known.filter("y = 0")))
     schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("f", pa.list_(pa.int32()))])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([text_features(t) for t in b.column(2).to_pylist()], schema.field(2).type)], schema=schema)
-
-    rows = written(spark, docs.select(F.col("doc_id").cast("long"), text_bytes().alias("t")).join(wanted, "doc_id")
-                   .select("doc_id", "y", "t").mapInArrow(hashed, "doc_id long, y int, f array<int>"), "toxicity-rows")
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                copies = np.repeat(np.arange(part.num_rows), part.column(2).to_numpy())
+                f = pa.array([text_features(t) for t in part.column(3).to_pylist()], schema.field(2).type)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(copies)), part.column(1).take(pa.array(copies)), f.take(pa.array(copies))], schema=schema)
+
+    rows = written(spark, picked.select(F.col("doc_id").cast("long"), "y", "copies", "t")
+                   .mapInArrow(hashed, "doc_id long, y int, f array<int>"), "toxicity-rows")
     kept, clear = select(rows)
     if not len(kept):
         return None
@@ -143,6 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
 
     # the bounded sample's few selected features, in one order however rows arrive
     got = rows.mapInArrow(selected, rows.schema).toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    # rows of one id may differ in text: a second order makes the fit independent of arrival
+    order = sorted(range(got.num_rows), key=lambda k, i=got.column("doc_id").to_pylist(), f=got.column("f").to_pylist(): (i[k], sorted(f[k])))
+    got = got.take(pa.array(order, pa.int64()))
     y = got.column("y").to_numpy().astype(np.int64)
     lists = [sorted(f) for f in got.column("f").to_pylist()]
     x = Sparse(np.repeat(np.arange(len(y)), [len(f) for f in lists]), np.array([c for f in lists for c in f], np.int64), len(y))

@@ -1,12 +1,14 @@
 """Classifiers by held-out accuracy; adaptive rules against brute force."""
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from pulseframe.llm import adaptive_rules, pu_quality, toxicity
+from pulseframe.llm.common import drawn
 
 
 def auc(scores, labels):
@@ -61,6 +63,111 @@ def test_toxicity_held_out(spark, sf):
     assert auc([r.severity for r in rows], [r.toxic for r in rows]) > 0.85
 
 
+def test_a_draw_is_bounded_by_rows_and_independent_of_their_order(spark):
+    rows = [(7, "the one text")] * 3000 + [(8, f"another text {k}") for k in range(50)] + [(None, "no id")] * 20 + [(k, f"t{k}") for k in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(7, 1), (8, 1), (100, 0)], "doc_id long, y int")
+    for most in (1, 40, 100, 3049, 10_000):
+        got = drawn(docs, most, 5, known).collect()
+        assert sum(r.copies for r in got) == min(most, 3051) and len({(r.doc_id, r.t) for r in got}) == len(got)
+        assert sorted(map(repr, got)) == sorted(map(repr, drawn(docs.repartition(7), most, 5, known).collect()))
+    assert sum(r.copies for r in drawn(docs, 100, 5).collect()) == 100
+
+
+def test_models_learn_from_bounded_rows_when_one_id_holds_most(spark, monkeypatch):
+    rows = [(1, "good words here, all fine.")] * 3000 + [(k, f"plain words {k}, fine ones. " * 3 if k % 2 else "vile $$ !! " * 9) for k in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)] * 50 + [(k, k % 2, 1 - k % 2) for k in range(2, 300)], "doc_id long, quality int, toxic int")
+    seen = {}
+    quality_fit, ordinal_fit = pu_quality.fit, toxicity.fit_ordinal
+    monkeypatch.setattr(pu_quality, "fit", lambda p, u, **k: seen.update(p=len(p), u=len(u)) or quality_fit(p, u, steps=5))
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda x, width, y: seen.update(n=x.n, toxic=int((y > 0).sum())) or ordinal_fit(x, width, y, steps=5))
+    assert pu_quality.train(docs, labels, max_rows=100) is not None and seen["p"] == 100 and seen["u"] == 100
+    assert toxicity.train(docs, labels, max_rows=60) is not None and seen["toxic"] <= 60 and seen["n"] <= 180
+
+
+def naive_features(text):
+    """The quality features counted one by one."""
+    data = text.encode()
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", data) if w]
+    n, size = max(1, len(words)), max(1, len(data))
+    grams = Counter(zip(words, words[1:], words[2:]))
+    again = {p for k in range(len(words) - 2) if grams[tuple(words[k:k + 3])] > 1 for p in (k, k + 1, k + 2)}
+    lines = [s for s in data.split(b"\n") if s.strip()]
+    of = lambda chars: sum(c in chars for c in data)
+    distinct = set(words)
+    return [np.log1p(len(words)) / 10, sum(len(w) for w in words) / n / 20, min(3, of(b"#*$%&|<>{}[]~^=@\\/_") / n), min(3, of(b"!?") / n),
+            of(bytes(range(65, 91))) / size, len(again) / n, len(distinct) / n, of(b"0123456789") / size,
+            (len(lines) - len(set(lines))) / max(1, len(lines)), min(3, of(b".,;:") / n), sum(len(w) > 20 for w in distinct) / max(1, len(distinct))]
+
+
+def test_quality_features_and_scores_recomputed_row_by_row(spark, odd, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = docs.limit(150).collect() + odd.collect()
+    for r in rows:
+        assert np.allclose(pu_quality.features((r.text or "").encode()), naive_features(r.text or "")), r.doc_id
+    model = pu_quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    w, mean, scale, _ = model
+    got = {r.doc_id: r.score for r in pu_quality.score(docs, model).collect()}
+    for r in rows[:150]:
+        z = [max(-6.0, min(6.0, (x - m) / s)) for x, m, s in zip(naive_features(r.text or ""), mean, scale)]
+        terms = [1.0, *z, *(max(-12.0, min(12.0, z[i] * z[j])) for i in range(len(z)) for j in range(i, len(z)))]
+        assert abs(got[r.doc_id] - 1 / (1 + np.exp(-sum(a * b for a, b in zip(w, terms))))) < 1e-9
+
+
+def descends(loss, gradient, at, eps=1e-6):
+    for k in range(len(at)):
+        up, down = at.copy(), at.copy()
+        up[k] += eps
+        down[k] -= eps
+        assert abs((loss(up) - loss(down)) / (2 * eps) - gradient[k]) < 1e-5, k
+
+
+def test_gradients_agree_with_finite_differences(monkeypatch):
+    rng = np.random.default_rng(3)
+    steps = {}
+    monkeypatch.setattr(pu_quality, "adam", lambda g, width, n, rate: steps.update(g=g, width=width) or np.zeros(width))
+    p, u = rng.normal(0.7, 1, (60, 2)), rng.normal(0, 1, (80, 2))
+    w0, mean, scale, prior = pu_quality.fit(p, u, decay=1e-3)
+    a, b = pu_quality.expand(p, mean, scale), pu_quality.expand(u, mean, scale)
+
+    def risk(w):  # prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), logistic loss, weight decay
+        negative = np.mean(np.logaddexp(0, b @ w)) - prior * np.mean(np.logaddexp(0, a @ w))
+        return prior * np.mean(np.logaddexp(0, -(a @ w))) + max(0.0, negative) + 5e-4 * w @ w
+    at = rng.normal(0, 0.1, steps["width"])
+    assert np.mean(np.logaddexp(0, b @ at)) > prior * np.mean(np.logaddexp(0, a @ at))
+    descends(risk, steps["g"](at), at)
+
+    monkeypatch.setattr(toxicity, "adam", lambda g, width, n, rate: steps.update(g=g, width=width) or np.zeros(width))
+    x = [rng.choice(4, rng.integers(0, 4), replace=False) for _ in range(50)]
+    grade = rng.integers(0, 4, 50)
+    toxicity.fit_ordinal(toxicity.Sparse(np.repeat(np.arange(50), [len(f) for f in x]), np.concatenate(x).astype(int), 50), 4, grade)
+
+    def unlikely(v):  # minus the mean log-likelihood of the grades, weight decay on the weights
+        theta = v[4] + np.concatenate([[0.0], np.cumsum(np.exp(v[5:]))])
+        total = 0.0
+        for f, g in zip(x, grade):
+            above = [1.0, *(1 / (1 + np.exp(-(sum(v[k] for k in f) - t))) for t in theta), 0.0]
+            total -= np.log(above[g] - above[g + 1])
+        return total / 50 + 5e-5 * v[:4] @ v[:4]
+    at = np.concatenate([rng.normal(0, 0.5, 4), [-1.0, 0.2, -0.3]])
+    descends(unlikely, steps["g"](at), at)
+
+
+def test_toxicity_scores_recomputed_row_by_row(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    weights, theta = model = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for r in docs.limit(150).collect():
+        lower = (r.text or "").translate({c: c + 32 for c in range(65, 91)})
+        total = 0.0
+        for word in set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)):
+            marks = [b"w" + word.encode()] + [b"p%d" % n + word[:n].encode() for n in range(3, 8) if len(word) > n]
+            total += sum(weights.get(zlib.crc32(m) % (1 << 20), 0.0) for m in marks)
+        above = [1 / (1 + np.exp(-min(30, max(-30, total - t)))) for t in theta]
+        assert abs(got[r.doc_id].severity - sum(above)) < 1e-9 and abs(got[r.doc_id].score - above[0]) < 1e-9
+
+
 def test_thresholds_are_ordered_and_weights_shared():
     rng = np.random.default_rng(2)
     n, width = 3000, 40
