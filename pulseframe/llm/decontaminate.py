@@ -7,23 +7,21 @@ normalised document passes once; all windows that end at a place are found at
 that place, and word places are mapped back to code-point offsets of the
 original text.
 
-The window strings are broadcast only up to ``shard_chars`` characters at a
-time: a larger benchmark is split into several automata, each passing over the
-texts in turn.  The benchmark passes through the driver, and all automata are
-steps of one stage, so a task holds every shard's at once: memory grows with the
-benchmark, and a benchmark of many shards may not fit.
+Windows are cut, grouped and counted by Spark.  They are dealt to shards of about
+``shard_chars`` characters of windows and item ids (by their measured sum), and one
+shard at a time reaches the driver and is broadcast.  A larger benchmark than one shard
+is several automata; each passes over the texts in a job of its own, whose result is
+written before the next, so a task never holds more than one.
 
 Null or word-less texts have no words and no hits; null or word-less items have
-no windows.  Items with a null id have none either: documents that hold their
-passages are not hit, and ``clean`` keeps them.  Repeated item ids count once.  Extra columns are ignored by
-``scan`` (it returns the key and its own columns) and kept by ``clean``.  An
-empty benchmark hits nothing.
+no windows.  Windows of items with a null id count as hits, but no item is listed for
+them.  Repeated item ids count once.  Extra columns are ignored by ``scan`` (it returns
+the key and its own columns) and kept by ``clean``.  An empty benchmark hits nothing.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm.common import ALNUM, WORD_PATTERN, per_row, table, text_bytes
+from pulseframe.llm.common import ALNUM, WORD_PATTERN, per_row, table, text_bytes, written
 
 WINDOW = 10
 SHARD_CHARS = 16_000_000
@@ -49,22 +47,29 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> set[bytes]:
     return {b" ".join(words[k:k + size]) for k in range(max(1, len(words) - size + 1))}
 
 
-def shards(benchmark: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS,
-           id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
-    """[(window, items that hold it)], in lists of bounded total length, one at a time."""
-    items: dict[bytes, set[str]] = defaultdict(set)
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), text_bytes(text_col).alias("t")).filter("i IS NOT NULL")
-    chars = 0
-    for row in rows.sort("i").toLocalIterator():
-        for window in windows_of(words_of(bytes(row["t"])), size):
-            chars += 0 if window in items else len(window)
-            items[window].add(row["i"])
-        if chars > shard_chars:
-            yield [(w, tuple(sorted(i))) for w, i in items.items()]
-            items.clear()
-            chars = 0
-    if items:
-        yield [(w, tuple(sorted(i))) for w, i in items.items()]
+def windows_table(benchmark: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(window, items): every distinct window with the sorted ids of the items that hold it."""
+    schema = pa.schema([("i", pa.string()), ("window", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(ids: list, texts: list):
+            return ((i, w) for i, t in zip(ids, texts) for w in windows_of(words_of(t), size))
+        yield from per_row(schema, rows, 4)(batches)
+
+    held = benchmark.select(F.col(id_col).cast("string").alias("i"), text_bytes(text_col).alias("t")).mapInArrow(run, "i string, window binary")
+    return held.groupBy("window").agg(F.sort_array(F.collect_set("i")).alias("items"))  # null ids are not collected
+
+
+def shards(spark: SparkSession, benchmark: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS) -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
+    """[(window, items that hold it)], in lists of about ``shard_chars`` characters, one at a time."""
+    windows = written(spark, windows_table(benchmark, size), "benchmark-windows")
+    length = F.length("window") + F.length(F.array_join("items", ","))
+    n = max(1, -(-(windows.agg(F.sum(length)).first()[0] or 0) // shard_chars))
+    for k in range(n):
+        part = windows if n == 1 else windows.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
+        got = part.toArrow()  # one shard: bounded by its share of the measured sum
+        if got.num_rows:
+            yield [(w, tuple(i)) for w, i in zip(got.column("window").to_pylist(), got.column("items").to_pylist())]
 
 
 def automaton(windows: list[tuple[bytes, tuple[str, ...]]]):
@@ -111,7 +116,7 @@ def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int =
     ``items``: sorted item ids whose windows occur; ``spans``: code-point [start, end) of
     the hit passages in the original text.
     """
-    parts = shards(benchmark, size, shard_chars)
+    parts = shards(spark, benchmark, size, shard_chars)
     field = pa.field("id", pa.int64())
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"))
     windows = next(parts, [])
@@ -119,8 +124,8 @@ def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int =
         # one more automaton passes over the same texts; hits are carried along
         if "ranges" not in texts.columns:
             texts = texts.withColumns({"ranges": F.array().cast(SPANS), "items": F.array().cast("array<string>")})
-        texts = texts.mapInArrow(_scanner(spark.sparkContext.broadcast(windows), field, carry=True),
-                                 f"id long, t binary, ranges {SPANS}, items array<string>")
+        texts = written(spark, texts.mapInArrow(_scanner(spark.sparkContext.broadcast(windows), field, carry=True),
+                                                f"id long, t binary, ranges {SPANS}, items array<string>"), "decontamination-shard")
         windows = following
     return texts.mapInArrow(_scanner(spark.sparkContext.broadcast(windows), field), _schema())
 
@@ -173,8 +178,11 @@ def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int
     The verdict is taken where the row is, so no row moves and repeated or null ids are
     no matter.
     """
-    kept = docs
-    for part in shards(benchmark, size, shard_chars):
+    kept, passed = docs, False
+    for part in shards(spark, benchmark, size, shard_chars):
+        if passed:  # a shard's job ends before the next one's
+            kept = written(spark, kept, "decontamination-shard")
+        passed = True
         windows = spark.sparkContext.broadcast(part)
 
         def run(batches: Iterator[pa.RecordBatch], windows=windows) -> Iterator[pa.RecordBatch]:
@@ -193,4 +201,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"))

@@ -93,7 +93,7 @@ def leaks(texts, items, size=10):
     for i, t in items:
         ws = WORD.findall((t or "").translate(LOWER))
         for k in range(max(1, len(ws) - size + 1) if ws else 0):
-            windows.setdefault(tuple(ws[k:k + size]), set()).add(str(i))
+            windows.setdefault(tuple(ws[k:k + size]), set()).update([] if i is None else [str(i)])
     sizes = {len(w) for w in windows}
     out = []
     for key, t in texts:
@@ -115,8 +115,8 @@ TEXTS = [(20, "One two THREE, one two three four"), (21, "z a b c d e f g h i j-
 def test_decontamination_equals_brute_force(spark, odd, empty):
     docs = odd.select("doc_id", "text", "t", "n").unionByName(spark.createDataFrame([(*r, "t", 1) for r in TEXTS], "doc_id long, text string, t string, n int"))
     items = spark.createDataFrame([(*r, 5) for r in ITEMS], "item_id long, text string, id int")
-    exp = leaks([(r.doc_id, r.text) for r in docs.collect()], [i for i in ITEMS if i[0] is not None])
-    for shard in (16_000_000, 8):  # one automaton, and many that pass in turn
+    exp = leaks([(r.doc_id, r.text) for r in docs.collect()], ITEMS)
+    for shard in (16_000_000, 60):  # one automaton, and many that pass in turn
         got = decontaminate.scan(spark, docs, items, shard_chars=shard)
         assert sorted(((r.id, r.n_words, r.n_hit, r.n_items, r.items) for r in got.collect()), key=repr) == exp
         kept = decontaminate.clean(spark, docs, items, shard_chars=shard)
@@ -125,6 +125,8 @@ def test_decontamination_equals_brute_force(spark, odd, empty):
     spans = {r.id: [tuple(s) for s in r.spans] for r in decontaminate.scan(spark, docs, items).collect()}
     text = dict(TEXTS)[23]
     assert [text[s:e] for s, e in spans[23]] == ["one two three"] and spans[20] == [(0, 28)]
+    # the item without an id, "x", hits as others do
+    assert exp[[r[0] for r in exp].index(4)][1:] == (1, 1, 0, [])
     assert decontaminate.scan(spark, empty, items).count() == 0
     assert decontaminate.clean(spark, docs, items.limit(0)).count() == docs.count()
 
@@ -137,3 +139,8 @@ def test_decontamination_query(spark, sf):
     sha = {e[0]: hashlib.sha256(",".join(e[4]).encode()).hexdigest() for e in exp}
     assert all(r.items_sha256 == sha[r.doc_id] and r.contaminated == (r.n_hit > 0) for r in got)
     assert any(r.contaminated for r in got)
+    texts = {r.doc_id: r.text for r in docs}
+    for r in got:
+        spans = [tuple(map(int, s.split(":"))) for s in r.spans.split(",") if s]
+        assert sum(len(WORD.findall(texts[r.doc_id][s:e].translate(LOWER))) for s, e in spans) == r.n_hit
+        assert all(e1 < s2 for (_, e1), (s2, _) in zip(spans, spans[1:]))
