@@ -14,7 +14,7 @@ grows with queries x candidates, as an exhaustive search must; a row travels onc
 block of the other side.
 
 Scores are exact: sums that could pass 2^53 are added as whole numbers of any size;
-scores beyond a long are given as the nearest long.  Ties go to the smaller id, a null id
+scores beyond a long are the nearest long.  Ties go to the smaller id, a null id
 being the largest.  Rows are told apart by place, not id: of rows with one id each is a
 query and a candidate of its own.  Null vectors and those with null or non-finite
 components take no part; empty vectors score 0; components that one side lacks count as
@@ -94,7 +94,7 @@ def accumulate(query: tuple[np.ndarray, np.ndarray], posted: dict[int, tuple], n
         if (hit := posted.get(int(term))) is not None:
             rows, weights = hit
             scores[rows] += weight * weights if exact else int(weight) * whole(weights)
-    return scores
+    return scores if exact else np.array([min(max(s, _LONG[0]), _LONG[1]) for s in scores], object)
 
 
 def select_top(scores: np.ndarray, k: int) -> np.ndarray:
@@ -133,7 +133,7 @@ def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K
         current, asked, best, peak = None, [], [], 0.0
 
         def done() -> pa.RecordBatch:
-            out = [(row, key, vec, min(max(score, _LONG[0]), _LONG[1])) for (row, key, _), top in zip(asked, best) for score, vec in top]
+            out = [(row, key, vec, score) for (row, key, _), top in zip(asked, best) for score, vec in top]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
 
         for big in batches:
