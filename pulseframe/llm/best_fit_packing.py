@@ -53,14 +53,14 @@ _PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("star
                            ("length", pa.int32()), ("ids_crc32", pa.int64())])
 #: Rows per (length, salt) cell that is ranked in one sort group, on average.
 CELL_ROWS = 20_000
-#: What a worker remembers of chunks and of stems, in bytes per generation (two are kept);
-#: an entry takes about so much besides its characters.
-CHUNK_BYTES, STEM_BYTES, ENTRY_BYTES = 24_000_000, 48_000_000, 180
+#: What a worker remembers of tokenised words, in bytes per generation (two are kept); an
+#: entry takes about so much besides its characters.
+REMEMBERED_BYTES, ENTRY_BYTES = 80_000_000, 180
 
-# A chunk between white space that is plain letters, then at most one stop: its ids are
-# the word's ids and the stop's ids (letters and stops are separate pre-tokens, and these
-# precomposed Latin letters do not change under normalisation, but for lower case).
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# Texts of printable ASCII, line ends and precomposed Latin-1 letters do not change under
+# normalisation but for lower case; their pre-tokens are these, and hold no white space.
+_PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
+_PRE_TOKENS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -93,35 +93,32 @@ class Recent(dict):
 class WordIds:
     """Token ids of texts as little-endian uint32 bytes.
 
-    Chunks between spaces are remembered as written.  A chunk of plain letters is made of
-    its lower-cased stem, remembered for all its spellings, and its stop.
+    Plain texts are cut into lower-cased pre-tokens by one expression; each is tokenised
+    once and remembered.  Other texts are cut at spaces, and chunks that are not plain go
+    through the whole tokenizer.
     """
 
-    def __init__(self, path: str, chunk_bytes: int = CHUNK_BYTES, stem_bytes: int = STEM_BYTES):
+    def __init__(self, path: str, size: int = REMEMBERED_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.stops = {"": b"", ".": self.encode("."), ",": self.encode(",")}
-        self.chunks, self.stems = Recent(self.chunk, chunk_bytes), Recent(self.stem, stem_bytes)
+        self.pre_tokens, self.others = Recent(self.pre_token, size), Recent(self.encode, size // 4)
 
     def encode(self, chunk: str) -> bytes:
         return packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-    def stem(self, lower: str) -> bytes:
+    def pre_token(self, lower: str) -> bytes:
         spelled = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.letters)
         return packed([t.id for t in self.model.tokenize(spelled)])
 
-    def chunk(self, chunk: str) -> bytes:
-        if len(chunk) < 64 and (plain := _PLAIN.fullmatch(chunk)):
-            return self.stems[plain[1].lower()] + self.stops[plain[2]]
-        return self.encode(chunk)
-
     def ids(self, text: str) -> bytes:
-        """Pre-tokens never span white space, so a text's ids are its chunks' ids in order."""
-        chunks = self.chunks
-        return b"".join([chunks[c] for c in text.replace("\n", " ").split(" ") if c])
+        if "<|" not in text and _PLAIN.fullmatch(text):  # no special token stands in it
+            return b"".join(map(self.pre_tokens.__getitem__, _PRE_TOKENS.findall(text.lower())))
+        # pre-tokens never span white space, so a text's ids are its chunks' ids in order
+        return b"".join([self.ids(c) if "<|" not in c and _PLAIN.fullmatch(c) else self.others[c]
+                         for c in text.replace("\n", " ").split(" ") if c])
 
 
 def packed(ids: list[int]) -> bytes:

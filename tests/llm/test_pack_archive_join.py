@@ -85,7 +85,7 @@ def test_packing_odd_and_whole_tables(spark, odd, empty, sf):
 
 def test_remembered_words_equal_the_tokenizer():
     path = pytest.importorskip("public_tokenizers").path(best_fit_packing.VOCABULARY)
-    words = best_fit_packing.WordIds(path, 600, 600)  # forgets often
+    words = best_fit_packing.WordIds(path, 900)  # forgets often
     rng = random.Random(9)
     parts = ["The", "ÉCOLE", "naïve,", "it's", "'S", "<|endoftext|>", "...", "é", "́", "İx", "ΑΣ", "a.b", "x!.", "½", "12", " ", "\n", "\t", " ", "한국", "ß.", "", "Ａ"]
     for _ in range(800):
