@@ -5,7 +5,8 @@ import hashlib
 import duckdb
 
 from pulseframe.llm import chat_format, license_join
-from pulseframe.llm.license_join import PHRASES, template_sets
+from pulseframe.llm.common import written
+from pulseframe.llm.license_join import PHRASES, TEMPLATES
 
 TURNS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "\\### Assistant: </turn>\n ok \\b \\e"), (1, 2, "user", None),
@@ -53,22 +54,31 @@ def test_empty_conversations(spark):
 
 def words(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    return "".join(c if ord(c) >= 128 or "0" <= c <= "9" or "a" <= c <= "z" else " " for c in low).split(" ")
+    return [w for w in "".join(c if ord(c) >= 128 or "0" <= c <= "9" or "a" <= c <= "z" else " " for c in low).split(" ") if w]
+
+
+def pairs(ws, threshold=0.8):
+    """{(label, containment, told)} of every window against every template."""
+    sets = [(label, words(text)) for label, text in TEMPLATES]
+    out = set()
+    for label, tokens in sets:
+        t, slack = set(tokens), -(-len(tokens) // 4)
+        for start in range(0, len(ws), slack + 1):
+            block = set(ws[start:start + len(tokens) + slack])
+            common = block & t
+            if len(common) >= threshold * len(t) - 1e-9:
+                told = not any(o != label and common <= set(ot) and (t - set(ot) or len(set(ot) & block) * len(t) >= len(common) * len(set(ot))) for o, ot in sets)
+                out.add((label, start, round(len(common) / len(t), 9), told))
+    return out
 
 
 def brute(text):
-    ws = [w for w in words(text) if w]
+    ws = words(text)
     places = [(i, label) for p, label in PHRASES.items() for i in range(len(ws)) if ws[i:i + len(p.split())] == p.split()]
-    reach = {}
-    for line in (text or "").split("\n"):
-        block = {w for w in words(line) if w}
-        for _, label, ws_t, need in template_sets():
-            n = len(block & set(ws_t))
-            if n >= need:
-                reach[label] = max(reach.get(label, 0), n / len(ws_t))
+    told = [(label, c) for label, _, c, ok in pairs(ws) if ok]
     base = sorted({label for _, label in places})
     return (len(ws), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None),
-            ",".join(base), ",".join(sorted({*base, *reach})), max([1.0 * bool(places), *reach.values()]))
+            ",".join(base), ",".join(sorted({*base, *(label for label, _ in told)})), max([1.0 * bool(places), *(c for _, c in told)]))
 
 
 LICENSES = [
@@ -81,10 +91,10 @@ LICENSES = [
 
 def test_license_join_equals_brute_force(spark, odd):
     docs = spark.createDataFrame([(*r, 0, "t", 0, "h") for r in LICENSES], odd.schema).unionByName(odd)
-    got = license_join.scan(docs).collect()
+    got = license_join.scan(spark, docs).collect()
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     exp = sorted(((i, *brute(t)) for i, t in rows), key=repr)
-    assert sorted((tuple(r) for r in got), key=repr) == exp
+    assert sorted(((*tuple(r)[:-1], round(r.score, 9)) for r in got), key=repr) == exp
     assert len({r[6] for r in exp}) > 3
 
 
@@ -93,16 +103,13 @@ def test_license_filters_lose_no_pair_at_other_thresholds(spark, sf):
     text = "\n".join(t for _, t in license_join.TEMPLATES)
     docs = docs.limit(0).select("doc_id", "text").unionByName(
         spark.createDataFrame([(k, " ".join(text.split()[k % 40:k % 40 + k % 23 + 2])) for k in range(300)], "doc_id long, text string"))
+    vocabulary = license_join.strings(sorted({w for t in license_join.template_list() for w in t.words}))
+    F = license_join.F
+    rows = written(spark, license_join.worded(docs).withColumn("held", F.array_intersect(F.split("norm", " "), vocabulary)), "license-test")
     for threshold in (0.3, 0.6, 1.0):
-        h = docs.withColumn("h", docs.doc_id)
-        got = {(r.doc_id, r.label, round(r.containment, 9)) for r in license_join.template_matches(h, threshold=threshold).collect()}
-        exp = set()
-        for r in docs.collect():
-            block = {w for w in words(r.text) if w}
-            for _, label, ws, need in template_sets(threshold=threshold):
-                if len(block & set(ws)) >= need:
-                    exp.add((r.doc_id, label, round(len(block & set(ws)) / len(ws), 9)))
-        assert got == exp and exp
+        found = license_join.template_pairs(rows, threshold=threshold).join(rows, "row").collect()
+        got = {(r.doc_id, r.label, r.start, round(r.containment, 9), r.told) for r in found}
+        assert got == {(r.doc_id, *p) for r in docs.collect() for p in pairs(words(r.text), threshold)} and got
 
 
 def test_oracles_on_the_given_tables(spark, sf):
@@ -117,7 +124,7 @@ def test_oracles_on_the_given_tables(spark, sf):
 
 
 def test_license_empty_table(spark, empty):
-    assert license_join.scan(empty).count() == 0
+    assert license_join.scan(spark, empty).count() == 0
 
 
 def test_one_line_notices_get_their_own_label(spark):
@@ -126,4 +133,19 @@ def test_one_line_notices_get_their_own_label(spark):
              "This work is licensed under the GNU General Public License, version 3.": "gpl", "Licensed under the Mozilla Public License, Version 2.0": "mpl-2.0",
              "Licensed under the Apache License 2.0": "apache-2.0", "Released under the BSD License": "bsd", "Released under the Foo License": "", "Licensed under the Foo License, Version 2.0": ""}
     docs = spark.createDataFrame([(k, f"before\n{line}\nafter") for k, line in enumerate(lines)], "doc_id long, text string")
-    assert {r.doc_id: r.labels for r in license_join.scan(docs).collect()} == dict(enumerate(lines.values()))
+    assert {r.doc_id: r.labels for r in license_join.scan(spark, docs).collect()} == dict(enumerate(lines.values()))
+
+
+def test_wrapped_short_and_strewn_notices(spark):
+    mit = next(text for label, text in TEMPLATES if label == "mit")
+    lines = {
+        "Use under the MIT License": "mit", "SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: EPL-2.0": "",
+        "Distributed under the terms of the Apache License, Version 2.0": "apache-2.0",
+        "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software\n# and associated documentation files": "mit",
+        "Licensed\nunder CC\nBY-NC 4.0": "cc-by,cc-by-nc", "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa",
+        "Licensed under the MIT License or\nLicensed under the Apache License 2.0": "apache-2.0,mit",
+        "The license plate was found under the bridge; an MIT student licensed the photo": "",
+        "in the 2.0 meeting the public was licensed under oath and Mozilla gave a license": "",
+        "He was licensed under the new license": "", "CC BY-NC 4.0 licensed": "cc-by,cc-by-nc", mit: "mit"}
+    docs = spark.createDataFrame([(k, f"some words before\n{line}\nand some after") for k, line in enumerate(lines)], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in license_join.scan(spark, docs).collect()} == dict(enumerate(lines.values()))
