@@ -2,16 +2,18 @@
 
 ``expect`` returns the kept rows plus per-expectation pass/fail counts from
 the same input (two aggregates over one plan; no Python callback per row).
-``expectation_log`` writes one event per batch whose ``expectations`` text
-is a JSON array of ``{name, dataset, passed_records, failed_records}``;
+The log holds one event per batch whose ``expectations`` text is a JSON array of
+``{name, dataset, passed_records, failed_records}``; batch jobs and streams write it
+with ``write_event``;
 ``expectation_latest`` / ``expectation_totals`` read it back.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EXPECTATION_TYPE = ("array<struct<name: string, dataset: string, "
@@ -36,9 +38,31 @@ def expect(df: DataFrame, expectations: Mapping[str, str]) -> tuple[DataFrame, D
     return kept, counts.select(rows.alias("e")).select("e.*")
 
 
+#: One event per batch, whoever writes it: ``batch_id`` grows from batch to batch, also
+#: over an empty one; ``timestamp`` is when the counts were taken.
+EVENT_SCHEMA = "batch_id long, timestamp timestamp, expectations string"
+
+
+def write_event(spark: SparkSession, path: str, batch_id: int, counts: list[dict], dataset: str, at: str | None = None) -> None:
+    """Log one batch's counts (``name, passed_records, failed_records``) as an event.
+
+    The event has a folder of its own, so that a batch replayed after a failure replaces
+    its event instead of adding one.  ``at`` pins the clock (default: now)."""
+    text = json.dumps([{"name": c["name"], "dataset": dataset, "passed_records": c["passed_records"],
+                        "failed_records": c["failed_records"]} for c in counts])
+    clock = F.current_timestamp() if at is None else F.lit(str(at)).cast("timestamp")
+    event = spark.range(1).select(clock.alias("timestamp"), F.lit(text).alias("expectations"))
+    event.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EVENT_SCHEMA).parquet(path)
+
+
 def expectation_events(df: DataFrame, expectations: Mapping[str, str], batch: str | Column,
                        dataset: str) -> DataFrame:
-    """One log event per batch: ``batch_id, timestamp, expectations`` (JSON).
+    """The events of many batches at once: ``batch_id, timestamp, expectations`` (JSON), with
+    the newest load time of a batch for its clock.
 
     Counts are a partial aggregate per (batch); the per-event array holds
     one element per expectation, so it is bounded by the expectation list.
@@ -63,8 +87,9 @@ def _explode_log(log: DataFrame) -> DataFrame:
 
 
 def expectation_latest(log: DataFrame) -> DataFrame:
-    """Per-expectation counts of the most recent event only."""
-    latest = log.orderBy(F.col("timestamp").desc()).limit(1)
+    """Per-expectation counts of the most recent event only: of events at one time, the
+    one of the last batch."""
+    latest = log.orderBy(F.col("timestamp").desc(), F.col("batch_id").desc()).limit(1)
     return _explode_log(latest).select(
         "dataset", F.col("name").alias("expectation"), "passed_records",
         F.col("failed_records").alias("dropped_records"))

@@ -36,7 +36,7 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
                      file_col: str = "_source_file",
                      ingested_col: str = "_ingested_at",
                      keep: tuple[str, ...] = ("file_modification_time",),
-                     spread: int | None = None) -> DataFrame:
+                     spread: int | None = None, subject: str | None = None) -> DataFrame:
     """Explode Bronze documents into Silver-base rows (before dedup).
 
     Output: ``metric_name, units, date, value_qty, value_avg, value_min,
@@ -48,8 +48,17 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
     redistributed round-robin before they are parsed, so a few very large
     exports do not leave the parse to a few tasks (costs one shuffle of the
     reading text; leave unset for many small files).
+
+    ``subject``: path of the person a reading belongs to, where exports of several are
+    landed together; it becomes a column ``subject``.
     """
     extra = [c for c in keep if c in bronze.columns]
+    return flatten_reading_text(reading_texts(bronze, data_col, file_col, ingested_col, extra, spread), extra, subject)
+
+
+def reading_texts(bronze: DataFrame, data_col: str = "data", file_col: str = "_source_file", ingested_col: str = "_ingested_at",
+                  extra: list[str] | tuple = (), spread: int | None = None) -> DataFrame:
+    """One raw reading text per row (``value_raw``) with its metric and file."""
     # Parse once into a column; referencing the parse twice inside one
     # expression would parse every document twice.
     parsed = bronze.select(
@@ -62,9 +71,7 @@ def explode_readings(bronze: DataFrame, data_col: str = "data",
         "source_file", "ingested_at", *extra,
         F.col("m.name").alias("metric_name"), F.col("m.units").alias("units"),
         F.explode(F.col("m.data")).alias("value_raw"))
-    if spread:
-        readings = readings.repartition(int(spread))
-    return flatten_reading_text(readings, extra)
+    return readings.repartition(int(spread)) if spread else readings
 
 
 def unparsed_documents(bronze: DataFrame, data_col: str = "data",
@@ -78,7 +85,7 @@ def unparsed_documents(bronze: DataFrame, data_col: str = "data",
     return doc.select("_source_file", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
-def flatten_reading_text(readings: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
+def flatten_reading_text(readings: DataFrame, extra: list[str] | tuple = (), subject: str | None = None) -> DataFrame:
     """Type one reading text per row into the Silver-base columns."""
     # Parse each reading once into its own column, then read paths from it
     # (inline, the parse would be repeated for every path).
@@ -95,9 +102,35 @@ def flatten_reading_text(readings: DataFrame, extra: list[str] | tuple = ()) ->
         "source_file",
         "ingested_at",
         *extra,
+        *([_text(v, subject).alias("subject")] if subject else []),
     )
 
 
+def lateral_fields(rows: DataFrame, value: Column, outer: bool = False) -> DataFrame:
+    """``rows`` joined laterally with the elements of a variant value each: ``pos, key, value``.
+
+    An array gives its elements (null keys), an object its fields; a null or missing value
+    and a scalar give nothing, or with ``outer`` one row of nulls.
+    """
+    tvf = rows.sparkSession.tvf
+    elements = tvf.variant_explode_outer(value.outer()) if outer else tvf.variant_explode(value.outer())
+    return rows.lateralJoin(elements)
+
+
+def lateral_readings(bronze: DataFrame, data_col: str = "data", file_col: str = "_source_file") -> DataFrame:
+    """(source_file, metric_name, reading): the flatten by two lateral joins over VARIANT.
+
+    For documents that fit one VARIANT (16 MiB); ``explode_readings`` splits documents
+    of any size.  Those that do not parse give no rows here and show in
+    :func:`unparsed_documents`."""
+    docs = bronze.select(F.col(file_col).alias("source_file"), F.try_parse_json(data_col).alias("doc"))
+    metrics = F.coalesce(F.try_variant_get("doc", "$.metrics", "variant"), F.try_variant_get("doc", "$.data.metrics", "variant"))
+    per_metric = lateral_fields(docs.select("source_file", metrics.alias("metrics")), F.col("metrics")).select("source_file", F.col("value").alias("metric"))
+    named = per_metric.select("source_file", F.try_variant_get("metric", "$.name", "string").alias("metric_name"),
+                              F.try_variant_get("metric", "$.data", "variant").alias("data"))
+    return lateral_fields(named, F.col("data")).select("source_file", "metric_name", F.col("value").alias("reading"))
+
+
 def reading_shapes(rows: DataFrame) -> DataFrame:
     """Schema drift report: readings per (metric, sorted key set)."""
     keys = F.array_join(F.array_sort(F.json_object_keys("value_raw")), ",")

@@ -50,22 +50,32 @@ def reading_date_text(value_raw: Column) -> Column:
     return F.get_json_object(value_raw, "$.date")
 
 
-def stage_readings(base: DataFrame) -> DataFrame:
+# The staging projection, one SQL expression per output column.
+_DATE_TEXT = "get_json_object(value_raw, '$.date')"
+_STAGED = {
+    "metric_name": "metric_name",
+    "units": "lower(units)",
+    "metric_date": f"to_date(try_to_timestamp(substring({_DATE_TEXT}, 1, 10), 'yyyy-MM-dd'))",
+    "metric_timestamp": "date",
+    "value_qty": "value_qty", "value_avg": "value_avg", "value_min": "value_min", "value_max": "value_max",
+    "value": "coalesce(value_qty, value_avg)",
+    "is_daily_rollup": f"substring({_DATE_TEXT}, 12, 8) = '{ROLLUP_TIME_TEXT}'",
+    "source_file": "source_file", "ingested_at": "ingested_at",
+}
+_STAGED_ROWS = "metric_name IS NOT NULL AND date IS NOT NULL"
+
+
+def stage_readings(base: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Typed staging projection over Silver base.
 
     The local calendar day and the rollup flag come from the original
     reading text (first 10 characters / characters 12-19), never from the
     UTC instant.  Rows without a metric name or a parsed date are dropped.
+    ``by`` names subject columns to keep.
     """
-    txt = reading_date_text(F.col("value_raw"))
-    return (base
-            .filter(F.col("metric_name").isNotNull() & F.col("date").isNotNull())
-            .select(
-                "metric_name",
-                F.lower("units").alias("units"),
-                F.to_date(F.try_to_timestamp(F.substring(txt, 1, 10), F.lit("yyyy-MM-dd"))).alias("metric_date"),
-                F.col("date").alias("metric_timestamp"),
-                "value_qty", "value_avg", "value_min", "value_max",
-                F.coalesce("value_qty", "value_avg").alias("value"),
-                (F.substring(txt, 12, 8) == ROLLUP_TIME_TEXT).alias("is_daily_rollup"),
-                "source_file", "ingested_at"))
+    return base.filter(_STAGED_ROWS).select(*by, *[F.expr(e).alias(c) for c, e in _STAGED.items()])
+
+
+def staging_sql(base: str) -> str:
+    """The same projection as the text of a view over the named Silver base."""
+    return f"SELECT {', '.join(f'{e} AS {c}' for c, e in _STAGED.items())} FROM {base} WHERE {_STAGED_ROWS}"

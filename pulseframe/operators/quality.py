@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CUMULATIVE_METRICS, DAILY_COLUMNS, FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
@@ -99,6 +99,20 @@ def source_freshness(bronze: DataFrame, as_of: dt.datetime | str,
             .select("max_loaded_at", "age_hours", status.alias("status")))
 
 
+def source_freshness_pruned(spark: SparkSession, table: str, as_of: dt.datetime | str, loaded_at: str = "_ingested_at",
+                            day: str = "ingest_date", **limits) -> DataFrame:
+    """:func:`source_freshness` of a landed table partitioned by load day, from the newest
+    day's files alone.
+
+    The newest day is a scalar subquery over the file listing (no file is opened for it);
+    it prunes the partitions of the scan, which reads one column of one day.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table)
+    newest = listing.agg(F.max(F.col(day).cast("string")).alias("day")).scalar()
+    landed = spark.read.schema(f"`{loaded_at}` timestamp, `{day}` string").parquet(table)  # a given schema: no footer is read for it
+    return source_freshness(landed.filter(F.col(day) == newest).select(loaded_at), as_of, loaded_at, **limits)
+
+
 def run_suite(checks: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
     """name -> (severity, violations) into ``check_name, severity, failures, status``."""
     parts = []

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_base
+from ..session import stored
 from .latest import latest_by
 
 START, END = "__START_AT", "__END_AT"
@@ -67,9 +67,8 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str]
     (key, version start).
     """
     keys, track = list(keys), list(track)
-    checkpoint_base(df.sparkSession)
-    ev = latest_by(df, keys + [sequence], _tie_break(df)).checkpoint()
-    spark = ev.sparkSession
+    spark = df.sparkSession
+    ev = stored(spark, latest_by(df, keys + [sequence], _tie_break(df)), "scd2-events")
     n = int(chunks or spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in ev.columns if c not in keys + [sequence]]
     seq = F.col(sequence)
@@ -83,9 +82,9 @@ def scd2(df: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str]
         F.row_number().over(Window.partitionBy(*part).orderBy(seq.desc())).alias("_rnd"),
         *[F.lag(c).over(wc).alias(f"_p_{c}") for c in track])
     # The chunked events feed the boundary tables and the main path: write
-    # them once (reliable checkpoint in the shared checkpoint folder) so the
+    # them once (in the shared checkpoint folder) so the
     # upstream is not recomputed per consumer and chunk ids stay fixed.
-    ev = ev.checkpoint()
+    ev = stored(spark, ev, "scd2-chunks")
 
     # Keys cut by a chunk boundary: the smallest and largest key of a chunk.
     kst = F.struct(*keys)

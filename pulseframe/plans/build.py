@@ -9,19 +9,18 @@ tests plus the source-freshness check run over the written tables.
 from __future__ import annotations
 
 import datetime as dt
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ACCEPTED_METRICS, DAILY_RANGES, SILVER_EXPECTATIONS
-from ..operators.expectations import expect_observed, observed_counts
+from ..operators.expectations import expect_observed, observed_counts, write_event
 from ..operators import quality as Q
 from ..operators.flatten import explode_readings
-from ..operators.latest import latest_readings, stage_readings
-from ..session import checkpoint_base
-from . import marts
+from ..operators.latest import latest_readings, stage_readings, staging_sql
+from ..session import read_if_there, scratch
+from . import marts, weekly
 from .silver import merge_silver, read_silver, write_silver_by_day
 
 MARTS = ("fct_daily_activity_summary", "fct_weekly_trends", "fct_weekly_weight_trends",
@@ -33,22 +32,12 @@ def layer_paths(out_dir: str) -> dict[str, str]:
     return {n: os.path.join(out_dir, n) for n in names}
 
 
-def _log_expectations(spark: SparkSession, obs, path: str) -> None:
-    counts = observed_counts(obs, SILVER_EXPECTATIONS)
-    event = spark.createDataFrame(
-        [(json.dumps([{**c, "dataset": "silver_readings_staging"} for c in counts]),)],
-        "expectations string").select(F.current_timestamp().alias("timestamp"), "expectations")
-    event.write.mode("append").parquet(path)
-
-
-def _derive_marts(spark: SparkSession, paths: dict[str, str], as_of) -> None:
-    """Weekly trends, weight and freshness from their small per-day tables."""
-    daily = read_days(spark, paths[MARTS[0]])
-    marts.weekly_trends(daily).write.mode("overwrite").parquet(paths[MARTS[1]])
-    dw = read_days(spark, paths["daily_weight_readings"])
-    marts.weekly_weight_from_daily(dw).write.mode("overwrite").parquet(paths[MARTS[2]])
-    dc = read_days(spark, paths["metric_day_counts"])
-    marts.freshness_from_day_counts(dc, as_of).write.mode("overwrite").parquet(paths[MARTS[3]])
+def _log_expectations(spark: SparkSession, obs, path: str, at: str | None = None) -> None:
+    """Append the run's event: the observed counts, under the next batch number."""
+    log = read_if_there(spark, path)
+    last = log.agg(F.max("batch_id")).first()[0] if log is not None else None
+    write_event(spark, path, 0 if last is None else last + 1, observed_counts(obs, SILVER_EXPECTATIONS),
+                "silver_readings_staging", at)
 
 
 def build_layers(spark: SparkSession, bronze: DataFrame, out_dir: str,
@@ -64,7 +53,9 @@ def build_layers(spark: SparkSession, bronze: DataFrame, out_dir: str,
     write_days(marts.daily_summary(stg), paths[MARTS[0]])
     for name, fn in DAY_TABLES.items():
         write_days(fn(stg), paths[name])
-    _derive_marts(spark, paths, as_of)
+    weekly.write_trends(read_days(spark, paths[MARTS[0]]), paths[MARTS[1]])
+    weekly.write_weight(read_days(spark, paths["daily_weight_readings"]), paths[MARTS[2]])
+    _write_freshness(spark, paths, as_of)
     return paths
 
 
@@ -72,18 +63,41 @@ def update_layers(spark: SparkSession, new_bronze: DataFrame, out_dir: str,
                   as_of: dt.date | str | None = None) -> dict[str, str]:
     """Incremental run after :func:`build_layers`: fold only the new Bronze
     files into Silver (touched metric-day partitions), refresh the daily mart
-    and the per-day tables for the touched local days, and re-derive the
-    other marts from those small tables.  Results equal a full build."""
+    and the per-day tables for the touched local days, the weekly marts for the
+    touched weeks and those that refer to them, and derive freshness from its
+    small per-day table.  Results equal a full build."""
     paths = layer_paths(out_dir)
     kept, obs = expect_observed(explode_readings(new_bronze), SILVER_EXPECTATIONS)
     touched = merge_silver(spark, paths["silver"], kept)
     _log_expectations(spark, obs, paths["expectation_log"])
     merge_daily(spark, paths[MARTS[0]], paths["silver"], touched)
     merge_day_tables(spark, paths, paths["silver"], touched)
-    _derive_marts(spark, paths, as_of)
+    merge_weeks(spark, paths, touched)
+    _write_freshness(spark, paths, as_of)
     return paths
 
 
+def _write_freshness(spark: SparkSession, paths: dict[str, str], as_of) -> None:
+    dc = read_days(spark, paths["metric_day_counts"])
+    marts.freshness_from_day_counts(dc, as_of).write.mode("overwrite").parquet(paths[MARTS[3]])
+
+
+def merge_weeks(spark: SparkSession, paths: dict[str, str], touched: DataFrame) -> None:
+    """Refresh the weekly marts after their per-day tables."""
+    days = local_days(touched)
+    weekly.merge_trends(spark, paths[MARTS[1]], read_days(spark, paths[MARTS[0]]), days)
+    weekly.merge_weight(spark, paths[MARTS[2]], read_days(spark, paths["daily_weight_readings"]), days)
+
+
+def read_mart(spark: SparkSession, paths: dict[str, str], mart: str) -> DataFrame:
+    """A stored mart, its own columns only."""
+    if mart == MARTS[0]:
+        return read_days(spark, paths[mart])
+    if mart in MARTS[1:3]:
+        return weekly.read_weeks(spark, paths[mart])
+    return spark.read.parquet(paths[mart])
+
+
 def suite_specs() -> dict[str, list[dict]]:
     """The row-level data tests of each table."""
     def nn(t, c):
@@ -118,10 +132,7 @@ def check_layers(spark: SparkSession, bronze: DataFrame, paths: dict[str, str],
                 freshness_as_of: dt.datetime | str) -> DataFrame:
     """The reference's data tests over the written tables, one pass per table."""
     stg = stage_readings(read_silver(spark, paths["silver"]).drop("reading_day"))
-    d = read_days(spark, paths[MARTS[0]])
-    wk = spark.read.parquet(paths[MARTS[1]])
-    ww = spark.read.parquet(paths[MARTS[2]])
-    fr = spark.read.parquet(paths[MARTS[3]])
+    d, wk, ww, fr = (read_mart(spark, paths, m) for m in MARTS)
 
     counts = suite_counts({"stg": stg, "daily": d, "weekly": wk, "weight": ww, "freshness": fr},
                           bronze, read_silver(spark, paths["silver"]))
@@ -132,6 +143,16 @@ def check_layers(spark: SparkSession, bronze: DataFrame, paths: dict[str, str],
     return Q.suite_result(counts + [fresh])
 
 
+def _around(days: DataFrame, column: str, name: str) -> DataFrame:
+    shifts = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    return days.select(F.explode(F.transform(shifts, lambda k: F.date_add(column, k))).alias(name)).distinct()
+
+
+def local_days(touched: DataFrame) -> DataFrame:
+    """Local days (``metric_date``) that the touched Silver partitions can feed."""
+    return _around(touched, "reading_day", "metric_date")
+
+
 def recompute_days(spark: SparkSession, table_path: str, silver_path: str, touched: DataFrame,
                    build) -> None:
     """Refresh a per-local-day table only for the days a Silver merge touched.
@@ -143,23 +164,19 @@ def recompute_days(spark: SparkSession, table_path: str, silver_path: str, touch
     semi-join on the partition column is pruned at the scan).  ``build``
     maps the staged readings of those days to rows keyed by ``metric_date``.
     The table is partitioned by month: only the months of those days are read
-    back, joined with the fresh days, checkpointed (they are read from the
+    back, joined with the fresh days, stored (they are read from the
     partitions they replace) and overwritten; other months are not touched.
     """
-    checkpoint_base(spark)
-    shifts = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    days = (touched.select(F.explode(F.transform(shifts, lambda k: F.date_add("reading_day", k)))
-                           .alias("metric_date")).distinct())
-    scan_days = (days.select(F.explode(F.transform(shifts, lambda k: F.date_add("metric_date", k)))
-                             .alias("reading_day")).distinct())
+    days = local_days(touched)
+    scan_days = _around(days, "metric_date", "reading_day")
     silver_rows = spark.read.parquet(silver_path).join(scan_days, "reading_day", "left_semi")
     stg = stage_readings(silver_rows.drop("reading_day")).join(days, "metric_date", "left_semi")
     fresh = _with_month(build(stg))
     months = _with_month(days).select("month").distinct()
     kept = (read_days(spark, table_path, keep_month=True).join(months, "month", "left_semi")
             .join(days, "metric_date", "left_anti"))
-    merged = kept.unionByName(fresh.select(*kept.columns)).checkpoint()
-    write_days(merged, table_path, "dynamic")
+    with scratch(spark) as keep:
+        write_days(keep(kept.unionByName(fresh.select(*kept.columns)), "refreshed-days"), table_path, "dynamic")
 
 
 def _with_month(rows: DataFrame) -> DataFrame:
@@ -198,24 +215,34 @@ def merge_day_tables(spark: SparkSession, paths: dict[str, str], silver_path: st
         recompute_days(spark, paths[name], silver_path, touched, fn)
 
 
-def publish_layers(spark: SparkSession, paths: dict[str, str], prefix: str) -> dict[str, str]:
-    """Name the written layers: schemas ``<prefix>_silver`` and ``<prefix>_gold`` with
-    a table per stored layer, and the staging view over the Silver table.
+def publish_layers(spark: SparkSession, paths: dict[str, str], bronze_path: str | None = None, prefix: str = "pulse") -> dict[str, str]:
+    """Name the written layers: schemas ``<prefix>_bronze``, ``<prefix>_silver`` and
+    ``<prefix>_gold`` with a view per stored layer over its files, and the staging view
+    over Silver's.
 
-    Returns layer -> qualified name.  Existing names are replaced; data stay where
-    they are (tables by location).
+    Returns layer -> qualified name.  A name that exists is replaced in one step, so that
+    readers find either the old or the new files under it; data stay where they are, and
+    a run that writes to a new folder and publishes it never shows a half-written layer.
     """
-    silver_schema, gold_schema = f"{prefix}_silver", f"{prefix}_gold"
-    for schema in (silver_schema, gold_schema):
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    def name(schema: str, table: str) -> str:
+        return f"`{prefix}_{schema}`.`{table}`"
+
+    def publish(qualified: str, path: str, columns: list[str], where: str = "") -> str:
+        shown = ", ".join(f"`{c}`" for c in columns)
+        place = path.replace("`", "``")
+        spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS SELECT {shown} FROM parquet.`{place}`{where}")
+        return qualified
+
+    for schema in ("bronze", "silver", "gold"):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{prefix}_{schema}`")
     out = {}
-    for layer in ("silver", *MARTS):
-        name = f"{silver_schema}.base_readings" if layer == "silver" else f"{gold_schema}.{layer}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{paths[layer]}'")
-        if layer in ("silver", MARTS[0]):  # stored by partition
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-        out[layer] = name
-    stage_readings(spark.table(out["silver"]).drop("reading_day")).createOrReplaceTempView(f"{prefix}_stg_readings")
-    out["staging"] = f"{prefix}_stg_readings"
+    if bronze_path is not None:
+        out["bronze"] = publish(name("bronze", "health_export"), bronze_path, spark.read.parquet(bronze_path).columns)
+    out["silver"] = publish(name("silver", "base_readings"), paths["silver"], read_silver(spark, paths["silver"]).columns)
+    for mart in MARTS:
+        out[mart] = publish(name("gold", mart), paths[mart], read_mart(spark, paths, mart).columns,
+                            " WHERE NOT _gone" if mart in MARTS[1:3] else "")
+    # the staging layer is a view in the catalog as well: the projection in SQL
+    out["staging"] = name("silver", "stg_readings")
+    spark.sql(f"CREATE OR REPLACE VIEW {out['staging']} AS {staging_sql(out['silver'])}")
     return out

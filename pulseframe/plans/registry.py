@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 
 from ..config import ACCEPTED_METRICS, DAILY_RANGES, DOCUMENT_JSON, SILVER_EXPECTATIONS
 from ..functions.columns import change_display, iso_year_week
+from ..functions.sql_functions import range_violations, register_macros, register_range_check
 from ..operators import expectations as X
 from ..operators import payload as P
 from ..operators import quality as Q
-from ..operators.flatten import reading_shapes, unparsed_documents
-from ..operators.latest import latest_readings, reading_date_text, stage_readings
+from ..operators.flatten import explode_readings, lateral_fields, lateral_readings, reading_shapes, unparsed_documents
+from ..operators.latest import SILVER_KEYS, latest_readings, reading_date_text, stage_readings
 from ..operators.scd import scd1, scd2
-from ..session import apply_defaults, checkpoint_base, shared_dir
+from ..operators.schema_evolution import kind_of, schema_versions, stored_fields
+from ..session import apply_defaults, shared_dir, stored
 from ..sources import driver_tables as dtab
 from ..sources import exports as S
 from ..streaming import streams as ST
-from . import build, marts, silver
+from . import build, marts, silver, weekly
 from .compare import rounded
 from .oracle import AS_OF
 from .tail import tail
@@ -154,16 +156,15 @@ def q_check_source_freshness(spark, sf_dir):
 
 @register("quality_suite")
 def q_quality_suite(spark, sf_dir):
-    """The 26 data tests over stored tables: Silver and each mart are
-    materialized once (reliable checkpoints in the shared folder), so a table's
-    counting pass and its uniqueness pass read it, not its derivation."""
-    checkpoint_base(spark)
-    base = silver.silver_base(spark, sf_dir).checkpoint()
+    """The 26 data tests over stored tables: Silver and each mart are written
+    once to the shared folder, so a table's counting pass and its uniqueness pass
+    read its columns, not its derivation."""
+    base = stored(spark, silver.silver_base(spark, sf_dir), "suite-silver")
     stg = stage_readings(base)
-    d = marts.daily_summary(stg).checkpoint()
-    tables = {"stg": stg, "daily": d, "weekly": marts.weekly_trends(d).checkpoint(),
-              "weight": marts.weekly_weight(stg).checkpoint(),
-              "freshness": marts.metric_freshness(stg, as_of=AS_OF).checkpoint()}
+    d = stored(spark, marts.daily_summary(stg), "suite-daily")
+    tables = {"stg": stg, "daily": d, "weekly": stored(spark, marts.weekly_trends(d), "suite-weekly"),
+              "weight": stored(spark, marts.weekly_weight(stg), "suite-weight"),
+              "freshness": stored(spark, marts.metric_freshness(stg, as_of=AS_OF), "suite-freshness")}
     return Q.suite_result(build.suite_counts(tables, silver.bronze(spark, sf_dir), base))
 
 
@@ -203,12 +204,15 @@ def q_folder_ingest(spark, sf_dir):
         S.ingest_folder(spark, folder, target, ingested_at=LANDED_CUTOFF)
     back = S.read_landed(spark, target)
     p = F.from_json("data", "struct<metrics: array<struct<name: string, data: array<string>>>>", DOCUMENT_JSON)
+    listed = S.read_exports(spark, folder).select(F.col("source_path").alias("_path"), F.col("file_modification_time").alias("_modified"))
+    back = back.join(listed, F.col("_source_file") == F.col("_path"), "left")
     return back.select(
         F.regexp_extract(F.url_decode("_source_file"), r"_source_file=([^/]+)/[^/]+\.json$", 1).alias("_source_file"),
         "_ingested_at", "ingest_date", F.size(p["metrics"]).alias("n_metrics"),
         F.aggregate(F.transform(p["metrics"], lambda m: F.size(m["data"])), F.lit(0), lambda a, x: a + x).alias("n_readings"),
         ((F.col("content_sha256") == F.sha2("data", 256)) & (F.col("content_bytes") == F.octet_length("data"))
-         & (F.length("request_id") == 32) & F.col("_rescued_data").isNull()).alias("intact"))
+         & (F.length("request_id") == 32) & F.col("_rescued_data").isNull()).alias("intact"),
+        F.col("file_modification_time").eqNullSafe(F.col("_modified")).alias("modified_as_listed"))
 
 
 @register("unparsed_documents")
@@ -222,12 +226,17 @@ def q_unparsed_documents(spark, sf_dir):
 @register("mart_order")
 def q_mart_order(spark, sf_dir):
     """The marts' final sorts, shown as row numbers of the sorted mart."""
-    d = daily(spark, sf_dir)
-    fresh = marts.metric_freshness(silver.staged(spark, sf_dir), as_of=AS_OF)
+    stg = silver.staged(spark, sf_dir)
+    d = marts.daily_summary(stg)
     parts = [marts.numbered(name, mart).select(F.lit(name).alias("mart"), F.col(key).cast("string").alias("row_key"), "row_no")
              for name, mart, key in (("fct_daily_activity_summary", d, "metric_date"),
-                                     ("fct_metric_freshness", fresh, "metric_name"))]
-    return parts[0].unionByName(parts[1])
+                                     ("fct_weekly_trends", marts.weekly_trends(d), "week_start"),
+                                     ("fct_weekly_weight_trends", marts.weekly_weight(stg), "week_end_date"),
+                                     ("fct_metric_freshness", marts.metric_freshness(stg, as_of=AS_OF), "metric_name"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("new_files_anti_join")
@@ -249,6 +258,50 @@ def q_exact_resend_dedup(spark, sf_dir):
     return kept.select("_source_file", "_ingested_at", "copies")
 
 
+@register("exact_resend_bodies")
+def q_exact_resend_bodies(spark, sf_dir):
+    """Exact resends dropped, the first copies with their bodies: what is in them and whence."""
+    rows = _with_copies(spark, sf_dir)
+    kept = S.with_bodies(S.drop_exact_resends(rows), rows)
+    doc = F.from_json("data", "struct<exported: string, data: struct<metrics: array<struct<name: string>>>>", DOCUMENT_JSON)
+    read = kept.withColumn("_doc", doc)
+    return read.select("_source_file", "_ingested_at", "copies", F.col("_doc.exported").alias("exported"),
+                       F.size("_doc.data.metrics").alias("n_metrics"))
+
+
+def _export_bodies(spark, sf_dir):
+    """Request bodies that say which export they are (as real ones carry their time)."""
+    docs = dtab.export_documents(dtab.table(spark, sf_dir, "events"))
+    body = F.concat(F.lit('{"exported":"'), F.col("_source_file"), F.lit('","data":'), F.col("inner"), F.lit("}"))
+    return docs.select(body.alias("data"), F.lit(None).cast("string").alias("_rescued_data"), "_ingested_at", "_source_file",
+                       "file_modification_time", "file_no")
+
+
+def _resent(bodies):
+    """Every fifth file once more, an hour later, under another name."""
+    return (bodies.filter(F.col("file_no") % 5 == 2)
+            .withColumns({"_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 1 HOUR"),
+                          "_source_file": F.concat(F.lit("copy_"), F.col("_source_file"))}))
+
+
+def _with_copies(spark, sf_dir):
+    bodies = _export_bodies(spark, sf_dir)
+    return bodies.unionByName(_resent(bodies)).drop("file_no")
+
+
+@register("stream_resend_dedup")
+def q_stream_resend_dedup(spark, sf_dir):
+    """A12 on a stream: files, then in a later run (restarted from its checkpoint) resends of
+    a fifth of them, batch by batch; each content is kept once."""
+    source, target, ckpt = (shared_dir(spark, n) for n in ("bronze-resent", "bronze-once", "ckpt-once"))
+    bodies = _export_bodies(spark, sf_dir)
+    bodies.drop("file_no").write.parquet(source)
+    ST.dedup_stream(spark, source, target, ckpt, max_files=4)
+    _resent(bodies).drop("file_no").write.mode("append").parquet(source)
+    ST.dedup_stream(spark, source, target, ckpt, max_files=4)
+    return spark.read.parquet(target).select("_source_file", "_ingested_at", (F.col("content_sha256") == F.sha2("data", 256)).alias("intact"))
+
+
 @register("ingest_counts")
 def q_ingest_counts(spark, sf_dir):
     return S.ingest_counts(silver.bronze(spark, sf_dir))
@@ -332,6 +385,110 @@ def q_scd2_history(spark, sf_dir):
                             "__START_AT", "__END_AT"))
 
 
+# --- schema evolution with rescued data (A13, A14) --------------------------------
+def _evolving(spark, sf_dir):
+    """Two runs of the evolving stream: the files landed by the cutoff, then the later ones,
+    whose readings have a new field and a retyped one; returns (table, schema log)."""
+    bronze = dtab.bronze_table(dtab.table(spark, sf_dir, "events"), dtab.drift_json(LANDED_CUTOFF))
+    source, target, log, ckpt = (shared_dir(spark, n) for n in ("bronze-drift", "evolving", "schema-log", "ckpt-evolving"))
+    early = F.col("_ingested_at") <= F.lit(LANDED_CUTOFF).cast("timestamp")
+    bronze.filter(early).write.parquet(source)
+    ST.evolving_stream(spark, source, target, log, ckpt)
+    bronze.filter(~early).write.mode("append").parquet(source)
+    ST.evolving_stream(spark, source, target, log, ckpt)
+    return target, log
+
+
+@register("schema_evolution_rescue")
+def q_schema_evolution_rescue(spark, sf_dir):
+    """Typed columns and rescued fields of every reading, over two schema versions."""
+    target, log = _evolving(spark, sf_dir)
+    rows = ST.read_evolving(spark, target, log)
+    there = {f for f, _ in stored_fields(spark, log)}
+
+    def field(name: str, kind: str):
+        return (F.col(f"reading.{name}") if name in there else F.lit(None)).cast(kind).alias(f"f_{name.lower()}")
+
+    rescued = F.expr("try_variant_get(try_parse_json(_rescued_data), '$', 'map<string,variant>')")
+    text = F.transform(F.map_entries(rescued), lambda e: F.concat(
+        e["key"], F.lit("="), F.coalesce(F.when(kind_of(e["value"]) == "number", F.try_variant_get(e["value"], "$", "double").cast("string")),
+                                         F.try_variant_get(e["value"], "$", "string"))))
+    return rounded(rows.select(
+        "source_file", "metric_name", field("date", "string"), field("source", "string"), field("qty", "double"), field("Avg", "double"),
+        field("Min", "double"), field("Max", "double"), field("context", "string"), F.array_join(text, ";").alias("rescued")))
+
+
+@register("schema_versions")
+def q_schema_versions(spark, sf_dir):
+    """The stored schema: which version brought which field, with its JSON type."""
+    _, log = _evolving(spark, sf_dir)
+    return schema_versions(spark, log)
+
+
+# --- lateral flatten, VARIANT at rest, macros in SQL --------------------------------
+@register("variant_lateral_explode")
+def q_variant_lateral_explode(spark, sf_dir):
+    """C3, C4, D5 as lateral table functions: readings and their fields by metric; an object
+    gives its fields, a path that is not there gives nothing, or one row where it is outer."""
+    readings = lateral_readings(silver.bronze(spark, sf_dir))
+    fields = lateral_fields(readings, F.col("reading"))
+    absent = F.try_variant_get("reading", "$.absent", "variant")
+    parts = [("reading", readings.select("metric_name", F.lit("").alias("key"))),
+             ("field", fields.select("metric_name", "key")),
+             ("absent", lateral_fields(readings, absent).select("metric_name", "key")),
+             ("absent_outer", lateral_fields(readings, absent, outer=True).select("metric_name", F.coalesce("key", F.lit("")).alias("key")))]
+    out = None
+    for level, rows in parts:
+        counted = rows.groupBy("metric_name", "key").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(level).alias("level"), "metric_name", "key", "n_rows")
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
+@register("silver_variant_paths")
+def q_silver_variant_paths(spark, sf_dir):
+    """Silver that keeps readings as shredded VARIANT; its columns are paths read in the scan."""
+    path = shared_dir(spark, "silver-variant")
+    silver.write_silver_variant(silver.silver_base(spark, sf_dir), path)
+    return rounded(silver.read_silver_variant(spark, path))
+
+
+@register("sql_macros")
+def q_sql_macros(spark, sf_dir):
+    """The display and range macros called from SQL over the stored daily mart."""
+    register_macros(spark)
+    stored(spark, daily(spark, sf_dir), "daily-for-sql").createOrReplaceTempView("pulse_daily_for_sql")
+    bad = range_violations(spark, "pulse_daily_for_sql", DAILY_RANGES)
+    register_range_check(spark, "steps_out_of_range", "pulse_daily_for_sql", "total_steps")
+    steps = spark.sql("SELECT 'steps' AS macro, 'total_steps' AS name, CAST(round(value_to_check, 2) AS STRING) AS text, "
+                      "CAST(NULL AS STRING) AS text0 FROM steps_out_of_range({}, {})".format(*DAILY_RANGES["total_steps"]))
+    shown = spark.sql("SELECT 'display' AS macro, CAST(metric_date AS STRING) AS name, color_change(round(total_steps, 6) - 50) AS text, "
+                      "color_change(round(avg_heart_rate_bpm, 6) - 50, 0) AS text0 FROM pulse_daily_for_sql")
+    return shown.unionByName(steps).unionByName(bad.select(F.lit("range").alias("macro"), F.col("column_name").alias("name"),
+                                        F.round("value_to_check", 2).cast("string").alias("text"), F.lit(None).cast("string").alias("text0")))
+
+
+@register("check_source_freshness_pruned")
+def q_check_source_freshness_pruned(spark, sf_dir):
+    """K7 over the landed table, from the newest load day's files alone."""
+    path = shared_dir(spark, "landed-days")
+    S.land(silver.bronze(spark, sf_dir), path)
+    return Q.source_freshness_pruned(spark, path, FRESHNESS_AS_OF)
+
+
+# --- several persons (a subject key from the flatten to the marts) ------------------
+@register("weekly_trends_by_subject")
+def q_weekly_trends_by_subject(spark, sf_dir):
+    """Weekly trends of each person: the subject is part of the dedup key, the stored Silver's
+    folders, the marts' groups and the windows, so that none is global."""
+    by = silver.SUBJECT
+    bronze = dtab.bronze_table(dtab.table(spark, sf_dir, "events"), dtab.subject_json())
+    rows = silver.expectation_filter(explode_readings(bronze, subject="$.subject"))
+    path = shared_dir(spark, "silver-subjects")
+    silver.write_silver_by_subject(latest_readings(rows, (*by, *SILVER_KEYS)), path)
+    stg = stage_readings(spark.read.parquet(path), by)
+    return rounded(marts.weekly_trends(marts.daily_summary(stg, by=by), by).withColumn("subject", F.col("subject").cast("long")))
+
+
 # --- reports, display and scalar functions ---------------------------------------
 @register("mart_tail")
 def q_mart_tail(spark, sf_dir):
@@ -499,8 +656,8 @@ def q_stream_expectation_log(spark, sf_dir):
     is not part of the result)."""
     bronze_path = _bronze_parquet(spark, sf_dir)
     out, log = shared_dir(spark, "silver-logged"), shared_dir(spark, "dq-log")
-    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"))
-    tot = X.expectation_totals(spark.read.parquet(log))
+    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"), max_files=3)
+    tot = X.expectation_totals(X.read_events(spark, log))
     return tot.select("expectation", "cumulative_passed", "cumulative_dropped")
 
 
@@ -549,16 +706,20 @@ def q_gold_incremental_daily_summary(spark, sf_dir):
     return rounded(build.read_days(spark, dpath))
 
 
-def _incremental_day_table(spark, sf_dir, name, build_fn):
+def _incremental_day_table(spark, sf_dir, name, build_fn, first=None, then=None):
     """A per-day table built from the files landed by the cutoff, then
-    refreshed for the days the later files touch."""
+    refreshed for the days the later files touch; ``first`` and ``then`` see it after each."""
     rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
     cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
     spath, tpath = shared_dir(spark, f"silver-{name}"), shared_dir(spark, name)
     silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), spath)
     build.write_days(build_fn(stage_readings(spark.read.parquet(spath).drop("reading_day"))), tpath)
+    if first:
+        first(build.read_days(spark, tpath))
     touched = silver.merge_silver(spark, spath, rows.filter(F.col("ingested_at") > cutoff))
     build.recompute_days(spark, tpath, spath, touched, build_fn)
+    if then:
+        then(build.read_days(spark, tpath), touched)
     return build.read_days(spark, tpath)
 
 
@@ -570,8 +731,23 @@ def q_gold_incremental_metric_freshness(spark, sf_dir):
 
 @register("gold_incremental_weekly_weight")
 def q_gold_incremental_weekly_weight(spark, sf_dir):
-    d = _incremental_day_table(spark, sf_dir, "daily-weight", marts.daily_weight_readings)
-    return marts.weekly_weight_from_daily(d)
+    """The stored weight mart, of which only the weeks the later files touch (and those
+    that refer to them, and moved seeds) are written anew.  Equals a full build."""
+    return _incremental_weeks(spark, sf_dir, "daily-weight", marts.daily_weight_readings, weekly.write_weight, weekly.merge_weight)
+
+
+def _incremental_weeks(spark, sf_dir, name, build_days, write, merge):
+    wpath = shared_dir(spark, f"{name}-weeks")
+    _incremental_day_table(spark, sf_dir, name, build_days, first=lambda d: write(d, wpath),
+                           then=lambda d, touched: merge(spark, wpath, d, build.local_days(touched)))
+    return weekly.read_weeks(spark, wpath)
+
+
+@register("gold_incremental_weekly_trends")
+def q_gold_incremental_weekly_trends(spark, sf_dir):
+    """The stored weekly trends, of which only the weeks the later files touch and the next
+    present ones are written anew.  Equals a full build."""
+    return rounded(_incremental_weeks(spark, sf_dir, "daily-trends", marts.daily_summary, weekly.write_trends, weekly.merge_trends))
 
 
 # --- the daily job over stored layers ------------------------------------------------
@@ -593,9 +769,12 @@ def q_daily_job(spark, sf_dir):
 
 @register("named_layers")
 def q_named_layers(spark, sf_dir):
-    """The stored layers by their catalog names (schemas, tables, the staging view)."""
-    _, paths = _stored_layers(spark, sf_dir)
-    names = build.publish_layers(spark, paths, "pulse")
+    """The stored layers by their catalog names (schemas, views over the stored files,
+    the staging view), landed Bronze among them."""
+    bronze, paths = _stored_layers(spark, sf_dir)
+    landed = shared_dir(spark, "landed")
+    S.land(bronze, landed)
+    names = build.publish_layers(spark, paths, landed)
     parts = [spark.sql(f"SELECT '{layer}' AS layer, count(*) AS n_rows FROM {name}") for layer, name in names.items()]
     out = parts[0]
     for p in parts[1:]:

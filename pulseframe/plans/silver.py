@@ -8,13 +8,13 @@ large partition value over several tasks and merges small ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SILVER_EXPECTATIONS
 from ..operators.flatten import explode_readings
 from ..operators.latest import latest_readings, stage_readings
-from ..session import apply_defaults, checkpoint_base
+from ..session import apply_defaults, scratch, stored
 from ..sources import driver_tables as dtab
 
 
@@ -64,6 +64,44 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# --- Silver of several persons ---------------------------------------------------
+SUBJECT = ("subject",)
+SUBJECT_PARTS = 64
+
+
+def write_silver_by_subject(base: DataFrame, path: str, parts: int = SUBJECT_PARTS) -> None:
+    """Silver with a subject key, dealt to a fixed number of folders by a hash of it: a
+    person's readings lie together, and the number of folders does not follow the
+    number of persons."""
+    part = F.pmod(F.xxhash64("subject"), F.lit(parts)).cast("int")
+    (base.withColumn("subject_part", part).hint("rebalance", "subject_part").write.mode("overwrite")
+     .partitionBy("subject_part").parquet(path))
+
+
+# --- Silver with the reading as VARIANT ------------------------------------------
+def write_silver_variant(base: DataFrame, path: str) -> None:
+    """Silver that keeps the reading itself instead of columns cut from it: a VARIANT,
+    which the writer shreds into typed Parquet columns per field."""
+    rows = base.select("metric_name", "units", "date", F.try_parse_json("value_raw").alias("reading"), "source_file", "ingested_at")
+    rows.hint("rebalance", "metric_name").write.mode("overwrite").partitionBy("metric_name").parquet(path)
+
+
+def reading_number(reading: str, *fields: str) -> Column:
+    """The first of some number fields of a VARIANT reading; through text, as in the flatten."""
+    return F.coalesce(*[F.try_variant_get(reading, f"$.{f}", "string") for f in fields]).try_cast("double")
+
+
+def read_silver_variant(spark: SparkSession, path: str) -> DataFrame:
+    """The Silver columns read from the stored VARIANT; a query reads only the paths of the
+    columns it uses."""
+    rows = spark.read.parquet(path)
+    return rows.select(
+        "metric_name", "units", "date", reading_number("reading", "qty").alias("value_qty"),
+        reading_number("reading", "Avg", "avg").alias("value_avg"), reading_number("reading", "Min", "min").alias("value_min"),
+        reading_number("reading", "Max", "max").alias("value_max"), F.try_variant_get("reading", "$.date", "string").alias("date_text"),
+        "source_file", "ingested_at")
+
+
 # --- incremental Silver --------------------------------------------------------
 SILVER_PARTS = ("metric_name", "reading_day")
 
@@ -87,18 +125,18 @@ def merge_silver(spark: SparkSession, path: str, new_rows: DataFrame) -> DataFra
     semi-join on the partition columns, pruned at the scan by dynamic
     partition pruning), unioned with the new rows and folded again with the
     same latest-wins aggregate.  New rows, touched pairs and the merged rows are
-    each materialized once with a reliable checkpoint (the merged rows because
-    they are read from the partitions they replace).  Returns the touched
+    each stored once in the shared folder (the merged rows because they are read
+    from the partitions they replace).  Returns the touched
     partition list.
     """
-    checkpoint_base(spark)
-    new = _with_day(new_rows).checkpoint()
-    touched = new.select(*SILVER_PARTS).distinct().checkpoint()
-    old = spark.read.parquet(path).join(touched, list(SILVER_PARTS), "left_semi")
-    cols = [c for c in old.columns if c not in SILVER_PARTS]
-    both = old.select(*cols, *SILVER_PARTS).unionByName(new.select(*cols, *SILVER_PARTS))
-    merged = latest_readings(both.drop("reading_day")).transform(_with_day).checkpoint()
-    (merged.hint("rebalance", *SILVER_PARTS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*SILVER_PARTS).parquet(path))
+    with scratch(spark) as keep:
+        new = keep(_with_day(new_rows), "new-readings")
+        touched = stored(spark, new.select(*SILVER_PARTS).distinct(), "touched-parts")
+        old = spark.read.parquet(path).join(touched, list(SILVER_PARTS), "left_semi")
+        cols = [c for c in old.columns if c not in SILVER_PARTS]
+        both = old.select(*cols, *SILVER_PARTS).unionByName(new.select(*cols, *SILVER_PARTS))
+        merged = keep(latest_readings(both.drop("reading_day")).transform(_with_day), "merged-readings")
+        (merged.hint("rebalance", *SILVER_PARTS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*SILVER_PARTS).parquet(path))
     return touched

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: instants shown in UTC, ANSI semantics, AQE.
 SESSION_DEFAULTS = {
@@ -82,3 +84,52 @@ def checkpoint_base(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder under :func:`checkpoint_base`."""
     return os.path.join(checkpoint_base(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under :func:`checkpoint_base` and read it back: cuts the
+    lineage as a reliable checkpoint does, and keeps columns and statistics, so that later
+    reads take only the columns and row groups they need."""
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """:func:`stored` for tables that nothing needs once the block is left; they are removed then.
+
+    For rows that are read from what they replace: stored, written to the target, removed.
+    """
+    made: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made.append(shared_dir(spark, name))
+        df.write.parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever the cluster's files live."""
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def read_if_there(spark: SparkSession, path: str, **options) -> DataFrame | None:
+    """The Parquet table at ``path``; None where there is no such path yet.
+
+    Nothing else counts as "not yet": a table that is there and cannot be read raises.
+    """
+    files, place = _files(spark, path)
+    return spark.read.options(**options).parquet(path) if files.exists(place) else None

@@ -92,6 +92,7 @@ def event_readings(events: DataFrame) -> DataFrame:
         (eid / FILE_EVENTS).cast("long").alias("file_no"),
         metric.alias("metric_name"),
         _map_col(METRIC_UNITS, metric).alias("units"),
+        "user_id",
         (F.col("user_id") % 4).alias("device"),
         date_text.alias("date_text"),
         F.col("value"),
@@ -99,8 +100,9 @@ def event_readings(events: DataFrame) -> DataFrame:
     )
 
 
-def _reading_json(r: DataFrame, bump: Column) -> Column:
-    """JSON text of one reading, values raised by ``bump``."""
+def _reading_json(bump: Column, source: Column | None = None, more: Column | None = None) -> Column:
+    """JSON text of one reading, values raised by ``bump``; ``source``: JSON of its source
+    (default: the watch's name), ``more``: JSON of further fields, each with a comma before."""
     eid = F.col("event_id")
     v = F.col("value") + bump
     upper = eid % 2 == 0
@@ -111,13 +113,34 @@ def _reading_json(r: DataFrame, bump: Column) -> Column:
     qty = (F.when(eid % 53 == 5, F.concat(F.lit('"qty":"'), _num_text(v), F.lit('"')))
            .when(eid % 59 == 3, F.lit('"qty":true'))
            .otherwise(F.concat(F.lit('"qty":'), _num_text(v))))
+    watch = F.concat(F.lit('"watch-'), F.col("device").cast("string"), F.lit('"'))
     return F.concat(
-        F.lit('{"source":"watch-'), F.col("device").cast("string"),
-        F.lit('","date":"'), F.col("date_text"), F.lit('",'),
-        F.when(F.col("is_range"), rng).otherwise(qty), F.lit("}"))
+        F.lit('{"source":'), watch if source is None else source,
+        F.lit(',"date":"'), F.col("date_text"), F.lit('",'),
+        F.when(F.col("is_range"), rng).otherwise(qty), F.lit("") if more is None else more, F.lit("}"))
 
 
-def file_readings(events: DataFrame) -> DataFrame:
+def subject_json() -> dict[str, Column]:
+    """Readings that say whose they are (``user_id``)."""
+    return {"more": F.concat(F.lit(',"subject":'), F.col("user_id").cast("string"))}
+
+
+def drift_json(cutoff: str) -> dict[str, Column]:
+    """Readings of files ingested after ``cutoff`` in a changed shape: every 7th event
+    (id % 7 = 2) has a new field ``context``, every 13th (id % 13 = 4) a number for source."""
+    late = F.timestamp_seconds(_ingest_seconds()) > F.lit(cutoff).cast("timestamp")
+    eid = F.col("event_id")
+    watch = F.concat(F.lit('"watch-'), F.col("device").cast("string"), F.lit('"'))
+    return {"source": F.when(late & (eid % 13 == 4), F.col("device").cast("string")).otherwise(watch),
+            "more": F.when(late & (eid % 7 == 2), F.lit(',"context":"walk"')).otherwise(F.lit(""))}
+
+
+def _ingest_seconds() -> Column:
+    return (F.lit(INGEST_BASE_EPOCH) + F.col("file_no") * 3600
+            + F.when(F.col("resend"), F.lit(RESEND_DELAY_SECONDS)).otherwise(F.lit(0)))
+
+
+def file_readings(events: DataFrame, shape: dict[str, Column] | None = None) -> DataFrame:
     """Readings with their export file: originals plus the re-exports.
 
     One scan: an event of a re-exported file yields two rows (``explode``
@@ -131,18 +154,17 @@ def file_readings(events: DataFrame) -> DataFrame:
     name = F.concat(F.lit("export_"), F.format_string("%05d", F.col("file_no")),  # at least five digits
                     F.when(F.col("resend"), F.lit("_resend")).otherwise(F.lit("")),
                     F.lit(".json"))
-    ingest_s = (F.lit(INGEST_BASE_EPOCH) + F.col("file_no") * 3600
-                + F.when(F.col("resend"), F.lit(RESEND_DELAY_SECONDS)).otherwise(F.lit(0)))
+    ingest_s = _ingest_seconds()
     return both.select(
         "event_id", "file_no", "metric_name", "units",
-        F.when(~(F.col("resend") & (F.col("file_no") % 20 == 10)), _reading_json(both, F.col("bump"))).alias("reading"),
+        F.when(~(F.col("resend") & (F.col("file_no") % 20 == 10)), _reading_json(F.col("bump"), **(shape or {}))).alias("reading"),
         name.alias("_source_file"),
         F.timestamp_seconds(ingest_s).alias("_ingested_at"),
         F.timestamp_seconds(ingest_s - MODIFIED_BEFORE_INGEST_SECONDS).alias("file_modification_time"),
     )
 
 
-def export_documents(events: DataFrame) -> DataFrame:
+def export_documents(events: DataFrame, shape: dict[str, Column] | None = None) -> DataFrame:
     """Group readings into one export document per file (Bronze ``data`` text).
 
     One shuffle: readings are collected per file (a file holds at most
@@ -154,7 +176,7 @@ def export_documents(events: DataFrame) -> DataFrame:
     execution must not squeeze them into a task or two.
     """
     n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fr = file_readings(events).repartition(n, "_source_file", "file_no", "_ingested_at", "file_modification_time")
+    fr = file_readings(events, shape).repartition(n, "_source_file", "file_no", "_ingested_at", "file_modification_time")
     per_file = (fr.groupBy("_source_file", "file_no", "_ingested_at", "file_modification_time")
                 .agg(F.array_sort(F.collect_list(
                     F.struct("metric_name", "event_id", "units", "reading"))).alias("rs")))
@@ -181,13 +203,15 @@ def export_documents(events: DataFrame) -> DataFrame:
         inner.alias("inner"))
 
 
-def bronze_table(events: DataFrame) -> DataFrame:
+def bronze_table(events: DataFrame, shape: dict[str, Column] | None = None) -> DataFrame:
     """The Bronze table: one row per landed file, four columns (+ mod. time).
 
+    ``shape`` changes the readings' JSON (:func:`subject_json`, :func:`drift_json`).
+
     Files with ``file_no % WRAP_EVERY == WRAP_AT`` were landed one level too
     deep, as the raw export ``{"data": {...}}``.
     """
-    docs = export_documents(events)
+    docs = export_documents(events, shape)
     wrapped = F.col("file_no") % WRAP_EVERY == WRAP_AT
     data = F.when(wrapped, F.concat(F.lit('{"data":'), F.col("inner"), F.lit("}"))).otherwise(F.col("inner"))
     return docs.select(

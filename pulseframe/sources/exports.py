@@ -16,12 +16,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..config import DOCUMENT_JSON
+from ..session import read_if_there
 
 # The Bronze columns.
 BRONZE_SCHEMA = StructType([
@@ -127,33 +127,42 @@ def land(df: DataFrame, path: str, mode: str = "append") -> None:
 
     One folder per ingestion day; the file's name, load time, request id, size
     and SHA-256 are columns beside the body, so the number of folders and files
-    follows days and bytes, not documents.  ``rebalance`` lets adaptive
-    execution split a large day over several tasks.  An empty ``df`` writes no
-    rows.
+    follows days and bytes, not documents.  The source file's modification time, by
+    which change data are sequenced, stays with it (null where it is not known).
+    ``rebalance`` lets adaptive execution split a large day over several tasks.
+    An empty ``df`` writes no rows.
     """
     body = F.col("data").cast("binary")
-    rescued = F.col("_rescued_data") if "_rescued_data" in df.columns else F.lit(None).cast("string").alias("_rescued_data")
+
+    def given(name: str, kind: str) -> Column:
+        return F.col(name) if name in df.columns else F.lit(None).cast(kind).alias(name)
+
     out = df.select(
-        "data", rescued, "_ingested_at", "_source_file",
+        "data", given("_rescued_data", "string"), "_ingested_at", "_source_file", given("file_modification_time", "timestamp"),
         request_id("_source_file", "_ingested_at").alias("request_id"),
         F.octet_length(body).cast("long").alias("content_bytes"), F.sha2(body, 256).alias("content_sha256"),
         F.to_date("_ingested_at").alias("ingest_date"))
     out.hint("rebalance", "ingest_date").write.mode(mode).partitionBy("ingest_date").parquet(path)
 
 
-def ingest_folder(spark: SparkSession, folder: str, table: str, ingested_at=None, glob: str | None = "*.json") -> int:
+#: Keys by which a file counts as landed: its name, or its name and modification time,
+#: which takes a file revised under its old name as new.
+BY_NAME = ("_source_file",)
+BY_REVISION = ("_source_file", "file_modification_time")
+
+
+def ingest_folder(spark: SparkSession, folder: str, table: str, ingested_at=None, glob: str | None = "*.json",
+                  keys: Sequence[str] = BY_NAME) -> int:
     """List a folder's export files, land those not landed yet, unwrapped; returns how many.
 
     Nothing is written when nothing is new.  The file's path under the folder is
-    its name, so equal names in different sub-folders stay apart.
+    its name, so equal names in different sub-folders stay apart.  ``keys`` says what
+    makes a file a new one.
     """
     listing = read_exports(spark, folder, glob, ingested_at)
     listing = listing.withColumn("_source_file", F.col("source_path"))
-    try:
-        landed = read_landed(spark, table)
-    except AnalysisException:  # no table yet
-        landed = None
-    new = only_new(listing, landed) if landed is not None else listing
+    landed = read_if_there(spark, table)
+    new = only_new(listing, landed, keys) if landed is not None else listing
     count = new.select("_source_file").count()  # names alone: bodies are not read
     if count:
         land(unwrap(new).drop("_was_wrapped"), table)

@@ -14,8 +14,8 @@ def test_build_and_check_layers(spark, tmpdir_path):
     bronze = silver.bronze(spark, SF)
     paths = build.build_layers(spark, bronze, tmpdir_path, as_of="2024-03-15")
     assert set(paths) == {"silver", "expectation_log", *build.MARTS, *build.DAY_TABLES}
-    from pulseframe.operators.expectations import expectation_totals
-    tot = {r["expectation"]: r for r in expectation_totals(spark.read.parquet(paths["expectation_log"])).collect()}
+    from pulseframe.operators.expectations import expectation_totals, read_events
+    tot = {r["expectation"]: r for r in expectation_totals(read_events(spark, paths["expectation_log"])).collect()}
     exploded = silver.exploded(spark, SF)
     assert tot["valid_date"]["cumulative_dropped"] == exploded.filter("date IS NULL").count()
     assert tot["valid_metric_name"]["cumulative_passed"] == exploded.count()
@@ -109,7 +109,7 @@ def test_update_layers_equals_full_build(spark, tmpdir_path):
     paths = build.update_layers(spark, b.filter(F.col("_ingested_at") > cut), inc, as_of="2024-03-15")
     full = build.build_layers(spark, b, os.path.join(tmpdir_path, "full"), as_of="2024-03-15")
     for mart in build.MARTS:
-        a, f = spark.read.parquet(paths[mart]), spark.read.parquet(full[mart])
+        a, f = build.read_mart(spark, paths, mart), build.read_mart(spark, full, mart)
         cols = sorted(f.columns)
         norm = lambda df: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r)
                                   for r in df.select(cols).collect()), key=repr)

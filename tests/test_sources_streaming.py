@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.sources import exports as S
@@ -179,3 +180,95 @@ def test_silver_of_one_metric_spans_tasks(spark, tmpdir_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     parts = [f for f in os.listdir(os.path.join(tmpdir_path, "s", "metric_name=step_count")) if f.endswith(".parquet")]
     assert len(parts) > 1
+
+
+def test_landed_files_keep_their_modification_time_and_revised_ones_are_new(spark, tmpdir_path):
+    folder, names, revisions = (os.path.join(tmpdir_path, n) for n in ("in", "by-name", "by-revision"))
+    write_files(folder, ["a.json", "b.json"])
+    for name, t in (("a.json", 1_700_000_000), ("b.json", 1_700_000_100)):
+        os.utime(os.path.join(folder, name), (t, t))
+
+    def ingest():
+        return (S.ingest_folder(spark, folder, names, "2026-07-21 05:00:00"),
+                S.ingest_folder(spark, folder, revisions, "2026-07-21 05:00:00", keys=S.BY_REVISION))
+    assert ingest() == (2, 2) and ingest() == (0, 0)
+    write_files(folder, ["a.json"], {"data": {"metrics": []}})
+    os.utime(os.path.join(folder, "a.json"), (1_700_000_200, 1_700_000_200))
+    assert ingest() == (0, 1)
+    got = [(os.path.basename(r["_source_file"]), int(r["file_modification_time"].timestamp())) for r in S.read_landed(spark, revisions).collect()]
+    assert sorted(got) == [("a.json", 1_700_000_000), ("a.json", 1_700_000_200), ("b.json", 1_700_000_100)]
+
+
+def test_a_landing_table_that_cannot_be_read_raises(spark, tmpdir_path):
+    folder, target = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "t")
+    write_files(folder, ["a.json"])
+    os.makedirs(os.path.join(target, "ingest_date=2026-07-01"))
+    with open(os.path.join(target, "ingest_date=2026-07-01", "part-0.parquet"), "w") as f:
+        f.write("broken")
+    with pytest.raises(Exception):
+        S.ingest_folder(spark, folder, target)
+
+
+def merge(path, rows, spark):
+    from pulseframe.operators.latest import latest_by
+    from pulseframe.session import scratch
+    with scratch(spark) as keep:
+        ST._merge_parts(path, rows, lambda both: latest_by(both, ["k"], [F.col("seq")]), keep)
+    return sorted((tuple(r) for r in ST.read_parts(spark, path).select(*sorted(ST.read_parts(spark, path).columns)).collect()), key=repr)
+
+
+def test_stream_targets_keep_old_rows_when_columns_change(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    one = spark.createDataFrame([("k1", 1, "p"), ("k2", 1, "p"), ("k9", 1, "q")], "k string, seq int, _part string")
+    assert merge(path, one, spark) == [("k1", 1), ("k2", 1), ("k9", 1)]
+    new = spark.createDataFrame([("k3", 2, "p", "x")], "k string, seq int, _part string, extra string")
+    exp = [("x", "k3", 2), (None, "k1", 1), (None, "k2", 1), (None, "k9", 1)]
+    assert merge(path, new, spark) == sorted(exp, key=repr)          # a new column
+    assert merge(path, new, spark) == sorted(exp, key=repr)          # the same batch replayed
+    fewer = spark.createDataFrame([("k1", 3, "p")], "k string, seq int, _part string")
+    exp = [("x", "k3", 2), (None, "k1", 3), (None, "k2", 1), (None, "k9", 1)]
+    assert merge(path, fewer, spark) == sorted(exp, key=repr)        # a column that is missing now
+    with pytest.raises(Exception):                                   # any other failure is one
+        merge(path, spark.createDataFrame([("k1", "z", "p")], "k string, seq string, _part string"), spark)
+    assert ST.read_parts(spark, path).count() == 4
+    kept = [d for d in os.listdir(spark.sparkContext.getCheckpointDir().rsplit("/", 1)[0].replace("file:", "")) if "folded" in d]
+    assert kept == []
+
+
+def test_stream_keeps_each_content_once_within_the_time(spark, tmpdir_path):
+    path = lambda n: os.path.join(tmpdir_path, n)
+
+    def run(*files):
+        rows = [(body, None, dt.datetime(2026, 7, 21) - dt.timedelta(days=age), name, None) for name, body, age in files]
+        spark.createDataFrame(rows, "data string, _rescued_data string, _ingested_at timestamp, _source_file string, file_modification_time timestamp"
+                              ).coalesce(1).write.mode("append").parquet(path("bronze"))
+        ST.dedup_stream(spark, path("bronze"), path("out"), path("ck"), "1 hour")
+        return sorted(r["_source_file"] for r in spark.read.parquet(path("out")).collect())
+
+    assert run(("a", "x", 0), ("b", "y", 0)) == ["a", "b"]
+    assert run(("again", "x", 0), ("c", "z", 90)) == ["a", "b", "c"]  # an old load time is not late
+    assert run(("again", "x", 0), ("twice1", "w", 0), ("twice2", "w", 0))[:3] == ["a", "b", "c"]
+    assert spark.read.parquet(path("out")).count() == 4
+
+
+def test_stream_log_has_an_event_per_batch_and_survives_a_replay(spark, tmpdir_path):
+    from pulseframe.operators import expectations as X
+    path = lambda n: os.path.join(tmpdir_path, n)
+    good = {"date": "2026-07-20 08:00:00 +0200", "qty": 1}
+    for k, readings in enumerate(([good, {"date": "bad"}], [good, good, good], [])):
+        doc = {"metrics": [{"name": "step_count", "units": "n", "data": readings}]}
+        spark.createDataFrame([(json.dumps(doc), None, dt.datetime(2026, 7, 21), f"f{k}", None)],
+                              "data string, _rescued_data string, _ingested_at timestamp, _source_file string, file_modification_time timestamp"
+                              ).coalesce(1).write.mode("append").parquet(path("bronze"))
+        for _ in range(2):  # the second time as after a failure before the commit
+            ST.flatten_stream_logged(spark, path("bronze"), path("silver"), path("log"), path("ck"), at="2026-07-22 00:00:00")
+            commit = os.path.join(path("ck"), "commits", str(k))
+            if _ == 0:
+                for f in (commit, os.path.join(path("ck"), "commits", f".{k}.crc")):
+                    os.path.exists(f) and os.remove(f)
+    log = X.read_events(spark, path("log"))
+    assert sorted(r["batch_id"] for r in log.collect()) == [0, 1, 2]
+    tot = {r["expectation"]: (r["num_batches"], r["cumulative_passed"], r["cumulative_dropped"]) for r in X.expectation_totals(log).collect()}
+    assert tot == {"valid_date": (3, 4, 1), "valid_metric_name": (3, 5, 0)}
+    assert {(r["passed_records"], r["dropped_records"]) for r in X.expectation_latest(log).collect()} == {(0, 0)}  # one time: the last batch
+    assert spark.read.parquet(path("silver")).count() == 4
