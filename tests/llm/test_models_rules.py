@@ -213,17 +213,65 @@ def test_base_counts_on_odd_and_whole_tables(spark, odd, empty, sf):
     assert adaptive_rules.rules(spark, empty).count() == 0
 
 
-def test_fences_are_exact_quantiles_within_the_sketch_error(spark, sf):
-    rows = adaptive_rules.measure(spark.read.parquet(f"{sf}/documents.parquet")).cache()
-    limits = adaptive_rules.thresholds(rows, min_rows=100).collect()
-    assert len({(r.lang, r.source) for r in limits}) == len(limits)
-    for r in limits:
-        ok = rows.filter("NOT base_failed").filter(F.col("lang").eqNullSafe(r.lang) & F.col("source").eqNullSafe(r.source))
-        values = sorted(x.mean_word_chars for x in ok.select("mean_word_chars").collect())
-        if len(values) >= 100:
-            q = lambda p: np.quantile(values, p)
-            low = max(q(0.72) - q(0.28), 0.5), max(q(0.78) - q(0.22), 0.5)
-            assert q(0.47) + 4 * low[0] <= r.mean_word_chars_high <= q(0.53) + 4 * low[1]
+def exact_fences(values, m):
+    """(low, high) from exact quantiles: the value of rank floor(p * (n - 1))."""
+    values = sorted(values)
+    q = lambda p, v: v[int(p * (len(v) - 1))]
+    low_p, low_width, high_p, high_width = adaptive_rules.TAILS[m]
+    low, mid, high, spread = q(low_p, values), q(0.5, values), q(high_p, values), adaptive_rules.LEAST_SPREAD
+    above = [v for v in values if v > 0]
+    top = max(high_width * spread, q(adaptive_rules.LOW_TAIL, above) / 2) if high == 0 and above else high + high_width * max(high - mid, spread)
+    return low - low_width * max(mid - low, spread), top
+
+
+def test_fences_and_verdicts_are_those_of_exact_quantiles_within_the_error(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    # groups of 100 texts and more: sources by lang only, and one small group that uses wider ones
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 97 == 5, "rare").when(F.col("lang") == "en", F.concat(F.lit("s"), F.col("doc_id") % 2)).otherwise("x"))
+    measured = adaptive_rules.measure(docs).cache()
+    rows = measured.collect()
+    limits = {(r.lang, r.source): r for r in adaptive_rules.thresholds(measured).collect()}
+    assert limits == {(r.lang, r.source): r for r in adaptive_rules.thresholds(measured.repartition(13)).collect()}  # the same from any order
+    ok = [r for r in rows if not r.base_failed]
+    sizes, by_lang = Counter((r.lang, r.source) for r in ok), Counter(r.lang for r in ok)
+    assert max(sizes.values()) >= 100 and min(sizes.values()) < 100 and set(limits) == set(sizes)
+    kept = {(r.doc_id): r.kept for r in adaptive_rules.judge(measured, adaptive_rules.thresholds(measured)).collect()}
+    for g, n in sizes.items():
+        mates = [r for r in ok if n >= 100 and (r.lang, r.source) == g or n < 100 <= by_lang[g[0]] and r.lang == g[0] or max(n, by_lang[g[0]]) < 100]
+        near = {}
+        for m in adaptive_rules.MEASURES:
+            low, high = exact_fences([r[m] for r in mates], m)
+            width = adaptive_rules.TAILS[m][1] + adaptive_rules.TAILS[m][3] + 2
+            slack = 1.1 * adaptive_rules.ALPHA * width * max(abs(low), abs(high), max(r[m] for r in mates if r[m] <= max(high, 0)) if mates else 0)
+            assert abs(limits[g][f"{m}_low"] - low) <= slack and abs(limits[g][f"{m}_high"] - high) <= slack, (g, m)
+            near[m] = (low, high, slack)
+        for r in ok:
+            if (r.lang, r.source) == g:
+                inside = all(near[m][0] + near[m][2] <= r[m] <= near[m][1] - near[m][2] or (r[m] == 0 and near[m][0] <= 0) for m in near)
+                outside = any(r[m] < near[m][0] - near[m][2] or r[m] > near[m][1] + near[m][2] for m in near)
+                assert not (inside and not kept[r.doc_id]) and not (outside and kept[r.doc_id]), r
+
+
+def test_quantiles_of_a_sketch_are_within_its_error(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([np.zeros(40), rng.lognormal(0, 3, 500), [1e-9, 1e9]])
+    frame = spark.createDataFrame([("l", "s", *[float(v)] * 4, False) for v in values],
+                                  "lang string, source string, symbol_ratio double, dup_line_ratio double, repeat_ratio double, mean_word_chars double, base_failed boolean")
+    got = {r.m: r for r in adaptive_rules.quantiles(adaptive_rules.sketches(frame), ["lang", "source"]).collect()}
+    exact = np.sort(values)
+    for m, (low, _, high, _) in adaptive_rules.TAILS.items():
+        for p, v in ((low, got[m].low), (0.5, got[m].mid), (high, got[m].high)):
+            assert abs(v - exact[int(p * (len(exact) - 1))]) <= 1.0001 * adaptive_rules.ALPHA * exact[int(p * (len(exact) - 1))]
+        above = exact[exact > 0]
+        assert got[m].rows == len(values) and abs(got[m].tail / above[int(0.05 * (len(above) - 1))] - 1) <= 1.0001 * adaptive_rules.ALPHA
+
+
+def test_a_group_where_few_hold_symbols_has_a_fence_of_its_own(spark):
+    def fence(strength):
+        rows = [(k, "en", "g", 0.0 if k % 20 else strength * (1 + k / 4000), 0.0, 0.0, 5.0, False) for k in range(400)]
+        frame = spark.createDataFrame(rows, "doc_id long, lang string, source string, symbol_ratio double, dup_line_ratio double, repeat_ratio double, mean_word_chars double, base_failed boolean")
+        return adaptive_rules.thresholds(frame).first().symbol_ratio_high
+    assert abs(fence(0.4) - 0.2) < 0.01 and abs(fence(3.0) - 1.5) < 0.05 and fence(0.01) == 4 * adaptive_rules.LEAST_SPREAD
 
 
 def test_small_groups_use_wider_ones_and_outliers_go(spark):
