@@ -9,15 +9,23 @@ Result: one row per document with its class and its number of links.
    the most rows per band for which ``1 - (1 - threshold^rows)^bands`` reaches it
    within the budget of hashes.
 2. Documents of equal n-gram sets are one node (copies are never paired).
-3. Nodes are shuffled on band hashes; each bucket links its nodes to its least
-   one, a linear number of edges.  Connected components of these (unverified)
-   edges are candidate groups: every pair that shares a band is inside one.
+3. Nodes are shuffled on band hashes, ids alone; each bucket links its nodes to its least
+   one, a linear number of edges.  Connected components of these (unverified) edges
+   are candidate groups: every pair that shares a band is inside one.
 4. The full n-gram sets of candidate nodes are built again from their texts and
-   every pair inside a group is verified exactly, with an inverted index.  A
-   group is cut into blocks of about ``block_grams`` n-grams, and pairs of blocks
-   are tasks of their own: no group is gathered in one task, no pair is emitted;
-   a block pair returns, per node, its number of linked documents and the least
-   node it is connected to.
+   every pair inside a group is verified exactly, with an inverted index: no pair is emitted;
+   a task returns, per node, its number of linked documents and the least node it is
+   connected to.  A component of at most ``block_grams`` n-grams is one group.  A larger
+   one, which shared boilerplate may have chained together from many texts that are not
+   alike, is not paired as a whole: its pairs are those of its buckets.
+   - Buckets of more than ``small_bucket`` nodes, whose members are nearly all candidates of
+     each other, are joined where they share nodes, and each union is a group.
+   - Every other bucket is a group of its own; of buckets with the same members one is
+     kept.  A pair in several groups counts in the first of them: each node carries its
+     groups, and a pair whose nodes are in one union is left to that.
+   A group is cut by set size into classes of ratio 1 / threshold, and classes into blocks of
+   about ``block_grams`` n-grams; only blocks of the same or neighbouring classes
+   can hold linked sets, and each such pair of blocks is a task of its own.
 5. Connected components of the verified connections are the classes.
 
 Only band hashes of nodes, texts of candidate nodes and small edge tables are
@@ -39,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -51,6 +59,7 @@ THRESHOLD = (4, 5)
 TARGET_RECALL = 0.9998
 MAX_HASHES = 300
 BLOCK_GRAMS = 1_000_000
+SMALL_BUCKET = 64
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -205,9 +214,10 @@ def verify(tables: pa.Table) -> pa.Table:
     # rows repeated under one id and text are one node
     _, first = np.unique(tables.column("nid").to_numpy(), return_index=True)
     tables = tables.take(pa.array(first))
-    i, j = tables.column("i")[0].as_py(), tables.column("j")[0].as_py()
-    nodes, copies, block = (tables.column(c).to_numpy() for c in ("nid", "copies", "block"))
+    group, i, j = (tables.column(c)[0].as_py() for c in ("group", "i", "j"))
+    nodes, copies, block, union = (tables.column(c).to_numpy() for c in ("nid", "copies", "block", "union_group"))
     sets = [np.frombuffer(g, np.uint64) for g in tables.column("grams").to_pylist()]
+    buckets = [set(x or ()) for x in tables.column("buckets").to_pylist()]
     left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
     parent = list(range(len(nodes)))  # nodes are in order, so the least place is the least node
 
@@ -217,22 +227,95 @@ def verify(tables: pa.Table) -> pa.Table:
             k = parent[k]
         return k
 
+    def ours(me: int, others: np.ndarray) -> np.ndarray:
+        """Of linked pairs in several groups those that count in this one."""
+        if not buckets[me] or group not in buckets[me]:
+            return others  # a whole component, or a union
+        keep = [int(o) for o in others if (union[me] < 0 or union[me] != union[o]) and min(buckets[me] & buckets[o]) == group]
+        return np.array(keep, np.int64)
+
     links = np.zeros(len(nodes), np.int64)
     if len(left) and len(right):
         for k, hits in linked([sets[x] for x in left], [sets[x] for x in right], i == j):
-            if len(hits):
-                me, others = int(right[k]), left[hits]
+            me = int(right[k])
+            others = ours(me, left[hits]) if len(hits) else hits
+            if len(others):
                 links[me] += copies[others].sum()
                 links[others] += copies[me]
                 for other in others.tolist():
                     a, b = root(me), root(other)
                     parent[max(a, b)] = min(a, b)
     return pa.table({"nid": pa.array(nodes), "links": pa.array(links), "root": pa.array(nodes[[root(k) for k in range(len(nodes))]]),
-                     "blocks": tables.column("blocks")})
+                     "whole": tables.column("whole")})
+
+
+def size_class(n: Column) -> Column:
+    """Sets of classes that are not the same or neighbours differ too much in size to be linked."""
+    return F.floor(F.ln(n.cast("double")) / math.log(THRESHOLD[1] / THRESHOLD[0]) + 1e-9).cast("int")
+
+
+def in_blocks(members: DataFrame, block_grams: int) -> DataFrame:
+    """``members`` (group, nid, n, ...) once for each pair of blocks (i, j) they take part in.
+
+    A group of at most ``block_grams`` n-grams is the one block 0 of its own.
+    """
+    classes = members.groupBy("group", size_class(F.col("n")).alias("c")).agg(F.sum("n").alias("grams"))
+    # at most one entry per size class, and sizes span a few dozen
+    plan = classes.groupBy("group").agg(F.sum("grams").alias("all"), F.map_from_entries(F.collect_list(
+        F.struct("c", F.ceil(F.col("grams") / block_grams).cast("int")))).alias("blocks"))
+    held = members.join(plan, "group").withColumn("c", F.when(F.col("all") <= block_grams, 0).otherwise(size_class(F.col("n"))))
+    blocks = lambda c: F.coalesce(F.try_element_at("blocks", c), F.lit(0))
+    number = lambda c, k: (c.cast("long") * 1_000_000 + k)
+    held = held.withColumn("block", F.when(F.col("all") <= block_grams, F.lit(0).cast("long")).otherwise(
+        number(F.col("c"), F.pmod(F.xxhash64("nid"), blocks(F.col("c"))))))
+    others = lambda c: F.when(blocks(c) > 0, F.transform(F.sequence(F.lit(0), blocks(c) - 1), lambda k: number(c, k))).otherwise(F.array().cast("array<long>"))
+    near = F.when(F.col("all") <= block_grams, F.array(F.lit(0).cast("long"))).otherwise(
+        F.concat(others(F.col("c") - 1), others(F.col("c")), others(F.col("c") + 1)))
+    return (held.select(*members.columns, "block", F.explode(near).alias("other"))
+            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other"))
+
+
+def candidate_groups(spark: SparkSession, banded: DataFrame, nodes: DataFrame, block_grams: int, small_bucket: int) -> DataFrame:
+    """(group, nid, n, copies, first, whole, union_group, buckets): the groups whose pairs are verified.
+
+    ``banded``: (nid, band); ``whole``: the group is a component.  ``union_group`` (-1: none)
+    and ``buckets`` name the other groups that a node's pairs may be in.
+    """
+    counted = banded.groupBy("band").agg(F.min("nid").alias("least"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("nid")).alias("members")).filter("c > 1")
+    shared = written(spark, banded.join(counted, "band"), "shared-bands")  # (band, nid, least, c, members)
+    component = components(spark, shared.select(F.col("nid").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "nid")
+    held = component.join(nodes.select("nid", "first", "copies", "n"), "nid")
+    sizes = held.groupBy("root").agg(F.sum("n").alias("grams"))
+    sized = written(spark, held.join(sizes, "root"), "components")
+    facts = ["nid", "n", "copies", "first"]
+    none = F.array().cast("array<long>")
+    groups = sized.filter(F.col("grams") <= block_grams).select(
+        F.col("root").alias("group"), *facts, F.lit(True).alias("whole"), F.lit(-1).cast("long").alias("union_group"), none.alias("buckets"))
+    large = sized.filter(F.col("grams") > block_grams).select(*facts)
+    if large.isEmpty():
+        return groups
+    inside = shared.join(large.select("nid"), "nid", "left_semi")
+    unions = components(spark, inside.filter(F.col("c") > small_bucket).select(F.col("nid").alias("a"), F.col("least").alias("b")))
+    unions = written(spark, unions.select(F.col("node").alias("nid"), F.col("root").alias("u")), "unions")
+    # of small buckets with the same members the first; its number is no node's
+    few = inside.filter(F.col("c") <= small_bucket)
+    named = few.groupBy("least", "c", "members").agg(F.min("band").alias("band"))
+    ours = few.join(named.withColumnsRenamed({c: f"k_{c}" for c in named.columns}),
+                    (F.col("least") == F.col("k_least")) & (F.col("c") == F.col("k_c")) & (F.col("members") == F.col("k_members")))
+    ours = ours.select("nid", (-2 - F.pmod(F.xxhash64("k_band", "least"), F.lit((1 << 62) - 1))).alias("bucket")).distinct()
+    ours = written(spark, ours, "small-buckets")
+    # at most one bucket per band
+    of_node = ours.groupBy("nid").agg(F.collect_list("bucket").alias("buckets"))
+    known = (large.join(unions, "nid", "left").join(of_node, "nid", "left")
+             .select(*facts, F.coalesce("u", F.lit(-1)).cast("long").alias("union_group"), F.coalesce("buckets", none).alias("buckets")))
+    known = written(spark, known, "members")
+    by_union = known.filter("union_group >= 0").select(F.col("union_group").alias("group"), *facts, F.lit(False).alias("whole"), "union_group", none.alias("buckets"))
+    by_bucket = known.join(ours, "nid").select(F.col("bucket").alias("group"), *facts, F.lit(False).alias("whole"), "union_group", "buckets")
+    return groups.unionByName(by_union).unionByName(by_bucket)
 
 
 def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         target_recall: float = TARGET_RECALL, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+         target_recall: float = TARGET_RECALL, block_grams: int = BLOCK_GRAMS, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """(id, h, class_id, n_links, kept, alone) for every row of ``docs``.
 
     ``kept``: the row is its class's least (id, h); ``alone``: it has no n-grams.
@@ -246,37 +329,30 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     # numbered as they are written; from then on the number is fixed
     nodes = written(spark, nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("nid", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("nid").alias("least"), F.count("*").alias("c")).filter("c > 1").select(F.col("band").alias("k"), "least")
-    edges = banded.join(buckets, F.col("band") == F.col("k")).select(F.col("nid").alias("a"), F.col("least").alias("b"))
-    groups = components(spark, edges).withColumnRenamed("node", "nid")
-    blocks = groups.join(nodes.select("nid", "first", "copies", "n"), "nid")
-    sizes = blocks.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / block_grams)).cast("int").alias("blocks"))
-    wanted = written(spark, blocks.join(sizes, "root").select(
-        "nid", F.col("first.id").alias("w_id"), F.col("first.h").alias("w_h"), F.col("root").alias("group"),
-        "copies", "blocks"), "candidates")
+    members = written(spark, candidate_groups(spark, banded, nodes, block_grams, small_bucket), "candidates")
+    # ids first: where a node's n-grams are to go; a few block pairs, of a few buckets
+    task = "array<struct<group:bigint,i:bigint,j:bigint,block:bigint,copies:bigint,union_group:bigint,buckets:array<bigint>,whole:boolean>>"
+    wanted = in_blocks(members, block_grams).groupBy("nid", F.col("first.id").alias("w_id"), F.col("first.h").alias("w_h")).agg(
+        F.collect_list(F.struct("group", "i", "j", "block", "copies", "union_group", "buckets", "whole")).cast(task).alias("tasks"))
     # one plan at every size: a broadcast of the candidates would grow with the table
     texts = (keyed(docs, id_col, text_col)
              .join(wanted.hint("merge"), (F.col("h") == F.col("w_h")) & F.col("id").eqNullSafe(F.col("w_id")))
-             .select("group", "nid", "copies", "blocks", "t"))
-    held = pa.schema([("group", pa.int64()), ("nid", pa.int64()), ("copies", pa.int64()), ("blocks", pa.int32()), ("grams", pa.binary())])
+             .select("nid", "tasks", "t"))
 
     def regram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 b = big.slice(at, 256)
-                grams = [gram_set(t, hashes).tobytes() for t in b.column(4).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(k).cast(held.field(k).type) for k in range(4)] + [pa.array(grams, pa.binary())], schema=held)
-
-    grams = texts.mapInArrow(regram, "group long, nid long, copies long, blocks int, grams binary")
-    grams = grams.withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
-    # each node goes to every pair of blocks that has its own
-    paired = grams.select("group", "nid", "copies", "blocks", "block", "grams", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = paired.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
-    checked = written(spark, paired.groupBy("group", "i", "j").applyInArrow(verify, "nid long, links long, root long, blocks int"), "verified")
+                grams = [gram_set(t, hashes).tobytes() for t in b.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(grams, pa.binary())], names=["nid", "tasks", "grams"])
+
+    grams = texts.mapInArrow(regram, f"nid long, tasks {task}, grams binary")
+    dealt = grams.select("nid", "grams", F.explode("tasks").alias("k")).select("nid", "grams", "k.*")
+    checked = written(spark, dealt.groupBy("group", "i", "j").applyInArrow(verify, "nid long, links long, root long, whole boolean"), "verified")
     links = checked.groupBy("nid").agg(F.sum("links").alias("links"))
-    # a group of one block is verified whole; the others' block pairs are connected here
-    classes, cut = checked.filter("blocks = 1").select("nid", "root"), checked.filter("blocks > 1")
+    # a whole component is verified in one task; the others' block pairs are connected here
+    classes, cut = checked.filter("whole").select("nid", "root"), checked.filter("NOT whole")
     if not cut.isEmpty():
         classes = classes.unionByName(components(spark, cut.select(F.col("nid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "nid"))
     least = nodes.join(classes, "nid", "left").select("node", "nid", "first", "copies", F.coalesce("root", "nid").alias("root"))

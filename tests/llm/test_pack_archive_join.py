@@ -225,9 +225,10 @@ def test_join_odd_rows_and_hot_groups_equal_brute_force(spark, odd, empty):
         odd.selectExpr("doc_id", "text", "t AS node", "n AS bands"))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     exp = classes(rows)
-    for block in (1_000_000, 3_000):  # whole groups, and groups cut into many blocks
-        got = ngram_join.join(spark, docs, block_grams=block).collect()
-        assert sorted(((r.id, r.class_id, r.n_links) for r in got), key=repr) == exp
+    # whole components; unions of large buckets cut into many blocks; buckets alone; few nodes to a bucket
+    for block, small in ((1_000_000, 64), (3_000, 8), (2_000, 1_000_000), (500, 2)):
+        got = ngram_join.join(spark, docs, block_grams=block, small_bucket=small).collect()
+        assert sorted(((r.id, r.class_id, r.n_links) for r in got), key=repr) == exp, (block, small)
     kept = ngram_join.deduplicate(spark, docs)
     blank = sum(not (t or "").encode().translate(ALNUM).split() for _, t in rows)
     ids = {c for i, c, _ in exp}
@@ -238,6 +239,24 @@ def test_join_odd_rows_and_hot_groups_equal_brute_force(spark, odd, empty):
     assert ngram_join.join(spark, empty).count() == 0 and ngram_join.deduplicate(spark, empty).count() == 0
 
 
+def test_chains_of_unlike_texts_are_not_paired_as_a_whole(spark, monkeypatch):
+    """Texts that share three quarters of their n-grams with the next one: one long component of
+    candidates, with few links; groups stay small and no pair is lost or counted twice."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(4000)]
+    texts = [" ".join(words[k * 15:k * 15 + 120]) for k in range(220)]
+    texts += [t + " more" for t in texts[::10]] + [" ".join(t.split()[:110]) for t in texts[5::10]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    blocks = ngram_join.in_blocks
+    monkeypatch.setattr(ngram_join, "in_blocks", lambda m, b: seen.append(m.groupBy("group").count().agg({"count": "max"}).first()[0]) or blocks(m, b))
+    exp = classes(list(enumerate(texts)))
+    for block in (10 ** 9, 2000):
+        got = ngram_join.join(spark, docs, block_grams=block).collect()
+        assert sorted(((r.id, r.class_id, r.n_links) for r in got), key=repr) == exp
+    assert seen[0] > 100 and seen[1] < 30
+
+
 def test_join_query_equals_brute_force(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in ngram_join.query(spark, sf).collect()), key=repr) == classes(rows)
