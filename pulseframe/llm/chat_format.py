@@ -20,8 +20,9 @@ text; it covers the escaped reply and nothing of the template.
 
 Null texts and null roles count as empty.  Turns are ordered by (turn, role,
 text), nulls first, so ties and repeated rows have one defined order; repeated
-rows are turns of their own.  Rows with a null conversation id form one
-conversation.  Extra columns are ignored.  An empty table gives no examples.
+rows are turns of their own.  A row with a null conversation id belongs to no other
+row's conversation and is one of its own (``alone`` tells them apart).  Extra columns are
+ignored.  An empty table gives no examples.
 An example holds all its preceding turns by definition, so a conversation's
 rows meet in one row; conversations, not the table, bound that.
 """
@@ -67,26 +68,30 @@ def role_of(title: Column) -> Column:
 
 
 def format_examples(turns: DataFrame) -> DataFrame:
-    """(conv_id, example, text, loss_start, loss_length, is_last): the training examples."""
+    """(conv_id, alone, example, text, loss_start, loss_length, is_last): the training examples.
+
+    ``alone``: a number of its own for each row without a conversation id, else null."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     head = F.concat(F.lit("### "), title_of(role), F.lit(": "))
     body = escape(text)
     segment = F.struct(
         "turn", role.alias("role"), text.alias("plain"), F.concat(head, body, F.lit(END)).alias("text"),
         F.char_length(head).alias("head"), F.char_length(body).alias("body"))
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(segment)).alias("s"))
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    rows = turns.select("conv_id", own.alias("alone"), segment.alias("s"))
+    whole = rows.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("s")).alias("s"))
     size = F.size("s")
     # an example per assistant turn, and one for turns after the last of them
     ends = F.filter(F.sequence(F.lit(1), size), lambda k: (k == size) | (F.element_at("s", k)["role"] == "assistant"))
-    each = whole.select("conv_id", "s", F.posexplode(ends).alias("example", "end"))
+    each = whole.select("conv_id", "alone", "s", F.posexplode(ends).alias("example", "end"))
     last = F.element_at("s", F.col("end"))
     target = last["role"] == "assistant"
     text = F.array_join(F.transform(F.slice("s", F.lit(1), F.col("end")), lambda x: x["text"]), "")
-    out = each.select("conv_id", "example", text.alias("text"), target.alias("target"), last["head"].alias("head"),
+    out = each.select("conv_id", "alone", "example", text.alias("text"), target.alias("target"), last["head"].alias("head"),
                       last["body"].alias("body"), F.char_length(last["text"]).alias("tail"),
                       (F.col("end") == size).alias("is_last"))
     start = F.char_length("text") - F.col("tail") + F.col("head")
-    return out.select("conv_id", "example", "text", F.when(F.col("target"), start).otherwise(0).cast("long").alias("loss_start"),
+    return out.select("conv_id", "alone", "example", "text", F.when(F.col("target"), start).otherwise(0).cast("long").alias("loss_start"),
                       F.when(F.col("target"), F.col("body")).otherwise(0).cast("long").alias("loss_length"), "is_last")
 
 
@@ -106,10 +111,10 @@ def read_loss(text: Column, start: Column, length: Column) -> Column:
 def digest(examples: DataFrame) -> DataFrame:
     """Per conversation, all read back from the examples."""
     read = examples.select(
-        "conv_id", "example", F.char_length("text").cast("long").alias("chars"),
+        "conv_id", "alone", "example", F.char_length("text").cast("long").alias("chars"),
         F.when(F.col("is_last"), read_turns(F.col("text"))).alias("turns"),
         read_loss(F.col("text"), F.col("loss_start"), F.col("loss_length")).alias("loss"))
-    joined = read.groupBy("conv_id").agg(
+    joined = read.groupBy("conv_id", "alone").agg(
         F.first("turns", ignorenulls=True).alias("turns"), F.sum("chars").alias("formatted_chars"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
@@ -131,20 +136,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
-  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -7, NULL, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, NULL, 1, 'assistant', '\### Assistant: </turn> ok'),
 n AS (
-  SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS size,
+  SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id, alone) AS size,
     sum(length(CASE WHEN role IN ('system', 'user', 'assistant') THEN role
                     ELSE '=' || replace(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\e'), ':', '\c'), chr(10), '\n') END)
         + length(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\e')) + 14) OVER w AS prefix
   FROM t
-  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+  WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(prefix) FILTER (role = 'assistant' OR k = size) AS BIGINT) AS formatted_chars
-FROM n GROUP BY conv_id
+FROM n GROUP BY conv_id, alone
 """

@@ -19,14 +19,14 @@ TURNS = [
 def expected(rows):
     convs = {}
     key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
-    for r in sorted(rows, key=key):
-        convs.setdefault(r[0], []).append((r[2] or "", r[3] or ""))
-    out = {}
-    for c, turns in convs.items():
+    for k, r in enumerate(sorted(rows, key=key)):
+        convs.setdefault((r[0], k if r[0] is None else None), []).append((r[2] or "", r[3] or ""))
+    out = []
+    for (c, _), turns in convs.items():
         loss = "".join(t for r, t in turns if r == "assistant")
         whole = "".join(f"{r}\n{t}\n" for r, t in turns)
-        out[c] = (len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    return out
+        out.append((c, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()))
+    return sorted(out, key=repr)
 
 
 def frame(spark, rows):
@@ -35,7 +35,8 @@ def frame(spark, rows):
 
 def test_round_trip_of_control_strings_nulls_ties_and_long_texts(spark):
     got = chat_format.digest(chat_format.format_examples(frame(spark, TURNS))).collect()
-    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == expected(TURNS)
+    assert sorted(((r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got), key=repr) == expected(TURNS)
+    assert sum(r.conv_id is None for r in got) == 2  # rows without an id do not meet
 
 
 def test_an_example_per_assistant_turn_with_only_that_reply_trainable(spark):
