@@ -3,7 +3,12 @@
 Base kinds (always kept when their own test holds): ``email``, ``ip`` (parts at
 most 255), ``card`` (12 to 19 digits, Luhn), ``phone`` (9 to 15 digits).  Added
 kinds, kept when their score reaches ``min_score``: ``iban`` (mod-97),
-``ssn`` (area, group and serial rules; needs a context word nearby).
+``ssn`` (area, group and serial rules; needs a context word nearby), ``secret``.
+
+Secrets: keys of a known form (fixed prefix and length); private keys, from their first
+to their last line; values given to a name such as token or password, which must look
+drawn at random (length, entropy per character, digits among letters); and long
+strings of that look with a context word nearby.
 
 Matches of a kind are leftmost and do not overlap; a base match that fails its
 test is dropped without a second try inside it.  An account number may run on
@@ -19,7 +24,9 @@ repeated rows and null ids do not matter); ``redact`` keeps all columns.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +36,7 @@ from pyspark.sql import functions as F
 from pulseframe.llm.common import per_row, table, text_bytes
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "ssn")
+KINDS = (*BASE, "iban", "ssn", "secret")
 MIN_SCORE = 0.5
 CONTEXT_CHARS = 48
 #: kind: (prior, checksum bonus, context bonus, context words)
@@ -40,6 +47,7 @@ SCORES = {
     "phone": (0.6, 0.0, 0.3, "phone tel call mobile fax telefon téléphone teléfono"),
     "iban": (0.2, 0.5, 0.3, "iban account bank konto compte cuenta transfer"),
     "ssn": (0.3, 0.0, 0.4, "ssn social security"),
+    "secret": (0.3, 0.5, 0.3, "token secret password passwd key credential auth bearer api"),
 }
 _CONTEXT = {k: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, v[3].split())) + r")(?!\w)", re.I)
             for k, v in SCORES.items()}
@@ -58,6 +66,14 @@ _IBAN_CHARS = {c[:2]: int(c[2:]) for c in (
     "ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 SE24 SI19 SK24 SM27 ST25 SV28 TN24 "
     "TR26 UA29 VA22 VG24 XK20").split()}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
+_KEY = re.compile(r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}+|xox[abprs]-[A-Za-z0-9-]{10,255}+)(?![A-Za-z0-9_])")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----")
+_PEM_END = re.compile(r"-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----")
+_GIVEN = re.compile(r"(?<![A-Za-z0-9])(token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?"
+                    r"([A-Za-z0-9+/_.~!@#$%^&*=-]{8,}+)", re.I)
+_LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])")
+#: Least characters and least bits of entropy per character of a value that looks random.
+RANDOM_CHARS, RANDOM_BITS, PASSWORD_CHARS = 16, 3.0, 8
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
@@ -105,6 +121,40 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
         m = _IBAN.search(text, done)
 
 
+def entropy(value: str) -> float:
+    """Bits per character by the value's own character counts."""
+    return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
+
+
+def looks_random(value: str) -> bool:
+    return (RANDOM_CHARS <= len(value) <= 512 and any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+            and entropy(value) >= RANDOM_BITS)
+
+
+def secrets(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether its form says so); leftmost first, without overlaps."""
+    found = [(*m.span(), True) for m in _KEY.finditer(text)]
+    end = 0
+    for m in _PEM.finditer(text) if "PRIVATE KEY-----" in text else ():
+        if m.start() >= end:
+            last = _PEM_END.search(text, m.end())
+            end = last.end() if last else m.end()
+            found.append((m.start(), end, True))
+            if not last:
+                break  # none later has an end either
+    for m in _GIVEN.finditer(text):
+        value = m[2].rstrip(".!")
+        password = m[1].lower() in ("password", "passwd", "pwd")
+        if looks_random(value) or (password and PASSWORD_CHARS <= len(value) <= 512 and any(c.isdigit() for c in value) and not value.isdigit()):
+            found.append((m.start(2), m.start(2) + len(value), True))
+    found += [(*m.span(), False) for m in _LONG.finditer(text) if looks_random(m[0])]
+    end = 0
+    for start, stop, checked in sorted(found, key=lambda x: (x[0], -x[1], not x[2])):
+        if start >= end:
+            yield start, stop, checked
+            end = stop
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, whether a checksum holds); what fails its test is left out."""
     for start, end in emails(text):
@@ -124,6 +174,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     for m in _SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             yield "ssn", m.start(), m.end(), False
+    for start, end, checked in secrets(text):
+        yield "secret", start, end, checked
 
 
 def spans_of(text: str, min_score: float = MIN_SCORE) -> list[tuple[int, int, str, float]]:
@@ -182,4 +234,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(F.col("id").alias("doc_id"), *map(count, BASE),
-                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                        count("iban"), count("ssn"), count("secret"), F.size("spans").cast("long").alias("n_spans"))

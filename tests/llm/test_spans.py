@@ -58,8 +58,21 @@ def test_account_numbers_before_upper_case_words_and_numbers():
     pii.spans_of("GB82 " * 40_000)
 
 
+def test_secrets_by_form_name_and_look():
+    key, hub, hexed = "AKIA" + "Q7ZK3M5N8P2R4T6W", "ghp_" + "a1B2c3D4e5F6g7H8i9J0" * 2, "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nMIIEow\n-----END RSA PRIVATE KEY-----"
+    for text, exp in ((f"id {key}.", [key]), (f"x{key}", []), (f"{hub}, ok", [hub]), (f"see\n{pem}\nafter", [pem]), (pem[:40], [pem[:31]]),
+                      (f'token = "{hexed}"', [hexed]), (f'TOKEN = "{hexed.upper()}"!!', [hexed.upper()]), ("password: hunter42!", ["hunter42"]),
+                      ("password: forgotten", []), ("password: 12345678", []), ("the token: aaaaaaaaaaaaaaaaaaaa", []), ("secret = meeting at noon", []),
+                      (f"commit {hexed} of the tree", []), (f"my api key is {hexed}", [hexed]), ("a-very-long-hyphenated-heading-without-any-digit", []),
+                      (f"password={hexed} and token={key}", [hexed, key]), ("tokens: 16 characters", [])):
+        assert [text[s:e] for s, e, k, _ in pii.spans_of(text) if k == "secret"] == exp, text
+    assert pii.redacted(f'token = "{hexed}"!') == 'token = "[SECRET]"!'
+    assert pii.entropy("aabb") == 1.0 and not pii.looks_random("1234567890123456")
+
+
 def test_long_runs_take_linear_time():
-    for text in ("1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "+" * 50_000, "1 " * 100_000, "1." * 100_000, "A" * 100_000 + "GB82" * 20_000):
+    for text in ("token=" * 30_000, "-----BEGIN PRIVATE KEY-----" * 5_000, "a1" * 100_000, "AKIA" * 50_000, "ghp_" + "a" * 200_000, "pwd:" + "=" * 100_000,"1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "+" * 50_000, "1 " * 100_000, "1." * 100_000, "A" * 100_000 + "GB82" * 20_000):
         pii.spans_of(text)
 
 
