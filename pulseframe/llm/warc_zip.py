@@ -1,14 +1,16 @@
 r"""ZIP-packaged web archives: written by Spark tasks, read by range without extraction.
 
-An archive is a ZIP file with *stored* (uncompressed) members
-``archive/data.warc.gz`` (one gzip member per WARC record) and
-``indexes/index.cdxj`` (one JSON line per record: offset, length).  The reader
+An archive is a ZIP file with *stored* (uncompressed) members: archives under
+``archive/`` (one gzip member per WARC record) and indexes under ``indexes/`` (a line
+per record, ending in JSON: file name, offset, length).  The reader
 
 1. finds the end-of-central-directory record from the file's tail, follows the
    ZIP64 locator and record where sizes or counts do not fit, and parses the
    central directory with its ZIP64 extra fields;
-2. locates a stored member's bytes through its local header;
-3. reads the index member, and each record by its byte range alone.
+2. locates stored members by the directory, whatever their names, and their bytes through
+   the local headers;
+3. reads the indexes, and each record by its byte range alone.  Records of an archive
+   that no index names are found by walking its gzip members, a piece at a time.
 
 Archives are opened through ``pyarrow.fs`` by their URI, so tasks read them
 from the cluster's shared store; nothing is unpacked and no archive is read
@@ -22,7 +24,8 @@ table, so a retried task leaves at most an unlisted file behind.
 Records with equal payloads of at least ``min_bytes`` are deduplicated: the one
 with the largest id is a response, the others revisit it.  The largest id per
 payload digest is pre-aggregated in every map task, so a payload shared by a
-third of the rows stays one row per task in that shuffle.
+third of the rows stays one row per task in that shuffle; payloads meet their decision by
+(id, digest), so the copies of a payload do not meet in one task.
 
 Null html counts as an empty payload.  A null id is smaller than any other;
 where all are null, and for repeated rows of the largest id, each is a
@@ -34,10 +37,12 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import itertools
 import json
 import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,7 +57,7 @@ ARCHIVE_BYTES = 64_000_000
 #: Bytes of neighbouring records that one group of range reads covers.
 RANGE_BYTES = 8_000_000
 MIN_BYTES = 0
-WARC_DATE = "2000-01-01T00:00:00Z"
+WARC_DATE, WARC_TIME = "2000-01-01T00:00:00Z", "20000101000000"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EOCD, _EOCD64, _LOCATOR, _CENTRAL, _LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 
@@ -172,12 +177,13 @@ def decide(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(page_id, url, payload, digest, refers_to): refers_to is null for responses."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
-    # only digests that occur more than once, so most rows meet nothing in the join
-    shared = (rows.filter(F.octet_length("payload") >= min_bytes).groupBy("sha1")
-              .agg(F.count("*").alias("n"), F.max("page_id").alias("last")).filter("n > 1").select(F.col("sha1").alias("s"), "last"))
-    joined = rows.join(shared, F.col("sha1") == F.col("s"), "left")
-    revisit = F.col("last").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("last")))
-    return joined.select("page_id", "url", "payload", F.when(revisit, F.col("last")).alias("refers_to"))
+    ids = rows.filter(F.octet_length("payload") >= min_bytes).select("page_id", "sha1")
+    # only digests that occur more than once, so most rows meet nothing in the joins
+    shared = ids.groupBy("sha1").agg(F.count("*").alias("n"), F.max("page_id").alias("last")).filter("n > 1").select(F.col("sha1").alias("s"), "last")
+    revisits = (ids.join(shared, F.col("sha1") == F.col("s")).filter(F.col("page_id").isNull() | (F.col("page_id") < F.col("last")))
+                .select(F.col("page_id").alias("r_id"), F.col("sha1").alias("r_sha1"), "last").distinct())
+    joined = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("sha1") == F.col("r_sha1")), "left")
+    return joined.select("page_id", "url", "payload", F.col("last").alias("refers_to"))
 
 
 def write_archives(spark: SparkSession, records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -207,7 +213,7 @@ def write_archives(spark: SparkSession, records: DataFrame, archive_bytes: int =
                         page, url, payload, refers = row
                         raw = record_bytes(page, url, payload, digest_of(payload), refers)
                         member.write(raw)
-                        index.append(json.dumps({"offset": size, "length": len(raw), "url": url}))
+                        index.append(f"{WARC_TIME} " + json.dumps({"url": url, "filename": WARC_MEMBER.rpartition("/")[2], "offset": size, "length": len(raw)}))
                         size += len(raw)
                         row = next(source, None) if size < archive_bytes else None
                         done = row is None and size < archive_bytes
@@ -218,8 +224,47 @@ def write_archives(spark: SparkSession, records: DataFrame, archive_bytes: int =
     return written(spark, records.mapInArrow(run, "uri string, records long, bytes long"), "archive-list")
 
 
+def walk_members(read, start: int, length: int, piece: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(offset, length) of each gzip member in a range, found by inflating it piece by piece."""
+    at, end, begin, inflate = start, start + length, start, zlib.decompressobj(31)
+    while at < end:
+        data = read(at, min(piece, end - at))
+        if not data:
+            raise ValueError("the archive is cut off")
+        at += len(data)
+        while data:
+            inflate.decompress(data)
+            if not inflate.eof:
+                break
+            data = inflate.unused_data
+            done = at - len(data)
+            yield begin, done - begin
+            begin, inflate = done, zlib.decompressobj(31)
+    if begin != end:
+        raise ValueError("the last record is cut off")
+
+
+def record_ranges(archive: ZipRanges) -> Iterator[tuple[int, int]]:
+    """Absolute (offset, length) of every record of an archive file."""
+    stored = {n: archive.stored_at(n) for n in archive.members if n.startswith("archive/") and not n.endswith("/")}
+    named = set()
+    for index in archive.members:
+        if index.startswith("indexes/") and index.endswith((".cdxj", ".cdx")):
+            for line in archive.read(*archive.stored_at(index)).decode().split("\n"):
+                if "{" in line:
+                    entry = json.loads(line[line.index("{"):])
+                    # an archive of one member needs no name
+                    name = "archive/" + entry["filename"] if "filename" in entry else next(iter(stored)) if len(stored) == 1 else ""
+                    if name not in stored:
+                        raise ValueError(f"{index} names {name or 'no file'}, which the archive does not hold")
+                    named.add(name)
+                    yield stored[name][0] + int(entry["offset"]), int(entry["length"])
+    for name in sorted(set(stored) - named):
+        yield from walk_members(archive.read, *stored[name])
+
+
 def index_entries(archives: DataFrame) -> DataFrame:
-    """(uri, offset, length): the absolute byte range of every record, from the archives' indexes."""
+    """(uri, offset, length): the absolute byte range of every record of the archives."""
     schema = pa.schema([("uri", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,15 +272,11 @@ def index_entries(archives: DataFrame) -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 fs, path = open_uri(uri)
                 with fs.open_input_file(path) as source:
-                    ranges = ZipRanges(source)
-                    start, _ = ranges.stored_at(WARC_MEMBER)
-                    lines = ranges.read(*ranges.stored_at(INDEX_MEMBER)).decode().split("\n")
-                entries = [json.loads(x) for x in lines if x]
-                for at in range(0, len(entries), 10_000):
-                    part = entries[at:at + 10_000]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([uri] * len(part)), pa.array([start + e["offset"] for e in part], pa.int64()),
-                        pa.array([e["length"] for e in part], pa.int64())], schema=schema)
+                    ranges = record_ranges(ZipRanges(source))
+                    while part := list(itertools.islice(ranges, 10_000)):
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([uri] * len(part)), pa.array([o for o, _ in part], pa.int64()),
+                            pa.array([n for _, n in part], pa.int64())], schema=schema)
     return archives.select("uri").mapInArrow(run, "uri string, offset long, length long")
 
 

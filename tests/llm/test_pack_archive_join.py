@@ -161,6 +161,42 @@ def test_archives_round_trip_odd_rows(spark):
     assert Counter(r.record_type for r in few)["revisit"] == 0  # payloads under the limit are all responses
 
 
+def foreign_archive(path, indexed):
+    """An archive by another writer: two archive members, other names, an index of one or of both."""
+    records = [warc_zip.record_bytes(k, f"http://{k}", f"page {k} ".encode() * k, warc_zip.digest_of(f"page {k} ".encode() * k), None) for k in range(1, 8)]
+    parts = {"first-00.warc.gz": records[:4], "second.warc.gz": records[4:]}
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("datapackage.json", "{}")
+        for name, held in parts.items():
+            z.writestr(f"archive/{name}", b"".join(held))
+        for name in indexed:
+            lines, at = [], 0
+            for r in parts[name]:
+                lines.append(f'com,x)/ 2000 {{"offset": "{at}", "length": "{len(r)}", "filename": "{name}"}}')
+                at += len(r)
+            z.writestr(f"indexes/{name}.cdxj", "\n".join(lines) + "\n")
+
+
+@pytest.mark.parametrize("indexed", [("first-00.warc.gz", "second.warc.gz"), ("second.warc.gz",), ()])
+def test_archives_of_other_writers_are_found_by_the_directory(spark, tmpdir_path, indexed):
+    path = f"{tmpdir_path}/foreign.wacz"
+    foreign_archive(path, indexed)
+    archives = spark.createDataFrame([(path,)], "uri string")
+    got = warc_zip.read_records(warc_zip.index_entries(archives), 3).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in got) == [(k, 7 * k, "response") for k in range(1, 8)]
+
+
+def test_walking_members_over_piece_ends_and_cut_archives():
+    records = [warc_zip.record_bytes(k, "u", b"x" * k * 50, "D", None) for k in range(1, 6)]
+    data = b"head" + b"".join(records)
+    read = lambda o, n: data[o:o + n]
+    for piece in (1, 7, 100, 10 ** 6):
+        found = list(warc_zip.walk_members(read, 4, len(data) - 4, piece))
+        assert [data[o:o + n] for o, n in found] == records
+    with pytest.raises(ValueError):
+        list(warc_zip.walk_members(read, 4, len(data) - 6))
+
+
 def test_archive_query_equals_its_oracle(spark, sf):
     got = warc_zip.query(spark, sf)
     con = duckdb.connect()
