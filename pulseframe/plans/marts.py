@@ -190,10 +190,11 @@ def metric_freshness(stg: DataFrame, as_of: dt.date | str | None = None, by: Seq
         F.max("metric_date").alias("last_date"),
         F.max("ingested_at").alias("last_ingested_at"),
         F.count_distinct("metric_date").alias("days_with_data"))
-    return _freshness(per, as_of, by)
+    return freshness_of(per, as_of, by)
 
 
-def _freshness(per: DataFrame, as_of: dt.date | str | None, by: Sequence[str]) -> DataFrame:
+def freshness_of(per: DataFrame, as_of: dt.date | str | None, by: Sequence[str] = ()) -> DataFrame:
+    """The freshness mart from counts, first and last day, and days with data per metric."""
     today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     span = (F.datediff("last_date", "first_date") + 1).cast("long")
     return per.select(
@@ -219,7 +220,7 @@ def freshness_from_day_counts(dc: DataFrame, as_of: dt.date | str | None = None,
         F.max("metric_date").alias("last_date"),
         F.max("last_ingested_at").alias("last_ingested_at"),
         F.count(F.lit(1)).alias("days_with_data"))
-    return _freshness(per, as_of, by)
+    return freshness_of(per, as_of, by)
 
 
 # Final sort of each mart, applied when it is read (not paid for when stored):

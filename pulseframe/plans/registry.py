@@ -27,7 +27,7 @@ from ..session import apply_defaults, shared_dir, stored
 from ..sources import driver_tables as dtab
 from ..sources import exports as S
 from ..streaming import streams as ST
-from . import build, marts, silver, weekly
+from . import build, day_bitmaps, marts, silver, weekly
 from .compare import rounded
 from .oracle import AS_OF
 from .tail import tail
@@ -729,6 +729,19 @@ def q_gold_incremental_metric_freshness(spark, sf_dir):
     return marts.freshness_from_day_counts(dc, as_of=AS_OF)
 
 
+@register("freshness_bitmap")
+def q_freshness_bitmap(spark, sf_dir):
+    """Freshness from bitmaps of days per metric: built from the files landed by the cutoff,
+    then merged with the later ones.  Equals the mart over all readings."""
+    rows = silver.expectation_filter(silver.exploded(spark, sf_dir))
+    cutoff = F.lit(LANDED_CUTOFF).cast("timestamp")
+    spath, bpath = shared_dir(spark, "silver-bitmaps"), shared_dir(spark, "day-bitmaps")
+    silver.write_silver_by_day(latest_readings(rows.filter(F.col("ingested_at") <= cutoff)), spath)
+    day_bitmaps.write(day_bitmaps.build(stage_readings(spark.read.parquet(spath).drop("reading_day"))), bpath)
+    day_bitmaps.merge(spark, bpath, spath, rows.filter(F.col("ingested_at") > cutoff))
+    return day_bitmaps.freshness(day_bitmaps.read(spark, bpath)[0], as_of=AS_OF)
+
+
 @register("gold_incremental_weekly_weight")
 def q_gold_incremental_weekly_weight(spark, sf_dir):
     """The stored weight mart, of which only the weeks the later files touch (and those
