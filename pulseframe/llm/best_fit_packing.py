@@ -55,7 +55,7 @@ _PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("star
 CELL_ROWS = 20_000
 #: What a worker remembers of tokenised words, in bytes per generation (two are kept); an
 #: entry takes about so much besides its characters.
-REMEMBERED_BYTES, ENTRY_BYTES = 80_000_000, 180
+REMEMBERED_BYTES, ENTRY_BYTES = 32_000_000, 180
 
 # Texts of printable ASCII, line ends and precomposed Latin-1 letters do not change under
 # normalisation but for lower case; their pre-tokens are these, and hold no white space.
