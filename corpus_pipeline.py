@@ -5,8 +5,12 @@ kept; ``run`` writes each stage's result to the cluster's shared folder and
 reads it back as the next one's documents, so a lost executor costs at most one
 stage's tasks.  All stages but the last return the columns of ``documents``.
 
-Rows that a stage keeps stay whole; null texts count as empty.  An empty table
-passes through every stage.
+Rows that a stage keeps stay whole, with all their columns, also ones whose names the
+operators use inside; the last stage returns pieces.  Null texts count as empty: they are
+scored, are no one's copies, hold no leak and no personal data, and pack as one end token.
+Null ids take part like others: they are judged by their text, and of copies the one with
+the least id stays, null being the largest.  Repeated rows are judged alike; the
+near-duplicate stage keeps one of them.  An empty table passes through every stage.
 """
 
 from __future__ import annotations
