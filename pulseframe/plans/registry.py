@@ -787,7 +787,8 @@ def q_named_layers(spark, sf_dir):
     bronze, paths = _stored_layers(spark, sf_dir)
     landed = shared_dir(spark, "landed")
     S.land(bronze, landed)
-    names = build.publish_layers(spark, paths, landed)
+    # names of this run's own: runs that share a catalog do not replace each other's
+    names = build.publish_layers(spark, paths, landed, "pulse_" + landed.rpartition("-")[2])
     parts = [spark.sql(f"SELECT '{layer}' AS layer, count(*) AS n_rows FROM {name}") for layer, name in names.items()]
     out = parts[0]
     for p in parts[1:]:
