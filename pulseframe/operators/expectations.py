@@ -89,7 +89,8 @@ def _explode_log(log: DataFrame) -> DataFrame:
 def expectation_latest(log: DataFrame) -> DataFrame:
     """Per-expectation counts of the most recent event only: of events at one time, the
     one of the last batch."""
-    latest = log.orderBy(F.col("timestamp").desc(), F.col("batch_id").desc()).limit(1)
+    order = [c for c in ("timestamp", "batch_id") if c in log.columns]
+    latest = log.orderBy(*[F.col(c).desc() for c in order]).limit(1)
     return _explode_log(latest).select(
         "dataset", F.col("name").alias("expectation"), "passed_records",
         F.col("failed_records").alias("dropped_records"))
