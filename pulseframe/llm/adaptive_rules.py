@@ -118,7 +118,7 @@ def quantiles(sketch: DataFrame, keys: list[str], tails=TAILS) -> DataFrame:
     ranked = merged.select("*", F.sum("n").over(each).alias("rows"), F.sum("n").over(each.orderBy("b")).alias("upto"),
                            F.sum(F.when(F.col("b") == _ZERO, F.col("n")).otherwise(0)).over(each).alias("zeros"))
     of_tail = lambda k: F.element_at(F.create_map(*[F.lit(x) for m in MEASURES for x in (m, tails[m][k])]), F.col("m"))
-    rank = lambda p, rows: F.floor(p * (rows - 1)) + 1
+    rank = lambda p, rows: F.greatest(F.lit(1), F.ceil(p * rows - 1e-9))  # the least value with a share p at or below it
     at = lambda p: F.min(F.when(F.col("upto") >= rank(p, F.col("rows")), F.col("b")))
     above = F.col("rows") - F.col("zeros")
     tail = F.min(F.when((F.col("b") != _ZERO) & (F.col("upto") - F.col("zeros") >= rank(F.lit(LOW_TAIL), above)), F.col("b")))
