@@ -333,3 +333,18 @@ def test_pipeline_on_an_empty_table(spark, empty, sf):
     for _, stage in corpus_pipeline.STAGES:
         at = stage(spark, at, sf)
     assert at.count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, odd, sf):
+    """Nulls, empty and very long texts, repeated rows, null ids and clashing columns, stage by stage."""
+    docs = odd.withColumn("n_chars", odd.text.isNotNull().cast("long"))
+    at, left = docs, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = stage(spark, at, sf).cache()
+        assert at.columns == docs.columns and at.count() <= left, name
+        left = at.count()
+    kept = at.collect()
+    texts = [r.text for r in kept if r.text and r.text.strip()]
+    assert len(texts) == len(set(texts))  # of copies one stays
+    packed = corpus_pipeline.STAGES[-1][1](spark, at, sf)
+    assert packed.filter("piece = 0").count() == left
