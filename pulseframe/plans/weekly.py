@@ -14,12 +14,15 @@ seeds were in it) leaves one row marked as gone, since a folder that gets no row
 keep its old ones; :func:`read_weeks` leaves it out.
 
 The windows that find neighbours run over one stored row per subject and week, never
-over days or readings; days are read only for the weeks that are computed anew.
+over days or readings; days are read only for the weeks that are computed anew.  Lists of
+weeks, at most one entry per week of the calendar, pass through the driver and prune the
+folders that are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,37 +64,44 @@ def _write(rows: DataFrame, path: str, overwrite: str) -> None:
      .partitionBy("week").parquet(path))
 
 
-def _merge(spark: SparkSession, path: str, fresh: DataFrame, touched: DataFrame, derive: Derive,
-           columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _weeks(rows: DataFrame) -> list[dt.date]:
+    """The distinct weeks of ``rows``: at most one per week of the calendar."""
+    return [r["week"] for r in rows.select("week").distinct().collect()]
+
+
+def _in_weeks(weeks: Collection[dt.date], column: Column | str = "week") -> Column:
+    column = F.col(column) if isinstance(column, str) else column
+    return column.isin(sorted(weeks)) if weeks else F.lit(False)
+
+
+def _merge(spark: SparkSession, path: str, fresh: DataFrame, touched: Collection[dt.date], derive: Derive,
+           columns: Sequence[str], by: Sequence[str]) -> list[dt.date]:
     """Put the ``fresh`` base rows of the ``touched`` weeks into a stored mart; returns the
-    weeks written (``week``)."""
+    weeks written."""
     with scratch(spark) as keep:
-        touched = keep(touched, "touched-weeks")
-        fresh = keep(fresh, "fresh-weeks")
-        old = _base(spark, path, columns, by).join(touched, "week", "left_anti")
+        old = _base(spark, path, columns, by).filter(~_in_weeks(touched))
         base = old.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
-        # neighbours within a subject: a week whose predecessor was computed anew, came or went
+        # neighbours within a subject
         before = F.lag("week").over(Window.partitionBy(*by).orderBy("week"))
         rows = keep(_derived(derive, base.withColumn("_before", before), columns, by, ["_new", "_before"]), "weekly-rows")
-        # what the stored table had for predecessor: other where a week came or went
-        stored = _base(spark, path, ["week_start" if "week_start" in columns else "week_end_date"], by).select(*by, "week").distinct()
+        # what the stored table had for predecessor: another one where a week came or went
+        stored = spark.read.parquet(path).filter("NOT _gone").select(*by, "week")
         stored = stored.withColumn("_was", F.lag("week").over(Window.partitionBy(*by).orderBy("week"))).withColumnsRenamed({c: f"_b_{c}" for c in (*by, "week")})
         same = F.col("week") == F.col("_b_week")
         for c in by:
             same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-        new_weeks = touched.select(F.col("week").alias("_t"))
-        moved = (rows.join(stored, same, "left").join(new_weeks, F.col("_before") == F.col("_t"), "left")
-                 .filter(F.col("_new") | F.col("_t").isNotNull() | ~F.col("_before").eqNullSafe(F.col("_was"))).select("week").distinct())
-        changed = keep(moved.unionByName(touched).distinct(), "changed-weeks")
-        out = rows.drop("_new", "_before").join(changed, "week", "left_semi")
-        gone = changed.join(rows.select("week").distinct(), "week", "left_anti")
-        empty = gone.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("week", "_gone") else
-                              F.lit(True).alias("_gone") if f.name == "_gone" else F.col("week") for f in out.schema.fields])
-        # only weeks that are or were stored need a mark
-        there = spark.read.parquet(path).select("week").distinct()
-        _write(keep(out.unionByName(empty.join(there, "week", "left_semi").select(*out.columns)), "written-weeks"), path, "dynamic")
-        written = spark.createDataFrame(changed.collect(), "week date")  # at most one row per week of the calendar
-    return written
+        moved = rows.join(stored, same, "left").filter(
+            F.col("_new") | F.coalesce(_in_weeks(touched, "_before"), F.lit(False)) | ~F.col("_before").eqNullSafe(F.col("_was")))
+        changed = {*touched, *_weeks(moved)}
+        out = rows.drop("_new", "_before").filter(_in_weeks(changed))
+        # a week that is stored and has no rows any more
+        gone = (changed - set(_weeks(out))) & set(_weeks(spark.read.parquet(path).filter(_in_weeks(changed))))
+        if gone:
+            empty = spark.createDataFrame([(w,) for w in sorted(gone)], "week date")
+            out = out.unionByName(empty.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+        if changed:
+            _write(out, path, "dynamic")
+    return sorted(changed)
 
 
 # --- weekly trends ------------------------------------------------------------------------
@@ -105,11 +115,11 @@ def write_trends(daily: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     _write(_derived(marts.trends_of, _totals(daily, by), _BASE["trends"], by), path, "static")
 
 
-def merge_trends(spark: SparkSession, path: str, daily: DataFrame, days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def merge_trends(spark: SparkSession, path: str, daily: DataFrame, days: DataFrame, by: Sequence[str] = ()) -> list[dt.date]:
     """Bring stored weekly trends up to date after the daily mart changed on ``days``
-    (``metric_date``); returns the weeks written."""
-    touched = days.select(_monday("metric_date").alias("week")).distinct()
-    fresh = daily.withColumn("week", _monday("metric_date")).join(touched, "week", "left_semi").drop("week")
+    (``metric_date``); returns the weeks written, by their Mondays."""
+    touched = _weeks(days.select(_monday("metric_date").alias("week")))
+    fresh = daily.filter(_in_weeks(touched, _monday("metric_date")))
     return _merge(spark, path, _totals(fresh, by), touched, marts.trends_of, _BASE["trends"], by)
 
 
@@ -124,15 +134,15 @@ def write_weight(daily: DataFrame, path: str, seeds: Mapping[int, float] = WEIGH
 
 
 def merge_weight(spark: SparkSession, path: str, daily: DataFrame, days: DataFrame,
-                 seeds: Mapping[int, float] = WEIGHT_SEEDS, by: Sequence[str] = ()) -> DataFrame:
+                 seeds: Mapping[int, float] = WEIGHT_SEEDS, by: Sequence[str] = ()) -> list[dt.date]:
     """Bring the stored weight mart up to date after the daily weight readings changed on
-    ``days`` (``metric_date``); returns the weeks written."""
+    ``days`` (``metric_date``); returns the weeks written, by their Mondays."""
     with scratch(spark) as keep:
         seeded = keep(marts.seed_days(daily, seeds, by), "seed-days")
         now = seeded.select(*by, _monday("metric_date").alias("week"), "seed_first").distinct()
         was = _base(spark, path, ["seed_first"], by).filter("seed_first IS NOT NULL").select(*now.columns)
         # weeks that hold seeds of a first day that came or went
         moved = now.exceptAll(was).unionByName(was.exceptAll(now)).select("week")
-        touched = keep(days.select(_monday("metric_date").alias("week")).unionByName(moved).distinct(), "weight-weeks")
-        week_of = lambda rows: rows.withColumn("week", _monday("metric_date")).join(touched, "week", "left_semi").drop("week")
-        return _merge(spark, path, _body(week_of(daily), week_of(seeded), by), touched, marts.weight_of, _BASE["weight"], by)
+        touched = _weeks(days.select(_monday("metric_date").alias("week")).unionByName(moved))
+        of_weeks = lambda rows: rows.filter(_in_weeks(touched, _monday("metric_date")))
+        return _merge(spark, path, _body(of_weeks(daily), of_weeks(seeded), by), touched, marts.weight_of, _BASE["weight"], by)
