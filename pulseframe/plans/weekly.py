@@ -90,12 +90,14 @@ def _merge(spark: SparkSession, path: str, fresh: DataFrame, touched: Collection
         same = F.col("week") == F.col("_b_week")
         for c in by:
             same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-        moved = rows.join(stored, same, "left").filter(
-            F.col("_new") | F.coalesce(_in_weeks(touched, "_before"), F.lit(False)) | ~F.col("_before").eqNullSafe(F.col("_was")))
-        changed = {*touched, *_weeks(moved)}
+        moved = F.col("_new") | F.coalesce(_in_weeks(touched, "_before"), F.lit(False)) | ~F.col("_before").eqNullSafe(F.col("_was"))
+        # one row per week of the calendar
+        there = {r["week"]: r["moved"] for r in rows.join(stored, same, "left").groupBy("week").agg(F.max(moved).alias("moved")).collect()}
+        changed = {*touched, *(w for w, m in there.items() if m)}
         out = rows.drop("_new", "_before").filter(_in_weeks(changed))
         # a week that is stored and has no rows any more
-        gone = (changed - set(_weeks(out))) & set(_weeks(spark.read.parquet(path).filter(_in_weeks(changed))))
+        gone = set(touched) - set(there)
+        gone = gone and gone & set(_weeks(spark.read.parquet(path).filter(_in_weeks(gone))))
         if gone:
             empty = spark.createDataFrame([(w,) for w in sorted(gone)], "week date")
             out = out.unionByName(empty.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
