@@ -92,12 +92,12 @@ def test_null_body_is_empty(spark):
     assert r["rule"] == 1
 
 
-def test_summary_counts(spark):
-    df = spark.createDataFrame([(body(VALID),)], "body string")
-    r = summarize_payloads(df).first()
-    assert r["metric_count"] == 2
-    assert r["workout_count"] == 1
-    assert r["metric_names"] == ["heart_rate", "step_count"]
+def test_summaries_of_many_bodies_count_each_on_its_own(spark):
+    names = ["vo2_max", "height", "height", "sleep_analysis", "blood_pressure"]
+    docs = [{"data": {"metrics": [{"name": n, "data": [{}] * k} for n in names[k:]], "workouts": [{}] * (3 * k)}} for k in range(4)]
+    df = spark.createDataFrame([(k, body(d)) for k, d in enumerate(docs)], "k int, body string")
+    got = {r["k"]: (r["metric_count"], r["workout_count"], r["metric_names"]) for r in summarize_payloads(df).collect()}
+    assert got == {k: (5 - k, 3 * k, sorted(set(names[k:]))) for k in range(4)}
 
 
 def test_summary_without_workouts_and_falsy_names(spark):
