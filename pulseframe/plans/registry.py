@@ -292,13 +292,16 @@ def _with_copies(spark, sf_dir):
 @register("stream_resend_dedup")
 def q_stream_resend_dedup(spark, sf_dir):
     """A12 on a stream: files, then in a later run (restarted from its checkpoint) resends of
-    a fifth of them, batch by batch; each content is kept once."""
+    a fifth of them, batch by batch; each content is kept once.  The number of batches does
+    not grow with the files."""
     source, target, ckpt = (shared_dir(spark, n) for n in ("bronze-resent", "bronze-once", "ckpt-once"))
     bodies = _export_bodies(spark, sf_dir)
     bodies.drop("file_no").write.parquet(source)
-    ST.dedup_stream(spark, source, target, ckpt, max_files=4)
+    first = ST.count_files(spark, source)
+    ST.dedup_stream(spark, source, target, ckpt, max_files=ST.batch_files(first, least=4))
     _resent(bodies).drop("file_no").write.mode("append").parquet(source)
-    ST.dedup_stream(spark, source, target, ckpt, max_files=4)
+    later = ST.count_files(spark, source) - first
+    ST.dedup_stream(spark, source, target, ckpt, max_files=ST.batch_files(later, least=4))
     return spark.read.parquet(target).select("_source_file", "_ingested_at", (F.col("content_sha256") == F.sha2("data", 256)).alias("intact"))
 
 
@@ -656,7 +659,8 @@ def q_stream_expectation_log(spark, sf_dir):
     is not part of the result)."""
     bronze_path = _bronze_parquet(spark, sf_dir)
     out, log = shared_dir(spark, "silver-logged"), shared_dir(spark, "dq-log")
-    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"), max_files=3)
+    ST.flatten_stream_logged(spark, bronze_path, out, log, shared_dir(spark, "ckpt-dq"),
+                             max_files=ST.batch_files(ST.count_files(spark, bronze_path), least=3))
     tot = X.expectation_totals(X.read_events(spark, log))
     return tot.select("expectation", "cumulative_passed", "cumulative_dropped")
 

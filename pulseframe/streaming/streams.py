@@ -82,6 +82,25 @@ def read_bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | N
     return r.parquet(bronze_path)
 
 
+#: Micro-batches in which :func:`batch_files` has waiting files read, however many there are.
+MICRO_BATCHES = 4
+
+
+def count_files(spark: SparkSession, bronze_path: str) -> int:
+    """Files of a Bronze table, as a stream's source lists them."""
+    return len(spark.read.parquet(bronze_path).inputFiles())
+
+
+def batch_files(waiting: int, least: int = 1, batches: int = MICRO_BATCHES) -> int:
+    """``max_files`` by which ``waiting`` files are read in at most ``batches`` micro-batches of
+    ``least`` files or more.
+
+    A batch commits every state partition and writes its log whatever it reads.  Files and
+    partitions both follow the data, so batches of a fixed number of files cost their square.
+    """
+    return max(least, -(-waiting // batches))
+
+
 def silver_stream(bronze: DataFrame, expectations: dict[str, str] = SILVER_EXPECTATIONS) -> DataFrame:
     """Flatten + expect-or-drop on a (streaming or batch) Bronze DataFrame."""
     return silver_keep(explode_readings(bronze), expectations)

@@ -272,3 +272,35 @@ def test_stream_log_has_an_event_per_batch_and_survives_a_replay(spark, tmpdir_p
     assert tot == {"valid_date": (3, 4, 1), "valid_metric_name": (3, 5, 0)}
     assert {(r["passed_records"], r["dropped_records"]) for r in X.expectation_latest(log).collect()} == {(0, 0)}  # one time: the last batch
     assert spark.read.parquet(path("silver")).count() == 4
+
+
+def test_batch_files_bound_the_number_of_batches():
+    assert [ST.batch_files(n, least=4) for n in (0, 1, 12, 16, 17, 100, 600)] == [4, 4, 4, 4, 5, 25, 150]
+    assert all(-(-n // ST.batch_files(n)) <= ST.MICRO_BATCHES for n in range(1, 700))
+
+
+@pytest.mark.parametrize("query, stream, runs", [("stream_resend_dedup", "dedup_stream", 2), ("stream_expectation_log", "flatten_stream_logged", 1)])
+def test_batches_of_a_stream_do_not_grow_with_its_files(spark, tmpdir_path, monkeypatch, query, stream, runs):
+    from pulseframe.plans import registry
+    n_files, run, batches = 36, getattr(ST, stream), []
+    # events of one document each; 0, 20, 40.. are sent once more without readings, 10, 30, 50.. with others
+    spark.range(0, 120).selectExpr("id * 250 AS event_id", "timestamp'2024-01-01 08:00:00' AS ts", "id AS user_id",
+                                   "'click' AS event_type", "id * 1.0D AS value").write.parquet(os.path.join(tmpdir_path, "events.parquet"))
+
+    def counted(*args, **kw):
+        q = run(*args, **kw)
+        batches.append(sum(p["numInputRows"] > 0 for p in q.recentProgress))
+        return q
+    monkeypatch.setattr(ST, stream, counted)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n_files))
+    try:
+        rows = registry.QUERIES[query](spark, tmpdir_path).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert len(batches) == runs and all(1 < b <= ST.MICRO_BATCHES for b in batches)
+    if query == "stream_resend_dedup":  # 120 documents and 12 exports of every tenth again; the copies add none
+        assert len({r["_source_file"] for r in rows}) == len(rows) == 132 and all(r["intact"] for r in rows)
+        assert not any(r["_source_file"].startswith("copy_") for r in rows)
+    else:
+        assert {r["expectation"]: r["cumulative_passed"] + r["cumulative_dropped"] for r in rows} == {"valid_date": 126, "valid_metric_name": 126}
